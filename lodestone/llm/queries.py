@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, exact_dedup, maxscore, mixing, toxicity
+from lodestone.llm import bpe, exact_dedup, licenses, maxscore, mixing, perspectives, toxicity
 from lodestone.llm.shared import table
 
 
@@ -16,6 +16,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.detections(table(spark, sf_dir, "documents"))
+
+
+def op3_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.rotate(table(spark, sf_dir, "conversations"))
+
+
 def op4_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxscore.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
@@ -35,6 +43,32 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES = {
+    "op3_perspectives": r"""
+        WITH m AS (
+            SELECT DISTINCT conv_id, turn, nullif(role, '') AS role, coalesce(text, '') AS text,
+                   floor(turn / 32)::BIGINT AS block, md5(coalesce(nullif(role, ''), '') || '|' || coalesce(text, '')) AS key
+            FROM conversations),
+        c AS (
+            SELECT *, ceil(count(*) OVER (PARTITION BY conv_id, block) / 32)::BIGINT AS slices,
+                   ((((coalesce(turn, 0) % 32) + 32) % 32) * 4294967296 + ('0x' || substr(key, 1, 8))::BIGINT) / (32 * 4294967296) AS share
+            FROM m),
+        s AS (
+            SELECT *, CASE WHEN slices > 1 THEN least(floor(share * slices * 32)::BIGINT, slices * 32 - 1) ELSE 0 END AS slice FROM c),
+        p AS (SELECT DISTINCT conv_id, role AS perspective FROM m WHERE role IS NOT NULL AND role <> 'system'),
+        r AS (
+            SELECT s.conv_id, perspective, block, slice, turn, key, coalesce(role = perspective, false) AS mine,
+                   CASE WHEN role = perspective THEN '<|im_start|>assistant' || chr(10)
+                        WHEN role = 'system' THEN '<|im_start|>system' || chr(10)
+                        ELSE '<|im_start|>user' || coalesce(' name=' || replace(role, '<|', '< |'), '') || chr(10) END AS head,
+                   replace(text, '<|', '< |') || '<|im_end|>' || chr(10) AS body
+            FROM s JOIN p ON s.conv_id IS NOT DISTINCT FROM p.conv_id),
+        o AS (
+            SELECT *, sum(length(head) + length(body)) OVER w - length(body) AS begins, sum(length(head) + length(body)) OVER w - 1 AS ends
+            FROM r WINDOW w AS (PARTITION BY conv_id, perspective, block, slice ORDER BY turn NULLS FIRST, key))
+        SELECT conv_id, perspective, block, slice, count(*) AS n_messages, count(*) FILTER (mine) AS n_trained,
+               string_agg(head || body, '' ORDER BY turn NULLS FIRST, key) AS rendered,
+               coalesce(string_agg(begins::BIGINT || '-' || ends::BIGINT, ',' ORDER BY turn NULLS FIRST, key) FILTER (mine), '') AS loss_spans
+        FROM o GROUP BY conv_id, perspective, block, slice""",
     "op4_maxscore": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec FROM embeddings
