@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, exact_dedup, idfiles, licenses, maxscore, mixing, perspectives, toxicity
+from lodestone.llm import bpe, exact_dedup, idfiles, licenses, maxscore, mixing, perspectives, substring_dedup, toxicity
 from lodestone.llm.shared import table
 
 
@@ -36,6 +36,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assignments(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op8_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfiles.read(idfiles.write(table(spark, sf_dir, "documents"))).drop("ids")
 
