@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, exact_dedup, idfiles, licenses, maxscore, mixing, perspectives, substring_dedup, toxicity
+from lodestone.llm import bpe, exact_dedup, idfiles, jaccard_join, licenses, maxscore, mixing, perspectives, substring_dedup, toxicity
 from lodestone.llm.shared import table
 
 
@@ -44,6 +44,10 @@ def op8_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfiles.read(idfiles.write(table(spark, sf_dir, "documents"))).drop("ids")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.assignments(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
@@ -91,6 +95,21 @@ ORACLES = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, text_sha256
         FROM d WINDOW g AS (PARTITION BY text_sha256)""",
+    "op9_jaccard_join": rf"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        s AS (
+            SELECT doc_id, CASE WHEN len(ws) = 0 THEN []
+                                WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+                                ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i : i + 2], ' '))) END AS items
+            FROM w),
+        u AS (SELECT doc_id, len(items) AS n, unnest(items) AS item FROM s),
+        linked AS (
+            SELECT a.doc_id AS x, b.doc_id AS y FROM u AS a JOIN u AS b ON a.item = b.item AND a.doc_id <> b.doc_id AND a.n * 100 >= b.n * 90 AND b.n * 100 >= a.n * 90
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+        reach(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM s UNION SELECT reach.doc_id, y FROM reach JOIN linked ON x = other)
+        SELECT doc_id, len(items)::BIGINT AS n_shingles, (SELECT min(other) FROM reach WHERE reach.doc_id = s.doc_id) AS component_id FROM s""",
     "op10_mixing": r"""
         WITH RECURSIVE d AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,

@@ -79,6 +79,14 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def join_totals(rows: DataFrame, key: str, totals: DataFrame, size: str, share: int = 1000) -> DataFrame:
+    """rows joined with the totals of their groups by ``key``. Groups of at least 1/share of the rows, of
+    which there are at most ``share``, are joined by broadcast; the others, none of them hot, by shuffle."""
+    heavy = max(2, (totals.agg(F.sum(size)).first()[0] or 0) // share)
+    many, few = F.broadcast(totals.where(F.col(size) >= heavy)), totals.where(F.col(size) < heavy)
+    return rows.join(many, key).unionByName(rows.join(few, key))
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
