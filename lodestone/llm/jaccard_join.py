@@ -1,8 +1,8 @@
 """N-gram Jaccard self-join by metric-space regions, and its connected components.
 
-A document's set holds its distinct SHINGLE-word shingles (words between ASCII white space, A-Z
+A document's set holds its distinct shingles of ``shingle`` words (words between ASCII white space, A-Z
 lower-cased; fewer words make one shingle). Two documents link when 100 * intersection >=
-PERCENT * union, i.e. when their Jaccard distance, a metric, is at most r = 1 - PERCENT / 100.
+percent * union, i.e. when their Jaccard distance, a metric, is at most r = 1 - percent / 100.
 Documents with equal sets are one node; nodes without shingles link with nothing.
 
 Regions. In corpora, nearly all documents lie at distance 1 from any document taken as a pivot, so
@@ -74,12 +74,12 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def shingles(words: list[bytes], hashes: dict[bytes, int], rank: np.ndarray | None = None, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+def shingles(words: list[bytes], hashes: dict[bytes, int], shingle: int, rank: np.ndarray | None = None, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """The distinct shingles' hashes, ascending, and their classes of frequency if words' ranks are given."""
     if not words:
         return np.zeros(0, np.uint64), None if rank is None else np.zeros(0, np.int64)
     h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    size = min(SHINGLE, len(h))
+    size = min(shingle, len(h))
     out = np.full(len(h) - size + 1, np.uint64(size))
     for i in range(size):
         out = out * _A + h[i : len(out) + i]
@@ -122,7 +122,7 @@ def _frequencies(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return words[order], np.array([r.n.bit_length() for r in top], np.int64)[order]
 
 
-def _nodes(rows: DataFrame, rank: np.ndarray, weights: np.ndarray) -> DataFrame:
+def _nodes(rows: DataFrame, rank: np.ndarray, weights: np.ndarray, shingle: int, percent: int) -> DataFrame:
     """(id, row, g, n, window): each row's node, set size and first pivots."""
     shared = rows.sparkSession.sparkContext.broadcast((rank, weights))
 
@@ -133,11 +133,11 @@ def _nodes(rows: DataFrame, rank: np.ndarray, weights: np.ndarray) -> DataFrame:
                 part = batch.slice(at, 512)
                 nodes, sizes, windows = [], [], []
                 for text in part.column(2):
-                    own, classes = shingles(split(text.as_py()), hashes, rank, weights)
+                    own, classes = shingles(split(text.as_py()), hashes, shingle, rank, weights)
                     n = len(own)
                     nodes.append(node_of(own))
                     sizes.append(n)
-                    most = n - -(-PERCENT * n // 100) + 1 if n else 0
+                    most = n - -(-percent * n // 100) + 1 if n else 0
                     windows.append(own[np.lexsort((own, classes))[:most]].view(np.int64))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(windows, pa.list_(pa.int64()))], names=["id", "row", "g", "n", "window"])
 
@@ -162,7 +162,7 @@ def _cells(nodes: DataFrame, seen: CellFilter) -> DataFrame:
     return nodes.select("g", "n", "window").mapInArrow(run, "s bigint, g bigint, n bigint, pos int")
 
 
-def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+def _sets(texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """(g, items binary): the sets of the wanted nodes."""
     wanted = checkpoint(wanted)
     seen = CellFilter.build(wanted.unionAll(wanted), wanted.count())  # added twice, so that it passes
@@ -174,7 +174,7 @@ def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 512):
                 nodes, items = [], []
                 for text in batch.column(0).slice(at, 512):
-                    own, _ = shingles(split(text.as_py()), hashes)
+                    own, _ = shingles(split(text.as_py()), hashes, shingle)
                     nodes.append(node_of(own))
                     items.append(own)
                 keep = np.flatnonzero(shared.value.maybe_repeated(np.array(nodes, np.int64)))
@@ -220,12 +220,12 @@ def components(links: DataFrame) -> DataFrame:
 class _Join:
     """The state of the join: sets, pairs compared so far and the nodes' components."""
 
-    def __init__(self, texts: DataFrame, cells: DataFrame) -> None:
-        self.cells = cells
+    def __init__(self, texts: DataFrame, cells: DataFrame, shingle: int, percent: int) -> None:
+        self.percent = percent
         shared = cells.groupBy("s").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("s")
         self.cells = checkpoint(cells.join(shared, "s", "left_semi"))
         nodes = self.cells.select("g").distinct()
-        self.sets = _sets(texts, nodes)
+        self.sets = _sets(texts, nodes, shingle)
         self.labels = checkpoint(nodes.select("g", F.col("g").alias("c")))
         self.known: DataFrame | None = None
         self.links: DataFrame | None = None
@@ -237,7 +237,7 @@ class _Join:
             pairs = pairs.join(self.known.select("a", "b"), ["a", "b"], "left_anti")
         found = _compared(pairs, self.sets)
         self.known = found if self.known is None else self.known.unionAll(found)
-        near = found.where(F.col("common") * 100 >= F.col("total") * PERCENT).select("a", "b")
+        near = found.where(F.col("common") * 100 >= F.col("total") * self.percent).select("a", "b")
         self.links = near if self.links is None else self.links.unionAll(near)
         renamed = near
         for side in ("a", "b"):
@@ -253,10 +253,9 @@ class _Join:
         facts = facts.select(F.col("s").alias("region"), "size", F.col("p.g").alias("pivot"), F.col("p.n").alias("pivot_n"))
         return checkpoint(named.join(facts, F.col("s") == F.col("region")).drop("region"))
 
-    @staticmethod
-    def _fits(n: str, m: str):  # noqa: ANN205
+    def _fits(self, n: str, m: str):  # noqa: ANN202
         """Sizes that allow a link."""
-        return (F.col(n) * 100 >= F.col(m) * PERCENT) & (F.col(m) * 100 >= F.col(n) * PERCENT)
+        return (F.col(n) * 100 >= F.col(m) * self.percent) & (F.col(m) * 100 >= F.col(n) * self.percent)
 
     @staticmethod
     def _pairs(x: str, y: str) -> list:
@@ -280,22 +279,22 @@ class _Join:
             large = found.where((F.col("size") > SMALL) & (F.col("g") != F.col("pivot")))
             self.compare(within.unionAll(large.select(*self._pairs("g", "pivot"))))
             large = large.withColumns({"a": F.least("g", "pivot"), "b": F.greatest("g", "pivot")})
-            shell = F.floor((F.col("total") - F.col("common")) * 100 / ((100 - PERCENT) * F.col("total"))).cast("bigint")
+            shell = F.floor((F.col("total") - F.col("common")) * 100 / (max(1, 100 - self.percent) * F.col("total"))).cast("bigint")
             dealt = large.join(self.known, ["a", "b"]).select("s", "pivot", "g", "n", F.explode(F.array(shell, shell + 1)).alias("shell"))
             regions = checkpoint(dealt.select(F.xxhash64("s", "pivot", "shell").alias("s"), "g", "n").distinct())
 
 
-def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
     """(row, id, n, c): each row's set size and component's name."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     rank, weights = _frequencies(docs.select(text))
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.monotonically_increasing_id().alias("row"), text)
-    nodes = stored(_nodes(rows, rank, weights), "none")
+    nodes = stored(_nodes(rows, rank, weights, shingle, percent), "none")
     distinct = nodes.where("n > 0").groupBy("g", "n").agg(F.first("window").alias("window"))
     distinct = stored(distinct, "none")
     items = distinct.agg(F.sum(F.size("window"))).first()[0] or 0
     seen = CellFilter.build(distinct.select(F.explode("window").alias("s")), items)
-    join = _Join(docs.select(text), _cells(distinct, seen))
+    join = _Join(docs.select(text), _cells(distinct, seen), shingle, percent)
     join.run()
     labelled = nodes.select("row", "id", "n", "g").join(join.labels, "g", "left")
     # a set without shingles links with nothing: its rows are components of their own
@@ -308,16 +307,16 @@ def _totals(classes: DataFrame) -> DataFrame:
     return checkpoint(classes.groupBy("c").agg(first, F.count(F.lit(1)).alias("size")).select("c", F.col("first.id").alias("component_id"), F.col("first.row").alias("first_row"), "size"))
 
 
-def assignments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def assignments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, component_id) of each row."""
-    classes = _classes(docs, id_col, text_col)
+    classes = _classes(docs, id_col, text_col, shingle, percent)
     joined = join_totals(classes, "c", _totals(classes), "size")
     return joined.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
-def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """docs' row of the least id of each component. docs must scan in the same order each time, as tables of files do."""
-    classes = _classes(docs, id_col, text_col)
+    classes = _classes(docs, id_col, text_col, shingle, percent)
     position, lost = fresh(docs, "row_position", "lost_position")
     dropped = join_totals(classes, "c", _totals(classes), "size").where("row <> first_row").select(F.col("row").alias(lost))
     numbered = docs.withColumn(position, F.monotonically_increasing_id())
