@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from lodestone.llm.shared import broadcast_if_small, checkpoint, fresh
 
@@ -29,7 +30,7 @@ SMALL_BUCKET = 20_000
 _KEY_DIGITS = 64
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(LongType())
 def count_words(text):  # noqa: ANN001, ANN201
     return text.map(lambda t: len(t.encode().split()) if t else 0).astype("int64")
 
