@@ -169,20 +169,20 @@ def _cut(rows: DataFrame) -> DataFrame:
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted by bucket: for each packed string, which of its windows at its first position repeat (a byte each)."""
-    bucket: list[tuple[bytes, tuple, int]] = []
+    bucket: list[tuple[bytes, tuple, int, bytes]] = []
     current = None
 
     def settle() -> pa.RecordBatch | None:
         if len(bucket) == 1 and bucket[0][2] == 1:
             return None
         windows = []
-        for k, (words, (known, name, start), n) in enumerate(bucket):
+        for k, (words, (known, name, start), n, _) in enumerate(bucket):
             cuts = [-1]
             while (cut := words.find(b" ", cuts[-1] + 1)) >= 0:
                 cuts.append(cut)
             cuts.append(len(words))
             windows += [(words[cuts[j] + 1 : cuts[j + WINDOW]], known, name, start + j, k, j) for j in range(n)]
-        marks = [bytearray(n) for _, _, n in bucket]
+        marks = [bytearray(n) for _, _, n, _ in bucket]
         windows.sort()
         last = None
         for window, known, name, start, k, j in windows:
@@ -191,15 +191,15 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 last = (window, (known, name, start))
         kept = [i for i, mark in enumerate(marks) if any(mark)]
-        return pa.RecordBatch.from_arrays([pa.array([bucket[i][0] for i in kept], pa.binary()), pa.array([bytes(marks[i]) for i in kept], pa.binary())], names=["words", "marks"])
+        return pa.RecordBatch.from_arrays([pa.array([bucket[i][3] for i in kept], pa.binary()), pa.array([bytes(marks[i]) for i in kept], pa.binary())], names=["key", "marks"])
 
     for batch in batches:
-        for m, words, name, start, n in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+        for m, key, words, name, start, n in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
             if m != current:
                 if bucket and (out := settle()) is not None:
                     yield out
                 bucket, current = [], m
-            bucket.append((words.as_py(), (name is not None, name or 0, start), n))
+            bucket.append((words, (name is not None, name or 0, start), n, key))
     if bucket and (out := settle()) is not None:
         yield out
 
@@ -210,36 +210,48 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
     characters = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     seen = CellFilter.build(rows.select("text").mapInArrow(_minimiser_rows, "m bigint"), characters // (5 * _WORDS_PER_RUN))
-    found = stored(_super_kmers(rows, seen))
+    found = stored(_super_kmers(rows, seen).withColumn("key", _key("words")))
+    # each distinct string once, with its first position; from here on, only these carry words
     first = F.min(F.struct("id", "start")).alias("first")
-    strings = found.groupBy("words", "n").agg(F.first("m").alias("m"), first)
-    sizes = checkpoint(strings.groupBy("m").agg(F.count(F.lit(1)).alias("strings")).where("strings > 1"))
+    once = [F.first(c).alias(c) for c in ("m", "n", "words")]
+    strings = stored(found.groupBy("key").agg(first, F.count(F.lit(1)).alias("times"), *once))
+    sizes = checkpoint(strings.groupBy("m").agg(F.count(F.lit(1)).alias("strings")).where("strings > 64"))
     heavy = max(64, (sizes.agg(F.sum("strings")).first()[0] or 0) // HEAVY)
-    hot = F.broadcast(sizes.where(F.col("strings") > heavy).select("m"))
-    mild = found.join(hot, "m", "left_anti")
-    kept = mild.drop("m").unionByName(_cut(found.join(hot, "m", "left_semi")))
-    bucketed = mild.groupBy("words", "n").agg(F.first("m").alias("m"), first)
-    dealt = bucketed.select("m", "words", "first.id", "first.start", "n").repartition("m").sortWithinPartitions("m")
-    marks = dealt.mapInArrow(_settle, "words binary, marks binary").withColumnRenamed("words", "w")
-    firsts = kept.groupBy(F.col("words").alias("w")).agg(F.min(F.struct("id", "start")).alias("first"), F.count(F.lit(1)).alias("times"))
-    firsts = firsts.join(marks, "w", "left").where("times > 1 OR marks IS NOT NULL")
-    joined = kept.join(firsts, F.col("words") == F.col("w"))
+    hot = checkpoint(sizes.where(F.col("strings") > heavy).select("m"))
+    mild = strings.join(F.broadcast(hot), "m", "left_anti")
+    dealt = mild.select("m", "key", "words", "first.id", "first.start", "n").repartition("m").sortWithinPartitions("m")
+    marks = dealt.mapInArrow(_settle, "key binary, marks binary")
+    firsts = mild.select("key", "first", "times").join(marks, "key", "left").where("times > 1 OR marks IS NOT NULL")
+    kept = found.join(F.broadcast(hot), "m", "left_anti").select("key", "id", "h", "start", "n")
+    if hot.limit(1).count():
+        cut = stored(_cut(found.join(F.broadcast(hot), "m", "left_semi")).withColumn("key", _key("words")).drop("words"))
+        windows = cut.groupBy("key").agg(first, F.count(F.lit(1)).alias("times")).where("times > 1")
+        firsts = firsts.unionByName(windows.withColumn("marks", F.lit(None).cast("binary")))
+        kept = kept.unionByName(cut.select("key", "id", "h", "start", "n"))
+    joined = kept.join(firsts, "key")
     is_first = F.struct("id", "start").eqNullSafe(F.col("first"))
     # the first occurrence loses its marked windows, every other one all
-    whole = joined.where(~is_first).select("id", "h", F.col("start").alias("begin"), (F.col("start") + F.col("n") + WINDOW - 1).alias("end"))
-    return whole.unionByName(joined.where(is_first & F.col("marks").isNotNull()).select("id", "h", "start", "marks").mapInArrow(_marked, "id bigint, h bigint, begin bigint, end bigint"))
+    whole = F.when(~is_first, F.array(F.struct(F.col("start").alias("begin"), (F.col("start") + F.col("n") + WINDOW - 1).alias("end"))))
+    own = joined.select("id", "h", "start", F.when(is_first, F.col("marks")).alias("marks"), whole.alias("whole")).where("marks IS NOT NULL OR whole IS NOT NULL")
+    return own.mapInArrow(_spans, "id bigint, h bigint, begin bigint, end bigint")
 
 
-def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _key(words: str):  # noqa: ANN202
+    """What stands for a packed string where its words aren't needed: 128 bits of hash."""
+    return F.unhex(F.md5(F.col(words)))
+
+
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         owner, begins, ends = [], [], []
-        for i, (start, marks) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3), strict=True)):
-            on = np.frombuffer(marks.as_buffer(), np.uint8)
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], on, [0]])))
-            for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
-                owner.append(i)
-                begins.append(start + a)
-                ends.append(start + b + WINDOW - 1)
+        for i, (start, marks, whole) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)):
+            found = [(s["begin"], s["end"]) for s in whole or ()]
+            if marks is not None:
+                edges = np.flatnonzero(np.diff(np.concatenate([[0], np.frombuffer(marks, np.uint8), [0]])))
+                found += [(start + a, start + b + WINDOW - 1) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)]
+            owner += [i] * len(found)
+            begins += [x[0] for x in found]
+            ends += [x[1] for x in found]
         at = pa.array(owner, pa.int64())
         yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(begins, pa.int64()), pa.array(ends, pa.int64())], names=["id", "h", "begin", "end"])
 
