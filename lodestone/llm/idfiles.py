@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 from lodestone.llm import idcoder
 from lodestone.llm.shared import stored
 
-BLOCK = 1 << 21
-CACHE = 1_000_000
+BLOCK = 1 << 19
+CACHE = 250_000
 #: Characters of text that are encoded together.
-BATCH = 1 << 22
+BATCH = 1 << 20
 _CUT = re.compile(r"(?<=\S)(?=\s)")
 _FILE = "file int, first bigint, n bigint, doc_ids array<bigint>, ends array<bigint>, block binary"
 
@@ -74,8 +74,10 @@ class Encoder:
             self.known.clear()
         known = self.known
         new = list({piece for parts in split for piece in parts if piece not in known})
-        for piece, coded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[piece] = np.array(coded.ids, "<u4").tobytes()
+        for at in range(0, len(new), 4096):
+            some = new[at : at + 4096]
+            for piece, coded in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                known[piece] = np.array(coded.ids, "<u4").tobytes()
         return [b"".join(map(known.__getitem__, parts)) for parts in split]
 
 
