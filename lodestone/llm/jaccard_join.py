@@ -49,10 +49,10 @@ PERCENT = 90
 #: Words whose frequency the pivots' order takes into account.
 FREQUENT = 65_536
 #: Regions of at most so many sets compare all pairs from different components.
-SMALL = 48
-ROUNDS = 6
-#: The first round looks at the cells of this many pivots of each set only; it joins most near copies.
-FIRST = 2
+SMALL = 128
+ROUNDS = 2
+#: The first round compares sets with the least set of the cells of this many pivots of each; it joins most near copies.
+FIRST = 4
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -206,19 +206,19 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, name) of all nodes of the links (a, b): the same name in a component."""
     edges = checkpoint(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct())
-    names = checkpoint(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().withColumn("name", F.col("node")))
+    names = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().withColumn("name", F.col("node"))
     while edges.limit(1).count():
         both = edges.union(edges.select("b", "a"))
         least = checkpoint(both.groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("least")))
         left = edges.join(least, "a").select("b", F.col("least").alias("x"))
         moved = left.join(least.withColumnRenamed("a", "b"), "b").select("x", F.col("least").alias("y"))
         edges = checkpoint(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a < b").distinct())
-        names = checkpoint(names.join(least.withColumnRenamed("a", "name"), "name", "left").select("node", F.coalesce("least", "name").alias("name")))
-    return names
+        names = names.join(least.withColumnRenamed("a", "name"), "name", "left").select("node", F.coalesce("least", "name").alias("name"))
+    return checkpoint(names)
 
 
 class _Join:
-    """The state of the join: sets, pairs compared so far and the nodes' components."""
+    """The state of the join: sets and the nodes' components."""
 
     def __init__(self, texts: DataFrame, cells: DataFrame, shingle: int, percent: int) -> None:
         self.percent = percent
@@ -227,23 +227,16 @@ class _Join:
         nodes = self.cells.select("g").distinct()
         self.sets = _sets(texts, nodes, shingle)
         self.labels = checkpoint(nodes.select("g", F.col("g").alias("c")))
-        self.known: DataFrame | None = None
-        self.links: DataFrame | None = None
-
-    def compare(self, pairs: DataFrame) -> DataFrame | None:
-        """Measures the pairs (a < b) that are new; links those within the distance."""
-        pairs = pairs.distinct()
-        if self.known is not None:
-            pairs = pairs.join(self.known.select("a", "b"), ["a", "b"], "left_anti")
-        found = _compared(pairs, self.sets)
-        self.known = found if self.known is None else self.known.unionAll(found)
+
+    def compare(self, pairs: DataFrame) -> DataFrame:
+        """Measures the pairs (a < b) and joins the components of those within the distance."""
+        found = _compared(pairs.distinct(), self.sets)
         near = found.where(F.col("common") * 100 >= F.col("total") * self.percent).select("a", "b")
-        self.links = near if self.links is None else self.links.unionAll(near)
-        renamed = near
         for side in ("a", "b"):
-            renamed = renamed.join(self.labels.select(F.col("g").alias(side), F.col("c").alias(side + "_name")), side)
-        names = components(renamed.select(F.col("a_name").alias("a"), F.col("b_name").alias("b")))
+            near = near.join(self.labels.select(F.col("g").alias(side), F.col("c").alias(side + "_name")), side)
+        names = components(near.select(F.col("a_name").alias("a"), F.col("b_name").alias("b")))
         self.labels = checkpoint(self.labels.join(names.withColumnRenamed("node", "c"), "c", "left").select("g", F.coalesce("name", "c").alias("c")))
+        return found
 
     def open_regions(self, regions: DataFrame) -> DataFrame:
         """(s, g, n, c, pivot, size) of the regions whose sets are in several components."""
@@ -277,10 +270,12 @@ class _Join:
                 self.compare(within)
                 return
             large = found.where((F.col("size") > SMALL) & (F.col("g") != F.col("pivot")))
-            self.compare(within.unionAll(large.select(*self._pairs("g", "pivot"))))
+            measured = self.compare(within.unionAll(large.select(*self._pairs("g", "pivot"))))
+            if not large.limit(1).count():
+                return
             large = large.withColumns({"a": F.least("g", "pivot"), "b": F.greatest("g", "pivot")})
             shell = F.floor((F.col("total") - F.col("common")) * 100 / (max(1, 100 - self.percent) * F.col("total"))).cast("bigint")
-            dealt = large.join(self.known, ["a", "b"]).select("s", "pivot", "g", "n", F.explode(F.array(shell, shell + 1)).alias("shell"))
+            dealt = large.join(measured, ["a", "b"]).select("s", "pivot", "g", "n", F.explode(F.array(shell, shell + 1)).alias("shell"))
             regions = checkpoint(dealt.select(F.xxhash64("s", "pivot", "shell").alias("s"), "g", "n").distinct())
 
 
