@@ -15,12 +15,10 @@ rank below all others. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.shared import LOWER, UPPER, CellFilter, checkpoint, fresh
+from lodestone.llm.shared import LOWER, UPPER, CellFilter, asked, checkpoint, fresh
 
 #: Groups of at least 1/HEAVY of the candidate rows are joined by broadcast.
 HEAVY = 1000
@@ -31,22 +29,11 @@ def text_key(text_col: str):  # noqa: ANN201
     return F.unhex(F.sha2(F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, LOWER).cast("binary"), 256))
 
 
-def _maybe(seen: CellFilter, docs: DataFrame):  # noqa: ANN202
-    """A function from a column of hashes to the filter's answers."""
-    shared = docs.sparkSession.sparkContext.broadcast(seen)
-
-    @F.pandas_udf("boolean")
-    def maybe(h: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.maybe_repeated(h.to_numpy(np.int64)))
-
-    return maybe
-
-
 def _first_pass(docs: DataFrame, id_col: str, text_col: str):  # noqa: ANN202
     """The checkpointed (row, id, key, h) of docs and the filter's test."""
     hashed = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), text_key(text_col).alias("key"))
     rows = checkpoint(hashed.withColumn("h", F.xxhash64("key")))
-    return rows, _maybe(CellFilter.build(rows.select("h"), rows.count()), docs)
+    return rows, asked(docs.sparkSession, CellFilter.build(rows.select("h"), rows.count()))
 
 
 def _totals(found: DataFrame) -> tuple[DataFrame, int]:

@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -181,3 +182,14 @@ class CellFilter:
         hits = map_arrow(hashes, hit, "segment bigint, hits binary")
         merged = map_arrow(hits.repartition(max(1, min(64, cells // segment)), "segment"), merge, "segment bigint, bits binary")
         return cls(cells, {row.segment: bytes(row.bits) for row in merged.collect()})
+
+
+def asked(spark: SparkSession, seen: CellFilter):  # noqa: ANN201
+    """A function from a column of hashes to the filter's answers."""
+    shared = spark.sparkContext.broadcast(seen)
+
+    @F.pandas_udf("boolean")
+    def maybe(h: pd.Series) -> pd.Series:
+        return pd.Series(shared.value.maybe_repeated(h.to_numpy(np.int64)))
+
+    return maybe

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.shared import CellFilter, checkpoint, fresh, stored
+from lodestone.llm.shared import CellFilter, asked, checkpoint, fresh, stored
 
 WINDOW = 20
 MINIMISER = 5
@@ -266,12 +266,17 @@ def _gone(n: int, spans: list) -> np.ndarray:
 
 
 def _with_spans(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
-    """docs with the intervals to remove in a column of the returned name, null where there are none."""
-    key_id, key_h, spans, own = fresh(docs, "span_id", "span_h", "spans", "text_hash")
+    """docs with the intervals to remove in a column of the returned name, null where there are none.
+    Only rows that a cell filter can't tell from documents with intervals are shuffled."""
+    key_id, key_h, spans, own, name = fresh(docs, "span_id", "span_h", "spans", "text_hash", "span_name")
     found = repeats(docs, id_col, text_col).distinct().groupBy(F.col("id").alias(key_id), F.col("h").alias(key_h)).agg(F.collect_list(F.struct("begin", "end")).alias(spans))
-    hashed = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    joined = hashed.join(found, F.col(id_col).cast("bigint").eqNullSafe(F.col(key_id)) & (F.col(own) == F.col(key_h)), "left")
-    return joined.drop(key_id, key_h, own), spans
+    found = stored(found)
+    names = found.select(F.xxhash64(key_id, key_h).alias("name"))
+    maybe = asked(docs.sparkSession, CellFilter.build(names.unionAll(names), found.count()))  # added twice, so that they pass
+    hashed = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))).withColumn(name, F.xxhash64(F.col(id_col).cast("bigint"), F.col(own)))
+    joined = hashed.where(maybe(name)).join(found, F.col(id_col).cast("bigint").eqNullSafe(F.col(key_id)) & (F.col(own) == F.col(key_h)), "left").drop(key_id, key_h)
+    rest = hashed.where(~maybe(name)).withColumn(spans, F.lit(None).cast(found.schema[spans].dataType))
+    return joined.unionByName(rest).drop(own, name), spans
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
