@@ -87,6 +87,8 @@ def test_sources(spark, tmp_path):
     with pytest.raises(Exception, match="unknown schema version"):
         files.read_snapshot(spark, str(tmp_path / "v")).collect()
     assert files.write_chunks(df, str(tmp_path / "c")) == 2
+    new = df.where("document_id = 'b'").withColumn("title", F.lit("new"))
+    assert {(r.document_id, r.title) for r in files.replace_documents(df, new, "document_id").collect()} == {("a", "t"), ("b", "new")}
 
 
 def test_delta_stream_equals_fold(spark, tmp_path):
