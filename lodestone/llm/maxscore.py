@@ -13,7 +13,8 @@ Queries travel in blocks of about BLOCK, each to every shard; a block and a shar
 shuffle by their pair, so nothing that grows is broadcast or collected. Vectors that are null or
 hold null or non-finite components take no part; shorter vectors count as padded with zeros. Rows
 that share an id are rows of their own: a query excludes only its own row. Equal scores rank the
-smaller id first, null ids last. Null ids are no queries. Scores beyond 64 bits raise.
+smaller id first, null ids last. Null ids are no queries. Components beyond 64 bits and scores that may reach
+2^53 raise an error.
 """
 
 from __future__ import annotations
