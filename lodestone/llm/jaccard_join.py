@@ -23,6 +23,9 @@ component need no further pairs; regions of at most SMALL sets, and what is left
 rounds, compare every pair from different components. So a group of many near copies costs about
 as many comparisons as it has members, and every link between components is found.
 
+Before sets are compared, sketches (counts of shingles by class of their hash) bound what two sets share; pairs that
+the bound rules out need no comparison, and only sets of other pairs are read and shuffled.
+
 Components contract along links to the smallest neighbour until no edge is left; ids are hashes, so
 the expected number of rounds grows with the logarithm.
 
@@ -42,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.shared import CellFilter, checkpoint, fresh, join_totals, stored
+from lodestone.llm.shared import CellFilter, asked, checkpoint, fresh, join_totals, stored
 
 SHINGLE = 3
 PERCENT = 90
@@ -53,6 +56,8 @@ SMALL = 128
 ROUNDS = 2
 #: The first round compares sets with the least set of the cells of this many pivots of each; it joins most near copies.
 FIRST = 4
+#: Counters of a set's sketch; a byte each.
+SKETCH = 128
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -93,6 +98,11 @@ def shingles(words: list[bytes], hashes: dict[bytes, int], shingle: int, rank: n
     return out, total[first]
 
 
+def sketch(shingle_set: np.ndarray) -> bytes:
+    """How many of a set's hashes fall in each of SKETCH classes, 255 at most."""
+    return np.minimum(np.bincount((shingle_set % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH), 255).astype(np.uint8).tobytes()
+
+
 def node_of(shingle_set: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(shingle_set.tobytes())).astype(np.int64))
 
@@ -123,7 +133,7 @@ def _frequencies(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _nodes(rows: DataFrame, rank: np.ndarray, weights: np.ndarray, shingle: int, percent: int) -> DataFrame:
-    """(id, row, g, n, window): each row's node, set size and first pivots."""
+    """(id, row, g, n, window, sketch): each row's node, set size, first pivots and sketch."""
     shared = rows.sparkSession.sparkContext.broadcast((rank, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,17 +141,18 @@ def _nodes(rows: DataFrame, rank: np.ndarray, weights: np.ndarray, shingle: int,
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                nodes, sizes, windows = [], [], []
+                nodes, sizes, windows, sketches = [], [], [], []
                 for text in part.column(2):
                     own, classes = shingles(split(text.as_py()), hashes, shingle, rank, weights)
                     n = len(own)
                     nodes.append(node_of(own))
                     sizes.append(n)
+                    sketches.append(sketch(own))
                     most = n - -(-percent * n // 100) + 1 if n else 0
                     windows.append(own[np.lexsort((own, classes))[:most]].view(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(windows, pa.list_(pa.int64()))], names=["id", "row", "g", "n", "window"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(windows, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], names=["id", "row", "g", "n", "window", "sketch"])
 
-    return rows.mapInArrow(run, "id bigint, row bigint, g bigint, n bigint, window array<bigint>")
+    return rows.mapInArrow(run, "id bigint, row bigint, g bigint, n bigint, window array<bigint>, sketch binary")
 
 
 def _cells(nodes: DataFrame, seen: CellFilter) -> DataFrame:
@@ -163,24 +174,38 @@ def _cells(nodes: DataFrame, seen: CellFilter) -> DataFrame:
 
 
 def _sets(texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(g, items binary): the sets of the wanted nodes."""
-    wanted = checkpoint(wanted)
-    seen = CellFilter.build(wanted.unionAll(wanted), wanted.count())  # added twice, so that it passes
-    shared = texts.sparkSession.sparkContext.broadcast(seen)
+    """(g, items binary): the sets of the wanted nodes (row, g), each from its one row of (row, text). The cell
+    filter may let others pass, which then meet no pair or repeat one."""
+    names = wanted.select(F.xxhash64("row").alias("h"))
+    seen = CellFilter.build(names.unionAll(names), wanted.count())  # added twice, so that they pass
+    maybe = asked(texts.sparkSession, seen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                nodes, items = [], []
-                for text in batch.column(0).slice(at, 512):
-                    own, _ = shingles(split(text.as_py()), hashes, shingle)
-                    nodes.append(node_of(own))
-                    items.append(own)
-                keep = np.flatnonzero(shared.value.maybe_repeated(np.array(nodes, np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array([nodes[i] for i in keep], pa.int64()), pa.array([items[i].tobytes() for i in keep], pa.binary())], names=["g", "items"])
+                sets = [shingles(split(text.as_py()), hashes, shingle)[0] for text in batch.column(0).slice(at, 512)]
+                yield pa.RecordBatch.from_arrays([pa.array([node_of(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["g", "items"])
+
+    return stored(texts.where(maybe(F.xxhash64("row"))).select("text").mapInArrow(run, "g bigint, items binary"), "none")
 
-    return stored(texts.mapInArrow(run, "g bigint, items binary").join(wanted, "g", "left_semi").groupBy("g").agg(F.first("items").alias("items")), "none")
+
+def _may_link(percent: int):  # noqa: ANN202
+    """Drops pairs (a, b, n_a, n_b, sketch_a, sketch_b, whole) whose sketches rule a link out: sets share at most the
+    sum of the lesser counters. Pairs marked ``whole`` stay."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.stack([np.frombuffer(v.as_buffer(), np.uint8) for v in batch.column(i)]).astype(np.int64) for i in (4, 5))
+            total = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            most = np.minimum(x, y).sum(axis=1)
+            most = np.where(((x == 255) & (y == 255)).any(axis=1), total, most)
+            keep = (100 * most >= percent * (total - most)) | batch.column(6).to_numpy(zero_copy_only=False)
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    return run
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,7 +225,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     right = pairs.join(sets.select(F.col("g").alias("b"), F.col("items").alias("right")), "b")
     both = right.join(sets.select(F.col("g").alias("a"), F.col("items").alias("left")), "a")
-    return checkpoint(both.select("a", "b", "left", "right").mapInArrow(_measure, "a bigint, b bigint, common bigint, total bigint"))
+    return checkpoint(both.select("a", "b", "left", "right").mapInArrow(_measure, "a bigint, b bigint, common bigint, total bigint").distinct())
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -220,17 +245,23 @@ def components(links: DataFrame) -> DataFrame:
 class _Join:
     """The state of the join: sets and the nodes' components."""
 
-    def __init__(self, texts: DataFrame, cells: DataFrame, shingle: int, percent: int) -> None:
-        self.percent = percent
+    def __init__(self, texts: DataFrame, facts: DataFrame, cells: DataFrame, shingle: int, percent: int) -> None:
+        self.percent, self.shingle, self.texts = percent, shingle, texts
         shared = cells.groupBy("s").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("s")
         self.cells = checkpoint(cells.join(shared, "s", "left_semi"))
         nodes = self.cells.select("g").distinct()
-        self.sets = _sets(texts, nodes, shingle)
+        self.facts = checkpoint(facts.join(nodes, "g", "left_semi"))
         self.labels = checkpoint(nodes.select("g", F.col("g").alias("c")))
 
     def compare(self, pairs: DataFrame) -> DataFrame:
-        """Measures the pairs (a < b) and joins the components of those within the distance."""
-        found = _compared(pairs.distinct(), self.sets)
+        """Measures the pairs (a < b, whole) that sketches don't rule out, and all marked whole; joins the components of
+        those within the distance."""
+        pairs = pairs.groupBy("a", "b").agg(F.bool_or("whole").alias("whole"))
+        for side in ("a", "b"):
+            pairs = pairs.join(self.facts.select(F.col("g").alias(side), F.col("n").alias("n_" + side), F.col("sketch").alias("sketch_" + side)), side)
+        pairs = checkpoint(pairs.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b", "whole").mapInArrow(_may_link(self.percent), "a bigint, b bigint"))
+        ends = pairs.select(F.col("a").alias("g")).union(pairs.select("b")).distinct()
+        found = _compared(pairs, _sets(self.texts, checkpoint(self.facts.join(ends, "g", "left_semi").select("row", "g")), self.shingle))
         near = found.where(F.col("common") * 100 >= F.col("total") * self.percent).select("a", "b")
         for side in ("a", "b"):
             near = near.join(self.labels.select(F.col("g").alias(side), F.col("c").alias(side + "_name")), side)
@@ -251,8 +282,8 @@ class _Join:
         return (F.col(n) * 100 >= F.col(m) * self.percent) & (F.col(m) * 100 >= F.col(n) * self.percent)
 
     @staticmethod
-    def _pairs(x: str, y: str) -> list:
-        return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+    def _pairs(x: str, y: str, whole: bool = False) -> list:
+        return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b"), F.lit(whole).alias("whole")]
 
     def run(self) -> None:
         first = self.cells.where(F.col("pos") < FIRST).select("s", "g", "n")
@@ -265,12 +296,12 @@ class _Join:
                 return
             small = found if turn == ROUNDS else found.where(F.col("size") <= SMALL)
             other = small.select("s", F.col("g").alias("g2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
-            within = small.join(other, "s").where((F.col("g") < F.col("g2")) & (F.col("c") != F.col("c2")) & self._fits("n", "n2")).select(F.col("g").alias("a"), F.col("g2").alias("b"))
+            within = small.join(other, "s").where((F.col("g") < F.col("g2")) & (F.col("c") != F.col("c2")) & self._fits("n", "n2")).select(*self._pairs("g", "g2"))
             if turn == ROUNDS:
                 self.compare(within)
                 return
             large = found.where((F.col("size") > SMALL) & (F.col("g") != F.col("pivot")))
-            measured = self.compare(within.unionAll(large.select(*self._pairs("g", "pivot"))))
+            measured = self.compare(within.unionAll(large.select(*self._pairs("g", "pivot", whole=True))))
             if not large.limit(1).count():
                 return
             large = large.withColumns({"a": F.least("g", "pivot"), "b": F.greatest("g", "pivot")})
@@ -285,11 +316,11 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
     rank, weights = _frequencies(docs.select(text))
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.monotonically_increasing_id().alias("row"), text)
     nodes = stored(_nodes(rows, rank, weights, shingle, percent), "none")
-    distinct = nodes.where("n > 0").groupBy("g", "n").agg(F.first("window").alias("window"))
-    distinct = stored(distinct, "none")
+    one = F.min_by(F.struct("row", "window", "sketch"), "row").alias("one")
+    distinct = stored(nodes.where("n > 0").groupBy("g", "n").agg(one).select("g", "n", "one.*"), "none")
     items = distinct.agg(F.sum(F.size("window"))).first()[0] or 0
     seen = CellFilter.build(distinct.select(F.explode("window").alias("s")), items)
-    join = _Join(docs.select(text), _cells(distinct, seen), shingle, percent)
+    join = _Join(rows.select("text", "row"), distinct.select("g", "n", "row", "sketch"), _cells(distinct, seen), shingle, percent)
     join.run()
     labelled = nodes.select("row", "id", "n", "g").join(join.labels, "g", "left")
     # a set without shingles links with nothing: its rows are components of their own
