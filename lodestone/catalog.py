@@ -386,7 +386,7 @@ def t3_t4_u5_delta_fold(spark, sf_dir):  # noqa: ANN001, ANN201
 
 
 def _syncs(spark, sf_dir):  # noqa: ANN001, ANN202
-    e = table(spark, sf_dir, "events").where("event_id < 500 AND event_id % 97 <> 5")
+    e = table(spark, sf_dir, "events").where("event_id % 97 <> 5")
     return e.select((F.col("event_id") + 1).alias("sequence"), F.col("event_id").cast("string").alias("sync_id"), F.when(F.col("event_id") > 0, (F.col("event_id") - 1).cast("string")).alias("previous_sync_id"), F.when(F.col("event_id") % 50 == 7, -1).otherwise(F.col("event_id")).alias("from_version"), (F.col("event_id") + 1).alias("target_version"))
 
 
@@ -518,7 +518,7 @@ def j11_latest_event(spark, sf_dir):  # noqa: ANN001, ANN201
 def g1_collection_paths(spark, sf_dir):  # noqa: ANN001, ANN201
     key = F.col("p_partkey")
     parent = F.when(key % 50 == 0, F.lit(None)).when(key % 50 == 49, F.lit(-1)).otherwise(key - 1)
-    nodes = table(spark, sf_dir, "part").where(key < 200).select(key.cast("string").alias("key"), F.when(key % 11 == 0, "").otherwise(F.col("p_name")).alias("name"), parent.cast("string").alias("parent_key"))
+    nodes = table(spark, sf_dir, "part").select(key.cast("string").alias("key"), F.when(key % 11 == 0, "").otherwise(F.col("p_name")).alias("name"), parent.cast("string").alias("parent_key"))
     return graph.collection_paths(nodes)
 
 

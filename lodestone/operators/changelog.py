@@ -100,15 +100,23 @@ def folded(deltas: DataFrame, key: str, sequence: str, operation: str) -> DataFr
 
 
 def chain_faults(catalog: DataFrame) -> DataFrame:
-    """(sequence, fault) of a delta catalogue: gaps, wrong predecessors, version gaps. One row a sync, so one window."""
-    by = Window.orderBy("sequence")
-    before = lambda c: F.lag(c).over(by)
+    """(sequence, fault) of a delta catalogue: gaps, wrong predecessors, version gaps.
+
+    A row whose predecessor isn't the sequence before its own is a gap, so the others meet theirs by an equi-join and no
+    window spans the catalogue. Of rows that share a sequence, the first by sync_id follows the sequence before; the rest are gaps.
+    """
+    first = F.row_number().over(Window.partitionBy("sequence").orderBy("sync_id")) == 1
+    last = catalog.groupBy((F.col("sequence") + 1).alias("sequence")).agg(F.max(F.struct("sync_id", "target_version")).alias("before"))
+    start = F.broadcast(catalog.agg(F.min("sequence").alias("start")))  # one row
+    rows = catalog.withColumn("first", first).join(last, "sequence", "left").join(start, F.lit(True))
+    before = F.col("before")
+    follows = F.col("first") & (before.isNotNull() | ((F.col("sequence") == 1) & (F.col("start") == 1)))
     fault = (
-        F.when(F.col("sequence") != F.coalesce(before("sequence"), F.lit(0)) + 1, "sequence_gap")
-        .when(~F.col("previous_sync_id").eqNullSafe(before("sync_id")), "wrong_predecessor")
-        .when(before("target_version").isNotNull() & (F.col("from_version") != before("target_version")), "version_gap")
+        F.when(~follows, "sequence_gap")
+        .when(~F.col("previous_sync_id").eqNullSafe(before["sync_id"]), "wrong_predecessor")
+        .when(F.col("from_version") != before["target_version"], "version_gap")
     )
-    return catalog.select("sequence", fault.alias("fault")).where("fault IS NOT NULL")
+    return rows.select("sequence", fault.alias("fault")).where("fault IS NOT NULL")
 
 
 def contiguous(chunks: DataFrame, key: str, index: str) -> DataFrame:
