@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.functions import vector
-
 K1, B, RRF = 1.2, 0.75, 60
+#: Queries of a dense search that are sent together, and points that they are compared with at a time.
+BLOCK, CHUNK = 2048, 1024
 
 
 def matches(equal: dict[str, object] | None = None, any_of: dict[str, object] | None = None, within: dict[str, list] | None = None, ranges: dict[str, tuple] | None = None) -> Column:
@@ -29,9 +33,53 @@ def ranked(df: DataFrame, k: int, by: list[str], *order: Column) -> DataFrame:
 
 
 def dense(queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
-    """(query_id, point_id, score, rank) by cosine. queries are a stated, bounded set: (query_id, query)."""
-    pairs = points.join(F.broadcast(queries), F.lit(True))
-    return ranked(pairs.select("query_id", "point_id", vector.cosine(F.col("query"), F.col("vec")).alias("score")), k, ["query_id"], F.round("score", 9).desc(), F.col("point_id"))
+    """(query_id, point_id, score, rank) by cosine; scores are compared at nine decimals. queries: (query_id, query), of any
+    number; points: (point_id, vec). Null vectors count as zeros."""
+    blocks = max(1, -(-queries.count() // BLOCK))
+    numbered = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
+    found = [_nearest(numbered.where(F.col("block") == i), points, k) for i in range(blocks)]
+    return ranked(reduce(DataFrame.unionAll, found), k, ["query_id"], F.col("place").desc(), F.col("point_id")).drop("place")
+
+
+def _matrix(column: pa.Array, dims: int) -> np.ndarray:
+    """The vectors as rows."""
+    valid = column.is_valid().to_numpy(zero_copy_only=False)
+    out = np.zeros((len(column), dims))
+    if set(pc.list_value_length(column.drop_null()).to_pylist()) - {dims}:
+        raise ValueError(f"a vector does not have {dims} components")
+    out[valid] = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+    return out
+
+
+def _unit(matrix: np.ndarray) -> np.ndarray:
+    length = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
+    return np.divide(matrix, length, out=np.zeros_like(matrix), where=length != 0)
+
+
+def _nearest(queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
+    """(query_id, point_id, score, place): for one block of queries, the k best of every CHUNK points of a partition."""
+    kinds = [df.schema[c].dataType.simpleString() for df, c in ((queries, "query_id"), (points, "point_id"))]
+    rows = queries.select("query_id", "query").toArrow().combine_chunks()
+    names = rows.column(0).combine_chunks()
+    vectors = rows.column(1).combine_chunks()
+    dims = max(pc.list_value_length(vectors).drop_null().to_pylist(), default=0)
+    shared = queries.sparkSession.sparkContext.broadcast((names, _unit(_matrix(vectors, dims))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, wanted = shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows if len(names) else 0, CHUNK):
+                part = batch.slice(at, CHUNK)
+                part = part.take(pc.array_sort_indices(part.column(0), null_placement="at_start"))
+                scores = np.fmax(-1.0, np.fmin(1.0, wanted @ _unit(_matrix(part.column(1), dims)).T))
+                place = np.rint(scores * 1e9).astype(np.int64)
+                least = np.partition(place, max(0, len(part) - k), axis=1)[:, max(0, len(part) - k)][:, None]
+                keep, ties = place > least, place == least
+                keep |= ties & (ties.cumsum(axis=1) <= k - keep.sum(axis=1, keepdims=True))
+                query, point = np.nonzero(keep)
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(query)), part.column(0).take(pa.array(point)), pa.array(scores[keep]), pa.array(place[keep])], names=["query_id", "point_id", "score", "place"])
+
+    return points.select("point_id", "vec").mapInArrow(run, f"query_id {kinds[0]}, point_id {kinds[1]}, score double, place bigint")
 
 
 def postings(docs: DataFrame, tokens: Column) -> DataFrame:

@@ -5,9 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone import catalog
-from lodestone.operators import changelog
+from lodestone.operators import changelog, retrieval
 
+SEARCHES = ["k1_v2_dense_top_k", "k3_a3_hybrid_search", "a6_k7_feedback_rerank", "k5_k6_evidence_order", "a8_a9_w2_ranking_metrics"]
 CUTS = {"s4_w1_chain_faults": [("event_id < 500 AND ", "")], "g1_collection_paths": [(" WHERE p_partkey < 200", "")]}
+CUTS |= {name: [("vec_id < 8", "vec_id % 100 = 0")] for name in SEARCHES}
+# every dense query has the terms of a sparse one
+CUTS["k3_a3_hybrid_search"] += [("SELECT query_id, point_id, rank FROM sparse", "SELECT vec_id, point_id, rank FROM sparse JOIN embeddings ON vec_id % 100 = 0 AND query_id = 1 + vec_id // 100 % 4")]
 
 
 def plain(value):
@@ -50,3 +54,24 @@ def test_chain_faults_by_brute_force(spark, shift):
         before = r
     df = spark.createDataFrame(syncs, "sequence long, sync_id string, previous_sync_id string, from_version long, target_version long").repartition(5)
     assert sorted((r.sequence, r.fault) for r in changelog.chain_faults(df).collect()) == want
+
+
+def test_dense_by_brute_force_in_blocks(spark, monkeypatch):
+    """Blocks and chunks smaller than the data, ties of many copies, a zero and a null vector."""
+    monkeypatch.setattr(retrieval, "BLOCK", 3)
+    import random
+
+    rng = random.Random(5)
+    vecs = [(i, [1.0, 2.0, 2.0] if i % 3 == 0 else [0.0] * 3 if i == 7 else None if i == 8 else [rng.gauss(0, 1) for _ in range(3)]) for i in range(2500)]
+    points = spark.createDataFrame(vecs, "point_id long, vec array<float>").repartition(2)
+    got = retrieval.dense(points.where("point_id % 250 = 0").selectExpr("point_id AS query_id", "vec AS query"), points, 4)
+
+    import numpy as np
+
+    own = np.array([v or [0.0] * 3 for _, v in vecs], np.float32).astype(float)
+    norms = np.sqrt((own**2).sum(axis=1))
+    want = set()
+    for q in range(0, 2500, 250):
+        scores = [round(float(own[q] @ own[i] / (norms[q] * norms[i])), 9) if norms[i] else 0.0 for i in range(2500)]
+        want |= {(q, i, r) for r, i in enumerate(sorted(range(2500), key=lambda i: (-scores[i], i))[:4], 1)}
+    assert {(r.query_id, r.point_id, r["rank"]) for r in got.collect()} == want
