@@ -537,14 +537,8 @@ def v1_truncate(spark, sf_dir):  # noqa: ANN001, ANN201
           ds AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) AS s FROM d)
           SELECT item_id, doc_id, count(*) AS shared, round(count(*) / n, 6) AS overlap, CASE WHEN count(*) / n >= 0.5 THEN 'high' WHEN count(*) / n >= 0.2 THEN 'match' ELSE 'low' END AS risk FROM bs JOIN ds USING (s) GROUP BY item_id, doc_id, n""")
 def j13_v3_v6_contamination(spark, sf_dir):  # noqa: ANN001, ANN201
-    own = lambda name, key: table(spark, sf_dir, name).select(key, _tokens("text").alias("t")).select(key, vector.shingles(F.col("t"), 5).alias("s"))
-    items = own("benchmark", "item_id")
-    # an outer explode, since a filter inferred from an inner one would repeat the whole expression below
-    items = items.select("item_id", F.size("s").alias("n"), F.explode_outer("s").alias("s")).where("s IS NOT NULL")
-    docs = own("documents", "doc_id").select("doc_id", F.explode_outer("s").alias("s")).where("s IS NOT NULL")
-    found = docs.join(items, "s").groupBy("item_id", "doc_id", "n").agg(F.count(F.lit(1)).alias("shared"))
-    ratio = F.col("shared") / F.col("n")
-    return found.select("item_id", "doc_id", "shared", F.round(ratio, 6).alias("overlap"), vector.risk_level(F.lit(False), F.lit(0), ratio, F.lit(0.0)).alias("risk"))
+    found = provenance.similarity(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), _tokens)
+    return found.select("item_id", "doc_id", "shared", F.round("overlap", 6).alias("overlap"), "risk")
 
 
 @query("SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 60 SECOND PRECEDING AND CURRENT ROW) <= 2 AS allowed FROM events")

@@ -32,12 +32,17 @@ def truncated(x: Column, dims: int) -> Column:
     return F.when(good, F.transform(head, lambda a: a / length))
 
 
-def shingles(tokens: Column, n: int) -> Column:
-    """The distinct runs of n tokens, joined by blanks; none for fewer tokens. tokens should be a plain
+def runs(tokens: Column, n: int) -> Column:
+    """The runs of n tokens in order, joined by blanks; none for fewer tokens. tokens should be a plain
     column, since the expression repeats it for each run."""
     size = F.size(tokens)
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(size - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(tokens, i, F.lit(n)), " "))
-    return F.when(size >= n, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+    out = F.transform(F.sequence(F.lit(1), F.greatest(size - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(tokens, i, F.lit(n)), " "))
+    return F.when(size >= n, out).otherwise(F.array().cast("array<string>"))
+
+
+def shingles(tokens: Column, n: int) -> Column:
+    """The distinct runs of n tokens."""
+    return F.array_distinct(runs(tokens, n))
 
 
 def overlap(candidate: Column, source: Column) -> Column:

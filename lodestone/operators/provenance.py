@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.functions import vector
+
 
 def clipped(ranges: DataFrame, segments: DataFrame, key: str) -> DataFrame:
     """The parts of ranges (key, range_id, begin, end) that lie in segments (key, segment_id, s_begin, s_end, source_begin)."""
@@ -40,3 +44,30 @@ def eligible(records: DataFrame, key: str, refs: str, accepted: DataFrame) -> Da
 
 def orphans(children: DataFrame, parents: DataFrame, child: str, parent: str) -> DataFrame:
     return children.join(parents.select(F.col(parent).alias(child)), child, "left_anti")
+
+
+def similarity(items: DataFrame, docs: DataFrame, tokens: Callable[[str], Column], n: int = 5) -> DataFrame:
+    """(item_id, doc_id, shared, overlap, run, exact, risk) of the pairs that share n words in a row or whose document holds
+    the item exactly. Both: (id, text). run is the longest common run of words, 0 below n words.
+
+    A common run lies on one diagonal of the common n-grams' positions. Exact substrings are sought for items of fewer than
+    14 words only: longer ones have 12 words in a row in common, for at most the first and the last are cut, and so the same risk.
+    """
+    words = items.select("item_id", F.lower(F.regexp_replace("text", r"(?U)^\s+|\s+$", "")).alias("own"), tokens("text").alias("t"))
+    own = words.select("item_id", vector.runs(F.col("t"), n).alias("r"))
+    # outer explodes, since a filter inferred from inner ones would repeat the whole expressions below
+    own = own.select("item_id", F.size(F.array_distinct("r")).alias("n"), "r", F.posexplode_outer("r").alias("i", "s")).where("s IS NOT NULL")
+    own = own.select("item_id", "n", "i", "s", F.array_position("r", F.col("s")).alias("gram"))
+    seen = docs.select("doc_id", tokens("text").alias("t")).select("doc_id", F.posexplode_outer(vector.runs(F.col("t"), n)).alias("j", "s")).where("s IS NOT NULL")
+    common = seen.join(own, "s").select("item_id", "doc_id", "n", "gram", "i", (F.col("j") - F.col("i")).alias("d"), F.lit(False).alias("exact"))
+    short = words.where(F.size("t") < 14).select("item_id", "own")
+    held = docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("text")).join(F.broadcast(short), F.contains("text", "own"))
+    none = [F.lit(None).cast(kind).alias(c) for c, kind in (("n", "int"), ("gram", "bigint"), ("i", "int"), ("d", "int"))]
+    rows = common.unionByName(held.select("item_id", "doc_id", *none, F.lit(True).alias("exact")))
+    place = F.row_number().over(Window.partitionBy("item_id", "doc_id").orderBy("d", "i"))
+    islands = rows.withColumn("island", F.col("i") - place).groupBy("item_id", "doc_id", "d", "island")
+    islands = islands.agg(F.count("i").alias("length"), F.collect_set("gram").alias("grams"), F.max("n").alias("n"), F.bool_or("exact").alias("exact"))
+    grams = F.size(F.array_distinct(F.flatten(F.collect_list("grams")))).cast("bigint")
+    pairs = islands.groupBy("item_id", "doc_id").agg(F.max("length").alias("length"), grams.alias("shared"), F.max("n").alias("n"), F.bool_or("exact").alias("exact"))
+    run, ratio = F.when(F.col("length") > 0, F.col("length") + n - 1).otherwise(0), F.coalesce(F.col("shared") / F.col("n"), F.lit(0.0))
+    return pairs.select("item_id", "doc_id", "shared", ratio.alias("overlap"), run.alias("run"), "exact", vector.risk_level(F.col("exact"), run, ratio, F.lit(0.0)).alias("risk"))

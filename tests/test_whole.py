@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone import catalog
-from lodestone.operators import changelog, retrieval
+from lodestone.operators import changelog, provenance, retrieval
 
 SEARCHES = ["k1_v2_dense_top_k", "k3_a3_hybrid_search", "a6_k7_feedback_rerank", "k5_k6_evidence_order", "a8_a9_w2_ranking_metrics"]
 CUTS = {"s4_w1_chain_faults": [("event_id < 500 AND ", "")], "g1_collection_paths": [(" WHERE p_partkey < 200", "")]}
@@ -75,3 +75,29 @@ def test_dense_by_brute_force_in_blocks(spark, monkeypatch):
         scores = [round(float(own[q] @ own[i] / (norms[q] * norms[i])), 9) if norms[i] else 0.0 for i in range(2500)]
         want |= {(q, i, r) for r, i in enumerate(sorted(range(2500), key=lambda i: (-scores[i], i))[:4], 1)}
     assert {(r.query_id, r.point_id, r["rank"]) for r in got.collect()} == want
+
+
+def test_similarity_by_brute_force(spark):
+    """Copied runs of 8, 11, 12 and 15 words, exact short items, cut first and last words, repeated words."""
+    item = [f"w{i}" for i in range(100)]
+    texts = {i: " ".join(item) for i in range(1)} | {1: "Tiny Item", 2: " one two three four five six ", 3: "a a a a a a b", 4: "q1 q2 q3 q4 q5 q6 q7 q8 q9 r1 r2 r3 r4", 5: "q1 q2 q3 q4 q5 q6 q7 q8 q9 r1 r2 r3 r4 r5"}
+    docs = {n: "x " + " ".join(item[30 : 30 + n]) + " y" for n in (4, 5, 7, 8, 11, 12, 15)}
+    docs |= {20: "a tiny item here", 21: "xone two three four five sixty", 22: "a " * 30 + "b", 23: "zq1 q2 q3 q4 q5 q6 q7 q8 q9 r1 r2 r3 r4", 24: "zq1 q2 q3 q4 q5 q6 q7 q8 q9 r1 r2 r3 r4 r55", 25: "", 26: " ".join(item[:8] + ["-"] + item[50:58])}
+
+    def grams(words):
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+    want = {}
+    for i, text in texts.items():
+        for d, doc in docs.items():
+            a, b = text.lower().replace("-", " ").split(), doc.lower().replace("-", " ").split()
+            run = max((k for x in range(len(a)) for y in range(len(b)) for k in range(len(a) - x + 1) if a[x : x + k] == b[y : y + k]), default=0)
+            shared, exact = len(grams(a) & grams(b)), text.strip().lower() in doc.lower()
+            ratio = shared / max(1, len(grams(a)))
+            if shared or exact:
+                want[i, d] = (shared, round(ratio, 6), "high" if exact or run >= 12 or ratio >= 0.5 else "match" if run >= 8 or ratio >= 0.2 else "low")
+    got = provenance.similarity(spark.createDataFrame(list(texts.items()), "item_id int, text string"), spark.createDataFrame(list(docs.items()), "doc_id int, text string"), catalog._tokens)
+    rows = got.collect()
+    assert {(r.item_id, r.doc_id): (r.shared, round(r.overlap, 6), r.risk) for r in rows} == want
+    assert {r.doc_id: r.run for r in rows if r.item_id == 0 and r.doc_id < 20} == {5: 5, 7: 7, 8: 8, 11: 11, 12: 12, 15: 15}
+    assert want[0, 8][2] == want[0, 11][2] == "match" and want[0, 12][2] == want[1, 20][2] == want[2, 21][2] == "high"
