@@ -15,10 +15,10 @@ rank below all others. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.shared import LOWER, UPPER, CellFilter, asked, checkpoint, fresh
+from lodestone.llm.shared import LOWER, UPPER, CellFilter, asked, checkpoint, fresh, stored
 
 #: Groups of at least 1/HEAVY of the candidate rows are joined by broadcast.
 HEAVY = 1000
@@ -29,9 +29,9 @@ def text_key(text_col: str):  # noqa: ANN201
     return F.unhex(F.sha2(F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, LOWER).cast("binary"), 256))
 
 
-def _first_pass(docs: DataFrame, id_col: str, text_col: str):  # noqa: ANN202
+def _first_pass(docs: DataFrame, id_col: str, text_col: str, row: Column | None = None):  # noqa: ANN202
     """The checkpointed (row, id, key, h) of docs and the filter's test."""
-    hashed = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), text_key(text_col).alias("key"))
+    hashed = docs.select((F.monotonically_increasing_id() if row is None else row).alias("row"), F.col(id_col).alias("id"), text_key(text_col).alias("key"))
     rows = checkpoint(hashed.withColumn("h", F.xxhash64("key")))
     return rows, asked(docs.sparkSession, CellFilter.build(rows.select("h"), rows.count()))
 
@@ -67,11 +67,12 @@ def assignments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with docs' columns. docs must scan in the same order each time, as tables of files do."""
-    rows, maybe = _first_pass(docs, id_col, text_col)
-    totals, heavy = _totals(rows.where(maybe("h")))
+    """The rows of docs that stay, with docs' columns."""
     position, own = fresh(docs, "row_position", "own_key")
-    keyed = docs.withColumns({position: F.monotonically_increasing_id(), own: text_key(text_col)})
+    numbered = stored(docs.withColumn(position, F.monotonically_increasing_id()))  # positions may differ from scan to scan
+    rows, maybe = _first_pass(numbered, id_col, text_col, F.col(position))
+    totals, heavy = _totals(rows.where(maybe("h")))
+    keyed = numbered.withColumn(own, text_key(text_col))
     test = maybe(F.xxhash64(own))
     names = {c: fresh(keyed, c)[0] for c in ("key", "keep_row", "keep_id", "group_size")}
     many = totals.withColumnsRenamed(names)

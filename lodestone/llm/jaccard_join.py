@@ -42,7 +42,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.shared import CellFilter, asked, checkpoint, fresh, join_totals, stored
@@ -133,7 +133,7 @@ def _frequencies(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _nodes(rows: DataFrame, rank: np.ndarray, weights: np.ndarray, shingle: int, percent: int) -> DataFrame:
-    """(id, row, g, n, window, sketch): each row's node, set size, first pivots and sketch."""
+    """(id, row, key, g, n, window, sketch): each row's node, set size, first pivots and sketch. rows: (id, row, key, text)."""
     shared = rows.sparkSession.sparkContext.broadcast((rank, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +142,7 @@ def _nodes(rows: DataFrame, rank: np.ndarray, weights: np.ndarray, shingle: int,
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 nodes, sizes, windows, sketches = [], [], [], []
-                for text in part.column(2):
+                for text in part.column(3):
                     own, classes = shingles(split(text.as_py()), hashes, shingle, rank, weights)
                     n = len(own)
                     nodes.append(node_of(own))
@@ -150,9 +150,9 @@ def _nodes(rows: DataFrame, rank: np.ndarray, weights: np.ndarray, shingle: int,
                     sketches.append(sketch(own))
                     most = n - -(-percent * n // 100) + 1 if n else 0
                     windows.append(own[np.lexsort((own, classes))[:most]].view(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(windows, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], names=["id", "row", "g", "n", "window", "sketch"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(windows, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], names=["id", "row", "key", "g", "n", "window", "sketch"])
 
-    return rows.mapInArrow(run, "id bigint, row bigint, g bigint, n bigint, window array<bigint>, sketch binary")
+    return rows.mapInArrow(run, "id bigint, row bigint, key bigint, g bigint, n bigint, window array<bigint>, sketch binary")
 
 
 def _cells(nodes: DataFrame, seen: CellFilter) -> DataFrame:
@@ -174,20 +174,22 @@ def _cells(nodes: DataFrame, seen: CellFilter) -> DataFrame:
 
 
 def _sets(texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(g, items binary): the sets of the wanted nodes (row, g), each from its one row of (row, text). The cell
-    filter may let others pass, which then meet no pair or repeat one."""
-    names = wanted.select(F.xxhash64("row").alias("h"))
+    """(g, items binary): the sets of the wanted nodes (key, g), each from its row of (key, text). The cell filter
+    may let others pass, which then meet no pair or repeat one, as repeated rows do; a task makes each set once."""
+    names = wanted.select(F.xxhash64("key").alias("h"))
     seen = CellFilter.build(names.unionAll(names), wanted.count())  # added twice, so that they pass
     maybe = asked(texts.sparkSession, seen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
+        hashes, made = _Hashes(), set()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                sets = [shingles(split(text.as_py()), hashes, shingle)[0] for text in batch.column(0).slice(at, 512)]
-                yield pa.RecordBatch.from_arrays([pa.array([node_of(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["g", "items"])
+                sets = {node_of(x): x for x in (shingles(split(text.as_py()), hashes, shingle)[0] for text in batch.column(0).slice(at, 512))}
+                sets = {g: x for g, x in sets.items() if g not in made}
+                made.update(sets)
+                yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.int64()), pa.array([x.tobytes() for x in sets.values()], pa.binary())], names=["g", "items"])
 
-    return stored(texts.where(maybe(F.xxhash64("row"))).select("text").mapInArrow(run, "g bigint, items binary"), "none")
+    return stored(texts.where(maybe(F.xxhash64("key"))).select("text").mapInArrow(run, "g bigint, items binary"), "none")
 
 
 def _may_link(percent: int):  # noqa: ANN202
@@ -261,7 +263,7 @@ class _Join:
             pairs = pairs.join(self.facts.select(F.col("g").alias(side), F.col("n").alias("n_" + side), F.col("sketch").alias("sketch_" + side)), side)
         pairs = checkpoint(pairs.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b", "whole").mapInArrow(_may_link(self.percent), "a bigint, b bigint"))
         ends = pairs.select(F.col("a").alias("g")).union(pairs.select("b")).distinct()
-        found = _compared(pairs, _sets(self.texts, checkpoint(self.facts.join(ends, "g", "left_semi").select("row", "g")), self.shingle))
+        found = _compared(pairs, _sets(self.texts, checkpoint(self.facts.join(ends, "g", "left_semi").select("key", "g")), self.shingle))
         near = found.where(F.col("common") * 100 >= F.col("total") * self.percent).select("a", "b")
         for side in ("a", "b"):
             near = near.join(self.labels.select(F.col("g").alias(side), F.col("c").alias(side + "_name")), side)
@@ -310,17 +312,19 @@ class _Join:
             regions = checkpoint(dealt.select(F.xxhash64("s", "pivot", "shell").alias("s"), "g", "n").distinct())
 
 
-def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
-    """(row, id, n, c): each row's set size and component's name."""
+def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, row: Column | None = None) -> DataFrame:
+    """(row, id, n, c): each row's set size and component's name. Positions may differ from scan to scan, so they come from one
+    scan only, or from the column ``row``; a set is found again by a hash of a row's id and text."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     rank, weights = _frequencies(docs.select(text))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.monotonically_increasing_id().alias("row"), text)
+    place = F.monotonically_increasing_id() if row is None else row
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), place.alias("row"), text).select("id", "row", F.xxhash64("id", "text").alias("key"), "text")
     nodes = stored(_nodes(rows, rank, weights, shingle, percent), "none")
-    one = F.min_by(F.struct("row", "window", "sketch"), "row").alias("one")
+    one = F.min_by(F.struct("key", "window", "sketch"), "row").alias("one")
     distinct = stored(nodes.where("n > 0").groupBy("g", "n").agg(one).select("g", "n", "one.*"), "none")
     items = distinct.agg(F.sum(F.size("window"))).first()[0] or 0
     seen = CellFilter.build(distinct.select(F.explode("window").alias("s")), items)
-    join = _Join(rows.select("text", "row"), distinct.select("g", "n", "row", "sketch"), _cells(distinct, seen), shingle, percent)
+    join = _Join(rows.select("text", "key"), distinct.select("g", "n", "key", "sketch"), _cells(distinct, seen), shingle, percent)
     join.run()
     labelled = nodes.select("row", "id", "n", "g").join(join.labels, "g", "left")
     # a set without shingles links with nothing: its rows are components of their own
@@ -341,9 +345,9 @@ def assignments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """docs' row of the least id of each component. docs must scan in the same order each time, as tables of files do."""
-    classes = _classes(docs, id_col, text_col, shingle, percent)
+    """docs' row of the least id of each component."""
     position, lost = fresh(docs, "row_position", "lost_position")
+    numbered = stored(docs.withColumn(position, F.monotonically_increasing_id()))
+    classes = _classes(numbered, id_col, text_col, shingle, percent, F.col(position))
     dropped = join_totals(classes, "c", _totals(classes), "size").where("row <> first_row").select(F.col("row").alias(lost))
-    numbered = docs.withColumn(position, F.monotonically_increasing_id())
     return numbered.join(dropped, F.col(position) == F.col(lost), "left_anti").drop(position)

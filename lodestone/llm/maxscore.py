@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.shared import checkpoint
+from lodestone.llm.shared import checkpoint, stored
 
 SCALE = 256
 SHARD = 16_384
@@ -178,7 +178,7 @@ def _search(pairs: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
 
 def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, scale: int = SCALE) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows for each row that is_query holds for (a column of ``id``)."""
-    rows = quantised(vectors, id_col, vector_col, scale)
+    rows = stored(quantised(vectors, id_col, vector_col, scale))  # positions may differ from scan to scan
     shards = checkpoint(rows.mapInArrow(_pack_shards, _PACKED).withColumn("shard", F.monotonically_increasing_id()))
     spread = max(1, shards.count())
     wanted = rows.where(is_query & F.col("id").isNotNull())

@@ -15,11 +15,11 @@ one source, ranked last. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from lodestone.llm.shared import broadcast_if_small, checkpoint, fresh
+from lodestone.llm.shared import broadcast_if_small, checkpoint, fresh, stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
 LIMIT = 3
@@ -53,15 +53,16 @@ def targets(base: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit: int =
         ranked = checkpoint(out.withColumn("full", over).drop("target"))
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, limit: int = LIMIT) -> DataFrame:
-    """(row, id, size, source_size, target, times): how often the mix takes each row; ``row`` is its position in the scan."""
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, limit: int = LIMIT, row: Column | None = None) -> DataFrame:
+    """(row, id, size, source_size, target, times): how often the mix takes each row; ``row`` is its position in the scan, or the column given."""
+    place = F.monotonically_increasing_id() if row is None else row
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
+        place.alias("row"),
         F.col(id_col).alias("id"),
         F.col(source_col).alias("source"),
         count_words(text).alias("size"),
-        F.concat(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("|"), text).cast("binary")), F.md5(F.monotonically_increasing_id().cast("string").cast("binary"))).alias("key"),
+        F.concat(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("|"), text).cast("binary")), F.md5(place.cast("string").cast("binary"))).alias("key"),
     )
     rows = checkpoint(rows)
     goal = targets(rows, weights, limit).withColumn("full", F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(limit))).otherwise(0).cast("bigint"))
@@ -104,9 +105,9 @@ def taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """docs' rows as the mix takes them, a row for each time. docs must scan in the same order each time, as tables of files do."""
+    """docs' rows as the mix takes them, a row for each time."""
     position, row, times, copy = fresh(docs, "row_position", "taken_row", "taken_times", "taken_copy")
-    found = repeats(docs, id_col, text_col, source_col).where("times > 0").select(F.col("row").alias(row), F.col("times").alias(times))
-    numbered = docs.withColumn(position, F.monotonically_increasing_id())
+    numbered = stored(docs.withColumn(position, F.monotonically_increasing_id()))  # positions may differ from scan to scan
+    found = repeats(numbered, id_col, text_col, source_col, row=F.col(position)).where("times > 0").select(F.col("row").alias(row), F.col("times").alias(times))
     joined = numbered.join(found, F.col(position) == F.col(row))
     return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).select(*docs.columns)
