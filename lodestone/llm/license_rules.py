@@ -222,7 +222,7 @@ bsd-4-clause | bsd | (original|old|four clause|4 clause) bsd license|bsd 4 claus
 0bsd | bsd | (zero clause|0) bsd license|bsd zero clause( license)?
 bsd | bsd | bsd style license|bsd license
 isc | isc license | (the )?isc license
-zlib | zlib license | (the )?zlib( libpng)? license
+zlib | zlib | (the )?zlib( libpng)? license
 mit | mit | (licensed|released|distributed|available) under( the terms of)? the mit license
 mit | expat | (mit )?expat license
 mit-0 | no attribution | mit no attribution
@@ -232,8 +232,8 @@ apache | apache | apache license
 cc-by | cc by | cc by
 proprietary | all rights reserved | all rights reserved
 proprietary | confidential | (proprietary and confidential|confidential and proprietary)( information)?
-proprietary | licensed to you | this software is licensed( and)? not sold
-eula | end user license | end user licen[cs]e agreement
+proprietary | not sold | this software is licensed( and)? not sold
+eula | end user licen | end user licen[cs]e agreement
 non-commercial | non commercial | for non commercial( use)? only|non commercial use only
 research-only | research purposes | for research purposes only
 """
