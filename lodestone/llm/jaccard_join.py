@@ -11,32 +11,33 @@ takes one-shingle sets as pivots, in one global order, rarest first by word freq
 distance to a pivot is below 1 exactly if it holds the shingle, and its cell is that of its first
 one. A neighbour within r misses at most floor(r * n) of a set's n shingles, so the first
 floor(r * n) + 1 pivots of a set, its window, include the cell of a shared pivot: the set is
-replicated there and no pair is lost. A saturating cell filter keeps pivots that one set alone
-holds from being shuffled at all.
-
-Within regions, the join recurses with documents as pivots, where sets are close and distances
-tell them apart. The region's pivot is the set that is least by id; exact distances to it deal the
-others into Voronoi shells of width r, and by the triangle inequality a pair within r lies in one
-shell or in neighbouring ones, so each set also enters the next shell. Shells are regions of the
-next round, without the pivot, whose pairs are settled. Regions whose sets already are in one
-component need no further pairs; regions of at most SMALL sets, and what is left after ROUNDS
-rounds, compare every pair from different components. So a group of many near copies costs about
-as many comparisons as it has members, and every link between components is found.
-
-Before sets are compared, sketches (counts of shingles by class of their hash) bound what two sets share; pairs that
-the bound rules out need no comparison, and only sets of other pairs are read and shuffled.
-
-Components contract along links to the smallest neighbour until no edge is left; ids are hashes, so
+replicated there and no pair is lost. Cells of one member vanish, cells of the same members are one region.
+
+Regions above SMALL sets or ITEMS shingles are dealt again, over the cluster, to Voronoi regions. Their pivots, PIVOTS at
+most, are points of the metric space that need not be documents: the majority sets of the clusters of a bounded sample
+of the region. (Any pivots give whole results; the sample only makes them good.) A set's home is the region of its nearest
+pivot, at distance d; by the triangle inequality a neighbour's home lies among the pivots within d + 2r, and the set is
+replicated there. Let |x ^ p| be the number of x's differences from its region's pivot p and f(x) = (100 + percent) |x ^ p| -
+(100 - percent) |x|. Sets x and y link if f(x) + f(y) <= 0, since |x ^ y| <= |x ^ p| + |y ^ p|; then each of them also links
+with the region's set b of the least f, and that is how they are joined. All other links join sets whose differences from p
+overlap. So each set is dealt on to the cells of its differences (of their window, as above), and cells of one set, of
+sets that link with b, or of the same sets as another cell vanish. All sets of a cell agree on its difference, which is none
+any more from the next pivots, so the recursion ends.
+
+Smaller regions are read by one task each, which goes on in memory: Voronoi regions of PIVOTS documents while they
+shrink, then one pivot at a time, until all sets that were no pivot are in one component. Only links between
+components leave a region, at most one less than its sets, never its pairs.
+
+Components contract along links to the smallest neighbour until no edge is left; names are hashes, so
 the expected number of rounds grows with the logarithm.
 
-Null texts have no words. Null ids never name a component unless all its ids are null. Repeated
-rows are one node. Sets are compared by 64-bit hashes of shingles, nodes by 64-bit hashes of sets.
-Only the two named columns are read.
+Defined cases: null texts have no words; texts of any length are read whole. Null ids never name a component unless
+all its ids are null. Repeated rows are one node. Nodes are named by 128-bit hashes of their sets, shingles by 64-bit ones.
+Only the two named columns are read, and clashing names of others do no harm. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,85 +46,72 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.shared import CellFilter, asked, checkpoint, fresh, join_totals, stored
+from lodestone.llm.shared import CellFilter, asked, broadcast_if_small, checkpoint, fresh, join_totals, released, stored
+from lodestone.llm.words import blocks, mixed, runs_of
 
 SHINGLE = 3
 PERCENT = 90
-#: Words whose frequency the pivots' order takes into account.
+#: Words whose frequency the pivots' order takes into account; other words count as rarer than all of them.
 FREQUENT = 65_536
-#: Regions of at most so many sets compare all pairs from different components.
-SMALL = 128
-ROUNDS = 2
-#: The first round compares sets with the least set of the cells of this many pivots of each; it joins most near copies.
-FIRST = 4
-#: Counters of a set's sketch; a byte each.
-SKETCH = 128
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-_A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-
-
-def split(text: str | None) -> list[bytes]:
-    return (text or "").encode().translate(_LOWER).split()
-
-
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        out = self[word] = xxhash.xxh3_64_intdigest(word)
-        return out
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(29))) * _B
-    return x ^ (x >> np.uint64(32))
-
-
-def shingles(words: list[bytes], hashes: dict[bytes, int], shingle: int, rank: np.ndarray | None = None, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-    """The distinct shingles' hashes, ascending, and their classes of frequency if words' ranks are given."""
-    if not words:
-        return np.zeros(0, np.uint64), None if rank is None else np.zeros(0, np.int64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    size = min(shingle, len(h))
-    out = np.full(len(h) - size + 1, np.uint64(size))
-    for i in range(size):
-        out = out * _A + h[i : len(out) + i]
-    out = _mixed(out)
-    if rank is None:
-        return np.unique(out), None
-    at = np.minimum(np.searchsorted(rank, h), len(rank) - 1) if len(rank) else None
-    own = np.where(rank[at] == h, weights[at], 0) if len(rank) else np.zeros(len(h), np.int64)
-    total = sum(own[i : len(out) + i] for i in range(size))
-    out, first = np.unique(out, return_index=True)
-    return out, total[first]
-
-
-def sketch(shingle_set: np.ndarray) -> bytes:
-    """How many of a set's hashes fall in each of SKETCH classes, 255 at most."""
-    return np.minimum(np.bincount((shingle_set % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH), 255).astype(np.uint8).tobytes()
-
-
-def node_of(shingle_set: np.ndarray) -> int:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(shingle_set.tobytes())).astype(np.int64))
+#: Sets, and shingles of all sets together, of a region that one task reads; larger ones are dealt again.
+SMALL = 2048
+ITEMS = 1 << 21
+#: Pivots of a region in each round, and the sets that they are made from.
+PIVOTS = 4
+SAMPLE = 64
+#: Sets of a region that are dealt again by one task.
+CHUNK = 2048
+_SIZE = np.uint64(0xD6E8FEB86659FD93)
+
+
+def _sets_of(column: pa.Array, shingle: int, rank: np.ndarray | None = None, weights: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+    """Each text's distinct shingles, ascending, and their classes of frequency if words' ranks are given."""
+    for _, n, hashes, bounds in blocks(column, lower=True):
+        whole = mixed(runs_of(hashes, shingle) + _SIZE * np.uint64(shingle))
+        classes = None
+        if rank is not None:
+            own = np.zeros(len(hashes), np.int64)
+            if len(rank) and len(hashes):
+                at = np.minimum(np.searchsorted(rank, hashes), len(rank) - 1)
+                own = np.where(rank[at] == hashes, weights[at], 0)
+            sums = np.concatenate([[0], np.cumsum(own)])
+            classes = sums[shingle:] - sums[:-shingle]
+        for i in range(n):
+            begin, end = int(bounds[i]), int(bounds[i + 1])
+            if end - begin >= shingle:
+                out, first = np.unique(whole[begin : end - shingle + 1], return_index=True)
+                yield out, None if classes is None else classes[begin : end - shingle + 1][first]
+            elif end == begin:
+                yield np.zeros(0, np.uint64), None if rank is None else np.zeros(0, np.int64)
+            else:
+                size = end - begin
+                yield mixed(runs_of(hashes[begin:end], size) + _SIZE * np.uint64(size)), None if rank is None else np.array([int(own[begin:end].sum())])
+
+
+def node_of(shingle_set: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(shingle_set.tobytes())
 
 
 def _frequencies(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the FREQUENT most frequent words, ascending, and the logarithms of their documents' number."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = _Hashes(), Counter()
+        held, size = [], 0
 
         def rows() -> pa.RecordBatch:
-            kept = {w: n for w, n in seen.items() if n > 1}
-            return pa.RecordBatch.from_arrays([pa.array(np.fromiter(map(hashes.__getitem__, kept), np.uint64, len(kept)).view(np.int64)), pa.array(list(kept.values()), pa.int64())], names=["w", "n"])
+            words, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(words[n > 1].view(np.int64)), pa.array(n[n > 1], pa.int64())], names=["w", "n"])
 
         for batch in batches:
-            for text in batch.column(0):
-                seen.update(set(split(text.as_py())))
-            if len(seen) > 2_000_000:
-                yield rows()
-                seen = Counter()
-        yield rows()
+            for _, n, hashes, bounds in blocks(batch.column(0), lower=True):
+                for i in range(n):
+                    held.append(np.unique(hashes[bounds[i] : bounds[i + 1]]))
+                    size += len(held[-1])
+                if size > 1_000_000:
+                    yield rows()
+                    held, size = [], 0
+        if held:
+            yield rows()
 
     counted = texts.mapInArrow(count, "w bigint, n bigint").groupBy("w").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.desc("n"), "w").limit(FREQUENT).collect()
@@ -133,101 +121,259 @@ def _frequencies(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _nodes(rows: DataFrame, rank: np.ndarray, weights: np.ndarray, shingle: int, percent: int) -> DataFrame:
-    """(id, row, key, g, n, window, sketch): each row's node, set size, first pivots and sketch. rows: (id, row, key, text)."""
+    """(id, row, key, g, n, window): each row's node, set size and first pivots. rows: (id, row, key, text)."""
     shared = rows.sparkSession.sparkContext.broadcast((rank, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, (rank, weights) = _Hashes(), shared.value
+        rank, weights = shared.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                nodes, sizes, windows, sketches = [], [], [], []
-                for text in part.column(3):
-                    own, classes = shingles(split(text.as_py()), hashes, shingle, rank, weights)
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                nodes, sizes, windows = [], [], []
+                for own, classes in _sets_of(part.column(3), shingle, rank, weights):
                     n = len(own)
                     nodes.append(node_of(own))
                     sizes.append(n)
-                    sketches.append(sketch(own))
                     most = n - -(-percent * n // 100) + 1 if n else 0
-                    windows.append(own[np.lexsort((own, classes))[:most]].view(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(windows, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], names=["id", "row", "key", "g", "n", "window", "sketch"])
+                    windows.append((own if most >= n else own[np.lexsort((own, classes))[:most]]).view(np.int64))
+                ends = np.cumsum([0] + [len(w) for w in windows])
+                flat = np.concatenate(windows) if windows else np.zeros(0, np.int64)
+                listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), listed], names=["id", "row", "key", "g", "n", "window"])
 
-    return rows.mapInArrow(run, "id bigint, row bigint, key bigint, g bigint, n bigint, window array<bigint>, sketch binary")
+    return rows.mapInArrow(run, "id bigint, row bigint, key bigint, g binary, n bigint, window array<bigint>")
 
 
-def _cells(nodes: DataFrame, seen: CellFilter) -> DataFrame:
-    """(s, g, n, pos): the nodes' rows in cells that others may share."""
-    shared = nodes.sparkSession.sparkContext.broadcast(seen)
+def _regions(cells: DataFrame, least: int = 2) -> DataFrame:
+    """(s, size, items) of the cells (s, g, n, ball) that may hold a link still unknown: two sets or more, one of them outside
+    the pivot's ball. Of cells with the same sets, one stays. Map-side aggregation takes hot cells in its stride."""
+    one = F.xxhash64("g").cast("decimal(38,0)")
+    found = cells.groupBy("s").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("items"), F.sum(one).alias("sum"), F.bit_xor(F.xxhash64("g", F.lit(1))).alias("bits"), F.bool_and("ball").alias("settled"))
+    found = found.where((F.col("size") >= least) & ~F.col("settled"))
+    return checkpoint(found.groupBy("size", "items", "sum", "bits").agg(F.min("s").alias("s")).select("s", "size", "items"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            windows = batch.column(2)
-            lengths = np.diff(windows.offsets.to_numpy())
-            flat = windows.flatten().to_numpy(zero_copy_only=False)
-            owner = np.repeat(np.arange(len(lengths)), lengths)
-            place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            keep = shared.value.maybe_repeated(np.ascontiguousarray(flat))
-            at = pa.array(owner[keep])
-            yield pa.RecordBatch.from_arrays([pa.array(flat[keep]), batch.column(0).take(at), batch.column(1).take(at), pa.array(place[keep].astype(np.int32))], names=["s", "g", "n", "pos"])
 
-    return nodes.select("g", "n", "window").mapInArrow(run, "s bigint, g bigint, n bigint, pos int")
+def _members(cells: DataFrame, regions: DataFrame) -> DataFrame:
+    """(s, g, n, size, items): the cells' rows of the regions. A filter keeps rows of other cells from being shuffled."""
+    count = regions.count()
+    seen = CellFilter.members(regions.select("s"), count)
+    if seen is not None:
+        cells = cells.where(asked(cells.sparkSession, seen)("s"))
+    return stored(join_totals(cells.select("s", "g", "n"), "s", regions, "size"), "none")
 
 
 def _sets(texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(g, items binary): the sets of the wanted nodes (key, g), each from its row of (key, text). The cell filter
-    may let others pass, which then meet no pair or repeat one, as repeated rows do; a task makes each set once."""
-    names = wanted.select(F.xxhash64("key").alias("h"))
-    seen = CellFilter.build(names.unionAll(names), wanted.count())  # added twice, so that they pass
-    maybe = asked(texts.sparkSession, seen)
+    """(g, set binary): the sets of the wanted nodes (key, g), each from its row of (key, text). Where a filter of the
+    wanted keys gets too large, a semi-join takes its place. A task makes each set once."""
+    seen = CellFilter.members(wanted.select("key"), wanted.count())
+    if seen is not None:
+        texts = texts.where(asked(texts.sparkSession, seen)("key"))
+    else:
+        texts = texts.join(wanted.select("key").distinct(), "key", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, made = _Hashes(), set()
+        made: set[bytes] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                sets = {node_of(x): x for x in (shingles(split(text.as_py()), hashes, shingle)[0] for text in batch.column(0).slice(at, 512))}
+                sets = {node_of(x): x for x, _ in _sets_of(batch.column(0).slice(at, 512), shingle)}
                 sets = {g: x for g, x in sets.items() if g not in made}
                 made.update(sets)
-                yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.int64()), pa.array([x.tobytes() for x in sets.values()], pa.binary())], names=["g", "items"])
+                yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.binary()), pa.array([x.tobytes() for x in sets.values()], pa.binary())], names=["g", "set"])
+
+    made = texts.select("text").mapInArrow(run, "g binary, set binary").join(wanted.select("g"), "g", "left_semi")
+    return stored(made.groupBy("g").agg(F.first("set").alias("set")), "none")
+
+
+class Region:
+    """The sets that one task joins in memory."""
+
+    def __init__(self, sets: list[np.ndarray], percent: int) -> None:
+        self.percent, self.n = percent, np.array([len(x) for x in sets], np.int64)
+        ids, at = np.unique(np.concatenate(sets), return_inverse=True)
+        # shingles of one set alone share nothing
+        shared = np.bincount(at, minlength=len(ids)) > 1
+        number = np.cumsum(shared) - 1
+        owner = np.repeat(np.arange(len(sets)), self.n)
+        keep = shared[at]
+        self.flat, self.kinds = number[at[keep]], int(shared.sum())
+        self.starts = np.searchsorted(owner[keep], np.arange(len(sets) + 1))
+        self.label, self.links, self.probed = np.arange(len(sets)), [], np.zeros(len(sets), bool)
+
+    def common(self, pivot: int, members: np.ndarray) -> np.ndarray:
+        """How many shingles the pivot shares with each member."""
+        marks = np.zeros(self.kinds + 1, np.int64)
+        marks[self.flat[self.starts[pivot] : self.starts[pivot + 1]]] = 1
+        lengths = self.starts[members + 1] - self.starts[members]
+        ends = np.cumsum(lengths)
+        at = np.arange(int(ends[-1])) + np.repeat(self.starts[members] - ends + lengths, lengths)
+        sums = np.concatenate([[0], np.cumsum(marks[self.flat[at]])])
+        return sums[ends] - sums[ends - lengths]
+
+    def probe(self, pivot: int, members: np.ndarray) -> np.ndarray:
+        """The members' distances to the pivot; those within the join's are linked."""
+        common = self.common(pivot, members)
+        total = self.n[members] + self.n[pivot] - common
+        near = members[100 * common >= self.percent * total]
+        for i in np.unique(self.label[near], return_index=True)[1].tolist():
+            other = int(near[i])
+            if self.label[other] != self.label[pivot]:
+                self.links.append((pivot, other))
+                self.label[self.label == self.label[other]] = self.label[pivot]
+        return 1 - common / total
+
+    def join(self, members: np.ndarray, depth: int = 0) -> None:
+        """Finds a link between any two components of the members that have one."""
+        if len(np.unique(self.label[members])) < 2:
+            return
+        if len(members) > 16 * PIVOTS:
+            step = len(members) // PIVOTS
+            pivots = [int(members[i * step + depth % step]) for i in range(PIVOTS)]
+            far = np.stack([self.probe(p, members) for p in pivots])
+            reach = far.min(axis=0) + 2 * (1 - self.percent / 100) + 1e-9
+            cells = [members[far[j] <= reach] for j in range(PIVOTS)]
+            if max(map(len, cells)) <= 0.7 * len(members):
+                for cell in cells:
+                    self.join(cell, depth + 1)
+                return
+        done = np.zeros(len(self.n), bool)
+        while True:
+            open_ = members[~done[members]]
+            labels, sizes = np.unique(self.label[open_], return_counts=True)
+            if len(labels) < 2:
+                return
+            rest = open_[self.label[open_] != labels[int(np.argmax(sizes))]]
+            done[rest[0]] = True
+            self.probe(int(rest[0]), members)
 
-    return stored(texts.where(maybe(F.xxhash64("key"))).select("text").mapInArrow(run, "g bigint, items binary"), "none")
 
+def _join_regions(percent: int):  # noqa: ANN202
+    """Links (a, b) of the rows (s, g, set), which come in order of s."""
 
-def _may_link(percent: int):  # noqa: ANN202
-    """Drops pairs (a, b, n_a, n_b, sketch_a, sketch_b, whole) whose sketches rule a link out: sets share at most the
-    sum of the lesser counters. Pairs marked ``whole`` stay."""
+    def settle(names: list[bytes], sets: list[np.ndarray]) -> pa.RecordBatch:
+        links = []
+        if len(names) > 1:
+            region = Region(sets, percent)
+            region.join(np.arange(len(names)))
+            links = region.links
+        return pa.RecordBatch.from_arrays([pa.array([names[a] for a, _ in links], pa.binary()), pa.array([names[b] for _, b in links], pa.binary())], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, names, sets = None, [], []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, y = (np.stack([np.frombuffer(v.as_buffer(), np.uint8) for v in batch.column(i)]).astype(np.int64) for i in (4, 5))
-            total = batch.column(2).to_numpy() + batch.column(3).to_numpy()
-            most = np.minimum(x, y).sum(axis=1)
-            most = np.where(((x == 255) & (y == 255)).any(axis=1), total, most)
-            keep = (100 * most >= percent * (total - most)) | batch.column(6).to_numpy(zero_copy_only=False)
-            yield batch.select([0, 1]).filter(pa.array(keep))
+            for s, g, items in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                if s != current:
+                    if names:
+                        yield settle(names, sets)
+                    current, names, sets = s, [], []
+                names.append(g.as_py())
+                sets.append(np.frombuffer(items.as_py(), np.uint64))
+        if names:
+            yield settle(names, sets)
 
     return run
 
 
-def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, common, total) from (a, b, items of a, items of b)."""
+def _majorities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(s, pivot, set): the majority sets of the clusters of each region's sample (s, set), which come in order of s."""
+
+    def pivots(s: int, sets: list[np.ndarray]) -> pa.RecordBatch:
+        seeds, far = [0], None
+        while len(seeds) < min(PIVOTS, len(sets)):  # each seed is the one farthest from those before it
+            own = np.array([1 - len(np.intersect1d(x, sets[seeds[-1]], assume_unique=True)) / max(1, len(x)) for x in sets])
+            far = own if far is None else np.minimum(far, own)
+            if far.max() <= 0.5:  # near all of them already
+                break
+            seeds.append(int(np.argmax(far)))
+        shared = np.array([[len(np.intersect1d(x, sets[i], assume_unique=True)) / max(1, len(x), len(sets[i])) for i in seeds] for x in sets])
+        home, out = shared.argmax(axis=1), []
+        for j in range(len(seeds)):
+            own = [x for x, h in zip(sets, home.tolist(), strict=True) if h == j]
+            if own:
+                ids, n = np.unique(np.concatenate(own), return_counts=True)
+                out.append(ids[2 * n > len(own)].tobytes())
+        return pa.RecordBatch.from_arrays([pa.array([s] * len(out), pa.int64()), pa.array(range(len(out)), pa.int32()), pa.array(out, pa.binary())], names=["s", "pivot", "set"])
+
+    current, sets = None, []
     for batch in batches:
-        common, total = [], []
-        for x, y in zip(batch.column(2), batch.column(3), strict=True):
-            a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            if len(a) > len(b):
-                a, b = b, a
-            at = np.minimum(np.searchsorted(b, a), max(0, len(b) - 1))
-            common.append(int((b[at] == a).sum()) if len(b) else 0)
-            total.append(len(a) + len(b) - common[-1])
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common, pa.int64()), pa.array(total, pa.int64())], names=["a", "b", "common", "total"])
+        for s, items in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            if s != current:
+                if sets:
+                    yield pivots(current, sets)
+                current, sets = s, []
+            sets.append(np.frombuffer(items.as_py(), np.uint64))
+    if sets:
+        yield pivots(current, sets)
+
+
+def _deal(percent: int):  # noqa: ANN202
+    """The regions and cells of the rows (s, chunk, pivot, g, set), in order of s, chunk and pivot; sets that are dealt come
+    last. A row (region, cell, g, n, f) without a cell places a set in a region, others place it in the cell of a difference."""
+    schema = pa.schema([("region", pa.int64()), ("cell", pa.int64()), ("g", pa.binary()), ("n", pa.int64()), ("f", pa.int64())])
+    reach = 2 * (1 - percent / 100) + 1e-9
+
+    def named(*parts: int) -> int:
+        return xxhash.xxh3_64_intdigest(b"".join(x.to_bytes(8, "little", signed=True) for x in parts)) - (1 << 63)
+
+    def dealt(s: int, pivots: list[np.ndarray], own: np.ndarray, g: bytes) -> Iterator[tuple]:
+        n = len(own)
+        common = [len(np.intersect1d(own, p, assume_unique=True)) for p in pivots]
+        far = [1 - c / (n + len(p) - c) for c, p in zip(common, pivots, strict=True)]
+        most = (100 - percent) * (n + 100 * n // percent + 1) // (100 + percent)  # differences from a neighbour
+        for j, p in enumerate(pivots):
+            if far[j] > min(far) + reach:
+                continue
+            region, differ = named(s, j), n + len(p) - 2 * common[j]
+            f = (100 + percent) * differ - (100 - percent) * n
+            yield (region, None, g, n, f)
+            # a neighbour shares at least differ - most of the differences, and one
+            keep = differ - max(1, differ - most) + 1
+            each = np.concatenate([np.setdiff1d(own, p, assume_unique=True), np.setdiff1d(p, own, assume_unique=True)])
+            for e in each[:keep].view(np.int64).tolist():
+                yield (region, named(region, e), g, n, f)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, pivots, out = None, [], []
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+
+        for batch in batches:
+            for s, chunk, pivot, g, items in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                if (s, chunk) != current:
+                    current, pivots = (s, chunk), []
+                own = np.frombuffer(items, np.uint64)
+                if pivot < PIVOTS:
+                    pivots.append(own)
+                    continue
+                out += dealt(s, pivots, own, g)
+                if len(out) > 50_000:
+                    yield rows()
+                    out = []
+        if out:
+            yield rows()
+
+    return run
 
 
-def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    right = pairs.join(sets.select(F.col("g").alias("b"), F.col("items").alias("right")), "b")
-    both = right.join(sets.select(F.col("g").alias("a"), F.col("items").alias("left")), "a")
-    return checkpoint(both.select("a", "b", "left", "right").mapInArrow(_measure, "a bigint, b bigint, common bigint, total bigint").distinct())
+def _dealt(large: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The links (a, b) with the best sets of their regions, and the cells (s, g, n, ball), of large regions (s, g, n, size, items)."""
+    chunks = F.greatest(F.lit(1), F.ceil(F.col("size") / CHUNK)).cast("int")
+    # about SAMPLE sets of a region, fewer of long ones
+    share = F.greatest(F.lit(4), F.least(F.lit(SAMPLE), F.floor(F.lit(ITEMS) * F.col("size") / F.col("items"))))
+    one = large.groupBy("s").agg(F.min_by("g", F.xxhash64("g", F.lit(1))).alias("g"))
+    some = large.where(F.pmod(F.xxhash64("g", F.lit(2)), F.col("size")) < share).select("s", "g").union(one).distinct()
+    sample = some.join(sets, "g").select("s", "set").repartition("s").sortWithinPartitions("s", F.xxhash64("set"))
+    pivots = checkpoint(sample.mapInArrow(_majorities, "s bigint, pivot int, set binary"))
+    spread = large.groupBy("s").agg(F.max(chunks).alias("chunks"))
+    copies = pivots.join(spread, "s").select("s", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "pivot", F.lit(b"").alias("g"), "set")
+    others = large.join(sets, "g").select("s", F.pmod(F.xxhash64("g"), chunks).cast("int").alias("chunk"), F.lit(PIVOTS).alias("pivot"), "g", "set")
+    placed = copies.unionByName(others).repartition("s", "chunk").sortWithinPartitions("s", "chunk", "pivot")
+    found = stored(placed.mapInArrow(_deal(percent), "region bigint, cell bigint, g binary, n bigint, f bigint"), "none")
+    homes = found.where("cell IS NULL")
+    best = checkpoint(homes.groupBy("region").agg(F.min("f").alias("best"), F.min_by("g", F.struct("f", "g")).alias("b"), F.count(F.lit(1)).alias("size")))
+    links = join_totals(homes.select("region", "g", "f"), "region", best, "size").where("f + best <= 0 AND g <> b").select(F.col("g").alias("a"), "b")
+    cells = join_totals(found.where("cell IS NOT NULL"), "region", best, "size")
+    return links, cells.select(F.col("cell").alias("s"), "g", "n", (F.col("f") + F.col("best") <= 0).alias("ball"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -244,110 +390,69 @@ def components(links: DataFrame) -> DataFrame:
     return checkpoint(names)
 
 
-class _Join:
-    """The state of the join: sets and the nodes' components."""
-
-    def __init__(self, texts: DataFrame, facts: DataFrame, cells: DataFrame, shingle: int, percent: int) -> None:
-        self.percent, self.shingle, self.texts = percent, shingle, texts
-        shared = cells.groupBy("s").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("s")
-        self.cells = checkpoint(cells.join(shared, "s", "left_semi"))
-        nodes = self.cells.select("g").distinct()
-        self.facts = checkpoint(facts.join(nodes, "g", "left_semi"))
-        self.labels = checkpoint(nodes.select("g", F.col("g").alias("c")))
-
-    def compare(self, pairs: DataFrame) -> DataFrame:
-        """Measures the pairs (a < b, whole) that sketches don't rule out, and all marked whole; joins the components of
-        those within the distance."""
-        pairs = pairs.groupBy("a", "b").agg(F.bool_or("whole").alias("whole"))
-        for side in ("a", "b"):
-            pairs = pairs.join(self.facts.select(F.col("g").alias(side), F.col("n").alias("n_" + side), F.col("sketch").alias("sketch_" + side)), side)
-        pairs = checkpoint(pairs.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b", "whole").mapInArrow(_may_link(self.percent), "a bigint, b bigint"))
-        ends = pairs.select(F.col("a").alias("g")).union(pairs.select("b")).distinct()
-        found = _compared(pairs, _sets(self.texts, checkpoint(self.facts.join(ends, "g", "left_semi").select("key", "g")), self.shingle))
-        near = found.where(F.col("common") * 100 >= F.col("total") * self.percent).select("a", "b")
-        for side in ("a", "b"):
-            near = near.join(self.labels.select(F.col("g").alias(side), F.col("c").alias(side + "_name")), side)
-        names = components(near.select(F.col("a_name").alias("a"), F.col("b_name").alias("b")))
-        self.labels = checkpoint(self.labels.join(names.withColumnRenamed("node", "c"), "c", "left").select("g", F.coalesce("name", "c").alias("c")))
-        return found
-
-    def open_regions(self, regions: DataFrame) -> DataFrame:
-        """(s, g, n, c, pivot, size) of the regions whose sets are in several components."""
-        named = regions.join(self.labels, "g")
-        least = F.min(F.struct("g", "n")).alias("p")
-        facts = named.groupBy("s").agg(F.count(F.lit(1)).alias("size"), F.min("c").alias("low"), F.max("c").alias("high"), least).where("low <> high")
-        facts = facts.select(F.col("s").alias("region"), "size", F.col("p.g").alias("pivot"), F.col("p.n").alias("pivot_n"))
-        return checkpoint(named.join(facts, F.col("s") == F.col("region")).drop("region"))
-
-    def _fits(self, n: str, m: str):  # noqa: ANN202
-        """Sizes that allow a link."""
-        return (F.col(n) * 100 >= F.col(m) * self.percent) & (F.col(m) * 100 >= F.col(n) * self.percent)
-
-    @staticmethod
-    def _pairs(x: str, y: str, whole: bool = False) -> list:
-        return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b"), F.lit(whole).alias("whole")]
-
-    def run(self) -> None:
-        first = self.cells.where(F.col("pos") < FIRST).select("s", "g", "n")
-        near = self.open_regions(first).where((F.col("g") != F.col("pivot")) & self._fits("n", "pivot_n"))
-        self.compare(near.select(*self._pairs("g", "pivot")))
-        regions = self.cells.select("s", "g", "n")
-        for turn in range(ROUNDS + 1):
-            found = self.open_regions(regions)
-            if not found.limit(1).count():
-                return
-            small = found if turn == ROUNDS else found.where(F.col("size") <= SMALL)
-            other = small.select("s", F.col("g").alias("g2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
-            within = small.join(other, "s").where((F.col("g") < F.col("g2")) & (F.col("c") != F.col("c2")) & self._fits("n", "n2")).select(*self._pairs("g", "g2"))
-            if turn == ROUNDS:
-                self.compare(within)
-                return
-            large = found.where((F.col("size") > SMALL) & (F.col("g") != F.col("pivot")))
-            measured = self.compare(within.unionAll(large.select(*self._pairs("g", "pivot", whole=True))))
-            if not large.limit(1).count():
-                return
-            large = large.withColumns({"a": F.least("g", "pivot"), "b": F.greatest("g", "pivot")})
-            shell = F.floor((F.col("total") - F.col("common")) * 100 / (max(1, 100 - self.percent) * F.col("total"))).cast("bigint")
-            dealt = large.join(measured, ["a", "b"]).select("s", "pivot", "g", "n", F.explode(F.array(shell, shell + 1)).alias("shell"))
-            regions = checkpoint(dealt.select(F.xxhash64("s", "pivot", "shell").alias("s"), "g", "n").distinct())
-
-
-def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, row: Column | None = None) -> DataFrame:
-    """(row, id, n, c): each row's set size and component's name. Positions may differ from scan to scan, so they come from one
-    scan only, or from the column ``row``; a set is found again by a hash of a row's id and text."""
+def _links(cells: DataFrame, keys: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) that join all nodes of each component, from the first level's cells (s, g, n, ball), the nodes' (g, key) and
+    the texts (key, text)."""
+    members = _members(cells, _regions(cells))
+    nodes = members.select("g").distinct()
+    sets = _sets(texts, checkpoint(keys.join(nodes, "g", "left_semi").select("key", "g")), shingle)
+    links = None
+    while True:
+        small = (F.col("size") <= SMALL) & ((F.col("items") <= ITEMS) | (F.col("size") <= 4 * PIVOTS))
+        placed = members.where(small).select("s", "g").join(sets, "g").select("s", "g", "set").repartition("s").sortWithinPartitions("s")
+        found = checkpoint(placed.mapInArrow(_join_regions(percent), "a binary, b binary"))
+        links = found if links is None else links.unionByName(found)
+        large = members.where(~small)
+        if not large.limit(1).count():
+            released(members, sets)
+            return links
+        more, cells = _dealt(large, sets, percent)
+        links = links.unionByName(more)
+        before, members = members, _members(cells, _regions(cells))
+        released(before)
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, row: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows (row, id, n, g), and the nodes (g, times, c, component_id, first_row): their component's name, least id and its row.
+    Positions may differ from scan to scan, so they come from one scan only, or from the column ``row``; a set is found again by a
+    hash of a row's id and text."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     rank, weights = _frequencies(docs.select(text))
     place = F.monotonically_increasing_id() if row is None else row
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), place.alias("row"), text).select("id", "row", F.xxhash64("id", "text").alias("key"), "text")
     nodes = stored(_nodes(rows, rank, weights, shingle, percent), "none")
-    one = F.min_by(F.struct("key", "window", "sketch"), "row").alias("one")
-    distinct = stored(nodes.where("n > 0").groupBy("g", "n").agg(one).select("g", "n", "one.*"), "none")
-    items = distinct.agg(F.sum(F.size("window"))).first()[0] or 0
-    seen = CellFilter.build(distinct.select(F.explode("window").alias("s")), items)
-    join = _Join(rows.select("text", "key"), distinct.select("g", "n", "key", "sketch"), _cells(distinct, seen), shingle, percent)
-    join.run()
-    labelled = nodes.select("row", "id", "n", "g").join(join.labels, "g", "left")
-    # a set without shingles links with nothing: its rows are components of their own
-    alone = F.when(F.col("n") == 0, F.concat(F.lit("row "), F.col("row").cast("string")))
-    return checkpoint(labelled.select("row", "id", "n", F.coalesce(alone, F.coalesce("c", "g").cast("string")).alias("c")))
-
-
-def _totals(classes: DataFrame) -> DataFrame:
     first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row")).alias("first")
-    return checkpoint(classes.groupBy("c").agg(first, F.count(F.lit(1)).alias("size")).select("c", F.col("first.id").alias("component_id"), F.col("first.row").alias("first_row"), "size"))
+    distinct = checkpoint(nodes.where("n > 0").groupBy("g").agg(first, F.count(F.lit(1)).alias("times"), F.min("key").alias("key")))
+    cells = nodes.where("n > 0").select("g", "n", "row", F.explode("window").alias("s"))
+    if distinct.agg(F.sum("times"), F.count(F.lit(1))).first()[0] != distinct.count():
+        chosen = distinct.select(F.col("first.row").alias("row"))  # of equal rows' windows, one
+        cells = nodes.join(chosen, "row", "left_semi").select("g", "n", F.explode("window").alias("s"))
+    cells = cells.select("s", "g", "n", F.lit(False).alias("ball"))
+    links = _links(cells, distinct.select("g", "key"), rows.select("text", "key"), shingle, percent)
+    names = components(links).withColumnsRenamed({"node": "g", "name": "c"})
+    labelled = distinct.join(names, "g", "left").select("g", "first", "times", F.coalesce("c", "g").alias("c"))
+    totals = labelled.groupBy("c").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("size"))
+    named = join_totals(checkpoint(labelled), "c", checkpoint(totals), "size").select("g", "times", "c", F.col("least.id").alias("component_id"), F.col("least.row").alias("first_row"))
+    return nodes.select("row", "id", "n", "g"), checkpoint(named)
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, row: Column | None = None) -> DataFrame:
+    """(row, id, n, c, component_id, first_row) of each row; a row without shingles is a component of its own."""
+    rows, named = _named(docs, id_col, text_col, shingle, percent, row)
+    found = join_totals(rows.where("n > 0"), "g", named, "times").select("row", "id", "n", F.hex("c").alias("c"), "component_id", "first_row")
+    alone = rows.where("n = 0").select("row", "id", "n", F.concat(F.lit("row "), F.col("row").cast("string")).alias("c"), F.col("id").alias("component_id"), F.col("row").alias("first_row"))
+    return found.unionByName(alone)
 
 
 def assignments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, component_id) of each row."""
     classes = _classes(docs, id_col, text_col, shingle, percent)
-    joined = join_totals(classes, "c", _totals(classes), "size")
-    return joined.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    return classes.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """docs' row of the least id of each component."""
     position, lost = fresh(docs, "row_position", "lost_position")
     numbered = stored(docs.withColumn(position, F.monotonically_increasing_id()))
-    classes = _classes(numbered, id_col, text_col, shingle, percent, F.col(position))
-    dropped = join_totals(classes, "c", _totals(classes), "size").where("row <> first_row").select(F.col("row").alias(lost))
-    return numbered.join(dropped, F.col(position) == F.col(lost), "left_anti").drop(position)
+    dropped = _classes(numbered, id_col, text_col, shingle, percent, F.col(position)).where("row <> first_row").select(F.col("row").alias(lost))
+    return numbered.join(broadcast_if_small(checkpoint(dropped)), F.col(position) == F.col(lost), "left_anti").drop(position)

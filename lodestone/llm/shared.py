@@ -55,22 +55,39 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, codec: str = "zstd") -> DataFrame:
-    """df as a compressed Parquet table in the shared folder; it is deleted when the driver's Python ends."""
+def stored(df: DataFrame, codec: str = "zstd", by: str | None = None) -> DataFrame:
+    """df as a compressed Parquet table in the shared folder, in folders ``by`` a column's values if named. It is deleted
+    by ``released``, at the latest when the driver's Python ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lodestone-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
+    writer = df.write.option("compression", codec)
+    (writer.partitionBy(by) if by else writer).parquet(path)
     if not _written:
         atexit.register(_delete_written)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._lodestone_path = path
+    return out
+
+
+def released(*tables: DataFrame) -> None:
+    """Deletes stored tables that nothing will read again."""
+    for df in tables:
+        path = getattr(df, "_lodestone_path", None)
+        if path and (df.sparkSession, path) in _written:
+            _written.remove((df.sparkSession, path))
+            _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def _delete_written() -> None:
     for spark, path in _written:
         try:
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(spark, path)
         except Exception:  # the JVM may be gone already  # noqa: BLE001, S112
             continue
 
@@ -102,13 +119,16 @@ class CellFilter:
 
     A hash sets PROBES cells; ``maybe_repeated`` is true for every hash that was added twice or
     more, and for a few others (the cells are shared, so there are false positives but no false
-    negatives). The number of cells follows the number of items and stops at MAX_CELLS, so what is
-    broadcast never exceeds MAX_CELLS / 8 bytes (32 MiB); beyond that, more hashes pass as
-    "maybe", which costs shuffling and never changes a result.
+    negatives). A filter has 16 cells for each of its items, and at most MAX_CELLS / 16 items, so what
+    is broadcast never exceeds MAX_CELLS / 8 bytes (32 MiB). More items are dealt to several filters by
+    ranges of their hash (``split_repeated``), one after the other, so that none ever fills up.
+
+    ``members`` makes a filter of what was added at all, or none if it would exceed MAX_MEMBERS cells.
     """
 
     PROBES = 2
     MAX_CELLS = 1 << 28
+    MAX_MEMBERS = 1 << 30
     SEGMENT = 1 << 20
 
     def __init__(self, cells: int, segments: dict[int, bytes]) -> None:
@@ -119,8 +139,13 @@ class CellFilter:
         self.bits = bits
 
     @staticmethod
-    def cells_for(items: int) -> int:
-        return min(CellFilter.MAX_CELLS, max(CellFilter.SEGMENT, 1 << (16 * max(1, items) - 1).bit_length()))
+    def cells_for(items: int, each: int = 16) -> int:
+        return max(CellFilter.SEGMENT, 1 << (each * max(1, items) - 1).bit_length())
+
+    @classmethod
+    def ranges_for(cls, items: int) -> int:
+        """How many filters so many items are dealt to."""
+        return max(1, -(-cls.cells_for(items) // cls.MAX_CELLS))
 
     @staticmethod
     def positions(hashes: np.ndarray, cells: int) -> list[np.ndarray]:
@@ -135,10 +160,16 @@ class CellFilter:
         return out
 
     @classmethod
-    def build(cls, hashes: DataFrame, items: int) -> CellFilter:
+    def members(cls, hashes: DataFrame, items: int) -> CellFilter | None:
+        """A filter whose ``maybe_repeated`` is true for all of the hashes and for at most some 5 % of others."""
+        cells = cls.cells_for(items, 8)
+        return None if cells > cls.MAX_MEMBERS else cls.build(hashes, items, 1, cells)
+
+    @classmethod
+    def build(cls, hashes: DataFrame, items: int, times: int = 2, cells: int | None = None) -> CellFilter:
         """First pass over the single bigint column of ``hashes``: each task sends the cells that its
         hashes hit, by segment of the cells; a segment's cells are merged in one task each."""
-        cells = cls.cells_for(items)
+        cells = cells or cls.cells_for(items)
         size, segment = cells, cls.SEGMENT
 
         def flush(chunks: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +194,7 @@ class CellFilter:
                 got = batch.column(0).drop_null().to_numpy(zero_copy_only=False)
                 held.append(got.astype(np.int64).view(np.uint64))
                 n += len(got)
-                if n >= 4_000_000:
+                if n >= 1_000_000:
                     yield from flush(held)
                     held, n = [], 0
             yield from flush(held)
@@ -177,13 +208,28 @@ class CellFilter:
                     at = got >> 1
                     state[at] = np.minimum(2, state[at] + 1 + (got & 1).astype(np.uint8))
             for k, state in once.items():
-                yield pa.RecordBatch.from_pydict({"segment": pa.array([k], pa.int64()), "bits": pa.array([np.packbits(state > 1, bitorder="little").tobytes()], pa.binary())})
+                yield pa.RecordBatch.from_pydict({"segment": pa.array([k], pa.int64()), "bits": pa.array([np.packbits(state >= times, bitorder="little").tobytes()], pa.binary())})
 
         hits = map_arrow(hashes, hit, "segment bigint, hits binary")
         merged = map_arrow(hits.repartition(max(1, min(64, cells // segment)), "segment"), merge, "segment bigint, bits binary")
         return cls(cells, {row.segment: bytes(row.bits) for row in merged.collect()})
 
 
+def split_repeated(rows: DataFrame, hash_col: str, items: int) -> list[tuple[DataFrame, Callable]]:
+    """Stored ``rows`` in ranges of their hash, each with the test of its own filter: (rows, function from a column of
+    hashes to "maybe twice"). Each range is written once and read on its own, so the cost stays linear."""
+    ranges = CellFilter.ranges_for(items)
+    if ranges == 1:
+        return [(rows, asked(rows.sparkSession, CellFilter.build(rows.select(hash_col), items)))]
+    part = fresh(rows, "hash_range")[0]
+    dealt = stored(rows.withColumn(part, F.pmod(F.xxhash64(hash_col), F.lit(ranges)).cast("int")), by=part)
+    out = []
+    for i in range(ranges):
+        own = dealt.where(F.col(part) == i).drop(part)
+        out.append((own, asked(rows.sparkSession, CellFilter.build(own.select(hash_col), -(-items // ranges), cells=CellFilter.MAX_CELLS))))
+    return out
+
+
 def asked(spark: SparkSession, seen: CellFilter):  # noqa: ANN201
     """A function from a column of hashes to the filter's answers."""
     shared = spark.sparkContext.broadcast(seen)
