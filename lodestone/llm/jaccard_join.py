@@ -13,6 +13,10 @@ one. A neighbour within r misses at most floor(r * n) of a set's n shingles, so
 floor(r * n) + 1 pivots of a set, its window, include the cell of a shared pivot: the set is
 replicated there and no pair is lost. Cells of one member vanish, cells of the same members are one region.
 
+Before sets travel, sketches (counts of shingles by class of their hash) bound what two sets of a region share, and split
+it into groups that the bounds connect. Groups that have sets in common are one; if it is small, it becomes
+a region by itself, so that each set travels once.
+
 Regions above SMALL sets or ITEMS shingles are dealt again, over the cluster, to Voronoi regions. Their pivots, PIVOTS at
 most, are points of the metric space that need not be documents: the majority sets of the clusters of a bounded sample
 of the region. (Any pivots give whole results; the sample only makes them good.) A set's home is the region of its nearest
@@ -61,6 +65,8 @@ PIVOTS = 4
 SAMPLE = 64
 #: Sets of a region that are dealt again by one task.
 CHUNK = 2048
+#: Counters of a set's sketch; a byte each.
+SKETCH = 128
 _SIZE = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -92,6 +98,11 @@ def node_of(shingle_set: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingle_set.tobytes())
 
 
+def sketch(shingle_set: np.ndarray) -> bytes:
+    """How many of a set's hashes fall in each of SKETCH classes, 255 at most."""
+    return np.minimum(np.bincount((shingle_set % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH), 255).astype(np.uint8).tobytes()
+
+
 def _frequencies(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the FREQUENT most frequent words, ascending, and the logarithms of their documents' number."""
 
@@ -121,7 +132,7 @@ def _frequencies(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _nodes(rows: DataFrame, rank: np.ndarray, weights: np.ndarray, shingle: int, percent: int) -> DataFrame:
-    """(id, row, key, g, n, window): each row's node, set size and first pivots. rows: (id, row, key, text)."""
+    """(id, row, key, g, n, window, sketch): each row's node, set size, first pivots and sketch. rows: (id, row, key, text)."""
     shared = rows.sparkSession.sparkContext.broadcast((rank, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,19 +140,20 @@ def _nodes(rows: DataFrame, rank: np.ndarray, weights: np.ndarray, shingle: int,
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                nodes, sizes, windows = [], [], []
+                nodes, sizes, windows, sketches = [], [], [], []
                 for own, classes in _sets_of(part.column(3), shingle, rank, weights):
                     n = len(own)
                     nodes.append(node_of(own))
                     sizes.append(n)
+                    sketches.append(sketch(own))
                     most = n - -(-percent * n // 100) + 1 if n else 0
                     windows.append((own if most >= n else own[np.lexsort((own, classes))[:most]]).view(np.int64))
                 ends = np.cumsum([0] + [len(w) for w in windows])
                 flat = np.concatenate(windows) if windows else np.zeros(0, np.int64)
                 listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), listed], names=["id", "row", "key", "g", "n", "window"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), listed, pa.array(sketches, pa.binary())], names=["id", "row", "key", "g", "n", "window", "sketch"])
 
-    return rows.mapInArrow(run, "id bigint, row bigint, key bigint, g binary, n bigint, window array<bigint>")
+    return rows.mapInArrow(run, "id bigint, row bigint, key bigint, g binary, n bigint, window array<bigint>, sketch binary")
 
 
 def _regions(cells: DataFrame, least: int = 2) -> DataFrame:
@@ -162,6 +174,52 @@ def _members(cells: DataFrame, regions: DataFrame) -> DataFrame:
     return stored(join_totals(cells.select("s", "g", "n"), "s", regions, "size"), "none")
 
 
+def _grouped(percent: int):  # noqa: ANN202
+    """The rows (s, g, n) of the rows (s, g, n, sketch), in order of s, that sketches leave a link to; s is hashed on with the group
+    that the possible links connect. Sets share at most the sum of the lesser counters."""
+
+    def groups(s: int, names: list, n: np.ndarray, counts: np.ndarray) -> Iterator[tuple]:
+        label, some = np.arange(len(names)), np.zeros(len(names), bool)
+        for i in range(len(names) - 1):
+            most = np.minimum(counts[i], counts[i + 1 :]).sum(axis=1, dtype=np.int64)
+            total = n[i] + n[i + 1 :]
+            full = ((counts[i] == 255) & (counts[i + 1 :] == 255)).any(axis=1)
+            near = np.flatnonzero((100 * most >= percent * (total - most)) | full) + i + 1
+            if len(near):
+                some[i] = some[near] = True
+                joined = np.unique(np.append(label[near], label[i]))
+                label[np.isin(label, joined)] = joined[0]
+        for i in np.flatnonzero(some).tolist():
+            yield xxhash.xxh3_64_intdigest(s.to_bytes(8, "little", signed=True) + names[int(label[i])]) - (1 << 63), names[i], int(n[i])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("s", pa.int64()), ("g", pa.binary()), ("n", pa.int64())])
+        current, names, n, counts, out = None, [], [], [], []
+
+        def close() -> None:
+            if len(names) > 1:
+                out.extend(groups(current, names, np.array(n, np.int64), np.frombuffer(b"".join(counts), np.uint8).reshape(-1, SKETCH)))
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+
+        for batch in batches:
+            for s, *row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if s != current:
+                    close()
+                    current, names, n, counts = s, [], [], []
+                for held, x in zip((names, n, counts), row, strict=True):
+                    held.append(x)
+            if len(out) > 10_000:
+                yield rows()
+                out.clear()
+        close()
+        if out:
+            yield rows()
+
+    return run
+
+
 def _sets(texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """(g, set binary): the sets of the wanted nodes (key, g), each from its row of (key, text). Where a filter of the
     wanted keys gets too large, a semi-join takes its place. A task makes each set once."""
@@ -390,26 +448,42 @@ def components(links: DataFrame) -> DataFrame:
     return checkpoint(names)
 
 
-def _links(cells: DataFrame, keys: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links (a, b) that join all nodes of each component, from the first level's cells (s, g, n, ball), the nodes' (g, key) and
+def _links(cells: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) that join all nodes of each component, from the first level's cells (s, g, n, ball), the nodes (g, key, sketch) and
     the texts (key, text)."""
     members = _members(cells, _regions(cells))
-    nodes = members.select("g").distinct()
-    sets = _sets(texts, checkpoint(keys.join(nodes, "g", "left_semi").select("key", "g")), shingle)
-    links = None
+    few = F.col("size") <= SMALL
+    sketched = members.where(few).select("s", "g", "n").join(nodes.select("g", "sketch"), "g").select("s", "g", "n", "sketch")
+    grouped = sketched.repartition("s").sortWithinPartitions("s").mapInArrow(_grouped(percent), "s bigint, g binary, n bigint")
+    cells = stored(grouped.unionByName(members.where(~few).select("s", "g", "n")), "none")
+    released(members)
+    # groups that have sets in common
+    least = cells.groupBy("s").agg(F.min("g").alias("least"), F.count(F.lit(1)).alias("size"))
+    stars = join_totals(cells.select("s", "g"), "s", checkpoint(least), "size").select(F.col("g").alias("a"), F.col("least").alias("b"))
+    named = components(stars).withColumnRenamed("node", "g")
+    one = checkpoint(join_totals(cells.select("g", "n").distinct(), "g", named.withColumn("times", F.lit(1)), "times").select("name", "g", "n"))
+    sizes = checkpoint(one.groupBy("name").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("items")))
+    small = (F.col("size") <= SMALL) & ((F.col("items") <= ITEMS) | (F.col("size") <= 4 * PIVOTS))
+    whole = join_totals(one, "name", sizes.where(small), "size").select(F.xxhash64("name").alias("s"), "g", "n", "size", "items")
+    sets = _sets(texts, checkpoint(nodes.join(one.select("g"), "g", "left_semi").select("key", "g")), shingle)
+    placed = whole.select("s", "g").join(sets, "g").select("s", "g", "set").repartition("s").sortWithinPartitions("s")
+    links = checkpoint(placed.mapInArrow(_join_regions(percent), "a binary, b binary"))
+    rest = join_totals(one, "name", sizes.where(~small), "size").select("g")
+    if not rest.limit(1).count():
+        released(cells, sets)
+        return links
+    rest = checkpoint(rest)
+    first, cells = cells, cells.join(rest, "g", "left_semi").withColumn("ball", F.lit(False))
     while True:
-        small = (F.col("size") <= SMALL) & ((F.col("items") <= ITEMS) | (F.col("size") <= 4 * PIVOTS))
+        members = _members(cells, _regions(cells))
         placed = members.where(small).select("s", "g").join(sets, "g").select("s", "g", "set").repartition("s").sortWithinPartitions("s")
-        found = checkpoint(placed.mapInArrow(_join_regions(percent), "a binary, b binary"))
-        links = found if links is None else links.unionByName(found)
+        links = links.unionByName(checkpoint(placed.mapInArrow(_join_regions(percent), "a binary, b binary")))
         large = members.where(~small)
         if not large.limit(1).count():
-            released(members, sets)
+            released(first, members, sets)
             return links
         more, cells = _dealt(large, sets, percent)
-        links = links.unionByName(more)
-        before, members = members, _members(cells, _regions(cells))
-        released(before)
+        links = links.unionByName(checkpoint(more))
 
 
 def _named(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, row: Column | None = None) -> tuple[DataFrame, DataFrame]:
@@ -422,13 +496,13 @@ def _named(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: i
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), place.alias("row"), text).select("id", "row", F.xxhash64("id", "text").alias("key"), "text")
     nodes = stored(_nodes(rows, rank, weights, shingle, percent), "none")
     first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row")).alias("first")
-    distinct = checkpoint(nodes.where("n > 0").groupBy("g").agg(first, F.count(F.lit(1)).alias("times"), F.min("key").alias("key")))
+    distinct = checkpoint(nodes.where("n > 0").groupBy("g").agg(first, F.count(F.lit(1)).alias("times"), F.min("key").alias("key"), F.first("sketch").alias("sketch")))
     cells = nodes.where("n > 0").select("g", "n", "row", F.explode("window").alias("s"))
     if distinct.agg(F.sum("times"), F.count(F.lit(1))).first()[0] != distinct.count():
         chosen = distinct.select(F.col("first.row").alias("row"))  # of equal rows' windows, one
         cells = nodes.join(chosen, "row", "left_semi").select("g", "n", F.explode("window").alias("s"))
     cells = cells.select("s", "g", "n", F.lit(False).alias("ball"))
-    links = _links(cells, distinct.select("g", "key"), rows.select("text", "key"), shingle, percent)
+    links = _links(cells, distinct.select("g", "key", "sketch"), rows.select("text", "key"), shingle, percent)
     names = components(links).withColumnsRenamed({"node": "g", "name": "c"})
     labelled = distinct.join(names, "g", "left").select("g", "first", "times", F.coalesce("c", "g").alias("c"))
     totals = labelled.groupBy("c").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("size"))
