@@ -5,20 +5,27 @@ saturating cell filter. Pass 2 asks the filter: a hash that it has not seen twic
 text of its own, whose row passes straight through; only the others shuffle, as hashes and ids,
 never as texts. Groups are exact: they are made by SHA-256, the filter only sorts out.
 
+The filter has room for all rows: beyond a fixed size, the hashes are dealt to several filters by ranges, which
+are made and asked one after the other, so none ever fills up and what is broadcast stays bounded.
+
 Groups of copies are counted with map-side aggregation. Their totals return to the rows through
 two joins: groups of at least 1/HEAVY of all candidate rows (at most HEAVY of them, so their
 broadcast is bounded) by broadcast, the others, none of them hot, by shuffle.
 
 Of rows that share text and id, one stays: the one whose position in the scan is last. Null ids
-rank below all others. An empty table gives an empty result.
+rank below all others. Texts of any length are read whole, and empty ones are equal to null ones. An empty table gives
+an empty result; other columns are kept by ``deduplicate`` as they are, whatever their names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.shared import LOWER, UPPER, CellFilter, asked, checkpoint, fresh, stored
+from lodestone.llm.shared import LOWER, UPPER, broadcast_if_small, checkpoint, fresh, split_repeated, stored
 
 #: Groups of at least 1/HEAVY of the candidate rows are joined by broadcast.
 HEAVY = 1000
@@ -29,11 +36,15 @@ def text_key(text_col: str):  # noqa: ANN201
     return F.unhex(F.sha2(F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, LOWER).cast("binary"), 256))
 
 
-def _first_pass(docs: DataFrame, id_col: str, text_col: str, row: Column | None = None):  # noqa: ANN202
-    """The checkpointed (row, id, key, h) of docs and the filter's test."""
+def _first_pass(docs: DataFrame, id_col: str, text_col: str, row: Column | None = None) -> list[tuple[DataFrame, Callable]]:
+    """The checkpointed (row, id, key, h) of docs, in ranges of h, and each range's test."""
     hashed = docs.select((F.monotonically_increasing_id() if row is None else row).alias("row"), F.col(id_col).alias("id"), text_key(text_col).alias("key"))
     rows = checkpoint(hashed.withColumn("h", F.xxhash64("key")))
-    return rows, asked(docs.sparkSession, CellFilter.build(rows.select("h"), rows.count()))
+    return split_repeated(rows, "h", rows.count())
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _totals(found: DataFrame) -> tuple[DataFrame, int]:
@@ -52,9 +63,9 @@ def _joined(found: DataFrame, key: str, totals: DataFrame, heavy: int) -> DataFr
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, id, key binary, keep_row, keep_id, group_size) for each row of docs, ``row`` being its position in the scan."""
-    rows, maybe = _first_pass(docs, id_col, text_col)
-    alone = rows.where(~maybe("h")).select("row", "id", "key", F.col("row").alias("keep_row"), F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"))
-    found = rows.where(maybe("h")).select("row", "id", F.col("key").alias("own_key"))
+    parts = _first_pass(docs, id_col, text_col)
+    alone = _all([rows.where(~maybe("h")) for rows, maybe in parts]).select("row", "id", "key", F.col("row").alias("keep_row"), F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"))
+    found = _all([rows.where(maybe("h")) for rows, maybe in parts]).select("row", "id", F.col("key").alias("own_key"))
     totals, heavy = _totals(found.withColumnRenamed("own_key", "key"))
     return alone.unionByName(_joined(found, "own_key", totals, heavy).withColumnRenamed("own_key", "key"))
 
@@ -68,17 +79,10 @@ def assignments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, with docs' columns."""
-    position, own = fresh(docs, "row_position", "own_key")
+    position, lost = fresh(docs, "row_position", "lost_position")
     numbered = stored(docs.withColumn(position, F.monotonically_increasing_id()))  # positions may differ from scan to scan
-    rows, maybe = _first_pass(numbered, id_col, text_col, F.col(position))
-    totals, heavy = _totals(rows.where(maybe("h")))
-    keyed = numbered.withColumn(own, text_key(text_col))
-    test = maybe(F.xxhash64(own))
-    names = {c: fresh(keyed, c)[0] for c in ("key", "keep_row", "keep_id", "group_size")}
-    many = totals.withColumnsRenamed(names)
-    many, few = F.broadcast(many.where(F.col(names["group_size"]) >= heavy)), many.where(F.col(names["group_size"]) < heavy)
-    found, out = keyed.where(test), keyed.where(~test).select(*docs.columns)
-    for side in (many, few):
-        joined = found.join(side, F.col(own) == F.col(names["key"]))
-        out = out.unionByName(joined.where(F.col(position) == F.col(names["keep_row"])).select(*docs.columns))
-    return out
+    parts = _first_pass(numbered, id_col, text_col, F.col(position))
+    found = _all([rows.where(maybe("h")) for rows, maybe in parts]).select("row", F.col("id"), F.col("key").alias("own_key"))
+    totals, heavy = _totals(found.withColumnRenamed("own_key", "key"))
+    dropped = checkpoint(_joined(found, "own_key", totals, heavy).where("row <> keep_row").select(F.col("row").alias(lost)))
+    return numbered.join(broadcast_if_small(dropped), F.col(position) == F.col(lost), "left_anti").select(*docs.columns)

@@ -413,3 +413,40 @@ def test_mixing_refines_the_boundary_bucket(docs, monkeypatch):
     whole = Counter(map(str, mixing.taken(docs).collect()))
     monkeypatch.setattr(mixing, "SMALL_BUCKET", 8)
     assert Counter(map(str, mixing.taken(docs).collect())) == whole
+
+
+def test_substring_dedup_cuts_buckets(spark, docs, rows, monkeypatch):
+    """Buckets of more than a few strings are cut into windows; small chunks and batches."""
+    monkeypatch.setattr(substring_dedup, "HOT", 2)
+    assert Counter((low(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.digests(docs).collect()) == brute_windows(rows)
+
+
+def test_substring_dedup_without_filter(docs, rows, monkeypatch):
+    monkeypatch.setattr(CellFilter, "MAX_MEMBERS", 1)
+    assert Counter((low(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.digests(docs).collect()) == brute_windows(rows)
+
+
+def test_exact_dedup_in_ranges(docs, monkeypatch):
+    """More rows than one filter has room for."""
+    want = Counter(map(tuple, exact_dedup.assignments(docs).collect()))
+    kept = Counter(map(tuple, exact_dedup.deduplicate(docs).collect()))
+    monkeypatch.setattr(CellFilter, "SEGMENT", 512)
+    monkeypatch.setattr(CellFilter, "MAX_CELLS", 512)
+    assert Counter(map(tuple, exact_dedup.assignments(docs).collect())) == want
+    assert Counter(map(tuple, exact_dedup.deduplicate(docs).collect())) == kept
+
+
+def test_jaccard_join_of_many_near_copies(spark, monkeypatch):
+    """2000 near copies of one text, in regions that must be dealt again."""
+    rng = np.random.default_rng(11)
+    base = [f"b{i}" for i in range(80)]
+    made = []
+    for i in range(2000):
+        own = list(base)
+        for at in rng.integers(0, 80, rng.integers(0, 4)):
+            own[at] = f"e{rng.integers(0, 60)}"
+        made.append((i, " ".join(own), None, None))
+    want = brute_components(made, 3, 90)
+    monkeypatch.setattr(jaccard_join, "SMALL", 300)
+    df = spark.createDataFrame([r[:2] for r in made], "doc_id bigint, text string")
+    assert Counter((low(r.doc_id), r.n_shingles, low(r.component_id)) for r in jaccard_join.assignments(df).collect()) == want
