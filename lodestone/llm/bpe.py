@@ -1,7 +1,12 @@
 """Byte-level BPE encoding and decoding with the tiktoken library and a local rank file.
 
 Null texts count as empty; empty texts have no ids. Rows are independent, so ties, repeated
-rows and empty tables need no care, and columns other than the two named are not read.
+rows and empty tables need no care, and columns other than the two named are not read, whatever their names.
+
+Long texts are cut into pieces where no match of the pattern crosses. A run of white space beyond RUN characters,
+which the library's regular expressions can't take, is a match by itself, but for its last character if
+something follows; its bytes go to the merges directly. So do not runs of other characters, which the library
+takes at any length.
 Invalid ids in ``decode`` (negative, beyond the ranks, null) decode to no bytes.
 """
 
@@ -19,10 +24,15 @@ from pyspark.sql import functions as F
 
 #: Texts beyond this many characters are encoded in pieces of about that length.
 PIECE = 16_384
+#: White space runs beyond this many characters are encoded on their own.
+RUN = 8192
+#: The pattern's white space (fixed: the property White_Space).
+_WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: A match of the pre-tokenising pattern that starts before a white space character which follows
 #: another character cannot reach over it, so a text may be cut there. Between a letter and a
 #: digit of ASCII it may be cut too: no match holds both.
-_CUT = re.compile(r"(?<=\S)(?=\s)|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
+_CUT = re.compile(f"(?<=[^{_WHITE}])(?=[{_WHITE}])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
+_LONG = re.compile(f"[{_WHITE}]{{{RUN},}}")
 
 
 def rank_file() -> str:
@@ -60,9 +70,15 @@ def pieces(text: str, length: int = PIECE) -> Iterator[str]:
 
 
 def encode_text(coder, text: str) -> list[int]:  # noqa: ANN001
-    if len(text) <= PIECE:
+    if len(text) <= min(PIECE, RUN):
         return coder.encode_ordinary(text)
-    return [i for piece in pieces(text) for i in coder.encode_ordinary(piece)]
+    ids, at = [], 0
+    for run in _LONG.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids += [i for piece in pieces(text[at : run.start()]) for i in coder.encode_ordinary(piece)]
+        ids += coder._encode_single_piece(text[run.start() : end])  # noqa: SLF001
+        at = end
+    return ids + [i for piece in pieces(text[at:]) for i in coder.encode_ordinary(piece)]
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:
