@@ -14,7 +14,8 @@ Concatenating a perspective's parts in order of block and slice gives the dialog
 Defined cases: repeated rows (same conversation, turn, role and text) are one message. A null text
 is empty. A null role is a user without a name and no participant; so is an empty one. Null turns
 form a block of their own, before all others; null conversations are one conversation. A dialogue
-without participants has no rendering. "<|" in a text or role is written "< |", so that no text
+without participants has no rendering. A part holds the messages of its own turns only: a system message stands in the part of
+its turn and is not repeated in later ones. Texts of any length are rendered whole; an empty table gives an empty result. "<|" in a text or role is written "< |", so that no text
 can forge a message. Other columns are ignored.
 """
 
@@ -43,12 +44,21 @@ def rotate(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", r
     # a block of one turn is cut by hash; turns that share a block are cut by turn first
     share = (F.pmod(F.coalesce("turn", F.lit(0)), F.lit(turns)) * (1 << 32) + place) / (turns * (1 << 32))
     placed = cut.withColumn("slice", F.coalesce(F.least(F.floor(share * F.col("slices") * turns), F.col("slices") * turns - 1), F.lit(0)).cast("bigint")).drop("c", "b", "slices")
+    parts = placed.groupBy("conv", "block", "slice").agg(F.array_sort(F.collect_list(F.struct("turn", "key", "role", "text"))).alias("said"))
+    # parts meet their speakers by runs of parts, so that a long conversation is spread over tasks
+    run = F.struct(F.floor(F.col("block") / turns).alias("block"), F.floor(F.col("slice") / turns).alias("slice"))
+    parts = parts.withColumn("run", run)
     speakers = messages.where(F.col("role").isNotNull() & (F.col("role") != SYSTEM)).select(F.col("conv").alias("of"), F.col("role").alias("perspective")).distinct()
-    seen = placed.join(speakers, F.col("conv").eqNullSafe(F.col("of"))).drop("of")
-    mine = F.coalesce(F.col("role") == F.col("perspective"), F.lit(False))
-    head = F.when(mine, F.lit("<|im_start|>assistant\n")).when(F.col("role") == SYSTEM, F.lit("<|im_start|>system\n")).otherwise(F.concat(F.lit("<|im_start|>user"), F.coalesce(F.concat(F.lit(" name="), _safe(F.col("role"))), F.lit("")), F.lit("\n")))
-    said = seen.select("conv", "perspective", "block", "slice", F.struct("turn", "key", head.alias("head"), F.concat(_safe(F.col("text")), F.lit("<|im_end|>\n")).alias("body"), mine.alias("mine")).alias("m"))
-    parts = said.groupBy("conv", "perspective", "block", "slice").agg(F.array_sort(F.collect_list("m")).alias("ms"))
+    runs = parts.select("conv", "run").distinct().join(speakers, F.col("conv").eqNullSafe(F.col("of"))).select("of", F.col("run").alias("of_run"), "perspective")
+    seen = parts.join(runs, F.col("conv").eqNullSafe(F.col("of")) & F.col("run").eqNullSafe(F.col("of_run")))
+
+    def voiced(m: Column) -> Column:
+        mine = F.coalesce(m["role"] == F.col("perspective"), F.lit(False))
+        head = F.when(mine, F.lit("<|im_start|>assistant\n")).when(m["role"] == SYSTEM, F.lit("<|im_start|>system\n"))
+        head = head.otherwise(F.concat(F.lit("<|im_start|>user"), F.coalesce(F.concat(F.lit(" name="), _safe(m["role"])), F.lit("")), F.lit("\n")))
+        return F.struct(head.alias("head"), F.concat(_safe(m["text"]), F.lit("<|im_end|>\n")).alias("body"), mine.alias("mine"))
+
+    parts = seen.select("conv", "perspective", "block", "slice", F.transform("said", voiced).alias("ms"))
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("spans"))
 
     def step(state: Column, m: Column) -> Column:
