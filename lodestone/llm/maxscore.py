@@ -7,10 +7,11 @@ that it can make to a query's score. For each query, the terms are sorted by the
 bounds; those at the end whose spreads together cannot lift a vector to the current k-th score
 are non-essential. The essential postings are traversed for the whole shard, then the
 non-essential ones are probed, a few at a time, only for vectors that are still competitive.
-The shards' k best are merged by query.
+A task merges its shards' k best by query as it goes, so that each
+shard starts from the threshold of those before it, and the tasks' k best are merged by query.
 
-Queries travel in blocks of about BLOCK, each to every shard; a block and a shard meet through a
-shuffle by their pair, so nothing that grows is broadcast or collected. Vectors that are null or
+Shards are stored and stay in place. Queries come to them in blocks of at most BLOCK, one block after the other, each by a
+broadcast that BLOCK bounds; only the k best of each query and task are shuffled. Vectors that are null or
 hold null or non-finite components take no part; shorter vectors count as padded with zeros. Rows
 that share an id are rows of their own: a query excludes only its own row. Equal scores rank the
 smaller id first, null ids last. Null ids are no queries. Components beyond 64 bits and scores that may reach
@@ -20,9 +21,9 @@ smaller id first, null ids last. Null ids are no queries. Components beyond 64 b
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +32,9 @@ from lodestone.llm.shared import checkpoint, stored
 
 SCALE = 256
 SHARD = 16_384
-BLOCK = 512
+BLOCK = 4096
+#: Blocks whose results are written at once.
+BLOCKS = 16
 #: Vectors that are scored first, to get a threshold, and terms that are probed between two tests.
 SEEDS, STEP = 128, 8
 _PACKED = "dims int, n int, rows binary, ids binary, named binary, cells binary"
@@ -98,27 +101,9 @@ def _pack_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _ARROW = pa.schema([("dims", pa.int32()), ("n", pa.int32()), ("rows", pa.binary()), ("ids", pa.binary()), ("named", pa.binary()), ("cells", pa.binary())])
 
 
-def _pack_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted by block: a row for each block, or for each part of BLOCK * 4 rows of it."""
-    schema, held, current = pa.schema([("block", pa.int64()), *_ARROW]), [], None
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        for batch in _batches(iter(held), BLOCK * 4):
-            yield pa.RecordBatch.from_pylist([{"block": current} | _pack(batch)], schema=schema)
-
-    for batch in batches:
-        block = batch.column(0).to_numpy()
-        for part in np.split(np.arange(len(block)), np.flatnonzero(np.diff(block)) + 1):
-            if len(part) and block[part[0]] != current:
-                yield from flush()
-                held, current = [], int(block[part[0]])
-            if len(part):
-                held.append(batch.slice(part[0], len(part)))
-    yield from flush()
-
-
-def search_shard(query: np.ndarray, own: int, rows: np.ndarray, ids: np.ndarray, named: np.ndarray, terms: np.ndarray, least: np.ndarray, most: np.ndarray, k: int) -> list[tuple[int, int | None]]:
-    """The k best (score, id) of a shard for one query. terms: dimension by vector; least, most: the values' bounds."""
+def search_shard(query: np.ndarray, own: int, rows: np.ndarray, ids: np.ndarray, named: np.ndarray, terms: np.ndarray, least: np.ndarray, most: np.ndarray, k: int, known: float = -np.inf) -> list[tuple[int, int | None]]:
+    """The k best (score, id) of a shard for one query, of those that score at least ``known``. terms: dimension by vector; least, most:
+    the values' bounds."""
     a, b = query * least, query * most
     low, spread = np.minimum(a, b), np.abs(a - b)
     order = np.argsort(-spread, kind="stable")
@@ -135,7 +120,7 @@ def search_shard(query: np.ndarray, own: int, rows: np.ndarray, ids: np.ndarray,
     seeds = np.argpartition(-partial, SEEDS)[:SEEDS] if n > SEEDS else np.arange(n)
     exact = query.astype(terms.dtype) @ terms[:, seeds]
     exact = np.sort(exact[~mine[seeds]])
-    limit = float(exact[-k]) if len(exact) >= k else -np.inf
+    limit = max(known, float(exact[-k]) if len(exact) >= k else -np.inf)
     # essential: the fewest terms without which no vector reaches the threshold
     essential = int(np.searchsorted(-(floor + rest), -limit, side="left"))
     essential = min(len(order), max(STEP, essential))
@@ -158,38 +143,53 @@ def search_shard(query: np.ndarray, own: int, rows: np.ndarray, ids: np.ndarray,
     return [(int(partial[i]), int(ids[alive[i]]) if named[alive[i]] else None) for i in best]
 
 
-def _search(pairs: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
-    for frame in pairs:
-        for pair in frame.to_dict("records"):
-            rows, ids, named, cells = _unpack({c: pair[c] for c in ("dims", "n", "rows", "ids", "named", "cells")})
-            q_rows, q_ids, _, queries = _unpack({c: pair["q_" + c] for c in ("dims", "n", "rows", "ids", "named", "cells")})
-            dims = max(len(cells), len(queries))
-            cells, queries = (np.pad(x, ((0, dims - len(x)), (0, 0))) for x in (cells, queries))
-            reach = int(np.abs(cells).max(initial=0)) * int(np.abs(queries).max(initial=0)) * max(1, dims)
-            if reach >= 1 << 53:
-                raise OverflowError("inner products exceed 2^53")
-            terms = np.ascontiguousarray(cells.astype(np.float32 if reach < 1 << 24 else np.float64))
-            least, most = cells.min(axis=1, initial=0), cells.max(axis=1, initial=0)
-            out = []
-            for i in range(queries.shape[1]):
-                out += [(int(q_rows[i]), int(q_ids[i]), *hit) for hit in search_shard(queries[:, i], int(q_rows[i]), rows, ids, named, terms, least, most, k)]
-            yield pd.DataFrame({"q_row": pd.array([x[0] for x in out], "int64"), "query_id": pd.array([x[1] for x in out], "int64"), "score": pd.array([x[2] for x in out], "int64"), "vec_id": pd.array([x[3] for x in out], "Int64")})
+def _search(block: dict, k: int):  # noqa: ANN202
+    """The k best (q_row, query_id, score, vec_id) of each query of the block among a task's packed shards."""
+    schema = pa.schema([("q_row", pa.int64()), ("query_id", pa.int64()), ("score", pa.int64()), ("vec_id", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q_rows, q_ids, _, asked = _unpack(block.value)
+        best: list[list[tuple[int, int | None]]] = [[] for _ in q_rows]
+        for batch in batches:
+            for i in range(batch.num_rows):  # one shard at a time
+                rows, ids, named, cells = _unpack(batch.slice(i, 1).to_pylist()[0])
+                dims = max(len(cells), len(asked))
+                cells, queries = (np.pad(x, ((0, dims - len(x)), (0, 0))) for x in (cells, asked))
+                reach = int(np.abs(cells).max(initial=0)) * int(np.abs(queries).max(initial=0)) * max(1, dims)
+                if reach >= 1 << 53:
+                    raise OverflowError("inner products exceed 2^53")
+                terms = np.ascontiguousarray(cells.astype(np.float32 if reach < 1 << 24 else np.float64))
+                least, most = cells.min(axis=1, initial=0), cells.max(axis=1, initial=0)
+                for q in range(queries.shape[1]):
+                    known = best[q][-1][0] if len(best[q]) == k else -np.inf
+                    hits = search_shard(queries[:, q], int(q_rows[q]), rows, ids, named, terms, least, most, k, known)
+                    best[q] = sorted(best[q] + hits, key=lambda x: (-x[0], x[1] is None, x[1] or 0))[:k]
+        found = [(int(q_rows[q]), int(q_ids[q]), *hit) for q, hits in enumerate(best) for hit in hits]
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found, strict=True), schema, strict=True)], schema=schema)
+
+    return run
 
 
 def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, scale: int = SCALE) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows for each row that is_query holds for (a column of ``id``)."""
+    context = vectors.sparkSession.sparkContext
     rows = stored(quantised(vectors, id_col, vector_col, scale))  # positions may differ from scan to scan
-    shards = checkpoint(rows.mapInArrow(_pack_shards, _PACKED).withColumn("shard", F.monotonically_increasing_id()))
-    spread = max(1, shards.count())
+    shards = stored(rows.mapInArrow(_pack_shards, _PACKED), "none")
     wanted = rows.where(is_query & F.col("id").isNotNull())
-    blocks = max(1, -(-wanted.count() // BLOCK))
-    numbered = wanted.select(F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("block"), "row", "id", "vec")
-    packed = checkpoint(numbered.repartition(min(blocks, 4096), "block").sortWithinPartitions("block").mapInArrow(_pack_blocks, "block bigint, " + _PACKED))
-    names = [c.split()[0] for c in _PACKED.split(", ")]
-    # a block meets a shard where its number and a number dealt to the shard agree
-    left = shards.withColumn("to", F.pmod(F.xxhash64("shard"), F.lit(spread))).withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
-    right = packed.select("block", *(F.col(c).alias("q_" + c) for c in names)).withColumn("to", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))))
-    pairs = left.join(right, ["block", "to"]).select(*names, *("q_" + c for c in names))
-    found = pairs.mapInPandas(lambda frames: _search(frames, k), "q_row bigint, query_id bigint, score bigint, vec_id bigint")
+    blocks = max(1, -(-wanted.count() // (BLOCK // 2)))  # dealt by hash, so a block holds about half of what it may
+    named = wanted.select(F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("block"), "row", "id", "vec")
+    queries = stored(named.repartition(min(blocks, 4096), "block").sortWithinPartitions("block"))
+    found, waiting = None, []
+    for i in range(blocks):
+        own = queries.where(F.col("block") == i).select("row", "id", "vec").toArrow()
+        for at in range(0, own.num_rows, BLOCK):
+            part = own.slice(at, BLOCK).combine_chunks().to_batches()[0]
+            waiting.append(shards.mapInArrow(_search(context.broadcast(_pack(part)), k), "q_row bigint, query_id bigint, score bigint, vec_id bigint"))
+        if len(waiting) >= BLOCKS or i == blocks - 1 and waiting:
+            some = checkpoint(reduce(DataFrame.unionByName, waiting))
+            found, waiting = some if found is None else found.unionByName(some), []
+    if found is None:
+        found = vectors.sparkSession.createDataFrame([], "q_row bigint, query_id bigint, score bigint, vec_id bigint")
     order = Window.partitionBy("q_row").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last())
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
