@@ -6,18 +6,19 @@ floor(target / size of the source) times, and once more those whose hash lies be
 The threshold is found without sorting: words are summed by source and hash bucket, the bucket
 that the rest of the budget ends in is found, and only that bucket is split again by the next
 bits of the hash, until few rows are left in it. Within it, a row is taken if the budget reaches
-its middle. Thresholds are nested: a larger budget takes all that a smaller one takes.
+its middle. Thresholds are nested: a larger budget takes all that a smaller one takes. No row is taken more than LIMIT times,
+those without words neither.
 
 The hash is MD5 of id and text, so reruns and other layouts agree. Rows that share both tie; the
-hash of their position in the scan decides between them. Null texts have size 0, null sources are
-one source, ranked last. An empty table gives an empty result.
+hash of their position in the scan decides between them. Null and empty texts have size 0, texts of any length are counted
+whole, null sources are one source, ranked last. An empty table gives an empty result. Other columns, whatever their
+names, are kept by ``mix`` and not read otherwise.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 from lodestone.llm.shared import broadcast_if_small, checkpoint, fresh, stored
 
@@ -30,9 +31,8 @@ SMALL_BUCKET = 20_000
 _KEY_DIGITS = 64
 
 
-@F.pandas_udf(LongType())
-def count_words(text):  # noqa: ANN001, ANN201
-    return text.map(lambda t: len(t.encode().split()) if t else 0).astype("int64")
+def count_words(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint")
 
 
 def targets(base: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit: int = LIMIT) -> DataFrame:
@@ -90,7 +90,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     edges = checkpoint(edges.join(last, F.col("source").eqNullSafe(F.col("of")), "left").drop("of"))
     # all of a smaller bucket, and of the boundary bucket what is not behind its last row taken
     extra = (F.substring("key", 1, width) < F.col("prefix")) | ((F.substring("key", 1, width) == F.col("prefix")) & F.coalesce(F.col("key") <= F.col("last"), F.lit(False)))
-    return _of_source(rows, edges).select("row", "id", "size", "source_size", "target", (F.col("full") + extra.cast("bigint")).alias("times"))
+    return _of_source(rows, edges).select("row", "id", "size", "source_size", "target", F.least(F.lit(limit), F.col("full") + extra.cast("bigint")).alias("times"))
 
 
 def _of_source(rows: DataFrame, edges: DataFrame) -> DataFrame:
