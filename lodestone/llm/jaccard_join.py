@@ -224,21 +224,23 @@ def _sets(texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """(g, set binary): the sets of the wanted nodes (key, g), each from its row of (key, text). Where a filter of the
     wanted keys gets too large, a semi-join takes its place. A task makes each set once."""
     seen = CellFilter.members(wanted.select("key"), wanted.count())
-    if seen is not None:
-        texts = texts.where(asked(texts.sparkSession, seen)("key"))
-    else:
+    if seen is None:
         texts = texts.join(wanted.select("key").distinct(), "key", "left_semi")
+    shared = texts.sparkSession.sparkContext.broadcast(seen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: set[bytes] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                sets = {node_of(x): x for x, _ in _sets_of(batch.column(0).slice(at, 512), shingle)}
+                part = batch.slice(at, 512)
+                if shared.value is not None:
+                    part = part.filter(pa.array(shared.value.maybe_repeated(part.column(1).to_numpy())))
+                sets = {node_of(x): x for x, _ in _sets_of(part.column(0), shingle)}
                 sets = {g: x for g, x in sets.items() if g not in made}
                 made.update(sets)
                 yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.binary()), pa.array([x.tobytes() for x in sets.values()], pa.binary())], names=["g", "set"])
 
-    made = texts.select("text").mapInArrow(run, "g binary, set binary").join(wanted.select("g"), "g", "left_semi")
+    made = texts.select("text", "key").mapInArrow(run, "g binary, set binary").join(wanted.select("g"), "g", "left_semi")
     return stored(made.groupBy("g").agg(F.first("set").alias("set")), "none")
 
 

@@ -8,7 +8,6 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -194,7 +193,7 @@ class CellFilter:
                 got = batch.column(0).drop_null().to_numpy(zero_copy_only=False)
                 held.append(got.astype(np.int64).view(np.uint64))
                 n += len(got)
-                if n >= 1_000_000:
+                if n >= 500_000:
                     yield from flush(held)
                     held, n = [], 0
             yield from flush(held)
@@ -234,8 +233,8 @@ def asked(spark: SparkSession, seen: CellFilter):  # noqa: ANN201
     """A function from a column of hashes to the filter's answers."""
     shared = spark.sparkContext.broadcast(seen)
 
-    @F.pandas_udf("boolean")
-    def maybe(h: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.maybe_repeated(h.to_numpy(np.int64)))
+    @F.arrow_udf("boolean")
+    def maybe(h: pa.Array) -> pa.Array:
+        return pa.array(shared.value.maybe_repeated(h.to_numpy(zero_copy_only=False).astype(np.int64)))
 
     return maybe

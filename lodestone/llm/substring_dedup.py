@@ -34,7 +34,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -320,13 +319,13 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """docs with the kept words, joined by one space, as texts; texts that lose nothing stay as they are."""
     joined, spans = _with_spans(docs, id_col, text_col)
 
-    @F.pandas_udf("string")
-    def kept(text, gone):  # noqa: ANN001, ANN202
+    @F.arrow_udf("string")
+    def kept(text: pa.Array, gone: pa.Array) -> pa.Array:
         out = []
         for t, g in zip(text, gone, strict=True):
-            words = split(t)
-            out.append(b" ".join(w for w, x in zip(words, _gone(len(words), g).tolist(), strict=True) if not x).decode())
-        return pd.Series(out, dtype=object)
+            words = split(t.as_py())
+            out.append(b" ".join(w for w, x in zip(words, _gone(len(words), g.as_py()).tolist(), strict=True) if not x).decode())
+        return pa.array(out, pa.string())
 
     changed = F.when(F.col(spans).isNotNull(), kept(F.col(text_col), F.col(spans))).otherwise(F.col(text_col))
     return joined.withColumn(text_col, changed).select(*docs.columns)

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-BLOCK = 1 << 20
+BLOCK = 1 << 17
 LONG = 256
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -80,14 +80,14 @@ def _piece(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return hashes, begins
 
 
-def blocks(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def blocks(column: pa.Array, lower: bool = False, table: np.ndarray | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first text, texts, hashes, bounds) of each block: text i of the block has the words hashes[bounds[i] : bounds[i + 1]].
 
-    The column holds strings without nulls."""
+    The column holds strings without nulls. ``table`` says what each byte is read as."""
     column = column.cast(pa.large_string())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] is not None else np.zeros(0, np.uint8)
-    table, first = _LOWER if lower else _PLAIN, 0
+    table, first = (_LOWER if lower else _PLAIN) if table is None else table, 0
     while first < len(column):
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + BLOCK, "right")) - 1)
         last = min(last, len(column))
@@ -98,8 +98,8 @@ def blocks(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, int, np
             to = len(raw)
             if to - at > 2 * BLOCK:
                 to = at + BLOCK
-                while to < len(raw) and not _SPACE[raw[to]]:
-                    step = np.flatnonzero(_SPACE[raw[to : to + BLOCK]])
+                while to < len(raw) and not _SPACE[table[raw[to]]]:
+                    step = np.flatnonzero(_SPACE[table[raw[to : to + BLOCK]]])
                     to = min(len(raw), to + (int(step[0]) if len(step) else BLOCK))
             found, where = _piece(table[raw[at:to]], own - at)
             hashes.append(found)
