@@ -88,6 +88,7 @@ class Index:
         self.base = float(toxic.mean()) if examples else 0.0
         self.number, self.factor = np.zeros(0, np.uint64), np.zeros(0)
         self.docs, self.toxic, self.blocks, self.curve = [], np.zeros(0), 0, ([0.0], [self.base])
+        self.row, self.rows = np.zeros(0, np.int64), np.zeros((0, 0))
         if not examples or self.base in (0.0, 1.0) or not any(len(w) for _, _, w, _ in examples):
             return
         n = len(examples)
@@ -165,7 +166,7 @@ class Index:
             for i, (at, vector) in enumerate(vectors):
                 rows = self.row[at] if len(at) else np.zeros(0, np.int64)
                 strong[i, rows[rows >= 0]] = vector[rows >= 0]
-            sums = strong @ self.rows if len(self.rows) else np.zeros((len(vectors), self.blocks * BLOCK))
+            sums = strong @ self.rows if self.rows.size else np.zeros((len(vectors), self.blocks * BLOCK))
             out += [self._opened(at, vector, sums[i], k, without and without[first + i]) for i, (at, vector) in enumerate(vectors)]
         return out
 
