@@ -7,36 +7,19 @@ the same way on both sides.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions import hashing, text, vector
 from lodestone.operators import changelog, graph, metrics, provenance, retrieval
 from lodestone.plans import chunking
+from lodestone.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 NAMESPACE = uuid.UUID("6f1f2f0e-9a4e-5b1c-8a53-0d2c8c4d7e11")
 TERMS = [(1, "moron"), (1, "the"), (2, "loser"), (2, "und"), (3, "license"), (3, "released"), (4, "clown"), (4, "scum")]
 WEIGHTS = {"purchase": 0.1, "error": -0.15, "view": 0.01, "click": -0.02}
 
 
-def query(sql: str) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def _words(column: str) -> str:
     return f"regexp_extract_all(lower({column}), '[a-z0-9_]+')"
 
@@ -190,7 +173,7 @@ def h2_h6_h7_s11_identities(spark, sf_dir):  # noqa: ANN001, ANN201
 @query("""SELECT source, sha256(string_agg(sha256(text), ',' ORDER BY doc_id)) AS fingerprint, count(*) AS n FROM documents GROUP BY source""")
 def h9_corpus_fingerprint(spark, sf_dir):  # noqa: ANN001, ANN201
     docs = table(spark, sf_dir, "documents").select("source", "doc_id", hashing.sha256(F.col("text")).alias("h"))
-    return docs.groupBy("source").agg(hashing.sha256(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "h"))), lambda x: x["h"]), ",")).alias("fingerprint"), F.count(F.lit(1)).alias("n"))
+    return hashing.corpus_fingerprint(docs, "source", "doc_id", "h")
 
 
 # ---- chunking and budgets
@@ -236,7 +219,7 @@ def _dense(spark, sf_dir, k):  # noqa: ANN001, ANN202
 _COSINE = "list_dot_product(q.e, v.e) / (sqrt(list_dot_product(q.e, q.e)) * sqrt(list_dot_product(v.e, v.e)))"
 _DENSE = f"""v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
     dense AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, point_id) AS rank FROM (
-        SELECT q.vec_id AS query_id, v.vec_id AS point_id, greatest(-1.0, least(1.0, {_COSINE})) AS score FROM v AS q, v WHERE q.vec_id < 8) QUALIFY rank <= 10)"""
+        SELECT q.vec_id AS query_id, v.vec_id AS point_id, greatest(-1.0, least(1.0, {_COSINE})) AS score FROM v AS q, v WHERE q.vec_id % 100 = 0) QUALIFY rank <= 10)"""
 
 
 @query(f"WITH {_DENSE} SELECT query_id, point_id, round(score, 6) AS score, rank::INT AS rank FROM dense")
@@ -264,7 +247,7 @@ def k2_bm25_top_k(spark, sf_dir):  # noqa: ANN001, ANN201
     return _sparse(spark, sf_dir, 10).withColumn("score", F.round("score", 6))
 
 
-@query(f"""WITH {_DENSE}, {_SPARSE}, a AS (SELECT query_id, point_id, rank FROM dense UNION ALL SELECT query_id, point_id, rank FROM sparse),
+@query(f"""WITH {_DENSE}, {_SPARSE}, a AS (SELECT query_id, point_id, rank FROM dense UNION ALL SELECT vec_id, point_id, rank FROM sparse JOIN embeddings ON vec_id % 100 = 0 AND query_id = 1 + vec_id // 100 % 4),
           f AS (SELECT query_id, point_id, sum(1.0::DOUBLE / (60 + rank)) AS score FROM a GROUP BY query_id, point_id)
           SELECT query_id, point_id, round(score, 9) AS score, (row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, point_id))::INT AS rank FROM f QUALIFY rank <= 10""")
 def k3_a3_hybrid_search(spark, sf_dir):  # noqa: ANN001, ANN201
@@ -394,7 +377,7 @@ def _syncs(spark, sf_dir):  # noqa: ANN001, ANN202
     return e.select((F.col("event_id") + 1).alias("sequence"), F.col("event_id").cast("string").alias("sync_id"), F.when(F.col("event_id") > 0, (F.col("event_id") - 1).cast("string")).alias("previous_sync_id"), F.when(F.col("event_id") % 50 == 7, -1).otherwise(F.col("event_id")).alias("from_version"), (F.col("event_id") + 1).alias("target_version"))
 
 
-@query("""WITH c AS (SELECT event_id + 1 AS sequence, event_id::VARCHAR AS sync_id, CASE WHEN event_id > 0 THEN (event_id - 1)::VARCHAR END AS previous, CASE WHEN event_id % 50 = 7 THEN -1 ELSE event_id END AS from_version, event_id + 1 AS target FROM events WHERE event_id < 500 AND event_id % 97 <> 5)
+@query("""WITH c AS (SELECT event_id + 1 AS sequence, event_id::VARCHAR AS sync_id, CASE WHEN event_id > 0 THEN (event_id - 1)::VARCHAR END AS previous, CASE WHEN event_id % 50 = 7 THEN -1 ELSE event_id END AS from_version, event_id + 1 AS target FROM events WHERE event_id % 97 <> 5)
           SELECT sequence, fault FROM (SELECT sequence, CASE WHEN sequence <> coalesce(lag(sequence) OVER w, 0) + 1 THEN 'sequence_gap' WHEN previous IS DISTINCT FROM lag(sync_id) OVER w THEN 'wrong_predecessor' WHEN from_version <> lag(target) OVER w THEN 'version_gap' END AS fault FROM c WINDOW w AS (ORDER BY sequence)) WHERE fault IS NOT NULL""")
 def s4_w1_chain_faults(spark, sf_dir):  # noqa: ANN001, ANN201
     return changelog.chain_faults(_syncs(spark, sf_dir))
@@ -414,7 +397,7 @@ def i11_snapshot_changed(spark, sf_dir):  # noqa: ANN001, ANN201
 # ---- aggregations
 
 
-@query("""WITH s AS (SELECT vec_id AS query_id, label FROM embeddings WHERE vec_id < 8), """ + _DENSE + """,
+@query("""WITH s AS (SELECT vec_id AS query_id, label FROM embeddings WHERE vec_id % 100 = 0), """ + _DENSE + """,
           f AS (SELECT d.query_id, min(rank) AS first FROM dense AS d JOIN embeddings AS e ON e.vec_id = point_id JOIN s USING (query_id) WHERE e.label = s.label AND rank <= 5 GROUP BY d.query_id)
           SELECT count(first) / count(*) AS recall_at_k, coalesce(sum(1.0::DOUBLE / first), 0) / count(*) AS mrr FROM s LEFT JOIN f USING (query_id)""")
 def a8_a9_w2_ranking_metrics(spark, sf_dir):  # noqa: ANN001, ANN201
@@ -514,7 +497,7 @@ def j11_latest_event(spark, sf_dir):  # noqa: ANN001, ANN201
 # ---- hierarchy, vectors, contamination
 
 
-@query("""WITH RECURSIVE n AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 11 = 0 THEN '' ELSE p_name END AS name, CASE WHEN p_partkey % 50 = 0 THEN NULL WHEN p_partkey % 50 = 49 THEN -1 ELSE p_partkey - 1 END AS parent FROM part WHERE p_partkey < 200),
+@query("""WITH RECURSIVE n AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 11 = 0 THEN '' ELSE p_name END AS name, CASE WHEN p_partkey % 50 = 0 THEN NULL WHEN p_partkey % 50 = 49 THEN -1 ELSE p_partkey - 1 END AS parent FROM part),
           l AS (SELECT k::VARCHAR AS key, CASE WHEN name = '' THEN '[unnamed:' || k || ']' ELSE name END AS label, parent::VARCHAR AS parent FROM n),
           t(key, path, fault) AS (SELECT key, CASE WHEN parent IS NULL THEN label ELSE '[missing:' || parent || ']/' || label END, CASE WHEN parent IS NOT NULL THEN 'missing_parent' END FROM l WHERE parent IS NULL OR parent NOT IN (SELECT key FROM l)
             UNION ALL SELECT l.key, t.path || '/' || l.label, NULL FROM l JOIN t ON l.parent = t.key)
@@ -547,3 +530,6 @@ def w15_rate_limit(spark, sf_dir):  # noqa: ANN001, ANN201
 
     by = Window.partitionBy("user_id").orderBy(F.unix_micros(F.col("ts").cast("timestamp"))).rangeBetween(-60_000_000, 0)
     return table(spark, sf_dir, "events").select("event_id", (F.count(F.lit(1)).over(by) <= 2).alias("allowed"))
+
+
+from lodestone import catalog_records, catalog_texts  # noqa: E402, F401 - they register their queries

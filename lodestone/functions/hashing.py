@@ -44,3 +44,31 @@ def normal_doi(value: Column) -> Column:
 def year_of(value: Column) -> Column:
     """The first four digits that stand by themselves."""
     return F.nullif(F.regexp_extract(value, r"(?<!\d)(\d{4})(?!\d)", 1), F.lit("")).cast("int")
+
+
+def corpus_fingerprint(rows, by: str, order: str, digest: str):  # noqa: ANN001, ANN201
+    """(by, fingerprint, n): SHA-256 of the digests of each group, in order and joined by commas. Rows are streamed through the hash in order, so no group
+    is ever held as a whole."""
+    import hashlib
+    from collections.abc import Iterator
+
+    import pyarrow as pa
+
+    kind = rows.schema[by].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, state, n, out = None, None, 0, []
+        for batch in batches:
+            for group, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if state is None or group != current:
+                    if state is not None:
+                        out.append((current, state.hexdigest(), n))
+                    current, state, n = group, hashlib.sha256(), 0
+                state.update((("," if n else "") + (value or "")).encode())
+                n += 1
+        if state is not None:
+            out.append((current, state.hexdigest(), n))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=[by, "fingerprint", "n"])
+
+    return rows.repartition(by).sortWithinPartitions(by, order).select(by, digest).mapInArrow(run, f"{by} {kind}, fingerprint string, n bigint")

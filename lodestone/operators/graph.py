@@ -49,3 +49,21 @@ def _cycle_members(edges: DataFrame) -> DataFrame:
     found = jump.select(F.col("parent").alias("key")).distinct()
     # the landing places of all nodes cover each cycle: every member is the landing place of some member
     return found.withColumn("cyclic", F.lit(True))
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, name) of the nodes of links (a, b): the least node of their component. In each round, every node's name becomes the least name
+    around it and then that name's own, so chains shorten fast."""
+    both = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    edges = links.select(both.alias("e")).select("e.*").distinct()
+    edges = edges.checkpoint(eager=True) if _has_dir(edges) else edges.persist()
+    names = edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("name")).withColumnRenamed("a", "node")
+    while True:
+        around = edges.join(names, F.col("b") == F.col("node")).groupBy("a").agg(F.min("name").alias("least"))
+        lower = names.join(around, F.col("node") == F.col("a")).select("node", F.col("name").alias("before"), F.least("name", "least").alias("name"))
+        own = lower.select(F.col("node").alias("of"), F.col("name").alias("its"))
+        moved = lower.join(own, F.col("name") == F.col("of"), "left").select("node", "before", F.least("name", F.coalesce("its", "name")).alias("name"))
+        moved = moved.checkpoint(eager=True) if _has_dir(moved) else moved.persist()
+        names = moved.select("node", "name")
+        if not moved.where("before <> name").limit(1).count():
+            return names

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 K1, B, RRF = 1.2, 0.75, 60
 #: Queries of a dense search that are sent together, and points that they are compared with at a time.
 BLOCK, CHUNK = 2048, 1024
+#: Distinct terms of a sparse search, and queries of a token overlap that are broadcast together.
+TERMS, OVERLAP = 4096, 512
 
 
 def matches(equal: dict[str, object] | None = None, any_of: dict[str, object] | None = None, within: dict[str, list] | None = None, ranges: dict[str, tuple] | None = None) -> Column:
@@ -89,11 +91,20 @@ def postings(docs: DataFrame, tokens: Column) -> DataFrame:
 
 
 def sparse(queries: DataFrame, docs: DataFrame, tokens: Column, k: int, k1: float = K1, b: float = B) -> DataFrame:
-    """(query_id, point_id, score, rank) by BM25. queries: (query_id, term), a bounded set."""
-    sizes = docs.select(F.size(tokens).alias("n")).agg(F.count(F.lit(1)).alias("docs"), F.avg("n").alias("mean"))
-    found = postings(docs, tokens).join(F.broadcast(queries), "term")
-    frequency = found.select("term", "point_id").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    scored = found.join(F.broadcast(frequency), "term").join(F.broadcast(sizes), F.lit(True))  # as many rows as query terms; one row
+    """(query_id, point_id, score, rank) by BM25. queries: (query_id, term), of TERMS distinct terms at most.
+
+    Of the documents' tokens only those that a query asks for leave the scan, with the documents' lengths."""
+    wanted = [r.term for r in queries.select("term").distinct().limit(TERMS + 1).collect()]
+    if len(wanted) > TERMS:
+        raise ValueError(f"more than {TERMS} terms; ask in blocks")
+    own = F.array(*map(F.lit, wanted)) if wanted else F.array().cast("array<string>")
+    asked = F.transform(F.array(tokens), lambda t: F.struct(F.size(t).alias("length"), F.filter(t, lambda x: F.array_contains(own, x)).alias("terms")))
+    rows = docs.select("point_id", F.get(asked, F.lit(0)).alias("t")).select("point_id", "t.length", "t.terms")
+    rows = rows.checkpoint(eager=True) if rows.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else rows.persist()
+    sizes = rows.agg(F.count(F.lit(1)).alias("docs"), F.avg("length").alias("mean"))
+    found = rows.where(F.size("terms") > 0).select("point_id", "length", F.explode("terms").alias("term")).groupBy("point_id", "term", "length").agg(F.count(F.lit(1)).alias("tf"))
+    frequency = found.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    scored = found.join(F.broadcast(queries), "term").join(F.broadcast(frequency), "term").join(F.broadcast(sizes), F.lit(True))  # TERMS rows at most; one row
     idf = F.log(1 + (F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.col("mean")))
     totals = scored.groupBy("query_id", "point_id").agg(F.sum(weight).alias("score"))
@@ -112,10 +123,16 @@ def hybrid(rankings: list[DataFrame], limit: int) -> DataFrame:
 
 
 def token_overlap(queries: DataFrame, docs: DataFrame, limit: int) -> DataFrame:
-    """(query_id, point_id, score, rank): the share of a query's token set that a document holds; zeros are kept. Both: (id, tokens)."""
-    pairs = docs.join(F.broadcast(queries), F.lit(True))
+    """(query_id, point_id, score, rank): the share of a query's token set that a document holds; zeros are kept. Both: (id, tokens). Queries go in blocks of
+    about OVERLAP, each a broadcast of its own, and each partition of the documents keeps the best only."""
+    blocks = max(1, -(-queries.count() // OVERLAP))
+    numbered = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
     score = F.size(F.array_intersect("query", "tokens")) / F.greatest(F.lit(1), F.size("query"))
-    return ranked(pairs.select("query_id", "point_id", score.alias("score")), limit, ["query_id"], F.desc("score"), F.col("point_id"))
+    found = []
+    for i in range(blocks):
+        pairs = docs.join(F.broadcast(numbered.where(F.col("block") == i).drop("block")), F.lit(True))
+        found.append(ranked(pairs.select("query_id", "point_id", score.alias("score")), limit, ["query_id"], F.desc("score"), F.col("point_id")))
+    return reduce(DataFrame.unionAll, found)
 
 
 def reordered(hits: DataFrame, *order: Column) -> DataFrame:

@@ -32,9 +32,38 @@ def write_jsonl(rows: DataFrame, path: str, key: str) -> None:
 
 
 def write_chunks(chunks: DataFrame, path: str) -> int:
-    """A zstd Parquet table of chunks, read back to verify its rows."""
-    chunks.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return chunks.sparkSession.read.parquet(path).count()
+    """A zstd Parquet table of chunks; its rows are counted while they are written and again from the files."""
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    chunks.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("compression", "zstd").parquet(path)
+    found = chunks.sparkSession.read.parquet(path).count()
+    if found != seen.get["n"]:
+        raise OSError(f"{path} holds {found} rows of {seen.get['n']}")
+    return found
+
+
+def read_deltas(spark: SparkSession, catalog: DataFrame, folder: str) -> DataFrame:
+    """(sequence, rows of the delta) of all files of a catalogue (sequence, sync_id, delta_path, row_count). Files that lie outside the folder, rows of
+    another sync, unknown operations and files whose number of rows isn't the catalogue's are errors."""
+    outside = catalog.where(F.col("delta_path").startswith("/") | F.array_contains(F.split("delta_path", "/"), ".."))
+    if outside.limit(1).count():
+        raise ValueError("a delta lies outside its folder")
+    rows = read_jsonl(spark, f"{folder}/*", DELTA).withColumn("file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+    known = catalog.select("sequence", F.col("sync_id").alias("expected"), "row_count", F.element_at(F.split("delta_path", "/"), -1).alias("file"))
+    both = known.join(rows, "file", "left")
+    counted = both.groupBy("sequence", "row_count").agg(F.count("operation").alias("n"), F.count_if(F.col("sync_id").isNotNull() & ~(F.col("sync_id") == F.col("expected"))).alias("others"), F.count_if(F.col("operation").isNotNull() & ~F.col("operation").isin("upsert", "delete")).alias("unknown"))
+    if counted.where("n <> row_count OR others > 0 OR unknown > 0").limit(1).count():
+        raise ValueError("a delta file is not what its catalogue says")
+    return both.where("operation IS NOT NULL").drop("expected", "row_count", "file")
+
+
+def append_catalog(catalog: DataFrame, entry: DataFrame) -> DataFrame:
+    """The catalogue with one more entry, numbered after its last; a sync that it holds already is an error."""
+    if catalog.join(entry.select("sync_id"), "sync_id", "left_semi").limit(1).count():
+        raise ValueError("the sync is in the catalogue already")
+    last = catalog.agg(F.coalesce(F.max("sequence"), F.lit(0)).alias("last"))  # one row
+    return catalog.unionByName(entry.drop("sequence").join(last, F.lit(True)).withColumn("sequence", F.col("last") + 1).drop("last"))
 
 
 def replace_documents(current: DataFrame, new: DataFrame, key: str) -> DataFrame:

@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lodestone.operators.changelog import folded
-
 
 def pending(catalog: DataFrame, consumed: DataFrame) -> DataFrame:
     """Catalogue rows after the last consumed one. A consumed delta that vanished or changed is an error."""
@@ -27,5 +25,15 @@ def consume(spark: SparkSession, path: str, schema: str, checkpoint: str, apply:
 
 
 def merged(state: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """The state after a batch (key, sequence, operation, ...); older operations never undo newer ones."""
-    return folded(state.withColumn("operation", F.lit("upsert")).unionByName(batch, allowMissingColumns=True), key, "sequence", "operation").drop("operation")
+    """The state after a batch (key, sequence, operation, ...). Deleted keys stay as tombstones with their sequence, so that older operations that
+    come later never undo newer ones; ``live`` leaves them out. A state without ``operation`` holds no tombstones."""
+    known = state if "operation" in state.columns else state.withColumn("operation", F.lit("upsert"))
+    every = known.unionByName(batch, allowMissingColumns=True)
+    # of operations with one sequence, a delete comes last
+    last = F.max_by(F.struct(*(F.col(c) for c in every.columns if c != key)), F.struct("sequence", F.when(F.col("operation") == "delete", 1).otherwise(0)))
+    return every.groupBy(key).agg(last.alias("last")).select(key, "last.*")
+
+
+def live(state: DataFrame) -> DataFrame:
+    """The rows of a merged state that aren't deleted."""
+    return state.where("operation <> 'delete'").drop("operation")

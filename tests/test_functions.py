@@ -113,3 +113,30 @@ def test_pending_deltas(spark):
     assert [r.sequence for r in deltas.pending(catalog, catalog.where("sequence = 1")).collect()] == [2, 3]
     with pytest.raises(ValueError, match="vanished or changed"):
         deltas.pending(catalog, spark.createDataFrame([(1, "other")], "sequence long, delta_sha256 string"))
+
+
+def test_merged_deltas_keep_tombstones(spark):
+    schema = "sequence long, doc string, operation string, value int"
+    state = spark.createDataFrame([], "sequence long, doc string, operation string, value int")
+    for part in ([(2, "b", "upsert", 2), (3, "a", "delete", None)], [(1, "a", "upsert", 1), (4, "b", "upsert", 3)], [(5, "c", "upsert", 4), (6, "c", "delete", None), (7, "d", "upsert", 5)]):
+        state = deltas.merged(state, spark.createDataFrame(part, schema), "doc")
+    assert {(r.sequence, r.doc, r.value) for r in deltas.live(state).collect()} == {(4, "b", 3), (7, "d", 5)}
+
+
+def test_delta_files_follow_their_catalogue(spark, tmp_path):
+    folder = tmp_path / "deltas"
+    folder.mkdir()
+    row = '{"schema_version":1,"sync_id":"%s","operation":"%s","document_id":"d%d"}\n'
+    (folder / "a.jsonl").write_text(row % ("s1", "upsert", 1) + row % ("s1", "delete", 2))
+    (folder / "b.jsonl").write_text(row % ("s2", "upsert", 3))
+    schema = "sequence long, sync_id string, delta_path string, row_count long"
+    good = [(1, "s1", "deltas/a.jsonl", 2), (2, "s2", "deltas/b.jsonl", 1)]
+    got = files.read_deltas(spark, spark.createDataFrame(good, schema), str(folder))
+    assert sorted((r.sequence, r.document_id) for r in got.collect()) == [(1, "d1"), (1, "d2"), (2, "d3")]
+    for bad in ([(1, "s1", "deltas/a.jsonl", 3)], [(1, "sx", "deltas/a.jsonl", 2)], [(1, "s1", "../a.jsonl", 2)]):
+        with pytest.raises(ValueError):
+            files.read_deltas(spark, spark.createDataFrame(bad, schema), str(folder))
+    catalog = files.append_catalog(spark.createDataFrame(good, schema), spark.createDataFrame([(0, "s3", "deltas/c.jsonl", 0)], schema))
+    assert sorted(r.sequence for r in catalog.collect()) == [1, 2, 3]
+    with pytest.raises(ValueError):
+        files.append_catalog(catalog, spark.createDataFrame(good[:1], schema))
