@@ -19,9 +19,11 @@ import zlib
 
 import numpy as np
 
-_MAGIC = b"LCM1"
+_MAGIC = b"LCM2"
+#: Ids are below this; each of them keeps a share of the order-0 interval.
+ALPHABET = 1 << 18
 #: Ids that a lane has about, and lanes at most.
-LANE, LANES = 512, 4096
+LANE, LANES = 256, 4096
 _WINDOW, _TOP, _BOTTOM, _MIX = 48, 32, 1 << 30, 24
 _MASK = (1 << _WINDOW) - 1
 _ORDER2 = 1 << 20
@@ -43,7 +45,7 @@ class _Model:
         self._sum()
 
     def _sum(self) -> None:
-        while int(self.counts.sum()) > _SUM:
+        while int(self.counts.sum()) > _SUM and int(self.counts.max()) > 1:
             self.counts = (self.counts + 1) >> 1
         self.starts = np.zeros(self.alphabet + 1, np.int64)
         np.cumsum(self.counts, out=self.starts[1:])
@@ -85,8 +87,10 @@ def _shape(n: int) -> tuple[int, int]:
 
 
 def encode(ids: np.ndarray) -> bytes:
-    """The block of the ids, which are not negative and below 2^24."""
+    """The block of the ids, which are not negative and below ALPHABET."""
     ids = np.asarray(ids, np.int64)
+    if len(ids) and (int(ids.min()) < 0 or int(ids.max()) >= ALPHABET):
+        raise ValueError(f"ids must be from 0 to {ALPHABET - 1}")
     n, alphabet = len(ids), int(ids.max(initial=0)) + 1
     lanes, steps = _shape(n)
     padded = np.zeros(lanes * steps, np.int64)
