@@ -50,7 +50,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.shared import CellFilter, asked, broadcast_if_small, checkpoint, fresh, join_totals, released, stored
+from lodestone.llm.shared import BROADCAST_ROWS, CellFilter, asked, broadcast_if_small, checkpoint, fresh, join_totals, released, stored
 from lodestone.llm.words import blocks, mixed, runs_of
 
 SHINGLE = 3
@@ -156,24 +156,28 @@ def _nodes(rows: DataFrame, rank: np.ndarray, weights: np.ndarray, shingle: int,
     return rows.mapInArrow(run, "id bigint, row bigint, key bigint, g binary, n bigint, window array<bigint>, sketch binary")
 
 
-def _regions(cells: DataFrame, least: int = 2) -> DataFrame:
-    """(s, size, items) of the cells (s, g, n, ball) that may hold a link still unknown: two sets or more, one of them outside
-    the pivot's ball. Of cells with the same sets, one stays. Map-side aggregation takes hot cells in its stride."""
-    one = F.xxhash64("g").cast("decimal(38,0)")
-    found = cells.groupBy("s").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("items"), F.sum(one).alias("sum"), F.bit_xor(F.xxhash64("g", F.lit(1))).alias("bits"), F.bool_and("ball").alias("settled"))
-    found = found.where((F.col("size") >= least) & ~F.col("settled"))
-    return checkpoint(found.groupBy("size", "items", "sum", "bits").agg(F.min("s").alias("s")).select("s", "size", "items"))
+def _regions(cells: DataFrame) -> DataFrame:
+    """(s, size) of the cells (s, g, n, ball) that may hold a link still unknown: two sets or more, one of them outside
+    the pivot's ball. Of cells with the same sets (by 128 bits), one stays. Map-side aggregation takes hot cells in its stride."""
+    found = cells.groupBy("s").agg(F.count(F.lit(1)).alias("size"), *(F.bit_xor(F.xxhash64("g", F.lit(i))).alias(f"bits{i}") for i in range(2)), F.bool_and("ball").alias("settled"))
+    found = found.where((F.col("size") > 1) & ~F.col("settled"))
+    return checkpoint(found.groupBy("size", "bits0", "bits1").agg(F.min("s").alias("s")).select("s", "size"))
 
 
 def _members(cells: DataFrame, regions: DataFrame) -> DataFrame:
-    """(s, g, n, size, items): the cells' rows of the regions. A filter keeps rows of other cells from being shuffled."""
-    count = regions.count()
-    seen = CellFilter.members(regions.select("s"), count)
+    """(s, g, n, size): the cells' rows of the regions. A filter keeps rows of other cells from being shuffled."""
+    seen = CellFilter.members(regions.select("s"), regions.count())
     if seen is not None:
         cells = cells.where(asked(cells.sparkSession, seen)("s"))
     return stored(join_totals(cells.select("s", "g", "n"), "s", regions, "size"), "none")
 
 
+def _sized(members: DataFrame) -> DataFrame:
+    """The members (s, g, n, ...) with the size of their region and the number of its shingles."""
+    sizes = checkpoint(members.groupBy("s").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("items")))
+    return join_totals(members.select("s", "g", "n"), "s", sizes, "size")
+
+
 def _grouped(percent: int):  # noqa: ANN202
     """The rows (s, g, n) of the rows (s, g, n, sketch), in order of s, that sketches leave a link to; s is hashed on with the group
     that the possible links connect. Sets share at most the sum of the lesser counters."""
@@ -220,28 +224,27 @@ def _grouped(percent: int):  # noqa: ANN202
     return run
 
 
+def _wanted(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts (text, key) with the columns of the wanted rows (key, ...), of which there may be several for a key. Beyond a number of wanted rows that may
+    be broadcast, a filter keeps other texts from being shuffled, as long as it stays small itself."""
+    count = wanted.count()
+    if count <= BROADCAST_ROWS:
+        return texts.join(F.broadcast(wanted), "key")
+    seen = CellFilter.members(wanted.select("key"), count)
+    return (texts if seen is None else texts.where(asked(texts.sparkSession, seen)("key"))).join(wanted, "key")
+
+
 def _sets(texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(g, set binary): the sets of the wanted nodes (key, g), each from its row of (key, text). Where a filter of the
-    wanted keys gets too large, a semi-join takes its place. A task makes each set once."""
-    seen = CellFilter.members(wanted.select("key"), wanted.count())
-    if seen is None:
-        texts = texts.join(wanted.select("key").distinct(), "key", "left_semi")
-    shared = texts.sparkSession.sparkContext.broadcast(seen)
+    """(g, set binary): the sets of the wanted nodes (key, g), each from its row of (key, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made: set[bytes] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                if shared.value is not None:
-                    part = part.filter(pa.array(shared.value.maybe_repeated(part.column(1).to_numpy())))
-                sets = {node_of(x): x for x, _ in _sets_of(part.column(0), shingle)}
-                sets = {g: x for g, x in sets.items() if g not in made}
-                made.update(sets)
-                yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.binary()), pa.array([x.tobytes() for x in sets.values()], pa.binary())], names=["g", "set"])
+                sets = [x.tobytes() for x, _ in _sets_of(part.column(1), shingle)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["g", "set"])
 
-    made = texts.select("text", "key").mapInArrow(run, "g binary, set binary").join(wanted.select("g"), "g", "left_semi")
-    return stored(made.groupBy("g").agg(F.first("set").alias("set")), "none")
+    return stored(_wanted(texts, wanted).dropDuplicates(["g"]).select("g", "text").mapInArrow(run, "g binary, set binary"), "none")
 
 
 class Region:
@@ -306,29 +309,31 @@ class Region:
             self.probe(int(rest[0]), members)
 
 
-def _join_regions(percent: int):  # noqa: ANN202
-    """Links (a, b) of the rows (s, g, set), which come in order of s."""
+def _join_regions(percent: int, shingle: int | None = None):  # noqa: ANN202
+    """Links (a, b) of the rows (s, g, set) or, with a shingle length, (s, g, text), which come in order of s; rows of one g may repeat."""
 
-    def settle(names: list[bytes], sets: list[np.ndarray]) -> pa.RecordBatch:
-        links = []
+    def settle(found: dict[bytes, np.ndarray]) -> pa.RecordBatch:
+        names, links = list(found), []
         if len(names) > 1:
-            region = Region(sets, percent)
+            region = Region(list(found.values()), percent)
             region.join(np.arange(len(names)))
             links = region.links
         return pa.RecordBatch.from_arrays([pa.array([names[a] for a, _ in links], pa.binary()), pa.array([names[b] for _, b in links], pa.binary())], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, names, sets = None, [], []
+        current, found = None, {}
         for batch in batches:
-            for s, g, items in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                if s != current:
-                    if names:
-                        yield settle(names, sets)
-                    current, names, sets = s, [], []
-                names.append(g.as_py())
-                sets.append(np.frombuffer(items.as_py(), np.uint64))
-        if names:
-            yield settle(names, sets)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = (np.frombuffer(x.as_py(), np.uint64) for x in part.column(2)) if shingle is None else (x for x, _ in _sets_of(part.column(2), shingle))
+                for s, g, own in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), sets, strict=True):
+                    if s != current:
+                        if found:
+                            yield settle(found)
+                        current, found = s, {}
+                    found[g] = own
+        if found:
+            yield settle(found)
 
     return run
 
@@ -462,27 +467,29 @@ def _links(cells: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int, p
     # groups that have sets in common
     least = cells.groupBy("s").agg(F.min("g").alias("least"), F.count(F.lit(1)).alias("size"))
     stars = join_totals(cells.select("s", "g"), "s", checkpoint(least), "size").select(F.col("g").alias("a"), F.col("least").alias("b"))
-    named = components(stars).withColumnRenamed("node", "g")
-    one = checkpoint(join_totals(cells.select("g", "n").distinct(), "g", named.withColumn("times", F.lit(1)), "times").select("name", "g", "n"))
-    sizes = checkpoint(one.groupBy("name").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("items")))
+    named = components(stars).withColumnsRenamed({"node": "g", "name": "s"})
+    one = checkpoint(cells.select("g", "n").distinct().join(named, "g").select("s", "g", "n"))
+    sized = checkpoint(_sized(one))
     small = (F.col("size") <= SMALL) & ((F.col("items") <= ITEMS) | (F.col("size") <= 4 * PIVOTS))
-    whole = join_totals(one, "name", sizes.where(small), "size").select(F.xxhash64("name").alias("s"), "g", "n", "size", "items")
-    sets = _sets(texts, checkpoint(nodes.join(one.select("g"), "g", "left_semi").select("key", "g")), shingle)
-    placed = whole.select("s", "g").join(sets, "g").select("s", "g", "set").repartition("s").sortWithinPartitions("s")
-    links = checkpoint(placed.mapInArrow(_join_regions(percent), "a binary, b binary"))
-    rest = join_totals(one, "name", sizes.where(~small), "size").select("g")
+    keyed = nodes.join(sized, "g").select("key", "g", F.xxhash64("s").alias("s"), small.alias("small"))
+    # texts are smaller than their sets, so they are what travels
+    placed = _wanted(texts, checkpoint(keyed.where("small").select("key", "g", "s"))).select("s", "g", "text").repartition("s").sortWithinPartitions("s")
+    links = checkpoint(placed.mapInArrow(_join_regions(percent, shingle), "a binary, b binary"))
+    rest = checkpoint(keyed.where("NOT small").select("key", "g"))
     if not rest.limit(1).count():
-        released(cells, sets)
+        released(cells)
         return links
-    rest = checkpoint(rest)
-    first, cells = cells, cells.join(rest, "g", "left_semi").withColumn("ball", F.lit(False))
+    sets = _sets(texts, rest, shingle)
+    first, cells = cells, cells.join(rest.select("g"), "g", "left_semi").withColumn("ball", F.lit(False))
     while True:
         members = _members(cells, _regions(cells))
-        placed = members.where(small).select("s", "g").join(sets, "g").select("s", "g", "set").repartition("s").sortWithinPartitions("s")
+        sized = checkpoint(_sized(members))
+        released(members)
+        placed = sized.where(small).select("s", "g").join(sets, "g").select("s", "g", "set").repartition("s").sortWithinPartitions("s")
         links = links.unionByName(checkpoint(placed.mapInArrow(_join_regions(percent), "a binary, b binary")))
-        large = members.where(~small)
+        large = sized.where(~small)
         if not large.limit(1).count():
-            released(first, members, sets)
+            released(first, sets)
             return links
         more, cells = _dealt(large, sets, percent)
         links = links.unionByName(checkpoint(more))

@@ -78,6 +78,14 @@ def released(*tables: DataFrame) -> None:
             _delete(df.sparkSession, path)
 
 
+def released_but(*tables: DataFrame) -> None:
+    """Deletes all stored tables but these."""
+    kept = {getattr(df, "_lodestone_path", None) for df in tables}
+    for spark, path in [x for x in _written if x[1] not in kept]:
+        _written.remove((spark, path))
+        _delete(spark, path)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
