@@ -2,7 +2,11 @@
 their target weights, and what is left is encoded.
 
 Each stage is (name, function of (spark, docs, sf_dir)); its result is written as Parquet and read again as the next
-stage's docs. All but the last return the columns of documents.
+stage's docs. All but the last return the columns of documents. When a stage starts, what earlier ones stored on the way is
+deleted, since their results are written by then.
+
+Null texts count as empty, null ids and sources as values of their own, repeated rows are copies; texts of any length are read whole.
+Extra columns pass through, whatever their names. An empty table gives an empty corpus.
 """
 
 from __future__ import annotations
@@ -11,31 +15,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import bpe, exact_dedup, jaccard_join, mixing, toxicity
-from lodestone.llm.shared import stored, table
+from lodestone.llm.shared import released_but, stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the nearest labelled examples don't call toxic."""
+    released_but(docs)
     return toxicity.accepted(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (but for the case of A-Z), the row of the largest doc_id."""
+    released_but(docs)
     return exact_dedup.deduplicate(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: words in shingles of five, Jaccard similarity of 0.8 or more."""
+    released_but(docs)
     return jaccard_join.representatives(docs, shingle=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sources at their target weights; a document that the mix takes several times has as many rows."""
+    released_but(docs)
     return mixing.mix(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and ids of each row."""
+    released_but(docs)
     return bpe.encode(docs).select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
 
 
