@@ -78,12 +78,25 @@ def released(*tables: DataFrame) -> None:
             _delete(df.sparkSession, path)
 
 
-def released_but(*tables: DataFrame) -> None:
-    """Deletes all stored tables but these."""
-    kept = {getattr(df, "_lodestone_path", None) for df in tables}
-    for spark, path in [x for x in _written if x[1] not in kept]:
-        _written.remove((spark, path))
-        _delete(spark, path)
+class Leftovers:
+    """What a step stored on its way to a result, which is deleted once the result is written elsewhere."""
+
+    def __init__(self) -> None:
+        self.tables: list[tuple[SparkSession, str]] = []
+
+    def delete(self) -> None:
+        for spark, path in self.tables:
+            if (spark, path) in _written:
+                _written.remove((spark, path))
+                _delete(spark, path)
+        self.tables = []
+
+    def of(self, step: Callable[[], DataFrame]) -> DataFrame:
+        """The step's result; what it stores is kept for ``delete``."""
+        before = set(_written)
+        out = step()
+        self.tables += [x for x in _written if x not in before]
+        return out
 
 
 def _delete(spark: SparkSession, path: str) -> None:
