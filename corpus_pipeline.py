@@ -11,44 +11,53 @@ Extra columns pass through, whatever their names. An empty table gives an empty
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import bpe, exact_dedup, jaccard_join, mixing, toxicity
-from lodestone.llm.shared import released_but, stored, table
+from lodestone.llm.shared import Leftovers, stored, table
+
+_leftovers = Leftovers()
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the nearest labelled examples don't call toxic."""
-    released_but(docs)
     return toxicity.accepted(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (but for the case of A-Z), the row of the largest doc_id."""
-    released_but(docs)
     return exact_dedup.deduplicate(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: words in shingles of five, Jaccard similarity of 0.8 or more."""
-    released_but(docs)
     return jaccard_join.representatives(docs, shingle=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sources at their target weights; a document that the mix takes several times has as many rows."""
-    released_but(docs)
     return mixing.mix(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and ids of each row."""
-    released_but(docs)
     return bpe.encode(docs).select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
 
 
-STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("jaccard_join", drop_near_copies), ("mixing", mix_sources), ("byte_bpe", encode)]
+def _tidy(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage, which first deletes what the one before it left."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _leftovers.delete()
+        return _leftovers.of(lambda: stage(spark, docs, sf_dir))
+
+    return run_stage
+
+
+STAGES = [(name, _tidy(stage)) for name, stage in (("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("jaccard_join", drop_near_copies), ("mixing", mix_sources), ("byte_bpe", encode))]
 #: SQL can express neither the classifier nor the encoder.
 ORACLE_SQL = None
 
