@@ -67,13 +67,17 @@ SAMPLE = 64
 CHUNK = 2048
 #: Counters of a set's sketch; a byte each.
 SKETCH = 128
-_SIZE = np.uint64(0xD6E8FEB86659FD93)
+_SIZE = 0xD6E8FEB86659FD93
+
+
+def _sized_by(words: int) -> np.uint64:
+    return np.uint64(_SIZE * words % (1 << 64))
 
 
 def _sets_of(column: pa.Array, shingle: int, rank: np.ndarray | None = None, weights: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
     """Each text's distinct shingles, ascending, and their classes of frequency if words' ranks are given."""
     for _, n, hashes, bounds in blocks(column, lower=True):
-        whole = mixed(runs_of(hashes, shingle) + _SIZE * np.uint64(shingle))
+        whole = mixed(runs_of(hashes, shingle) + _sized_by(shingle))
         classes = None
         if rank is not None:
             own = np.zeros(len(hashes), np.int64)
@@ -91,7 +95,7 @@ def _sets_of(column: pa.Array, shingle: int, rank: np.ndarray | None = None, wei
                 yield np.zeros(0, np.uint64), None if rank is None else np.zeros(0, np.int64)
             else:
                 size = end - begin
-                yield mixed(runs_of(hashes[begin:end], size) + _SIZE * np.uint64(size)), None if rank is None else np.array([int(own[begin:end].sum())])
+                yield mixed(runs_of(hashes[begin:end], size) + _sized_by(size)), None if rank is None else np.array([int(own[begin:end].sum())])
 
 
 def node_of(shingle_set: np.ndarray) -> bytes:
