@@ -32,8 +32,8 @@ Smaller regions are read by one task each, which goes on in memory: Voronoi regi
 shrink, then one pivot at a time, until all sets that were no pivot are in one component. Only links between
 components leave a region, at most one less than its sets, never its pairs.
 
-Components contract along links to the smallest neighbour until no edge is left; names are hashes, so
-the expected number of rounds grows with the logarithm.
+Up to ONE_TASK links are joined to components by one task. More contract, over the cluster, along links to the smallest neighbour until no edge is
+left; names are hashes, so the expected number of rounds grows with the logarithm.
 
 Defined cases: null texts have no words; texts of any length are read whole. Null ids never name a component unless
 all its ids are null. Repeated rows are one node. Nodes are named by 128-bit hashes of their sets, shingles by 64-bit ones.
@@ -65,6 +65,8 @@ PIVOTS = 4
 SAMPLE = 64
 #: Sets of a region that are dealt again by one task.
 CHUNK = 2048
+#: Links that one task may join to components; about 200 bytes each while it does.
+ONE_TASK = 500_000
 #: Counters of a set's sketch; a byte each.
 SKETCH = 128
 _SIZE = 0xD6E8FEB86659FD93
@@ -445,9 +447,33 @@ def _dealt(large: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame,
     return links, cells.select(F.col("cell").alias("s"), "g", "n", (F.col("f") + F.col("best") <= 0).alias("ball"))
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, name) of all nodes of the links (a, b): the same name in a component."""
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, name) of all links (a, b), which one task reads."""
+    parent: dict = {}
+
+    def root(x):  # noqa: ANN001, ANN202
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    kind = pa.binary()
+    for batch in batches:
+        kind = batch.schema.field(0).type
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = root(a), root(b)
+            parent[max(a, b)] = min(a, b)
+    for at in range(0, len(nodes := list(parent)), 10_000):
+        some = nodes[at : at + 10_000]
+        yield pa.RecordBatch.from_arrays([pa.array(some, kind), pa.array([root(x) for x in some], kind)], names=["node", "name"])
+
+
+def components(links: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
+    """(node, name) of all nodes of the links (a, b): the same name in a component. Links that one task can hold (``one_task`` at most) are joined
+    there; more contract along links to the smallest neighbour, round by round."""
     edges = checkpoint(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct())
+    if edges.count() <= one_task:
+        kind = edges.schema["a"].dataType.simpleString()
+        return checkpoint(edges.repartition(1).mapInArrow(_joined, f"node {kind}, name {kind}"))
     names = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().withColumn("name", F.col("node"))
     while edges.limit(1).count():
         both = edges.union(edges.select("b", "a"))
@@ -455,8 +481,8 @@ def components(links: DataFrame) -> DataFrame:
         left = edges.join(least, "a").select("b", F.col("least").alias("x"))
         moved = left.join(least.withColumnRenamed("a", "b"), "b").select("x", F.col("least").alias("y"))
         edges = checkpoint(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a < b").distinct())
-        names = names.join(least.withColumnRenamed("a", "name"), "name", "left").select("node", F.coalesce("least", "name").alias("name"))
-    return checkpoint(names)
+        names = checkpoint(names.join(least.withColumnRenamed("a", "name"), "name", "left").select("node", F.coalesce("least", "name").alias("name")))
+    return names
 
 
 def _links(cells: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lodestone.llm import bpe, idcoder, idfiles, licenses, maxscore, perspectives, substring_dedup, toxicity
+from lodestone.llm import bpe, idcoder, idfiles, jaccard_join, licenses, maxscore, perspectives, substring_dedup, toxicity
 from lodestone.llm import words as hashed
 from lodestone.llm.shared import CellFilter
 
@@ -222,3 +222,25 @@ def test_toxicity_scores_by_plain_arithmetic(spark):
     fitted = np.interp([v for v, _ in held], *index.curve)
     assert abs(float(np.mean(fitted)) - base) < 0.1
     assert json.dumps(index.curve[1]) == json.dumps(sorted(index.curve[1]))
+
+
+@pytest.mark.parametrize("one_task", [0, 10_000])
+def test_components_by_brute_force(spark, one_task):
+    rng = random.Random(12)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(330)] + [(1000 + (i * 37) % 61, 1000 + ((i + 1) * 37) % 61) for i in range(60)]
+    near = {}
+    for a, b in links:
+        if a != b:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    want = {}
+    for node in sorted(near):
+        if node not in want:
+            todo = [node]
+            while todo:
+                x = todo.pop()
+                if x not in want:
+                    want[x] = node
+                    todo += near[x]
+    got = {r.node: r.name for r in jaccard_join.components(spark.createDataFrame(links, "a bigint, b bigint"), one_task).collect()}
+    assert got == want
