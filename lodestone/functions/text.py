@@ -64,6 +64,8 @@ SENTENCE_ROLES = {
     "compare_baseline": "outperform|compared|higher|lower",
     "derive_implication": "because|suggest|indicate|therefore",
 }
+STOP_WORDS = ["about", "after", "also", "because", "been", "before", "between", "from", "have", "into", "method", "paper", "results", "that", "their", "these", "this", "using", "were", "which", "with"]
+CREDENTIALS = r"(?i)([a-z][a-z0-9+.-]*://)[^/\s@]+@"
 INJECTION = r"(?i)(ignore (all|any|the) (previous|prior) instructions|system prompt|developer message|you are (chatgpt|an ai)|exfiltrat|reveal.*secret|执行.*指令|忽略.*指令)"
 EXPECTED_FAMILY = {"result_reporting": "experiment", "result_interpretation": "experiment", "limitation_acknowledgment": "conclusion", "future_work": "conclusion"}
 
@@ -239,6 +241,24 @@ def redacted(text: Column, mark: str = "[REDACTED]") -> Column:
     return F.regexp_replace(F.regexp_replace(text, ASSIGNMENT, f"$1{mark}"), KEY_PARAMETER, f"$1{mark}")
 
 
+def without_credentials(text: Column, mark: str = "<redacted>") -> Column:
+    """User names and passwords in URLs as a mark."""
+    return F.regexp_replace(text, CREDENTIALS, f"$1{mark}@")
+
+
+def without_secrets(text: Column, secrets: list[str], mark: str = "[REDACTED]") -> Column:
+    """Known secrets as a mark, longer ones first, then assignments and parameters."""
+    return redacted(reduce(lambda done, secret: F.replace(done, F.lit(secret), F.lit(mark)), sorted(filter(None, secrets), key=len, reverse=True), text), mark)
+
+
+def profile_terms(text: Column) -> Column:
+    """Words of four Latin letters or hyphens or more that aren't stop words, then the bigrams of CJK runs, with repeats."""
+    words = F.filter(F.transform(F.regexp_extract_all(text, F.lit(r"(?U)\b[A-Za-z][A-Za-z-]{3,}\b"), 0), F.lower), lambda w: ~w.isin(STOP_WORDS))
+    runs = F.filter(F.regexp_extract_all(text, F.lit(CJK), 0), lambda r: F.length(r) > 1)
+    pairs = F.transform(runs, lambda r: F.transform(F.sequence(F.lit(1), F.length(r) - 1), lambda i: F.substring(r, i, F.lit(2))))
+    return F.concat(words, F.flatten(pairs))
+
+
 def risk_flags(text: Column, category: Column) -> Column:
     """Sorted flags of claims that need support."""
     found = [F.when(text.rlike("(?i)" + p) & (~text.rlike(r"\d") if flag == "vague_claim" else F.lit(True)), F.lit(flag)) for flag, p in RISK.items()]

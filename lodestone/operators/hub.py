@@ -56,3 +56,58 @@ def with_neighbours(hits: DataFrame, chunks: DataFrame, before: int, after: int)
     found = near.join(chunks.withColumnRenamed("chunk_index", "near"), ["document_id", "near"])
     listed = found.groupBy("query_id", "rank").agg(F.array_sort(F.collect_list(F.struct("near", "text"))).alias("neighbours"))
     return hits.join(listed, ["query_id", "rank"], "left")
+
+
+def pattern_first(hits: DataFrame, characters: int = 320) -> DataFrame:
+    """Hits without their original and with a short excerpt."""
+    return hits.drop("original").withColumn("source_excerpt", F.left("source_excerpt", F.lit(characters)))
+
+
+def paragraph_structure(hits: DataFrame) -> DataFrame:
+    """Hits without original and excerpt."""
+    return hits.drop("original", "source_excerpt")
+
+
+def without_issues(hits: DataFrame, allowed: bool, asked: bool = False) -> tuple[DataFrame, list[str]]:
+    """Hits (source_type) and warnings: evidence from issues, pull requests and commits needs permission; to ask for it without is an error."""
+    if allowed:
+        return hits, []
+    if asked:
+        raise PermissionError("issues are not permitted as evidence")
+    return hits.where(~F.col("source_type").isin("issue", "pull_request", "commit")), ["issue_evidence_filtered"]
+
+
+def reranked(hits: DataFrame, score: str, limit: int) -> DataFrame:
+    """The best hits by another score, ties by point."""
+    by = Window.partitionBy("query_id").orderBy(F.desc(score), F.col("point_id"))
+    return hits.withColumn("new_rank", F.row_number().over(by)).where(F.col("new_rank") <= limit)
+
+
+def recent(runs: DataFrame, by: str, started: str, key: str, now: Column, days: int, limit: int) -> DataFrame:
+    """The latest runs of each group within so many days."""
+    kept = runs.where(F.col(started) >= now - F.make_interval(days=F.lit(days)))
+    order = Window.partitionBy(by).orderBy(F.desc(started), F.col(key))
+    return kept.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= limit).drop("nth")
+
+
+def writing_hits(hits: DataFrame) -> DataFrame:
+    """Hits (point_id, writing_id, domains, title, text) with an id, and with the domains that their texts suggest in ``inferred``."""
+    told = features.inferred_domains(F.col("title"), F.col("text"))
+    return hits.withColumn("writing_id", F.coalesce("writing_id", "point_id")).withColumn("inferred", F.array_except(told, F.col("domains")))
+
+
+def refreshed(points: DataFrame, current: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Points with their document's current metadata; points of unknown documents keep theirs."""
+    new = current.select(key, *(F.col(c).alias("_" + c) for c in columns), F.lit(True).alias("_known"))
+    both = points.join(new, key, "left")
+    return both.select(*(F.when(F.col("_known"), F.col("_" + c)).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in points.columns))
+
+
+#: What a comparison of versions looks at.
+COMPARED = ("version_diff", "migration_guide", "release_note", "api_documentation")
+
+
+def version_comparison(hits: DataFrame, installed: str, target: str, top: int) -> DataFrame:
+    """Hits (query_id, rank, score, source_type, version) on compatibility: of four kinds of sources, those of the target version first, then those of the installed one."""
+    role = F.when(F.col("version") == target, "target_version_evidence").when(F.col("version") == installed, "current_version_evidence").otherwise("retrieved_evidence")
+    return code(hits.where(F.col("source_type").isin(*COMPARED)).withColumns({"role": role, "query": F.lit("is the version compatible")}), top)

@@ -159,6 +159,14 @@ def facets(docs: DataFrame, value: Column, offset: int, limit: int) -> DataFrame
     return counted.orderBy(F.desc("n"), "value").offset(offset).limit(limit)
 
 
+def facet_page(rows: DataFrame, value: Column, offset: int, limit: int) -> DataFrame:
+    """A page of ``facets`` with the cursor of the next one (null at the end); several values of a row come as rows."""
+    counted = rows.select(value.alias("value")).where("value IS NOT NULL AND value <> ''").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    total = counted.agg(F.count(F.lit(1)).alias("total"))  # one row
+    page = counted.orderBy(F.desc("n"), "value").offset(offset).limit(limit).join(total, F.lit(True))
+    return page.select("value", "n", F.when(F.col("total") > offset + limit, F.lit(offset + limit)).alias("next_cursor"))
+
+
 def resolution(matches: DataFrame) -> DataFrame:
     """(status): not_found, unique or ambiguous, by the number of matches."""
     return matches.agg(F.count(F.lit(1)).alias("n")).select("n", F.when(F.col("n") == 0, "not_found").when(F.col("n") == 1, "unique").otherwise("ambiguous").alias("status"))
