@@ -40,9 +40,14 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share. Read from spark.checkpoint.dir; set only where that is unset."""
+    """The folder that all executors share, from spark.checkpoint.dir. Where that is unset, a local session gets a folder of its own; on a
+    cluster it is an error, since no machine's folder is shared."""
     context = spark.sparkContext
-    if not (where := context.getConf().get("spark.checkpoint.dir") or (context._jsc.sc().getCheckpointDir().get() if context._jsc.sc().getCheckpointDir().isDefined() else "")):
+    known = context._jsc.sc().getCheckpointDir()
+    where = context.getConf().get("spark.checkpoint.dir") or (known.get() if known.isDefined() else "")
+    if not where:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         where = "/tmp/lodestone-checkpoint"
         context.setCheckpointDir(where)
     return where
