@@ -70,6 +70,30 @@ INJECTION = r"(?i)(ignore (all|any|the) (previous|prior) instructions|system pro
 EXPECTED_FAMILY = {"result_reporting": "experiment", "result_interpretation": "experiment", "limitation_acknowledgment": "conclusion", "future_work": "conclusion"}
 
 
+#: What a paragraph does in a section of a family: the first pattern it holds, or the one without a pattern.
+RHETORIC = {
+    "introduction": [
+        ("(?i)we (?:propose|present|introduce)|our contribution", "contribution_statement"),
+        (GAP, "research_gap"),
+        ("(?i)motiv|therefore|to address", "motivation"),
+        (None, "background"),
+    ],
+    "related_work": [("(?i)whereas|unlike|compared", "method_comparison"), (None, "method_summary")],
+    "method": [("(?i)because|in order to|allows us", "design_rationale"), (None, "method_overview")],
+    "experiment": [
+        (r"(?i)\b(?:outperform|higher|lower|increase|decrease|improv\w*\s+by|compared (?:with|to)|versus)\b", "quantitative_comparison"),
+        ("(?i)indicat|suggest|because", "result_interpretation"),
+        (None, "experimental_setup"),
+    ],
+    "conclusion": [
+        (r"(?i)\bfuture|will (?:investigate|explore|study|extend)\b", "future_work"),
+        (r"(?i)\b(?:remain|limitation|limited|challenge|cannot|fails?)\b", "limitation"),
+        (None, "work_summary"),
+    ],
+}
+CAPTION, LATIN_WORD = r"(?i)^\s*(?:figure|fig\.|table|图|表)\s*\d+", r"[A-Za-z]+(?:[-'][A-Za-z]+)*"
+
+
 def _first(rules: list[tuple[Column, Column]], default: Column) -> Column:
     """The value of the first rule that holds."""
     return reduce(lambda rest, rule: F.when(rule[0], rule[1]).otherwise(rest), reversed(rules), default)
@@ -80,12 +104,12 @@ def collapsed(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
 
 
-def sparse_text(text: Column) -> Column:
-    """The text, followed by its distinct CJK bigrams in order of appearance if it has any."""
+def sparse_text(text: Column, mark: str = BIGRAM_MARK) -> Column:
+    """The text, followed by a mark and its distinct CJK bigrams in order of appearance if it has any."""
     runs = F.regexp_extract_all(text, F.lit(CJK), 0)
     pairs = F.transform(runs, lambda r: F.when(F.length(r) == 1, F.array(r)).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(F.length(r) - 1, F.lit(1))), lambda i: F.substring(r, i, F.lit(2)))))
     tokens = F.array_distinct(F.flatten(pairs))
-    return F.when(F.size(tokens) > 0, F.concat(text, F.lit(f"\n{BIGRAM_MARK} "), F.array_join(tokens, " "))).otherwise(text)
+    return F.when(F.size(tokens) > 0, F.concat(text, F.lit(f"\n{mark} "), F.array_join(tokens, " "))).otherwise(text)
 
 
 def token_count(text: Column) -> Column:
@@ -130,25 +154,7 @@ def rhetorical_function(value: Column, family: Column) -> Column:
     """What a paragraph (white space collapsed) does in a section of a family; null outside the known
     families, for formulas and for unusual lengths. Both should be plain columns, since the rules repeat them."""
 
-    def has(pattern: str) -> Column:
-        return value.rlike("(?i)" + pattern)
-
-    rules = [
-        ((family == "introduction") & has(r"we (?:propose|present|introduce)|our contribution"), "contribution_statement"),
-        ((family == "introduction") & value.rlike(GAP), "research_gap"),
-        ((family == "introduction") & has("motiv|therefore|to address"), "motivation"),
-        (family == "introduction", "background"),
-        ((family == "related_work") & has("whereas|unlike|compared"), "method_comparison"),
-        (family == "related_work", "method_summary"),
-        ((family == "method") & has("because|in order to|allows us"), "design_rationale"),
-        (family == "method", "method_overview"),
-        ((family == "experiment") & has(r"\b(?:outperform|higher|lower|increase|decrease|improv\w*\s+by|compared (?:with|to)|versus)\b"), "quantitative_comparison"),
-        ((family == "experiment") & has("indicat|suggest|because"), "result_interpretation"),
-        (family == "experiment", "experimental_setup"),
-        ((family == "conclusion") & has(r"\bfuture|will (?:investigate|explore|study|extend)\b"), "future_work"),
-        ((family == "conclusion") & has(r"\b(?:remain|limitation|limited|challenge|cannot|fails?)\b"), "limitation"),
-        (family == "conclusion", "work_summary"),
-    ]
+    rules = [((family == name) if pattern is None else (family == name) & value.rlike(pattern), function) for name, own in RHETORIC.items() for pattern, function in own]
     usable = F.length(value).between(60, 1800) & ~value.rlike(FORMULA)
     return F.when(usable, _first([(rule, F.lit(name)) for rule, name in rules], F.lit(None).cast("string")))
 
@@ -272,8 +278,7 @@ def page_numbers(start: Column, end: Column) -> Column:
 
 def excluded_material(text: Column) -> Column:
     """Captions, and texts without CJK and with fewer than 12 Latin words."""
-    caption = text.rlike(r"(?i)^\s*(?:figure|fig\.|table|图|表)\s*\d+")
-    return caption | (~text.rlike(CJK_CHAR) & (F.regexp_count(text, F.lit(r"[A-Za-z]+(?:[-'][A-Za-z]+)*")) < 12))
+    return text.rlike(CAPTION) | (~text.rlike(CJK_CHAR) & (F.regexp_count(text, F.lit(LATIN_WORD)) < 12))
 
 
 def marked(text: Column, most: int) -> tuple[Column, Column, Column]:
