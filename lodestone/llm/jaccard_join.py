@@ -59,7 +59,7 @@ PERCENT = 90
 FREQUENT = 65_536
 #: Sets, and shingles of all sets together, of a region that one task reads; larger ones are dealt again.
 SMALL = 2048
-ITEMS = 1 << 21
+ITEMS = 1 << 22
 #: Pivots of a region in each round, and the sets that they are made from.
 PIVOTS = 4
 SAMPLE = 64
@@ -67,8 +67,8 @@ SAMPLE = 64
 CHUNK = 2048
 #: Links that one task may join to components; about 200 bytes each while it does.
 ONE_TASK = 500_000
-#: Counters of a set's sketch; a byte each.
-SKETCH = 128
+#: Counters of a set's sketch, at least and at most; a byte each.
+SKETCH, LARGEST = 128, 8192
 _SIZE = 0xD6E8FEB86659FD93
 
 
@@ -105,8 +105,10 @@ def node_of(shingle_set: np.ndarray) -> bytes:
 
 
 def sketch(shingle_set: np.ndarray) -> bytes:
-    """How many of a set's hashes fall in each of SKETCH classes, 255 at most."""
-    return np.minimum(np.bincount((shingle_set % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH), 255).astype(np.uint8).tobytes()
+    """How many of a set's hashes fall in each class of their last bits, 255 at most. There are enough classes, in powers of two from SKETCH
+    on, that about four hashes share one; a sketch of half as many follows by adding its halves."""
+    size = min(LARGEST, max(SKETCH, 1 << (len(shingle_set) // 4).bit_length()))
+    return np.minimum(np.bincount((shingle_set % np.uint64(size)).astype(np.int64), minlength=size), 255).astype(np.uint8).tobytes()
 
 
 def _frequencies(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -188,17 +190,36 @@ def _grouped(percent: int):  # noqa: ANN202
     """The rows (s, g, n) of the rows (s, g, n, sketch), in order of s, that sketches leave a link to; s is hashed on with the group
     that the possible links connect. Sets share at most the sum of the lesser counters."""
 
-    def groups(s: int, names: list, n: np.ndarray, counts: np.ndarray) -> Iterator[tuple]:
+    def groups(s: int, names: list, n: np.ndarray, sketches: list[bytes]) -> Iterator[tuple]:
         label, some = np.arange(len(names)), np.zeros(len(names), bool)
-        for i in range(len(names) - 1):
-            most = np.minimum(counts[i], counts[i + 1 :]).sum(axis=1, dtype=np.int64)
-            total = n[i] + n[i + 1 :]
-            full = ((counts[i] == 255) & (counts[i + 1 :] == 255)).any(axis=1)
-            near = np.flatnonzero((100 * most >= percent * (total - most)) | full) + i + 1
-            if len(near):
-                some[i] = some[near] = True
-                joined = np.unique(np.append(label[near], label[i]))
-                label[np.isin(label, joined)] = joined[0]
+        sizes = np.array([len(x) for x in sketches])
+        own = {z: np.flatnonzero(sizes == z) for z in np.unique(sizes).tolist()}
+        counts = {z: np.frombuffer(b"".join(sketches[i] for i in at.tolist()), np.uint8).reshape(len(at), z) for z, at in own.items()}
+        full = {z: (c == 255).any(axis=1) for z, c in counts.items()}
+        for z, at in own.items():
+            mine, other = counts[z], z
+            while other >= SKETCH:
+                if other not in own:
+                    other //= 2
+                    mine = mine[:, :other].astype(np.int32) + mine[:, other:]
+                    continue
+                for k, i in enumerate(at.tolist()):
+                    rest = slice(k + 1, None) if other == z else slice(None)
+                    near = own[other][rest]
+                    total = n[i] + n[near]
+                    fits = (100 * n[near] >= percent * n[i]) & (100 * n[i] >= percent * n[near])
+                    if not fits.any():
+                        continue
+                    pick = np.flatnonzero(fits)
+                    most = np.minimum(mine[k], counts[other][rest][pick]).sum(axis=1, dtype=np.int64)
+                    may = (100 * most >= percent * (total[pick] - most)) | (full[z][k] & full[other][rest][pick])
+                    found = near[pick[may]]
+                    if len(found):
+                        some[i] = some[found] = True
+                        joined = np.unique(np.append(label[found], label[i]))
+                        label[np.isin(label, joined)] = joined[0]
+                other //= 2
+                mine = mine[:, :other].astype(np.int32) + mine[:, other:]
         for i in np.flatnonzero(some).tolist():
             yield xxhash.xxh3_64_intdigest(s.to_bytes(8, "little", signed=True) + names[int(label[i])]) - (1 << 63), names[i], int(n[i])
 
@@ -208,7 +229,7 @@ def _grouped(percent: int):  # noqa: ANN202
 
         def close() -> None:
             if len(names) > 1:
-                out.extend(groups(current, names, np.array(n, np.int64), np.frombuffer(b"".join(counts), np.uint8).reshape(-1, SKETCH)))
+                out.extend(groups(current, names, np.array(n, np.int64), counts))
 
         def rows() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)

@@ -244,3 +244,33 @@ def test_components_by_brute_force(spark, one_task):
                     todo += near[x]
     got = {r.node: r.name for r in jaccard_join.components(spark.createDataFrame(links, "a bigint, b bigint"), one_task).collect()}
     assert got == want
+
+
+def test_sketches_never_rule_out_a_link():
+    """Sets of all sizes, near and far, in one region: every pair that links stays in one group."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(13)
+    sets = []
+    for n in (1, 5, 60, 500, 520, 2040, 2060, 8000, 40_000):
+        base = rng.integers(0, 2**63, n, dtype=np.uint64)
+        for _ in range(4):
+            own = base.copy()
+            change = rng.integers(0, n, rng.integers(0, max(1, n // 10) + 1))
+            own[change] = rng.integers(0, 2**63, len(change), dtype=np.uint64)
+            sets.append(np.unique(own[: n - rng.integers(0, max(1, n // 20))]))
+    names = [jaccard_join.node_of(x) for x in sets]
+    batch = pa.RecordBatch.from_arrays([pa.array([7] * len(sets), pa.int64()), pa.array(names, pa.binary()), pa.array([len(x) for x in sets], pa.int64()), pa.array([jaccard_join.sketch(x) for x in sets], pa.binary())], names=["s", "g", "n", "sketch"])
+    group = {}
+    for out in jaccard_join._grouped(80)(iter([batch])):
+        group |= dict(zip(out.column(1).to_pylist(), out.column(0).to_pylist(), strict=True))
+    linked = 0
+    for i, x in enumerate(sets):
+        for j in range(i):
+            common = len(np.intersect1d(x, sets[j]))
+            if names[i] != names[j] and 100 * common >= 80 * (len(x) + len(sets[j]) - common):
+                linked += 1
+                assert group[names[i]] == group[names[j]]
+            elif common == 0 and min(len(x), len(sets[j])) > 50 and names[i] in group and names[j] in group:
+                assert group[names[i]] != group[names[j]] or len(x) > 30_000
+    assert linked > 20
