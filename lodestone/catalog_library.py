@@ -116,12 +116,12 @@ def j18_source_joins(spark, sf_dir):  # noqa: ANN001, ANN201
     return library.source_join_findings(payloads, assets, evidence)
 
 
-@query("""SELECT l_orderkey AS d, l_linenumber % 2 AS chunk, min(p) AS first_page, max(p) AS last_page, arg_min('H' || l_suppkey % 5 || ' > ' || l_returnflag, place) AS section, count(DISTINCT l_partkey % 9) AS n_refs
+@query("""SELECT l_orderkey AS d, l_linenumber % 2 AS chunk, min(p) AS first_page, max(p) AS last_page, arg_min('H' || l_partkey % 5 || ' > ' || l_linenumber % 3, place) AS section, count(DISTINCT l_partkey % 9) AS n_refs
           FROM (SELECT *, CASE WHEN l_partkey % 4 <> 0 THEN l_suppkey % 30 END AS p, l_linenumber * 1000000 + l_partkey AS place FROM lineitem) AS y GROUP BY l_orderkey, l_linenumber % 2""")
 def x3_chunk_provenance(spark, sf_dir):  # noqa: ANN001, ANN201
     items = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("d"), (F.col("l_linenumber") % 2).alias("chunk"), (F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("place"), F.when(F.col("l_partkey") % 4 != 0, F.col("l_suppkey") % 30).alias("page"),
-        F.array(F.concat(F.lit("H"), F.col("l_suppkey") % 5), F.col("l_returnflag")).alias("headings"), (F.col("l_partkey") % 9).cast("string").alias("ref"),
+        F.array(F.concat(F.lit("H"), F.col("l_partkey") % 5), (F.col("l_linenumber") % 3).cast("string")).alias("headings"), (F.col("l_partkey") % 9).cast("string").alias("ref"),
     )
     return library.chunk_provenance(items, "d").select("d", "chunk", "first_page", "last_page", "section", F.size("refs").cast("bigint").alias("n_refs"))
 
