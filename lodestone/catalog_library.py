@@ -159,3 +159,34 @@ def x36_adaptation(spark, sf_dir):  # noqa: ANN001, ANN201
 @query(r"""SELECT conv_id, min(turn) AS turn FROM conversations GROUP BY conv_id, trim(regexp_replace(lower(text), '[^\p{L}\p{M}\p{N}_]+', ' ', 'g'))""")
 def f31_distinct_segments(spark, sf_dir):  # noqa: ANN001, ANN201
     return library.distinct_segments(table(spark, sf_dir, "conversations"), "conv_id", "turn", "text").select("conv_id", "turn")
+
+
+_LOOKUPS = {"doi": "10.1/C7", "item_key": "I12", "attachment_key": "A30", "title": "customer#00000001", "citation_key": "KEY21"}
+
+
+@query(r"""WITH d AS (SELECT c_custkey::VARCHAR AS document_id, c_name AS title, '10.1/c' || c_custkey % 40 AS doi, 'I' || c_custkey % 25 AS item, 'A' || c_custkey AS attachment, CASE WHEN c_custkey % 2 = 0 THEN 'Key' || c_custkey % 30 END AS citation FROM customer),
+          f AS (SELECT 'doi' AS "by", * FROM d WHERE lower(doi) = '10.1/c7' UNION ALL SELECT 'item_key', * FROM d WHERE item = 'I12' UNION ALL SELECT 'attachment_key', * FROM d WHERE attachment = 'A30' UNION ALL SELECT 'title', * FROM d WHERE contains(lower(title), 'customer#00000001')
+            UNION ALL SELECT 'citation_key', * FROM d WHERE item IN (SELECT item FROM d WHERE lower(citation) = 'key21'))
+          SELECT "by", document_id FROM f QUALIFY row_number() OVER (PARTITION BY "by" ORDER BY title, document_id) <= 50""")
+def j14_references(spark, sf_dir):  # noqa: ANN001, ANN201
+    c, k = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    docs = c.select(k.cast("string").alias("document_id"), F.col("c_name").alias("title"), F.concat(F.lit("10.1/c"), k % 40).alias("doi"), F.concat(F.lit("I"), k % 25).alias("item_key"), F.concat(F.lit("A"), k).alias("attachment_key"))
+    citations = c.where("c_custkey % 2 = 0").select(F.concat(F.lit("I"), k % 25).alias("item_key"), F.concat(F.lit('{"data":{"citationKey":"Key'), k % 30, F.lit('"}}')).alias("payload"))
+    found = [library.resolve_reference(docs, citations, **{name: value}).select(F.lit(name).alias("by"), "document_id") for name, value in _LOOKUPS.items()]
+    return found[0].unionAll(found[1]).unionAll(found[2]).unionAll(found[3]).unionAll(found[4])
+
+
+@query("""SELECT lang, sha256(string_agg(sha256(c.text), ',' ORDER BY conv_id, turn)) AS fingerprint, count(*) AS n FROM conversations AS c JOIN documents AS d ON doc_id = conv_id WHERE turn % 2 = 0 AND doc_id % 3 <> 0 GROUP BY lang""")
+def h9_ready_corpus(spark, sf_dir):  # noqa: ANN001, ANN201
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("conv_id"), "lang", F.when(F.col("doc_id") % 3 != 0, "ready").otherwise("stale").alias("status"))
+    chunks = table(spark, sf_dir, "conversations").select("conv_id", "turn", hashing.sha256(F.col("text")).alias("h"), (F.col("turn") % 2 == 0).alias("active"))
+    rows = library.ready_chunks(chunks, docs, "conv_id").join(docs.select("conv_id", "lang"), "conv_id")
+    return hashing.corpus_fingerprint(rows.withColumn("place", F.struct("conv_id", "turn")), "lang", "place", "h")
+
+
+@query("SELECT o_custkey % 5 AS step, o_custkey % 5 <> 0 AS changed FROM orders GROUP BY 1, 2")
+def i11_ordered_snapshot(spark, sf_dir):  # noqa: ANN001, ANN201
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("place"), _s("o_custkey").alias("record"))
+    variants = [o, o.where("place > 1"), o.withColumn("record", F.when(F.col("place") == 7, "x").otherwise(F.col("record"))), o.withColumn("place", F.col("place") + 1), o.unionAll(spark.createDataFrame([(-1, "new")], "place bigint, record string"))]
+    found = [library.same_records(o, v, "place", "record").select(F.lit(i).cast("bigint").alias("step"), "changed") for i, v in enumerate(variants)]
+    return found[0].unionAll(found[1]).unionAll(found[2]).unionAll(found[3]).unionAll(found[4])

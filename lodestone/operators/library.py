@@ -134,3 +134,32 @@ def distinct_segments(segments: DataFrame, by: str, order: str, value: str) -> D
     normal = F.regexp_replace(F.lower(F.col(value)), r"(?U)[^\w]+", " ")
     window = Window.partitionBy(by, "_normal").orderBy(order)
     return segments.withColumn("_normal", F.trim(normal)).withColumn("_nth", F.row_number().over(window)).where("_nth = 1").drop("_normal", "_nth")
+
+
+def resolve_reference(documents: DataFrame, citations: DataFrame | None = None, most: int = 50, **asked: str) -> DataFrame:
+    """The documents (document_id, title, doi, item_key, attachment_key) that one criterion names, by title and id, ``most`` at most: doi (whatever its case), item_key, attachment_key, title
+    (a part, whatever its case) or citation_key (of citations (item_key, payload JSON))."""
+    from lodestone.functions.features import citation_key
+
+    given = {name: value for name, value in asked.items() if value}
+    if len(given) != 1 or not given.keys() <= {"doi", "item_key", "attachment_key", "title", "citation_key"}:
+        raise ValueError("exactly one criterion is needed")
+    (name, value), = given.items()
+    if name == "citation_key":
+        found = documents.join(citations.where(citation_key(F.col("payload")) == value.lower()).select("item_key").distinct(), "item_key", "left_semi")
+    elif name == "title":
+        found = documents.where(F.lower("title").contains(value.lower()))
+    else:
+        found = documents.where(F.lower(name) == value.lower() if name == "doi" else F.col(name) == value)
+    return found.orderBy("title", "document_id").limit(most)
+
+
+def ready_chunks(chunks: DataFrame, documents: DataFrame, key: str) -> DataFrame:
+    """Active chunks (key, active, ...) of documents (key, status) that are ready."""
+    return chunks.where("active").join(documents.where("status = 'ready'").select(key), key, "left_semi")
+
+
+def same_records(old: DataFrame, new: DataFrame, place: str, record: str) -> DataFrame:
+    """One row, changed: whether two ordered lists of records (place, record) differ anywhere, in length, order or content."""
+    both = old.select(place, F.col(record).alias("_old")).join(new.select(place, F.col(record).alias("_new")), place, "full")
+    return both.agg(F.coalesce(F.bool_or(~F.col("_old").eqNullSafe(F.col("_new"))), F.lit(False)).alias("changed"))
