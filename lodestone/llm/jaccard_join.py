@@ -55,8 +55,9 @@ from lodestone.llm.words import blocks, mixed, runs_of
 
 SHINGLE = 3
 PERCENT = 90
-#: Words whose frequency the pivots' order takes into account; other words count as rarer than all of them.
-FREQUENT = 65_536
+#: Words at most whose frequency the pivots' order takes into account, and documents that they stand in at least; other words count as rarer
+#: than all of them. The order decides about cost only, never about results.
+FREQUENT, LEAST = 65_536, 4
 #: Sets, and shingles of all sets together, of a region that one task reads; larger ones are dealt again.
 SMALL = 2048
 ITEMS = 1 << 22
@@ -112,7 +113,7 @@ def sketch(shingle_set: np.ndarray) -> bytes:
 
 
 def _frequencies(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the FREQUENT most frequent words, ascending, and the logarithms of their documents' number."""
+    """Hashes of the most frequent words, FREQUENT at most, ascending, and the classes of their documents' number, which double."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -132,11 +133,19 @@ def _frequencies(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         if held:
             yield rows()
 
-    counted = texts.mapInArrow(count, "w bigint, n bigint").groupBy("w").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "w").limit(FREQUENT).collect()
+    counted = texts.mapInArrow(count, "w bigint, n bigint").groupBy("w").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+    counted = checkpoint(counted.withColumn("bits", F.floor(F.log2("n")).cast("int") + 1))
+    # whole classes, from the most frequent on, as long as they have FREQUENT words together: no more reach the driver
+    least, total = 64, 0
+    for r in counted.groupBy("bits").count().orderBy(F.desc("bits")).collect():  # one row a class
+        total += r["count"]
+        if total > FREQUENT:
+            break
+        least = r.bits
+    top = counted.where(F.col("bits") >= least).select("w", "bits").collect()
     words = np.array([r.w for r in top], np.int64).view(np.uint64)
     order = np.argsort(words)
-    return words[order], np.array([r.n.bit_length() for r in top], np.int64)[order]
+    return words[order], np.array([r.bits for r in top], np.int64)[order]
 
 
 def _nodes(rows: DataFrame, rank: np.ndarray, weights: np.ndarray, shingle: int, percent: int) -> DataFrame:
