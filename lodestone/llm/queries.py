@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, exact_dedup, idfiles, jaccard_join, licenses, maxscore, mixing, perspectives, substring_dedup, toxicity
+from lodestone.llm import ball_kmeans, bpe, exact_dedup, idfiles, jaccard_join, licenses, maxscore, mixing, perspectives, quality, substring_dedup, toxicity
 from lodestone.llm.shared import table
 
 
@@ -52,9 +52,48 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_kmeans.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def _kmeans_sql(rounds: int = 10) -> str:
+    """Plain rounds: every vector against every centroid."""
+    steps = [
+        """v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS vec FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        """c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY key, vec) - 1 AS c, vec FROM (
+                SELECT sha256('3:' || coalesce(vec_id::VARCHAR, '')) AS key, vec FROM v ORDER BY key, vec LIMIT 8))""",
+    ]
+    near = """a{0} AS MATERIALIZED (
+            SELECT vec_id, vec, arg_min(c, struct_pack(d := d, c := c)) AS c, min(d) AS d FROM (
+                SELECT n, v.vec_id, v.vec, c{0}.c, list_sum(list_transform(list_zip(v.vec, c{0}.vec), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+                FROM (SELECT *, row_number() OVER () AS n FROM v) AS v, c{0}) GROUP BY n, vec_id, vec)"""
+    for i in range(rounds):
+        steps += [
+            near.format(i),
+            f"""c{i + 1} AS MATERIALIZED (
+            SELECT c{i}.c, coalesce(m.vec, c{i}.vec) AS vec FROM c{i} LEFT JOIN (
+                SELECT c, list(floor(total / n)::BIGINT ORDER BY part) AS vec FROM (
+                    SELECT c, part, sum(x)::DOUBLE AS total, count(*)::DOUBLE AS n FROM (SELECT c, unnest(vec) AS x, generate_subscripts(vec, 1) AS part FROM a{i}) GROUP BY c, part)
+                GROUP BY c) AS m ON m.c = c{i}.c)""",
+        ]
+    return f"""
+        WITH {", ".join([*steps, near.format(rounds)])}
+        SELECT vec_id, a.c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+               sha256(array_to_string(c.vec, ',')) AS centroid_sha256
+        FROM a{rounds} AS a JOIN c{rounds} AS c ON a.c = c.c"""
+
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES = {
+    "op13_ball_kmeans": _kmeans_sql(),
     "op3_perspectives": r"""
         WITH m AS (
             SELECT DISTINCT conv_id, turn, nullif(role, '') AS role, coalesce(text, '') AS text,
