@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import ball_kmeans, bpe, exact_dedup, idfiles, jaccard_join, licenses, maxscore, mixing, perspectives, quality, substring_dedup, toxicity
+from lodestone.llm import ball_kmeans, bpe, exact_dedup, idfiles, jaccard_join, licenses, maxscore, mixing, paired_files, perspectives, quality, substring_dedup, toxicity
 from lodestone.llm.shared import table
 
 
@@ -56,6 +56,10 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_paired_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paired_files.rewrite(table(spark, sf_dir, "sales"), table(spark, sf_dir, "sale_lines"))
+
+
 def op13_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_kmeans.cluster(table(spark, sf_dir, "embeddings"))
 
