@@ -49,7 +49,7 @@ _MATH = features.MATH.replace(r"\b[A-Za-z]", f"(?:^|{_EDGE})[A-Za-z]")
           SELECT doc_id, n::BIGINT AS paragraph_word_count, CASE WHEN s > c THEN 'strong' WHEN c > s THEN 'cautious' ELSE 'moderate' END AS expression_strength,
             CASE WHEN k > 0 THEN 'critical' WHEN c > 0 THEN 'cautious' WHEN s > 0 THEN 'assertive' ELSE 'neutral' END AS tone,
             regexp_matches(v, {_quoted(_MATH)}) AS contains_math, {_any(features.FIRST_PERSON, features.CJK_FIRST_PERSON)} AS first_person, {_any(features.PASSIVE, features.CJK_PASSIVE)} AS passive_voice,
-            array_to_string(markers, ',') AS transition_markers, ((n * 200 + ns) // (ns * 2)) / 100 AS mean_sentence_words, regexp_matches(ltrim(text, ' ' || chr(9) || chr(10) || chr(13)), '{features.BULLET}') AS bullet_or_numbered,
+            array_to_string(markers, ',') AS transition_markers, format('{{:.2f}}', n / ns)::DOUBLE AS mean_sentence_words, regexp_matches(ltrim(text, ' ' || chr(9) || chr(10) || chr(13)), '{features.BULLET}') AS bullet_or_numbered,
             {_any(features.CONTRIBUTION, features.CJK_CONTRIBUTION)} AS contribution_expression, {_any(features.FIGURE, features.CJK_FIGURE).replace("(?:$|" + _EDGE + ")", "")} AS figure_table_reference,
             {_any(features.ANALYSIS, features.CJK_ANALYSIS)} AS analysis_expression,
             array_to_string(regexp_extract_all(replace(v, ' ', '  '), '(?:^|{_EDGE})({features.ABBREVIATION.replace(chr(92) + "b", "")})(?:$|{_EDGE})', 1), ',') AS abbreviations FROM f""")

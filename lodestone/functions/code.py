@@ -117,32 +117,42 @@ def symbols(text: str, path: str) -> list[dict]:
     return out
 
 
-def signature_changes(old: str, new: str) -> dict:
-    """Added and removed parameters, and changed defaults, annotations and results, of two signatures "name(a, b: int = 1) -> str"."""
-
-    def read(value: str) -> tuple[dict[str, tuple[str | None, str | None]], str | None]:
-        try:
-            node = ast.parse(f"def {value}: ...").body[0]
-        except (SyntaxError, ValueError):
-            return {}, None
-        told = lambda x: None if x is None else ast.unparse(x)
-        args = node.args
-        plain = args.posonlyargs + args.args
-        defaults = [None] * (len(plain) - len(args.defaults)) + args.defaults
-        pairs = [*zip(plain, defaults, strict=True), *zip(args.kwonlyargs, args.kw_defaults, strict=True), *((x, None) for x in (args.vararg, args.kwarg) if x)]
-        return {a.arg: (told(a.annotation), told(d)) for a, d in pairs}, told(node.returns)
-
-    (before, result), (after, now) = read(old), read(new)
+def _signature(value: str) -> tuple[dict[str, tuple[str | None, str | None]], str | None]:
+    """(annotation, default) of each parameter of a signature "name(a, b: int = 1) -> str", and its result; nothing if it can't be read."""
+    try:
+        node = ast.parse(f"def {value}: ...").body[0]
+    except (SyntaxError, ValueError):
+        return {}, None
+    told = lambda x: None if x is None else ast.unparse(x)
+    args = node.args
+    plain = args.posonlyargs + args.args
+    defaults = [None] * (len(plain) - len(args.defaults)) + args.defaults
+    pairs = [*zip(plain, defaults, strict=True), *zip(args.kwonlyargs, args.kw_defaults, strict=True), *((x, None) for x in (args.vararg, args.kwarg) if x)]
+    return {a.arg: (told(a.annotation), told(d)) for a, d in pairs}, told(node.returns)
+
+
+def signature_report(old: str, new: str) -> dict[str, list]:
+    """Added and removed parameters, and what defaults, annotations and the result were and are."""
+    (before, result), (after, now) = _signature(old), _signature(new)
     both = sorted(before.keys() & after.keys())
+    moved = lambda i: [{"parameter": n, "from": before[n][i], "to": after[n][i]} for n in both if before[n][i] != after[n][i]]
     return {
-        "added": sorted(after.keys() - before.keys()),
-        "removed": sorted(before.keys() - after.keys()),
-        "types": [n for n in both if before[n][0] != after[n][0]],
-        "defaults": [n for n in both if before[n][1] != after[n][1]],
-        "result_changed": result != now,
+        "added_parameters": sorted(after.keys() - before.keys()),
+        "removed_parameters": sorted(before.keys() - after.keys()),
+        "renamed_parameters": [],
+        "default_changes": moved(1),
+        "type_changes": moved(0),
+        "return_changes": [{"from": result, "to": now}] if result != now else [],
     }
 
 
+def signature_changes(old: str, new: str) -> dict:
+    """``signature_report`` by names only."""
+    told = signature_report(old, new)
+    names = lambda c: [x["parameter"] for x in told[c]]
+    return {"added": told["added_parameters"], "removed": told["removed_parameters"], "types": names("type_changes"), "defaults": names("default_changes"), "result_changed": bool(told["return_changes"])}
+
+
 def _rowwise(df: DataFrame, columns: list[str], f: Callable[..., Iterator[dict]], fields: dict[str, str]) -> DataFrame:
     """(the key column, fields...): rows that f makes of each row's other columns, with their number in ``n``."""
     key = columns[0]

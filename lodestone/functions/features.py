@@ -191,6 +191,22 @@ def transition_markers(value: Column) -> Column:
     return F.concat(F.transform(F.regexp_extract_all(value, F.lit("(?iU)" + TRANSITION), 0), F.lower), F.regexp_extract_all(value, F.lit(CJK_TRANSITION), 0))
 
 
+def hundredths(part: Column, whole: Column) -> Column:
+    """part / whole (integers, whole > 0) rounded to two places as IEEE arithmetic rounds the double quotient: to the nearest, and where the quotient lies
+    halfway, by what its double is: above, below, or exactly halfway, which goes to the even digit."""
+    double, twice = part / whole, (F.lit(200) * part).cast("bigint")
+    whole_of = lambda c: F.floor(c).cast("bigint")
+    k = F.call_function("div", twice, whole.cast("bigint"))
+    half = (F.pmod(twice, whole) == 0) & (F.pmod(k, F.lit(2)) == 1)
+    # the double as an integer of 2^-s, exactly: s leaves room for its 53 bits and fits in 62
+    s = 61 - F.length(F.bin(whole_of(double)))
+    scaled = whole_of(double * F.pow(F.lit(2.0), s)).cast("decimal(38,0)") * 200
+    tie = k.cast("decimal(38,0)") * whole_of(F.pow(F.lit(2.0), s)).cast("decimal(38,0)")
+    low = F.call_function("div", k - 1, F.lit(2).cast("bigint"))
+    settled = F.when(scaled > tie, low + 1).when(scaled < tie, low).otherwise(low + F.pmod(low, F.lit(2)))
+    return F.when(half, settled).otherwise(F.floor((twice + whole) / (whole * 2))) / 100
+
+
 def paragraph_features(value: Column, raw: Column) -> list[Column]:
     """The facets of a paragraph. value: its text with white space collapsed, a plain column; raw: the text as it is."""
     cautious, strong, critical = _count(value, CAUTIOUS, CJK_CAUTIOUS), _count(value, STRONG, CJK_STRONG), _count(value, CRITICAL, CJK_CRITICAL)
@@ -203,7 +219,7 @@ def paragraph_features(value: Column, raw: Column) -> list[Column]:
         _has(value, FIRST_PERSON, CJK_FIRST_PERSON).alias("first_person"),
         _has(value, PASSIVE, CJK_PASSIVE).alias("passive_voice"),
         transition_markers(value).alias("transition_markers"),
-        (F.floor((words * 200 + count) / (count * 2)) / 100).alias("mean_sentence_words"),
+        hundredths(words, count).alias("mean_sentence_words"),
         F.trim(F.regexp_replace(raw, r"(?U)^\s+", "")).rlike(BULLET).alias("bullet_or_numbered"),
         _has(value, CONTRIBUTION, CJK_CONTRIBUTION).alias("contribution_expression"),
         _has(value, FIGURE, CJK_FIGURE).alias("figure_table_reference"),

@@ -46,9 +46,9 @@ def year_of(value: Column) -> Column:
     return F.nullif(F.regexp_extract(value, r"(?<!\d)(\d{4})(?!\d)", 1), F.lit("")).cast("int")
 
 
-def corpus_fingerprint(rows, by: str, order: str, digest: str):  # noqa: ANN001, ANN201
-    """(by, fingerprint, n): SHA-256 of the digests of each group, in order and joined by commas. Rows are streamed through the hash in order, so no group
-    is ever held as a whole."""
+def streamed_digest(rows, by: str, order: str, value: str, head: str = "", glue: str = ",", tail: str = ""):  # noqa: ANN001, ANN201
+    """(by, fingerprint, n): SHA-256 of each group's values in order, with ``glue`` between, ``head`` before and ``tail`` behind them. Rows are streamed through the
+    hash in order, so no group is ever held as a whole; one group's hash is sequential, and so the work of one task."""
     import hashlib
     from collections.abc import Iterator
 
@@ -58,17 +58,29 @@ def corpus_fingerprint(rows, by: str, order: str, digest: str):  # noqa: ANN001,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, state, n, out = None, None, 0, []
+
+        def end() -> None:
+            state.update(tail.encode())
+            out.append((current, state.hexdigest(), n))
+
         for batch in batches:
-            for group, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for group, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if state is None or group != current:
                     if state is not None:
-                        out.append((current, state.hexdigest(), n))
-                    current, state, n = group, hashlib.sha256(), 0
-                state.update((("," if n else "") + (value or "")).encode())
+                        end()
+                    current, state, n = group, hashlib.sha256(head.encode()), 0
+                state.update(((glue if n else "") + (text or "")).encode())
                 n += 1
+            if len(out) > 1000:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=[by, "fingerprint", "n"])
+                out = []
         if state is not None:
-            out.append((current, state.hexdigest(), n))
-        if out:
+            end()
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=[by, "fingerprint", "n"])
 
-    return rows.repartition(by).sortWithinPartitions(by, order).select(by, digest).mapInArrow(run, f"{by} {kind}, fingerprint string, n bigint")
+    return rows.repartition(by).sortWithinPartitions(by, order).select(by, value).mapInArrow(run, f"{by} {kind}, fingerprint string, n bigint")
+
+
+def corpus_fingerprint(rows, by: str, order: str, digest: str):  # noqa: ANN001, ANN201
+    """(by, fingerprint, n): SHA-256 of the digests of each group, in order and joined by commas."""
+    return streamed_digest(rows, by, order, digest)

@@ -58,19 +58,23 @@ def stage(docs: DataFrame, state: DataFrame, key: str, force: bool = False) -> D
     )
 
 
+def symbol_status(old: Column, new: Column) -> Column:
+    """What became of a symbol: structs of ast_hash, signature and path, null where a version lacks it."""
+    return (
+        F.when(old.isNull(), "introduced")
+        .when(new.isNull(), "removed")
+        .when(old["ast_hash"] == new["ast_hash"], "unchanged")
+        .when(old["signature"] != new["signature"], "signature_changed")
+        .when(old["path"] != new["path"], "moved")
+        .otherwise("modified")
+    )
+
+
 def pair_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """(key, status, confidence) of symbols of two versions: ast_hash, signature and path."""
     fields = ["ast_hash", "signature", "path"]
     both = old.select(key, F.struct(*fields).alias("old")).join(new.select(key, F.struct(*fields).alias("new")), key, "full_outer")
-    o, n = F.col("old"), F.col("new")
-    status = (
-        F.when(o.isNull(), "introduced")
-        .when(n.isNull(), "removed")
-        .when(o["ast_hash"] == n["ast_hash"], "unchanged")
-        .when(o["signature"] != n["signature"], "signature_changed")
-        .when(o["path"] != n["path"], "moved")
-        .otherwise("modified")
-    )
+    status = symbol_status(F.col("old"), F.col("new"))
     return both.select(key, status.alias("status")).withColumn("confidence", F.when(F.col("status").isin("moved", "modified"), 0.8).otherwise(1.0))
 
 

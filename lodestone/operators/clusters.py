@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.functions import vector
+from lodestone.functions import hashing, vector
 from lodestone.operators.graph import components
 
 SHINGLE, THRESHOLD = 3, 0.85
-#: Clusters of more members are named by the hashes of buckets of them, so that no row holds them all.
-MEMBERS, BUCKETS = 100_000, 4096
 #: Fixed value: what a token is.
 TOKEN = r"[a-z0-9]+|[㐀-䶿一-鿿]"
 
@@ -48,10 +46,6 @@ def clusters(records: DataFrame, key: str, text: Column, groups: list[str], thre
     nodes = named.dropDuplicates(["node"]).where(F.size("items") > 0)
     names = components(near_pairs(nodes, groups, threshold).select("a", "b"))  # which stores its links
     member = named.join(names, "node", "left").select("id", F.coalesce("name", "node").alias("name"))
-    sizes = member.groupBy("name").agg(F.count(F.lit(1)).alias("size"))
-    bucket = F.when(F.col("size") > MEMBERS, F.pmod(F.xxhash64("id"), F.lit(BUCKETS))).otherwise(F.lit(0))
-    placed = member.join(sizes, "name").withColumn("bucket", bucket)
-    digest = lambda c: F.sha2(F.concat(F.lit('["'), F.array_join(F.array_sort(F.collect_list(c)), '","'), F.lit('"]')).cast("binary"), 256)
-    parts = placed.groupBy("name", "size", "bucket").agg(digest("id").alias("part"))
-    whole = parts.groupBy("name", "size").agg(F.when(F.max("size") > MEMBERS, digest("part")).otherwise(F.max("part")).alias("digest"))
-    return member.join(whole, "name").select(F.col("id").alias(key), F.concat(F.lit("cluster:"), "digest").alias("cluster"), "size")
+    # a cluster's keys are streamed through one hash, however many they are
+    whole = hashing.streamed_digest(member, "name", "id", "id", head='["', glue='","', tail='"]').withColumnRenamed("n", "size")
+    return member.join(whole, "name").select(F.col("id").alias(key), F.concat(F.lit("cluster:"), "fingerprint").alias("cluster"), "size")

@@ -12,11 +12,11 @@ from __future__ import annotations
 import html
 from collections.abc import Iterable, Iterator
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions import hashing, text
+from lodestone.functions.rows import rowwise
 from lodestone.operators.records import release_key
 from lodestone.plans.markdown import HEADING, REFERENCES
 
@@ -64,33 +64,19 @@ def aligned(keys: Iterable[str], headings: list[str], ahead: int = AHEAD) -> Ite
         yield found
 
 
-def _lists(f, kind: str):  # noqa: ANN001, ANN202
-    """A UDF of one row's lists, in Arrow batches."""
-
-    @F.arrow_udf(kind)
-    def run(*columns: pa.Array) -> pa.Array:
-        rows = zip(*(c.to_pylist() for c in columns), strict=True)
-        return pa.array([list(f(*row)) for row in rows], _ARROW[kind])
-
-    return run
-
-
-_ARROW = {"array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string())}
-
-
 def reading_order(body: Column, groups: Column, n: Column) -> Column:
     """``walk`` of reference lists."""
-    return _lists(lambda b, g, k: walk(b or [], g or [], k or 0), "array<int>")(body, groups, n)
+    return rowwise(lambda b, g, k: list(walk(b or [], g or [], k or 0)), "array<int>")(body, groups, n)
 
 
 def alignment(keys: Column, headings: Column, ahead: int = AHEAD) -> Column:
     """``aligned`` of lists of keys."""
-    return _lists(lambda k, h: aligned(k or [], h or [], ahead), "array<int>")(keys, headings)
+    return rowwise(lambda k, h: list(aligned(k or [], h or [], ahead)), "array<int>")(keys, headings)
 
 
 def heading_keys(values: Column) -> Column:
     """What headings are compared by: entities resolved, links as their texts, then normal headings."""
-    plain = _lists(lambda v: (html.unescape(x or "") for x in v or []), "array<string>")(values)
+    plain = rowwise(lambda v: [html.unescape(x or "") for x in v or []], "array<string>")(values)
     return F.transform(plain, lambda x: text.section_heading(F.regexp_replace(x, LINK, "$1")))
 
 

@@ -13,17 +13,25 @@ def paragraphs(text: Column, separator: str = r"\n\s*\n") -> Column:
 
 
 def packed(parts: Column, most: int, glue: str = "\n\n") -> Column:
-    """Greedy chunks of paragraphs of at most ``most`` white space tokens; a longer paragraph stays whole."""
-    empty = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"), F.lit(0).cast("bigint").alias("n"))
+    """Greedy chunks of paragraphs of at most ``most`` white space tokens; a longer paragraph stays whole.
 
-    def step(state: Column, part: Column) -> Column:
-        n = token_count(part)
-        flush = (state["n"] > 0) & (state["n"] + n > most)
-        done = F.when(flush, F.concat(state["done"], F.array(state["open"]))).otherwise(state["done"])
-        text = F.when(flush | (state["n"] == 0), part).otherwise(F.concat(state["open"], F.lit(glue), part))
-        return F.struct(done.alias("done"), text.alias("open"), F.when(flush, n).otherwise(state["n"] + n).alias("n"))
+    The fold only adds up tokens and keeps a number for each paragraph that begins a chunk; texts are cut once, behind it."""
+    sizes = F.transform(parts, token_count)
+    state = F.struct(F.lit("").alias("cuts"), F.lit(0).cast("bigint").alias("n"), F.lit(0).alias("at"))
 
-    return F.aggregate(parts, empty, step, lambda s: F.when(s["n"] > 0, F.concat(s["done"], F.array(s["open"]))).otherwise(s["done"]))
+    def step(s: Column, n: Column) -> Column:
+        begins = (s["n"] == 0) | (s["n"] + n > most)
+        cuts = F.when(begins, F.concat(s["cuts"], s["at"].cast("string"), F.lit(","))).otherwise(s["cuts"])
+        return F.struct(cuts.alias("cuts"), F.when(begins, n).otherwise(s["n"] + n).alias("n"), (s["at"] + 1).alias("at"))
+
+    # bound to variables, since what follows names them more than once
+    bound = F.transform(F.array(F.struct(parts.alias("p"), F.aggregate(sizes, state, step, lambda s: s["cuts"]).alias("cuts"))), lambda x: F.struct(x["p"].alias("p"), F.filter(F.split(x["cuts"], ","), lambda c: c != "").cast("array<int>").alias("b")))
+
+    def cut(x: Column) -> Column:
+        upto = lambda i: F.coalesce(F.get(x["b"], i + 1), F.size(x["p"]))
+        return F.transform(x["b"], lambda b, i: F.array_join(F.slice(x["p"], b + 1, upto(i) - b), glue))
+
+    return F.get(F.transform(bound, cut), F.lit(0))
 
 
 def chunks(docs: DataFrame, key: str, text: str, most: int, separator: str = r"\n\s*\n") -> DataFrame:
