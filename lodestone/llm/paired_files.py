@@ -27,6 +27,7 @@ import re
 import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -87,32 +88,29 @@ def _node(i: int, n: int, low: bytes, high: bytes) -> tuple[int, int, int, bool]
     return i, skip or 0, width, skip is None
 
 
-def celled(rows: DataFrame) -> DataFrame:
-    """Stored rows (number, key, ...) with ``cell``: cells of a file hold rows that lie together in its order."""
-    spark, schema = rows.sparkSession, "id bigint, skip int, width int, equal boolean"
-    facts = [F.count(F.lit(1)).alias("n"), F.min("key").alias("low"), F.max("key").alias("high")]
-    roots = rows.groupBy("number").agg(*facts).collect()  # a row for each file
-    large, used = max(4 * CELL, sum(r.n for r in roots) // SHARE), max((r.number for r in roots), default=0) + 1
-    nodes, dealt, level = [_node(r.number, r.n, r.low, r.high) for r in roots], rows.withColumn("cell", F.lit(None).cast("bigint")).withColumn("at", F.col("number").cast("bigint")), 0
-    while nodes:
-        level += 1
-        node = f"node{level}"
-        table = F.broadcast(spark.createDataFrame(nodes, schema).select(F.struct("*").alias(node)))  # the files, or at most SHARE
-        child = F.call_function("shiftleft", F.col("at"), F.lit(DIGIT)).bitwiseOR(_digit(F.col("key"), node))
-        dealt = dealt.join(table, F.col("at") == F.col(f"{node}.id"), "left").withColumn("cell", F.when(F.col("at").isNotNull(), child).otherwise(F.col("cell"))).drop(node)
-        inner = dealt.where("at IS NOT NULL")
-        heavy = sorted(r.cell for r in inner.groupBy("cell").count().where(F.col("count") > large).collect())  # at most SHARE
-        heavy = {c: used + i for i, c in enumerate(heavy)}
+def celled(rows: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Stored rows (number, key) with ``cell``: cells of a file hold rows that lie together in its order. With it, what was stored on the way: the rows
+    of large cells, which alone go to the next level."""
+    spark, facts = rows.sparkSession, [F.count(F.lit(1)).alias("n"), F.min("key").alias("low"), F.max("key").alias("high")]
+    level, leaves, kept, used, large = rows.select("number", F.col("number").cast("bigint").alias("at"), "key"), [], [], 0, 0
+    while True:
+        found = level.groupBy("at").agg(*facts).collect()  # a row for each file, or at most SHARE
+        if not leaves:
+            large, used = max(4 * CELL, sum(r.n for r in found) // SHARE), max((r["at"] for r in found), default=0) + 1
+        nodes = [_node(r["at"], r.n, r.low, r.high) for r in found]
+        table = F.broadcast(spark.createDataFrame(nodes, "id bigint, skip int, width int, equal boolean").select(F.struct("*").alias("node")))
+        child = F.call_function("shiftleft", F.col("at"), F.lit(DIGIT)).bitwiseOR(_digit(F.col("key"), "node"))
+        dealt = level.join(table, F.col("at") == F.col("node.id")).select("number", child.alias("cell"), F.col("node.equal").alias("equal"), "key")
+        heavy = sorted(r.cell for r in dealt.where("NOT equal").groupBy("cell").count().where(F.col("count") > large).collect())  # at most SHARE
+        if not heavy:
+            leaves.append(dealt.select("number", "cell", "key"))
+            return reduce(DataFrame.unionByName, leaves), kept
+        names = F.broadcast(spark.createDataFrame([(c, used + i) for i, c in enumerate(heavy)], "of bigint, next bigint"))
         used += len(heavy)
-        if not heavy or all(n[3] for n in nodes):
-            break
-        names = F.broadcast(spark.createDataFrame(list(heavy.items()), "of bigint, next bigint"))
-        dealt = dealt.join(names, F.col("at").isNotNull() & (F.col("cell") == F.col("of")), "left").withColumn("at", F.col("next")).drop("of", "next")
-        if any(n[3] for n in nodes):  # cells of equal keys are done
-            done = [n[0] for n in nodes if n[3]]
-            dealt = dealt.withColumn("at", F.when(~F.call_function("shiftright", F.col("cell"), F.lit(DIGIT)).isin(done), F.col("at")))
-        nodes = [_node(r["at"], r.n, r.low, r.high) for r in dealt.where("at IS NOT NULL").groupBy("at").agg(*facts).collect()]
-    return dealt.drop("at")
+        marked = dealt.join(names, F.col("cell") == F.col("of"), "left")
+        leaves.append(marked.where("next IS NULL").select("number", "cell", "key"))
+        level = stored(marked.where("next IS NOT NULL").select("number", F.col("next").alias("at"), "key"))
+        kept.append(level)
 
 
 def _pieces(table: StructType, key: str):  # noqa: ANN202
@@ -153,10 +151,12 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def write_sorted(rows: DataFrame, table: StructType, key: str, files: int, path: str) -> None:
     """Stored rows (start, number, key) as one sorted file part-NNNNN for each number, below ``files``."""
-    sorted_rows = celled(rows.select("number", "key")).repartition("cell").sortWithinPartitions("cell", "key").select("cell", "number", "key")
+    cells, kept = celled(rows.select("number", "key"))
+    sorted_rows = cells.repartition("cell").sortWithinPartitions("cell", "key").select("cell", "number", "key")
     pieces = map_arrow(sorted_rows, _pieces(table, key), "number int, first binary, rows binary")
     placed = pieces.repartitionById(files, F.col("number")).sortWithinPartitions("number", "first")
     map_arrow(placed, _rows, table).write.option("compression", "zstd").option("maxRecordsPerFile", 0).parquet(path)
+    released(*kept)
 
 
 def _fs(spark: SparkSession, path: str):  # noqa: ANN202

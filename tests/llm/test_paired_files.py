@@ -119,7 +119,7 @@ def test_radix_cells_are_bounded_and_in_order(spark, small):
     keys += [b"\x01" + (9).to_bytes(8, "big") + b"same" * 3] * 400
     rows = spark.createDataFrame([(i % 2, bytearray(k)) for i, k in enumerate(keys)], "number int, key binary").repartition(4)
     cells = defaultdict(list)
-    for r in pair.celled(pair.stored(rows)).collect():
+    for r in pair.celled(pair.stored(rows))[0].collect():
         cells[r.number, r.cell].append(bytes(r.key))
     assert sum(map(len, cells.values())) == len(keys)
     assert max(map(len, cells.values())) <= max(4 * pair.CELL, max(Counter(keys).values()) // 8)
