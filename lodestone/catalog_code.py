@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestone.operators import version_diffs
+from lodestone.operators import dependencies, version_diffs
 from lodestone.registry import query, table
 
 _SUMMARY = "'Pinned source comparison classifies `' || name || '` as `' || status || '` between 1.0 and 2.0.'"
@@ -60,3 +60,56 @@ def c4_v9_version_diffs(spark, sf_dir):  # noqa: ANN001, ANN201
     releases = named.where("library = 'lib1'").select("library", F.inline(F.array(*(F.struct(F.lit(t).alias("tag"), F.lit(u).alias("url")) for t, u in (("v1.0", "https://x/1"), ("2.0", "https://x/2"), ("3.0", "https://x/3"), ("v2.0", ""))))))
     found = version_diffs.diff_documents(version_diffs.changed_symbols(old, fresh), files, libraries, releases)
     return found.select("library", "symbol", "status", "confidence", F.sha2(F.col("patch").cast("binary"), 256).alias("patch_sha256"), "content_hash", "document_id", F.array_join("release_urls", ",").alias("release_urls"))
+
+
+def _repositories(spark, sf_dir):  # noqa: ANN001, ANN202
+    """(files, selected, packages): what suppliers' repositories declare, in which environment, and what the two environments hold."""
+    k = F.col("s_suppkey")
+    n = lambda m: (k % m).cast("string")
+    text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+    pins = text("# head\nnumpy>=1.", n(9), ",<2\n-r other.txt\n\nFoo_Bar[x] ~= 2.", n(3), " # note\nonlyold==1.0; python_version < '3'\nbad name\n")
+    tree = text("name: x\ndependencies:\n  - python=3.", n(5), "\n  - pip:\n    - tool==", n(4), ".1\nother:\n  - no>1\n")
+    toml = text('[project]\ndependencies = ["Numpy>=1.', n(4), '"]\n[project.optional-dependencies]\ntest = ["pytest"]\n')
+    file = lambda path, body, cond: F.struct(F.lit(path).alias("path"), F.when(cond, body).alias("text"))
+    every = F.lit(True)
+    made = F.array(file("requirements-dev.txt", pins, every), file("environment.yml", tree, every), file("pyproject.toml", toml, k % 2 == 0), file("setup.py", F.lit("import x\n_deps = ['tool!=1.1', 3]\n"), k % 3 == 0), file("src/requirements.txt", F.lit("no>1"), every))
+    repository = k.cast("string").alias("repository")
+    rows = table(spark, sf_dir, "supplier")
+    files = rows.select(repository, F.inline(made))
+    held = [("e0", "numpy", "1.5"), ("e0", "foo-bar", "2.4"), ("e0", "python", "3.2"), ("e0", "tool", "1.1"), ("e1", "numpy", "1.2.post1+cpu"), ("e1", "tool", "x")]
+    packages = table(spark, sf_dir, "region").where("r_regionkey = 0").select(F.inline(F.array(*(F.struct(*(F.lit(v).alias(c) for c, v in zip(("environment", "package", "version"), h, strict=True))) for h in held))))
+    return files, rows.select(repository, F.concat(F.lit("e"), n(2)).alias("environment")), packages
+
+
+_DECLARED = """
+    WITH k AS (SELECT s_suppkey AS k FROM supplier),
+    d AS (
+        SELECT k, 'numpy' AS canonical, CASE WHEN k % 2 = 0 THEN 'Numpy' ELSE 'numpy' END AS package, CASE WHEN k % 2 = 0 THEN '>=1.' || k % 4 ELSE '<2,>=1.' || k % 9 END AS requirement,
+               CASE WHEN k % 2 = 0 THEN 'pyproject.toml:project.dependencies' ELSE 'requirements-dev.txt' END AS source, CASE WHEN k % 2 = 0 THEN 'declared' ELSE 'development' END AS scope FROM k
+        UNION ALL SELECT k, 'foo-bar', 'Foo_Bar', '~=2.' || k % 3, 'requirements-dev.txt', 'development' FROM k
+        UNION ALL SELECT k, 'python', 'python', '==3.' || k % 5, 'environment.yml', 'declared' FROM k
+        UNION ALL SELECT k, 'tool', 'tool', CASE WHEN k % 3 = 0 THEN '!=1.1' ELSE '==' || k % 4 || '.1' END, CASE WHEN k % 3 = 0 THEN 'setup.py:_deps' ELSE 'environment.yml:pip' END, CASE WHEN k % 3 = 0 THEN 'catalog' ELSE 'declared' END FROM k
+        UNION ALL SELECT k, 'pytest', 'pytest', '', 'pyproject.toml:project.optional-dependencies.test', 'optional' FROM k WHERE k % 2 = 0)"""
+
+
+@query(_DECLARED + """
+    SELECT k::VARCHAR AS repository, canonical, package, requirement, source, scope, CASE WHEN scope = 'catalog' THEN 'lists_dependency' ELSE 'declares_dependency' END AS relation,
+           CASE WHEN canonical IN ('numpy', 'foo-bar') THEN 'lib-' || canonical END AS target_library FROM d""")
+def x34_j19_dependencies(spark, sf_dir):  # noqa: ANN001, ANN201
+    files, _, packages = _repositories(spark, sf_dir)
+    libraries = packages.where("environment = 'e0' AND package IN ('numpy', 'foo-bar')").select(F.upper(F.replace("package", F.lit("-"), F.lit("."))).alias("package"), F.concat(F.lit("lib-"), F.col("package")).alias("library"))
+    return dependencies.to_libraries(dependencies.dependencies(files), libraries)
+
+
+@query(_DECLARED + """,
+    j AS (
+        SELECT *, CASE WHEN k % 2 = 0 THEN map {'numpy': '1.5', 'foo-bar': '2.4', 'python': '3.2', 'tool': '1.1'}[canonical] ELSE map {'numpy': '1.2.post1+cpu', 'tool': 'x'}[canonical] END AS version,
+               CASE canonical WHEN 'numpy' THEN k % 2 = 0 OR k % 9 <= 2 WHEN 'foo-bar' THEN true WHEN 'python' THEN k % 5 = 2 ELSE k % 3 <> 0 AND k % 4 = 1 END AS fits FROM d)
+    SELECT k::VARCHAR AS repository, 'e' || k % 2 AS environment, canonical, package, requirement, version AS environment_version,
+           CASE WHEN version IS NULL OR requirement = '' OR version = 'x' THEN 'unknown' WHEN fits THEN 'likely_compatible' ELSE 'conflict' END AS status,
+           CASE WHEN version IS NULL THEN 'package is not present in the selected environment profile' WHEN version = 'x' THEN 'version value could not be normalized'
+                ELSE 'declared requirement comparison; runtime behavior is not yet verified' END AS basis
+    FROM j""")
+def j20_compatibility(spark, sf_dir):  # noqa: ANN001, ANN201
+    files, selected, packages = _repositories(spark, sf_dir)
+    return dependencies.compatibility(dependencies.dependencies(files), selected, packages)
