@@ -113,3 +113,30 @@ def x34_j19_dependencies(spark, sf_dir):  # noqa: ANN001, ANN201
 def j20_compatibility(spark, sf_dir):  # noqa: ANN001, ANN201
     files, selected, packages = _repositories(spark, sf_dir)
     return dependencies.compatibility(dependencies.dependencies(files), selected, packages)
+
+
+@query("""
+    WITH f AS (SELECT 'r' || p_partkey % 50 AS repository, p_partkey // 50 AS place, p_partkey AS k FROM part),
+    m AS (SELECT repository, min(place) FILTER (k % 2 = 0) AS even, min(place) FILTER (k % 3 = 0) AS third FROM f GROUP BY repository),
+    u AS (
+        SELECT repository, place, 'numpy' AS library, 'call_sites' AS kind, 'numpy.f' || k AS value, 3 AS line, '{"parameters": ["a"], "positional_arguments": 1}' AS detail FROM f WHERE k % 2 = 0
+        UNION ALL SELECT repository, place, 'numpy', 'monkey_patches', 'numpy.g', 5, '{}' FROM f WHERE k % 2 = 0
+        UNION ALL SELECT f.repository, place, 'torch', 'call_sites', 'torch.nn.h', 4, '{"parameters": [], "positional_arguments": 0}' FROM f JOIN m USING (repository) WHERE k % 3 = 0
+        UNION ALL SELECT f.repository, place, 'os', 'call_sites', CASE WHEN k % 2 = 0 THEN 'os.path.p' ELSE 'os.p' END || k % 5, 6, '{"parameters": [], "positional_arguments": 0}' FROM f JOIN m USING (repository) WHERE place >= even
+        UNION ALL SELECT repository, place, 'torch', 'inherited_symbols', 'torch.nn.Base', 7, '{"class": "C' || k || '"}' FROM f WHERE k % 3 = 0),
+    n AS (SELECT *, row_number() OVER (PARTITION BY repository, library, kind ORDER BY place) AS nth FROM u)
+    SELECT repository, library, kind, nth::INTEGER AS nth, 'p' || lpad(place::VARCHAR, 9, '0') || '.py' AS path, line, value, detail FROM n WHERE nth <= CASE kind WHEN 'call_sites' THEN 500 ELSE 200 END
+    UNION ALL SELECT DISTINCT repository, library, 'symbols', NULL::INTEGER, NULL, NULL::INTEGER, value, NULL FROM u WHERE kind = 'call_sites'
+    UNION ALL SELECT DISTINCT repository, library, 'imports', NULL, NULL, NULL, name, NULL FROM f, (VALUES ('numpy', 'numpy', 2), ('os', 'os.path', 2), ('torch', 'torch.nn', 3)) AS i(library, name, n) WHERE k % n = 0
+    UNION ALL SELECT DISTINCT repository, library, 'files', NULL, NULL, NULL, 'p' || lpad(place::VARCHAR, 9, '0') || '.py', NULL FROM f, (VALUES ('numpy', 2), ('os', 2), ('torch', 3)) AS i(library, n) WHERE k % n = 0""")
+def a23_api_usage(spark, sf_dir):  # noqa: ANN001, ANN201
+    from lodestone.operators import api_usage
+
+    k = F.col("p_partkey")
+    n = k.cast("string")
+    head = F.concat(F.when(k % 2 == 0, "import numpy as np, os.path\n").otherwise("\n"), F.when(k % 3 == 0, "from torch import nn\n").otherwise("\n"))
+    calls = F.concat(F.when(k % 2 == 0, F.concat(F.lit("np.f"), n, F.lit("(1, a=2)\n"))).otherwise("\n"), F.when(k % 3 == 0, "nn.h()\n").otherwise("\n"), F.when(k % 2 == 0, "np.g = 1\n").otherwise("\n"))
+    tail = F.concat(F.lit("os.p"), (k % 5).cast("string"), F.lit("()\n"), F.when(k % 3 == 0, F.concat(F.lit("class C"), n, F.lit("(nn.Base): pass\n"))).otherwise("class D: pass\n"))
+    path = F.concat(F.lit("p"), F.lpad(F.floor(k / 50).cast("string"), 9, "0"), F.lit(".py"))
+    files = table(spark, sf_dir, "part").select(F.concat(F.lit("r"), (k % 50).cast("string")).alias("repository"), path.alias("path"), F.concat(head, calls, tail).alias("text"))
+    return api_usage.inventory(files)
