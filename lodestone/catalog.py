@@ -16,7 +16,6 @@ from lodestone.plans import chunking
 from lodestone.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 NAMESPACE = uuid.UUID("6f1f2f0e-9a4e-5b1c-8a53-0d2c8c4d7e11")
-TERMS = [(1, "moron"), (1, "the"), (2, "loser"), (2, "und"), (3, "license"), (3, "released"), (4, "clown"), (4, "scum")]
 WEIGHTS = {"purchase": 0.1, "error": -0.15, "view": 0.01, "click": -0.02}
 
 
@@ -228,14 +227,16 @@ def k1_v2_dense_top_k(spark, sf_dir):  # noqa: ANN001, ANN201
 
 
 def _sparse(spark, sf_dir, k):  # noqa: ANN001, ANN202
+    # every document with an id divisible by 100 asks for its long words
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("point_id"), "text")
-    return retrieval.sparse(spark.createDataFrame(TERMS, "query_id int, term string"), docs, _tokens("text"), k)
+    queries = docs.where("point_id % 100 = 0").select(F.col("point_id").alias("query_id"), F.explode(F.filter(_tokens("text"), lambda t: F.length(t) > 7)).alias("term"))
+    return retrieval.sparse(queries, docs, _tokens("text"), k)
 
 
 _SPARSE = f"""t AS (SELECT doc_id AS point_id, {_words("text")} AS ws FROM documents),
     z AS (SELECT count(*) AS docs, avg(len(ws)) AS mean FROM t),
     p AS (SELECT point_id, term, count(*) AS tf, length FROM (SELECT point_id, len(ws) AS length, unnest(ws) AS term FROM t) GROUP BY point_id, term, length),
-    q(query_id, term) AS (VALUES {", ".join(f"({a}, '{b}')" for a, b in TERMS)}),
+    q AS (SELECT DISTINCT point_id AS query_id, unnest(list_filter(ws, lambda x: len(x) > 7)) AS term FROM t WHERE point_id % 100 = 0),
     df AS (SELECT term, count(*) AS df FROM p WHERE term IN (SELECT term FROM q) GROUP BY term),
     sparse AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, point_id) AS rank FROM (
         SELECT query_id, point_id, sum(ln(1 + (docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / mean))) AS score
@@ -247,13 +248,13 @@ def k2_bm25_top_k(spark, sf_dir):  # noqa: ANN001, ANN201
     return _sparse(spark, sf_dir, 10).withColumn("score", F.round("score", 6))
 
 
-@query(f"""WITH {_DENSE}, {_SPARSE}, a AS (SELECT query_id, point_id, rank FROM dense UNION ALL SELECT vec_id, point_id, rank FROM sparse JOIN embeddings ON vec_id % 100 = 0 AND query_id = 1 + vec_id // 100 % 4),
+@query(f"""WITH {_DENSE}, {_SPARSE}, a AS (SELECT query_id, point_id, rank FROM dense UNION ALL SELECT vec_id, point_id, rank FROM sparse JOIN embeddings ON query_id = vec_id),
           f AS (SELECT query_id, point_id, sum(1.0::DOUBLE / (60 + rank)) AS score FROM a GROUP BY query_id, point_id)
           SELECT query_id, point_id, round(score, 9) AS score, (row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, point_id))::INT AS rank FROM f QUALIFY rank <= 10""")
 def k3_a3_hybrid_search(spark, sf_dir):  # noqa: ANN001, ANN201
-    # each query of the dense search has the terms of one of the four sparse queries, in turn
-    asked = table(spark, sf_dir, "embeddings").where("vec_id % 100 = 0").select("vec_id", F.expr("1 + vec_id div 100 % 4").alias("terms"))
-    sparse = asked.join(F.broadcast(_sparse(spark, sf_dir, 10)), F.col("terms") == F.col("query_id"))  # 40 rows
+    # a query has the vector and the document of its number
+    asked = table(spark, sf_dir, "embeddings").where("vec_id % 100 = 0").select("vec_id")
+    sparse = asked.join(_sparse(spark, sf_dir, 10), F.col("vec_id") == F.col("query_id"))
     rankings = [_dense(spark, sf_dir, 10), sparse.select(F.col("vec_id").alias("query_id"), "point_id", "rank")]
     return retrieval.hybrid(rankings, 10).select(F.col("query_id").cast("bigint").alias("query_id"), "point_id", F.round("score", 9).alias("score"), "rank")
 

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 K1, B, RRF = 1.2, 0.75, 60
 #: Queries of a dense search that are sent together, and points that they are compared with at a time.
 BLOCK, CHUNK = 2048, 1024
-#: Distinct terms of a sparse search, and queries of a token overlap that are broadcast together.
-TERMS, OVERLAP = 4096, 512
+#: Queries of a token overlap that are broadcast together, and rows that any other broadcast has at most.
+OVERLAP, SMALL = 512, 100_000
 
 
 def matches(equal: dict[str, object] | None = None, any_of: dict[str, object] | None = None, within: dict[str, list] | None = None, ranges: dict[str, tuple] | None = None) -> Column:
@@ -90,24 +90,36 @@ def postings(docs: DataFrame, tokens: Column) -> DataFrame:
     return listed.groupBy("point_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("length").alias("length"))
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """df to be broadcast if a count shows that it has at most SMALL rows, else as it is: the join then shuffles."""
+    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    """df, written to the checkpoint folder where one is set, else kept by the executors."""
+    return df.checkpoint(eager=True) if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else df.persist()
+
+
 def sparse(queries: DataFrame, docs: DataFrame, tokens: Column, k: int, k1: float = K1, b: float = B) -> DataFrame:
-    """(query_id, point_id, score, rank) by BM25. queries: (query_id, term), of TERMS distinct terms at most.
-
-    Of the documents' tokens only those that a query asks for leave the scan, with the documents' lengths."""
-    wanted = [r.term for r in queries.select("term").distinct().limit(TERMS + 1).collect()]
-    if len(wanted) > TERMS:
-        raise ValueError(f"more than {TERMS} terms; ask in blocks")
-    own = F.array(*map(F.lit, wanted)) if wanted else F.array().cast("array<string>")
-    asked = F.transform(F.array(tokens), lambda t: F.struct(F.size(t).alias("length"), F.filter(t, lambda x: F.array_contains(own, x)).alias("terms")))
-    rows = docs.select("point_id", F.get(asked, F.lit(0)).alias("t")).select("point_id", "t.length", "t.terms")
-    rows = rows.checkpoint(eager=True) if rows.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else rows.persist()
-    sizes = rows.agg(F.count(F.lit(1)).alias("docs"), F.avg("length").alias("mean"))
-    found = rows.where(F.size("terms") > 0).select("point_id", "length", F.explode("terms").alias("term")).groupBy("point_id", "term", "length").agg(F.count(F.lit(1)).alias("tf"))
+    """(query_id, point_id, score, rank) by BM25. queries: (query_id, term), any number of them; repeated rows count once. Null or empty texts
+    count as documents without tokens.
+
+    Of the documents' tokens only those that a query asks for leave the scan, with a row for each document for its length; terms and queries go to
+    them by broadcasts whose size is checked, else by shuffles."""
+    asked = _cut(queries.select("query_id", "term").where("term IS NOT NULL").distinct())
+    wanted = _cut(asked.select("term").distinct().withColumn("hit", F.lit(True)))
+    listed = docs.select("point_id", tokens.alias("tokens")).select("point_id", F.greatest(F.size("tokens"), F.lit(0)).alias("length"), F.posexplode_outer("tokens").alias("place", "term"))
+    hits = listed.join(_small(wanted), "term", "left").where("hit OR place IS NULL OR place = 0")
+    rows = _cut(hits.groupBy("point_id", "length", F.when(F.col("hit"), F.col("term")).alias("term")).agg(F.count(F.lit(1)).alias("tf"), F.count_if(F.coalesce("place", F.lit(0)) == 0).alias("firsts")))
+    sizes = rows.where("firsts > 0").agg(F.count(F.lit(1)).alias("docs"), F.avg("length").alias("mean")).first()
+    if not sizes.docs:
+        return rows.select(F.lit(None).cast(queries.schema["query_id"].dataType).alias("query_id"), "point_id", F.lit(0.0).alias("score"), F.lit(0).alias("rank")).limit(0)
+    found = rows.where("term IS NOT NULL").select("point_id", "length", "term", "tf")
     frequency = found.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    scored = found.join(F.broadcast(queries), "term").join(F.broadcast(frequency), "term").join(F.broadcast(sizes), F.lit(True))  # TERMS rows at most; one row
-    idf = F.log(1 + (F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weight = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.col("mean")))
-    totals = scored.groupBy("query_id", "point_id").agg(F.sum(weight).alias("score"))
+    idf = F.log(1 + (sizes.docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weight = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.lit(sizes["mean"] or 1.0)))
+    scored = found.join(_small(frequency), "term").select("point_id", "term", weight.alias("weight"))
+    totals = scored.join(_small(asked), "term").groupBy("query_id", "point_id").agg(F.sum("weight").alias("score"))
     return ranked(totals, k, ["query_id"], F.round("score", 9).desc(), F.col("point_id"))
 
 
