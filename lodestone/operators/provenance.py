@@ -46,28 +46,55 @@ def orphans(children: DataFrame, parents: DataFrame, child: str, parent: str) ->
     return children.join(parents.select(F.col(parent).alias(child)), child, "left_anti")
 
 
+def _grams(value: Column, q: int) -> Column:
+    """The distinct runs of q characters of a text."""
+    chars = F.array(F.split(value, ""))
+    pieces = F.transform(chars, lambda c: F.array_compact(F.transform(c, lambda x, i: F.concat(x, *(F.get(c, i + j) for j in range(1, q))))))
+    return F.array_distinct(F.get(pieces, F.lit(0)))
+
+
+def holders(items: DataFrame, docs: DataFrame, inner: int = 3) -> DataFrame:
+    """(item_id, doc_id) candidates among documents that may hold an item's text: all that do are among them. items: (item_id, own, t), docs: (doc_id, body, t); own
+    and body are lower-cased, t their words.
+
+    An item's words but the first and the last stand whole in a text that holds it, so items of ``inner`` words or more meet documents by their longest such
+    word. Shorter ones meet them by their first three characters, or all of them if they are fewer."""
+    wordy = items.where(F.size("t") >= inner).withColumn("mid", F.slice("t", F.lit(2), F.size("t") - 2))
+    longest = F.array_max(F.transform("mid", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    found = wordy.select("item_id", longest.alias("w")).join(docs.select("doc_id", F.explode(F.array_distinct("t")).alias("w")), "w").select("item_id", "doc_id")
+    tiny = items.where((F.size("t") < inner) & (F.col("own") != "")).select("item_id", F.substring("own", 1, 3).alias("w"))
+    for q in sorted(r.q for r in tiny.select(F.length("w").alias("q")).distinct().collect()):  # at most three lengths
+        seen = docs.select("doc_id", F.explode(_grams(F.col("body"), q)).alias("w"))
+        found = found.unionByName(tiny.where(F.length("w") == q).join(seen, "w").select("item_id", "doc_id"))
+    return found.distinct()
+
+
 def similarity(items: DataFrame, docs: DataFrame, tokens: Callable[[str], Column], n: int = 5) -> DataFrame:
-    """(item_id, doc_id, shared, overlap, run, exact, risk) of the pairs that share n words in a row or whose document holds
-    the item exactly. Both: (id, text). run is the longest common run of words, 0 below n words.
+    """(item_id, doc_id, shared, overlap, run, exact, risk) of the pairs that share n words in a row or whose document holds the item exactly. Both: (id,
+    text). run is the longest common run of words. Items without text are in no pair.
 
-    A common run lies on one diagonal of the common n-grams' positions. Exact substrings are sought for items of fewer than
-    14 words only: longer ones have 12 words in a row in common, for at most the first and the last are cut, and so the same risk.
-    """
+    A common run lies on one diagonal of the common n-grams' positions. A document that holds an item of n + 2 words or more has all its words but the first and
+    the last in a row, so only pairs with such a run are compared as texts; shorter items find their documents by ``holders``."""
     words = items.select("item_id", F.lower(F.regexp_replace("text", r"(?U)^\s+|\s+$", "")).alias("own"), tokens("text").alias("t"))
     own = words.select("item_id", vector.runs(F.col("t"), n).alias("r"))
     # outer explodes, since a filter inferred from inner ones would repeat the whole expressions below
     own = own.select("item_id", F.size(F.array_distinct("r")).alias("n"), "r", F.posexplode_outer("r").alias("i", "s")).where("s IS NOT NULL")
     own = own.select("item_id", "n", "i", "s", F.array_position("r", F.col("s")).alias("gram"))
     seen = docs.select("doc_id", tokens("text").alias("t")).select("doc_id", F.posexplode_outer(vector.runs(F.col("t"), n)).alias("j", "s")).where("s IS NOT NULL")
-    common = seen.join(own, "s").select("item_id", "doc_id", "n", "gram", "i", (F.col("j") - F.col("i")).alias("d"), F.lit(False).alias("exact"))
-    short = words.where(F.size("t") < 14).select("item_id", "own")
-    held = docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("text")).join(F.broadcast(short), F.contains("text", "own"))
-    none = [F.lit(None).cast(kind).alias(c) for c, kind in (("n", "int"), ("gram", "bigint"), ("i", "int"), ("d", "int"))]
-    rows = common.unionByName(held.select("item_id", "doc_id", *none, F.lit(True).alias("exact")))
+    common = seen.join(own, "s").select("item_id", "doc_id", "n", "gram", "i", (F.col("j") - F.col("i")).alias("d"))
     place = F.row_number().over(Window.partitionBy("item_id", "doc_id").orderBy("d", "i"))
-    islands = rows.withColumn("island", F.col("i") - place).groupBy("item_id", "doc_id", "d", "island")
-    islands = islands.agg(F.count("i").alias("length"), F.collect_set("gram").alias("grams"), F.max("n").alias("n"), F.bool_or("exact").alias("exact"))
+    islands = common.withColumn("island", F.col("i") - place).groupBy("item_id", "doc_id", "d", "island")
+    islands = islands.agg(F.count("i").alias("length"), F.collect_set("gram").alias("grams"), F.max("n").alias("n"))
     grams = F.size(F.array_distinct(F.flatten(F.collect_list("grams")))).cast("bigint")
-    pairs = islands.groupBy("item_id", "doc_id").agg(F.max("length").alias("length"), grams.alias("shared"), F.max("n").alias("n"), F.bool_or("exact").alias("exact"))
-    run, ratio = F.when(F.col("length") > 0, F.col("length") + n - 1).otherwise(0), F.coalesce(F.col("shared") / F.col("n"), F.lit(0.0))
-    return pairs.select("item_id", "doc_id", "shared", ratio.alias("overlap"), run.alias("run"), "exact", vector.risk_level(F.col("exact"), run, ratio, F.lit(0.0)).alias("risk"))
+    pairs = islands.groupBy("item_id", "doc_id").agg((F.max("length") + n - 1).alias("common_run"), grams.alias("common"), F.max("n").alias("n"))
+    sized = words.select("item_id", F.size("t").alias("k"))
+    near = pairs.join(sized, "item_id").where((F.col("k") >= n + 2) & (F.col("common_run") >= F.col("k") - 2)).select("item_id", "doc_id")
+    texts = docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("body"), tokens("text").alias("t"))
+    asked = near.unionByName(holders(words.where((F.size("t") < n + 2) & (F.col("own") != "")), texts))
+    held = asked.join(words.select("item_id", "own", F.col("t").alias("it")), "item_id").join(texts, "doc_id").where(F.contains("body", "own"))
+    # runs below n words, of the short items only
+    short = F.coalesce(*(F.when(F.arrays_overlap(vector.runs(F.col("it"), m), vector.runs(F.col("t"), m)), m) for m in range(n - 1, 0, -1)), F.lit(0))
+    held = held.select("item_id", "doc_id", F.when(F.size("it") < n + 2, short).otherwise(0).cast("bigint").alias("short_run"), F.lit(True).alias("exact"))
+    both = pairs.join(held, ["item_id", "doc_id"], "full_outer")
+    run, ratio, exact = F.coalesce("common_run", "short_run"), F.coalesce(F.col("common") / F.col("n"), F.lit(0.0)), F.coalesce("exact", F.lit(False))
+    return both.select("item_id", "doc_id", F.coalesce("common", F.lit(0)).cast("bigint").alias("shared"), ratio.alias("overlap"), run.alias("run"), exact.alias("exact"), vector.risk_level(exact, run, ratio, F.lit(0.0)).alias("risk"))
