@@ -545,4 +545,4 @@ def w15_rate_limit(spark, sf_dir):  # noqa: ANN001, ANN201
     return table(spark, sf_dir, "events").select("event_id", (F.count(F.lit(1)).over(by) <= 2).alias("allowed"))
 
 
-from lodestone import catalog_code, catalog_library, catalog_provenance, catalog_records, catalog_state, catalog_texts  # noqa: E402, F401 - they register their queries
+from lodestone import catalog_code, catalog_library, catalog_materials, catalog_provenance, catalog_records, catalog_state, catalog_texts  # noqa: E402, F401 - they register their queries
