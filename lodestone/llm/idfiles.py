@@ -169,8 +169,10 @@ def _encoded(batches: Iterator[pa.RecordBatch], coder: Encoder) -> Iterator[tupl
     yield from zip(names, coder.encode(texts), strict=True)
 
 
-def read(records: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32, ids) of each document in the records; start counts over all files."""
+def read(records: DataFrame, ids: bool = True) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32, ids) of each document in the records; start counts over all files. Without ``ids`` that column stays behind: they
+    are decoded and summed up all the same."""
+    with_ids = ids
     # one row for each file, of which there are as many as tasks that wrote
     sizes = sorted((r.file, r.n) for r in records.groupBy("file").agg(F.sum("n").alias("n")).collect())
     starts, total = {}, 0
@@ -188,15 +190,16 @@ def read(records: DataFrame) -> DataFrame:
                 begins = np.concatenate([[0], ends[:-1]])
                 for lo in range(0, len(ends), 1024):
                     a, b = begins[lo : lo + 1024], ends[lo : lo + 1024]
+                    parts = [ids[x:y].tobytes() for x, y in zip(a, b, strict=True)]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(r["doc_ids"][lo : lo + 1024], pa.int64()),
                             pa.array(a + starts[r["file"]] + r["first"], pa.int64()),
                             pa.array(b - a, pa.int64()),
-                            pa.array([zlib.crc32(ids[x:y].tobytes()) for x, y in zip(a, b, strict=True)], pa.int64()),
-                            pa.array([ids[x:y].tobytes() for x, y in zip(a, b, strict=True)], pa.binary()),
+                            pa.array([zlib.crc32(x) for x in parts], pa.int64()),
+                            *([pa.array(parts, pa.binary())] if with_ids else []),
                         ],
-                        names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"],
+                        names=["doc_id", "start", "n_tokens", "ids_crc32", *(["ids"] if with_ids else [])],
                     )
 
-    return records.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids binary")
+    return records.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + (", ids binary" if with_ids else ""))

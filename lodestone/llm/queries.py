@@ -41,7 +41,7 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return idfiles.read(idfiles.write(table(spark, sf_dir, "documents"))).drop("ids")
+    return idfiles.read(idfiles.write(table(spark, sf_dir, "documents")), ids=False)
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
