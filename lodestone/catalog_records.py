@@ -463,6 +463,61 @@ def c1_k5_k6_p3_routed_search(spark, sf_dir):  # noqa: ANN001, ANN201
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+_SEARCHED = ["how to read it", "a list of references", "traceback in the loop", "is the version compatible", "the upgrade path of a template", "  "]
+_SEARCH_SQL = f"""
+    WITH e AS (
+        SELECT vec_id AS p, embedding::DOUBLE[] AS e, coalesce(text, '') AS text, ['literature', 'code', 'writing'][vec_id % 3 + 1] AS corpus, vec_id % 10 <> 9 AS ready, vec_id // 3 AS n FROM embeddings LEFT JOIN documents ON doc_id = vec_id),
+    v AS (SELECT * FROM e WHERE ready),
+    q AS (SELECT p AS query_id, e, {_SEARCHED}[p // 100 % 6 + 1] AS query, p // 100 % 6 AS kind, c.corpus FROM e, (VALUES ('literature'), ('code'), ('writing')) AS c(corpus) WHERE p % 100 = 0 AND p // 100 % 6 <> 5),
+    d AS (
+        SELECT q.query_id, q.corpus, v.p, row_number() OVER (PARTITION BY q.query_id, q.corpus ORDER BY round(greatest(-1.0, least(1.0, list_dot_product(q.e, v.e) / (sqrt(list_dot_product(q.e, q.e)) * sqrt(list_dot_product(v.e, v.e))))), 9) DESC, v.p) AS rank
+        FROM q JOIN v ON v.corpus = q.corpus AND (q.corpus <> 'writing' OR kind <> 4 OR v.n % 3 = 1) QUALIFY rank <= 20),
+    t AS (SELECT p, corpus, g, regexp_extract_all(lower(text), '[a-z0-9_]+') AS ws FROM (SELECT *, 'all' AS g FROM v UNION ALL SELECT *, 'template' FROM v WHERE corpus = 'writing' AND n % 3 = 1)),
+    z AS (SELECT corpus, g, count(*) AS docs, avg(len(ws)) AS mean FROM t GROUP BY corpus, g),
+    tf AS (SELECT p, corpus, g, term, count(*) AS tf, length FROM (SELECT p, corpus, g, len(ws) AS length, unnest(ws) AS term FROM t) GROUP BY ALL),
+    w AS (SELECT DISTINCT query_id, corpus, CASE WHEN corpus = 'writing' AND kind = 4 THEN 'template' ELSE 'all' END AS g, unnest(regexp_extract_all(lower(query), '[a-z0-9_]+')) AS term FROM q),
+    df AS (SELECT corpus, g, term, count(*) AS df FROM tf GROUP BY corpus, g, term),
+    s AS (
+        SELECT query_id, corpus, p, row_number() OVER (PARTITION BY query_id, corpus ORDER BY round(score, 9) DESC, p) AS rank FROM (
+            SELECT query_id, corpus, p, sum(ln(1 + (docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / mean))) AS score
+            FROM tf JOIN w USING (corpus, g, term) JOIN df USING (corpus, g, term) JOIN z USING (corpus, g) GROUP BY query_id, corpus, p) QUALIFY rank <= 20),
+    f AS (
+        SELECT query_id, corpus, p, round(score, 9) AS score, row_number() OVER (PARTITION BY query_id, corpus ORDER BY round(score, 12) DESC, p) AS rank FROM (
+            SELECT query_id, corpus, p, sum(1.0::DOUBLE / (60 + rank)) AS score FROM (FROM d UNION ALL FROM s) GROUP BY query_id, corpus, p) QUALIFY rank <= 20),
+    x AS (
+        SELECT f.*, kind, p % 5 IN (0, 2, 4) AND kind <> 1 AS listed, {_KINDS}[p % 8 + 1] AS source, [0, 1, 2, 3, 4, 99, 99][p % 7 + 1] AS role, {_INTENTS}[kind + 1] AS intent
+        FROM f JOIN q USING (query_id, corpus) WHERE rank <= CASE WHEN corpus = 'code' OR corpus = 'literature' AND kind = 1 THEN 5 ELSE 20 END AND (corpus <> 'writing' OR n_introduction(p)))"""
+
+
+def _search_sql() -> str:
+    priority = _PRIORITY.replace(", kind)", ", source)")
+    head = _SEARCH_SQL.replace("n_introduction(p)", "p % 4 <> 1")
+    return f"""{head}
+        SELECT corpus, query_id, p AS point_id, score, row_number() OVER (PARTITION BY corpus, query_id ORDER BY CASE WHEN corpus = 'literature' THEN listed::INT WHEN corpus = 'code' THEN role ELSE 0 END,
+                   CASE WHEN corpus = 'code' THEN {priority} ELSE 0 END, CASE WHEN corpus <> 'literature' THEN -score ELSE 0 END, rank)::INT AS new_rank,
+               CASE WHEN corpus = 'literature' AND max(listed) OVER (PARTITION BY corpus, query_id) THEN 'bibliography_sections_demoted' ELSE '' END AS warnings
+        FROM x QUALIFY new_rank <= 5"""
+
+
+@query(_search_sql())
+def c1_k11_hub_search(spark, sf_dir):  # noqa: ANN001, ANN201
+    p = F.col("vec_id")
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), F.coalesce("text", F.lit("")).alias("text"))
+    every = table(spark, sf_dir, "embeddings").join(texts, "vec_id", "left")
+    queries = every.where(p % 100 == 0).select(p.alias("query_id"), F.element_at(F.array(*map(F.lit, _SEARCHED)), F.expr("int(vec_id div 100 % 6 + 1)")).alias("query"), F.col("embedding").alias("vec"))
+    points = every.select(
+        p.alias("point_id"), _picked(list(hub.CORPORA), p).alias("corpus"), F.coalesce("text", F.lit("")).alias("text"), F.col("embedding").alias("vec"), F.when(p % 10 == 9, "gone").otherwise("ready").alias("status"), _picked(_PATHS, p).alias("path"), _picked(_KINDS, p).alias("source_type"),
+        _picked([*features.EVIDENCE_ROLES, "unknown", "unknown"], p).alias("role"), p.alias("writing_id"), _picked(["1. Introduction", "2 Methods", "Overview", "introduction"], p).alias("section"), F.lit("").alias("venue"), F.array().cast("array<string>").alias("domains"), F.lit("").alias("title"), _picked(["strategy", "template", "phrase"], F.expr("vec_id div 3")).alias("asset_type"),
+    )
+    out = None
+    for corpus in hub.CORPORA:
+        post = {"section": "Introduction"} if corpus == "writing" else {}
+        found = hub.search(queries, points, corpus, catalog._tokens, equal={"status": "ready"}, **post)
+        found = found.select(F.lit(corpus).alias("corpus"), "query_id", "point_id", F.round("score", 9).alias("score"), "new_rank", F.array_join("warnings", ",").alias("warnings"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 @query(f"""WITH {_DENSE}, h AS (SELECT query_id, rank, point_id // 10 AS document_id, point_id % 10 AS chunk_index FROM dense WHERE rank <= 3)
           SELECT query_id, rank::INT AS rank, string_agg((vec_id % 10) || ':' || label, ',' ORDER BY vec_id) AS neighbours FROM h JOIN embeddings ON vec_id // 10 = document_id AND vec_id % 10 BETWEEN chunk_index - 1 AND chunk_index + 2 GROUP BY ALL""")
 def x46_search_with_neighbours(spark, sf_dir):  # noqa: ANN001, ANN201

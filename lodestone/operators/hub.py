@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions import features, text
+from lodestone.operators import retrieval
+from lodestone.plans import evidence
 
 
 def _rank(value: Column, names: Column) -> Column:
@@ -49,6 +54,70 @@ def writing(hits: DataFrame, adjustments: DataFrame, top: int, section: str | No
     return _ordered(scored, top, F.desc("score"))
 
 
+CORPORA, MODES = ("literature", "code", "writing"), ("dense", "sparse", "hybrid")
+
+
+def legs(queries: DataFrame, points: DataFrame, tokens: Callable[[str], Column], mode: str, prefetch: int) -> DataFrame:
+    """(query_id, point_id, score, rank) of the ``prefetch`` best points: by vectors, by words, or by both, each with as many, fused by their ranks. queries:
+    (query_id, query, vec); points: (point_id, text, vec)."""
+    if mode not in MODES:
+        raise ValueError(f"unknown mode {mode}")
+    found = []
+    if mode != "sparse":
+        found.append(retrieval.dense(queries.select("query_id", F.col("vec").alias("query")), points.select("point_id", "vec"), prefetch))
+    if mode != "dense":
+        terms = queries.select("query_id", F.explode(tokens("query")).alias("term"))
+        found.append(retrieval.sparse(terms, points.select("point_id", "text"), tokens("text"), prefetch))
+    best = retrieval.hybrid(found, prefetch) if mode == "hybrid" else found[0]
+    return best.select("query_id", "point_id", "score", "rank")
+
+
+def search(queries: DataFrame, points: DataFrame, corpus: str, tokens: Callable[[str], Column], mode: str = "hybrid", top: int = 5, prefetch: int = 20, equal: dict[str, object] | None = None, adjustments: DataFrame | None = None, exact: DataFrame | None = None, **post: str | None) -> DataFrame:
+    """The ``top`` hits of each query in one corpus, with the points' columns, score, rank (of the legs), new_rank and warnings.
+
+    The corpus decides the route. Everywhere: the filters, then the legs, then the points' columns, then the corpus's order. Literature fetches more than it
+    returns, unless the query asks for references, and puts lists of references last. Code puts first what its intent looks for first, and takes exact hits of a
+    symbol index (``exact``: hits with the points' columns, score and query_id). Writing looks for the one asset type that a query names, if the filters name
+    none, fetches more where it filters behind the search (``post``: section, venue, domain), and adds feedback.
+
+    queries: (query_id, query, vec); points: (point_id, corpus, text, vec, ...) with what the route reads: path; source_type, role; writing_id, section,
+    venue, domains, title, asset_type."""
+    if corpus not in CORPORA:
+        raise ValueError(f"unknown corpus {corpus}")
+    if post and corpus != "writing":
+        raise ValueError("only writing filters behind the search")
+    own = points.where((F.col("corpus") == corpus) & retrieval.matches(equal))
+    asked = queries.where(F.trim("query") != "").select("query_id", "query", "vec")
+    asset = text.asset_intent(F.col("query")) if corpus == "writing" and not (equal or {}).get("asset_type") else F.lit(None).cast("string")
+    asked = asked.withColumn("asset", asset)
+    kinds = [r.asset for r in asked.select("asset").distinct().collect()] if corpus == "writing" else []  # those of ASSET_INTENTS, and none
+    groups = [(asked.where(F.col("asset").eqNullSafe(F.lit(kind))), own.where(F.col("asset_type") == kind) if kind else own) for kind in kinds or [None]]
+    most = max(top, prefetch)
+    found = reduce(DataFrame.unionByName, (legs(q, p, tokens, mode, most) for q, p in groups))
+    wide = F.lit(any(v is not None for v in post.values())) if corpus == "writing" else ~F.col("query").rlike("(?iU)" + features.BIBLIOGRAPHY_QUERY) if corpus == "literature" else F.lit(False)
+    hits = found.join(asked.select("query_id", "query"), "query_id").where(F.col("rank") <= F.when(wide, most).otherwise(top)).join(own.drop("vec"), "point_id")
+    none = F.array().cast("array<string>")
+    if corpus == "literature":
+        demoted = ~F.col("query").rlike("(?iU)" + features.BIBLIOGRAPHY_QUERY) & features.is_bibliography(F.col("path"))
+        any_demoted = F.max(demoted).over(Window.partitionBy("query_id"))
+        return literature(hits.withColumn("warnings", F.when(any_demoted, F.array(F.lit("bibliography_sections_demoted"))).otherwise(none)), top)
+    hits = hits.withColumn("warnings", none)
+    if corpus == "code":
+        if exact is not None:
+            first = exact.join(asked.select("query_id", "query"), "query_id").withColumns({"role": F.lit("exact_symbol_source"), "rank": F.lit(0), "warnings": none})
+            hits = hits.unionByName(first.select(*hits.columns))
+        return code(hits, top)
+    if adjustments is None:
+        adjustments = hits.select(F.col("writing_id").alias("target"), F.lit(0.0).alias("adjustment")).limit(0)
+    return writing(hits, adjustments, top, **post)
+
+
+def enveloped(hits: DataFrame, most_results: int, most_tokens: int, *fallbacks: str) -> DataFrame:
+    """(query_id, rank, content, tokens, truncated): what a budget leaves of ``search``'s hits; content: their text, else the fallback columns."""
+    told = hits.select("query_id", F.col("new_rank").alias("rank"), evidence.context(F.col("text"), *map(F.col, fallbacks)).alias("content"))
+    return evidence.envelope(told, "query_id", most_results, most_tokens)
+
+
 def with_neighbours(hits: DataFrame, chunks: DataFrame, before: int, after: int) -> DataFrame:
     """Hits (query_id, rank, document_id, chunk_index) with the indexes and texts of the chunks around them, in order. chunks: (document_id, chunk_index,
     text)."""

@@ -37,7 +37,10 @@ def ranked(df: DataFrame, k: int, by: list[str], *order: Column) -> DataFrame:
 def dense(queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
     """(query_id, point_id, score, rank) by cosine; scores are compared at nine decimals. queries: (query_id, query), of any
     number; points: (point_id, vec). Null vectors count as zeros."""
-    blocks = max(1, -(-queries.count() // BLOCK))
+    asked = queries.count()
+    if not asked:
+        return queries.select("query_id").join(points.select("point_id"), F.lit(False)).select("query_id", "point_id", F.lit(0.0).alias("score"), F.lit(0).alias("rank"))
+    blocks = -(-asked // BLOCK)
     numbered = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
     found = [_nearest(numbered.where(F.col("block") == i), points, k) for i in range(blocks)]
     return ranked(reduce(DataFrame.unionAll, found), k, ["query_id"], F.col("place").desc(), F.col("point_id")).drop("place")
