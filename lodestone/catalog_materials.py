@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestone.functions import features
-from lodestone.operators import planner, stored_records
+from lodestone.functions import features, text
+from lodestone.operators import planner, runs, stored_records
 from lodestone.plans import requests
-from lodestone.registry import query, table
+from lodestone.registry import query, scratch, table
 
 
 @query("""
@@ -16,12 +16,12 @@ from lodestone.registry import query, table
         CASE WHEN doc_id % 13 = 0 THEN 'evidence_ids' END, CASE WHEN lang <> 'en' THEN 'language' END, CASE WHEN doc_id % 130 > 100 THEN 'quality_score' END,
         CASE WHEN NOT regexp_matches(text, '[^\\s]') OR length(text) > 500 THEN 'text' END, CASE WHEN doc_id % 17 = 0 THEN 'claim_strength' END], lambda x: x IS NOT NULL), ';') AS faults FROM documents""")
 def x23_stored_records(spark, sf_dir):  # noqa: ANN001, ANN201
-    d, text = F.col("doc_id"), lambda s: F.lit(s)
-    ids = F.when(d % 13 == 0, F.array(text("evidence:1"), text("evidence:1"))).otherwise(F.array(text("evidence:1"), F.concat(text("evidence:x"), d.cast("string"))))
-    fields = {"phrase_id": F.concat(text("phrase:"), d.cast("string")), "asset_type": text("phrase"), "evidence_ids": ids, "category": F.get(F.array(*map(F.lit, features.TAXONOMY)), (d % len(features.TAXONOMY)).cast("int")), "language": F.col("lang")}
-    fields |= {"quality_score": (d % 130).cast("double") / 100, "text": F.col("text"), "function": text("f"), "position": F.when(d % 11 != 0, text("p")), "register": text("r"), "claim_strength": F.when(d % 17 == 0, "loud").otherwise("strong"), "constraints": F.array(text("c"))}
-    fields |= {c: text("v") for c in ("analyzer_provider", "analyzer_model", "prompt_version", "prompt_hash", "analyzer_request_hash", "analyzer_response_hash")}
-    fields |= {"response_schema_version": text("abstraction-v7"), "taxonomy_version": text("writing-taxonomy-v1"), "schema_version": text("writing-material-v1"), "note": F.when(d % 7 == 0, text("n"))}
+    d, lit = F.col("doc_id"), F.lit
+    ids = F.when(d % 13 == 0, F.array(lit("evidence:1"), lit("evidence:1"))).otherwise(F.array(lit("evidence:1"), F.concat(lit("evidence:x"), d.cast("string"))))
+    fields = {"phrase_id": F.concat(lit("phrase:"), d.cast("string")), "asset_type": lit("phrase"), "evidence_ids": ids, "category": F.get(F.array(*map(F.lit, features.TAXONOMY)), (d % len(features.TAXONOMY)).cast("int")), "language": F.col("lang")}
+    fields |= {"quality_score": (d % 130).cast("double") / 100, "text": F.col("text"), "function": lit("f"), "position": F.when(d % 11 != 0, lit("p")), "register": lit("r"), "claim_strength": F.when(d % 17 == 0, "loud").otherwise("strong"), "constraints": F.array(lit("c"))}
+    fields |= {c: lit("v") for c in ("analyzer_provider", "analyzer_model", "prompt_version", "prompt_hash", "analyzer_request_hash", "analyzer_response_hash")}
+    fields |= {"response_schema_version": lit("abstraction-v7"), "taxonomy_version": lit("writing-taxonomy-v1"), "schema_version": lit("writing-material-v1"), "note": F.when(d % 7 == 0, lit("n"))}
     json = F.to_json(F.struct(*(c.alias(n) for n, c in fields.items())))  # without nulls
     records = table(spark, sf_dir, "documents").select("doc_id", F.lit("phrase").alias("kind"), F.concat(F.left(json, F.length(json) - 1), F.lit(',"cluster_id":null}')).alias("record"))
     return stored_records.checked(records, "doc_id", "kind", "record").withColumn("faults", F.array_join("faults", ";"))
@@ -80,3 +80,14 @@ def i13_run_plans(spark, sf_dir):  # noqa: ANN001, ANN201
         rows = rows.select(F.lit(mode).alias("mode"), "document_id", "action")
         out = rows if out is None else out.unionByName(rows)
     return out
+
+
+@query(None)
+def i14_resumed_run(spark, sf_dir):  # noqa: ANN001, ANN201
+    """(unit, tokens, sentences) of every document, by a run that stops after three parts of eight and is resumed."""
+    d = table(spark, sf_dir, "documents")
+    units = d.select(F.col("doc_id").cast("string").alias("unit"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("fingerprint"), F.coalesce("text", F.lit("")).alias("text"))
+    work = lambda df: df.select("unit", text.token_count(F.col("text")).alias("tokens"), F.size(text.sentences(F.col("text"))).cast("bigint").alias("sentences"))
+    folder, versions = scratch(spark, "run"), {"tokens": "1", "sentences": "1"}
+    runs.resumed(units, work, versions, folder, most=3)
+    return runs.resumed(units, work, versions, folder)
