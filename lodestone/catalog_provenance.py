@@ -86,3 +86,33 @@ def x21_g3_j9_paragraphs(spark, sf_dir):  # noqa: ANN001, ANN201
     FROM p WHERE doc_id % 13 <> 0 AND doc_id % 17 <> 0 GROUP BY doc_id, family""")
 def x21_family_coverage(spark, sf_dir):  # noqa: ANN001, ANN201
     return reconstruct.coverage(reconstruct.paragraphs(reconstruct.documents(*_inputs(spark, sf_dir))))
+
+
+@query("""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
+    p AS (SELECT d.*, j, doc_id || chr(97 + j::INT) AS proposal_id, CASE WHEN n > doc_id % 40 + 10 * j THEN substr(text, (doc_id % 40 + 10 * j + 1)::INT, 25) ELSE '' END AS q FROM d, (VALUES (0), (1)) AS x(j)),
+    a AS (SELECT *, CASE WHEN q = '' THEN 'no text' WHEN instr(substr(text, instr(text, q) + 1), q) > 0 THEN 'text stands twice' END AS error, instr(text, q) - 1 AS b, instr(text, q) - 1 + length(q) AS e FROM p),
+    o AS (SELECT *, CASE WHEN error IS NULL AND j = 1 AND lag(error) OVER w IS NULL AND lag(e) OVER w > b THEN 'overlaps an earlier span' ELSE error END AS error2 FROM a WINDOW w AS (PARTITION BY doc_id ORDER BY j)),
+    c AS (
+        SELECT *, CASE WHEN error2 IS NOT NULL THEN error2 WHEN doc_id % 7 = 0 THEN 'paragraph changed' WHEN doc_id % 5 = 0 AND b >= n // 2 THEN 'no place' WHEN doc_id % 5 = 0 AND e > n // 2 THEN 'not covered by places'
+                       WHEN NOT regexp_matches(q, '[^\\s]') THEN 'no sentence' END AS why FROM o)
+    SELECT proposal_id, why AS error, CASE WHEN why IS NULL THEN b END AS char_start, CASE WHEN why IS NULL THEN e END AS char_end,
+           CASE WHEN why IS NULL THEN CASE WHEN doc_id % 5 = 1 THEN 1 + (b >= n // 2)::INT ELSE 1 + doc_id % 3 END END AS page_start,
+           CASE WHEN why IS NULL THEN CASE WHEN doc_id % 5 = 1 THEN 1 + (e > n // 2)::INT ELSE 1 + doc_id % 3 END END AS page_end FROM c""")
+def c5_exact_spans(spark, sf_dir):  # noqa: ANN001, ANN201
+    from lodestone.operators import exact_spans
+
+    d, n, half = F.col("doc_id"), F.length("text"), F.floor(F.length("text") / 2).cast("int")
+    bbox = F.struct(*(F.lit(1.0).alias(c) for c in "ltrb"))
+    segment = lambda a, b, page: F.struct(a.alias("begin"), b.alias("end"), F.lit("#/texts/1").alias("self_ref"), page.cast("bigint").alias("page_no"), bbox.alias("bbox"))
+    zero = F.lit(0)
+    segments = F.when(d % 5 == 0, F.array(segment(zero, half, 1 + d % 3))).when(d % 5 == 1, F.array(segment(zero, half, F.lit(1)), segment(half, n, F.lit(2)))).otherwise(F.array(segment(zero, n, 1 + d % 3)))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    ident = F.concat(F.lit("p"), d.cast("string"))
+    changed = F.when(d % 7 == 0, F.lit("x")).otherwise(F.col("text"))
+    paragraphs = docs.select(ident.alias("paragraph_id"), d.cast("string").alias("document_id"), F.lit("f").alias("parse_fingerprint"), F.lit("conclusion").alias("family"), "text", F.sha2(changed.cast("binary"), 256).alias("text_hash"), segments.alias("segments"))
+    at = d % 40 + 10 * F.col("j")
+    asked = docs.withColumn("j", F.explode(F.array(F.lit(0), F.lit(1)))).select(F.concat(d.cast("string"), F.char(97 + F.col("j"))).alias("proposal_id"), ident.alias("paragraph_id"), F.when(n > at, F.substring("text", (at + 1).cast("int"), F.lit(25))).otherwise("").alias("original_text"))
+    facts = asked.select("proposal_id", "paragraph_id", F.lit("future_work").alias("category"), F.lit("strong").alias("claim_strength"), F.array(F.lit("vague_claim")).alias("risk_flags"), F.lit(0.9).alias("confidence"))
+    found = exact_spans.evidence(facts, exact_spans.quoted(asked, paragraphs), paragraphs, exact_spans.sentences(paragraphs))
+    return found.select("proposal_id", "error", "char_start", "char_end", "page_start", "page_end")

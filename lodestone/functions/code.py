@@ -7,7 +7,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Characters of a chunk, and import statements that stand before each chunk of a module.
@@ -18,7 +18,8 @@ UNDERLINE = re.compile(r"^[=\-~^\"'`:+*#]{3,}\s*$")
 FRAME = r'^\s*File "([^"]+)", line (\d+), in (.+?)\s*$'
 EXCEPTION = r"^([A-Za-z_][\w.]*(?:Error|Exception)):\s*(.*)$"
 NAMED = r"(?:unexpected keyword argument|has no attribute) ['\"]([^'\"]+)['\"]"
-SENTENCE = re.compile(r"\S(?:.*?)(?:[.!?]+(?=\s|$)|[。！？]+|$)", re.S)
+SPACES = r"(?U)[\s\x1c-\x1f]"
+SENTENCE = r"(?Usd)[\s\x1c-\x1f]*([^\s\x1c-\x1f].*?(?:[.!?]+(?=[\s\x1c-\x1f]|$)|[。！？]+|$))"
 _DEFS = (ast.FunctionDef, ast.AsyncFunctionDef)
 
 
@@ -194,16 +195,13 @@ def signature_diffs(pairs: DataFrame, key: str, old: str, new: str) -> DataFrame
 
 
 def sentence_spans(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, n, begin, end): where sentences stand, without white space at their ends."""
-
-    def spans(value: str | None) -> Iterator[dict]:
-        for found in SENTENCE.finditer(value or ""):
-            said = found[0]
-            begin, end = found.start() + len(said) - len(said.lstrip()), found.end() - len(said) + len(said.rstrip())
-            if begin < end:
-                yield {"begin": begin, "end": end}
-
-    return _rowwise(texts, [key, text], spans, {"begin": "int", "end": "int"})
+    """(key, n, begin, end): where sentences stand, without white space at their ends. Keys are unique; null texts have none. A sentence is matched with the
+    white space before it, so that lengths add up to places."""
+    whole, core = (F.regexp_extract_all(text, F.lit(SENTENCE), i) for i in (0, 1))
+    rows = texts.select(key, F.posexplode(F.arrays_zip(whole.alias("whole"), core.alias("core"))).alias("n", "s"))
+    behind = F.sum(F.length("s.whole")).over(Window.partitionBy(key).orderBy("n"))
+    begin = (behind - F.length("s.core")).cast("int")
+    return rows.select(key, "n", begin.alias("begin"), (begin + F.length(F.regexp_replace("s.core", SPACES + "+$", ""))).alias("end"))
 
 
 def debug_log(log: Column, root: str) -> list[Column]:
