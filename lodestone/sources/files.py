@@ -69,3 +69,55 @@ def append_catalog(catalog: DataFrame, entry: DataFrame) -> DataFrame:
 def replace_documents(current: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """The table after the new rows replaced all rows of their documents."""
     return current.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
+
+
+def delta_faults(spark: SparkSession, catalog: DataFrame, folder: str) -> DataFrame:
+    """(sequence, fault) of a catalogue's files that aren't what it says: "outside" the folder, "missing", "hash" or "rows", the first that holds. Bytes are read
+    once, by file; a file's rows are its lines that aren't blank. Spark's readers pass over empty files, so a file that should be empty isn't missed."""
+    parts = F.split("delta_path", "/")
+    # a path leaves the folder if, on its way, it goes up more often than down
+    depth = F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.lit(0).alias("least")), lambda a, p: F.struct((a["at"] + F.when(p == "..", -1).when(p.isin("", "."), 0).otherwise(1)).alias("at"), F.least(a["least"], a["at"] + F.when(p == "..", -1).otherwise(0)).alias("least")), lambda a: a["least"])
+    named = catalog.select("sequence", "delta_sha256", "row_count", (F.col("delta_path").startswith("/") | (depth < 0)).alias("outside"), F.array_join(F.filter(parts, lambda p: ~p.isin("", ".")), "/").alias("file"))
+    root = F.regexp_replace(F.lit(folder), r"^file:/*|/+$", "")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    lines = F.filter(F.split(F.make_valid_utf8(F.col("content").cast("string")), "\n"), lambda x: F.regexp_replace(x, r"(?U)\s", "") != "")
+    # files by the end of their path below the folder
+    held = found.select(F.regexp_replace(F.replace(F.regexp_replace("path", r"^file:/*", ""), root, F.lit("")), "^/+", "").alias("file"), F.sha2("content", 256).alias("sha"), F.size(lines).cast("bigint").alias("n"))
+    both = named.join(held, "file", "left")
+    fault = F.when(F.col("outside"), "outside").when(F.col("sha").isNull(), F.when((F.col("delta_sha256") == F.sha2(F.lit(b""), 256)) & (F.col("row_count") == 0), F.lit(None)).otherwise("missing")).when(F.col("sha") != F.col("delta_sha256"), "hash").when(F.col("n") != F.col("row_count"), "rows")
+    return both.select("sequence", fault.alias("fault")).where("fault IS NOT NULL")
+
+
+#: What files of a repository are read.
+SUFFIXES, STARTS = (".py", ".md", ".mdx", ".rst", ".txt"), ("readme", "changelog", "release", "migration")
+
+
+def _glob(pattern: str) -> str:
+    """A glob as a pattern of whole paths: * and ? match slashes too, brackets hold characters or none of them after "!"."""
+    out, i = "", 0
+    while i < len(pattern):
+        c, end = pattern[i], pattern.find("]", i + 2)
+        if c == "[" and end > 0:
+            inner = pattern[i + 1 : end]
+            negated, inner = inner.startswith("!"), inner.removeprefix("!")
+            out += "[" + "^" * negated + "".join("\\" + x if x in r"\[]^&" else x for x in inner) + "]"
+            i = end
+        else:
+            out += {"*": ".*", "?": "."}.get(c) or ("\\" + c if c in r".^$+{}()|\[]" else c)
+        i += 1
+    return f"(?s)^{out}$"
+
+
+def repository_files(spark: SparkSession, root: str, include: list[str], exclude: list[str], most_bytes: int, most_files: int) -> DataFrame:
+    """(path, length, text) of a repository's documents: the first ``most_files`` by path of those that a glob of ``include`` matches and none of ``exclude``, by
+    their path below the root or their name alone, of known suffixes or starts and of at most ``most_bytes``. Sizes and names are settled from the listing:
+    only the files that stay are read. Bytes that are no UTF-8 become replacement characters."""
+    base = F.regexp_replace(F.lit(root), r"^file:/*|/+$", "")
+    below = F.regexp_replace(F.replace(F.regexp_replace("path", r"^file:/*", ""), base, F.lit("")), "^/+", "")
+    source = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).where(F.col("length") <= most_bytes)
+    name = F.element_at(F.split("below", "/"), -1)
+    any_of = lambda globs: F.lit(False) if not globs else F.col("below").rlike("|".join(map(_glob, globs))) | name.rlike("|".join(map(_glob, globs)))
+    known = F.lower(name).rlike("(" + "|".join(x.replace(".", r"\.") for x in SUFFIXES) + ")$|^(" + "|".join(STARTS) + ")")
+    listed = source.select("path", below.alias("below")).where(any_of(include) & ~any_of(exclude) & known)
+    kept = listed.orderBy(F.split("below", "/")).limit(most_files)
+    return source.join(kept, "path").select(F.col("below").alias("path"), "length", F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
