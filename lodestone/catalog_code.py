@@ -140,3 +140,36 @@ def a23_api_usage(spark, sf_dir):  # noqa: ANN001, ANN201
     path = F.concat(F.lit("p"), F.lpad(F.floor(k / 50).cast("string"), 9, "0"), F.lit(".py"))
     files = table(spark, sf_dir, "part").select(F.concat(F.lit("r"), (k % 50).cast("string")).alias("repository"), path.alias("path"), F.concat(head, calls, tail).alias("text"))
     return api_usage.inventory(files)
+
+
+@query(r"""
+    WITH d AS (SELECT doc_id AS k, source, lower(trim(regexp_replace(coalesce(text, ''), '[^a-zA-Z]+', ' ', 'g'), ' ')) AS body FROM documents),
+    w AS (SELECT *, '# Part ' || k AS head, CASE WHEN k % 2 = 0 THEN 'release_note' ELSE 'tutorial' END AS kind FROM d),
+    c AS (
+        SELECT k, source, kind, 0 AS i, CASE WHEN body = '' OR length(head) + 1 + length(body) > 8000 THEN head ELSE head || chr(10) || body END AS text, CASE WHEN length(head) + 1 + length(body) > 8000 THEN 1 END AS part FROM w
+        UNION ALL SELECT k, source, kind, 1, body, 2 FROM w WHERE length(head) + 1 + length(body) > 8000),
+    t AS (
+        SELECT *, list_sort(list_filter([
+            CASE WHEN regexp_matches(lower(text), 'compatib|breaking|version') THEN 'compatibility' END, CASE WHEN regexp_matches(lower(text), 'migrat|upgrade') THEN 'migration' END, CASE WHEN lower(text) LIKE '%deprecat%' THEN 'deprecation' END,
+            CASE WHEN regexp_matches(lower(text), 'error|exception|bug|fix') THEN 'debug' END, CASE WHEN lower(text) LIKE '%install%' THEN 'installation' END, CASE WHEN lower(text) LIKE '%config%' THEN 'configuration' END,
+            CASE WHEN regexp_matches(lower(text), 'performance|memory|speed') THEN 'performance' END, CASE WHEN kind = 'tutorial' THEN 'example' END, CASE WHEN kind = 'tutorial' THEN 'api_usage' END], lambda x: x IS NOT NULL)) AS tags,
+            CASE WHEN lower(text) LIKE '%breaking%' THEN 'breaking_changes' WHEN lower(text) LIKE '%deprecat%' THEN 'deprecations' WHEN lower(text) LIKE '%security%' THEN 'security' WHEN lower(text) LIKE '%migrat%' THEN 'migration'
+                 WHEN lower(text) LIKE '%performance%' THEN 'performance' WHEN lower(text) LIKE '%bug%' OR lower(text) LIKE '%fix%' THEN 'bug_fixes' WHEN lower(text) LIKE '%known issue%' THEN 'known_issues' ELSE 'new_features' END AS category FROM c),
+    m AS (
+        SELECT *, '{' || CASE WHEN kind = 'release_note' THEN '"change_category":"' || category || '",' ELSE '' END || '"knowledge_base":"code","n":' || k || CASE WHEN part IS NULL THEN '' ELSE ',"part_end_line":' || part || ',"part_start_line":' || part END
+               || ',"section":"Part ' || k || '","source":' || coalesce(to_json(source)::VARCHAR, 'null') || ',"source_type":"' || kind || '","source_url":"u","tag":{"a":[1,"é"]},"task_tags":' || to_json(tags)::VARCHAR || ',"title":"T' || k || '"}' AS metadata FROM t)
+    SELECT 'doc' || k AS document_id, i AS chunk_index, text, array_to_string(tags, ',') AS tags, metadata,
+           sha256('{"document_id":"doc' || k || '","index":' || i || ',"metadata":' || metadata || ',"processor":"code-structural-v1","text":' || to_json(text)::VARCHAR || '}') AS chunk_fingerprint, 'Part ' || k AS section FROM m""")
+def x2_code_documents(spark, sf_dir):  # noqa: ANN001, ANN201
+    from lodestone.plans import code_documents
+
+    k = F.col("doc_id").cast("string")
+    body = F.lower(F.btrim(F.regexp_replace(F.coalesce("text", F.lit("")), "[^a-zA-Z]+", " "), F.lit(" ")))
+    metadata = F.concat(F.lit('{"tag": {"a": [1, "é"]}, "n": '), k, F.lit(', "source": '), F.coalesce(F.concat(F.lit('"'), F.col("source"), F.lit('"')), F.lit("null")), F.lit(', "title": "old"}'))
+    docs = table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("doc"), k).alias("document_id"), F.when(F.col("doc_id") % 2 == 0, "release_note").otherwise("tutorial").alias("source_type"), F.lit("a.md").alias("path"), F.lit("u").alias("source_url"), F.concat(F.lit("T"), k).alias("title"),
+        F.concat(F.lit("# Part "), k, F.lit("\n"), body).alias("content"), metadata.alias("metadata"),
+    )
+    found = code_documents.chunks(docs)
+    tags = F.array_join(F.from_json(F.get_json_object("metadata", "$.task_tags"), "array<string>"), ",")
+    return found.select("document_id", "chunk_index", "text", tags.alias("tags"), "metadata", "chunk_fingerprint", F.array_join("section_path", " > ").alias("section"))

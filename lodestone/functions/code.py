@@ -79,8 +79,11 @@ def python_chunks(text: str, path: str) -> Iterator[dict]:
             named.append((node, "class", node.name, None, source(node, methods[0].lineno - 1 if methods else None)))
             named += [(m, "method", f"{node.name}.{m.name}", node.name, f"class {node.name}:\n{source(m)}") for m in methods]
     imports = "\n".join([source(node) for node in (tree.body if tree else ()) if isinstance(node, (ast.Import, ast.ImportFrom))][:IMPORTS])
-    found = [({"symbol": f"{module}.{name}" if module else name, "symbol_type": kind, "parent": parent and (f"{module}.{parent}" if module else parent)}, f"{imports}\n\n{body}" if imports else body) for _, kind, name, parent, body in named]
-    for extra, body in found or [({"symbol": None, "symbol_type": "module", "parent": None}, text)]:
+    found = [
+        ({"symbol": f"{module}.{name}" if module else name, "symbol_type": kind, "parent": parent and (f"{module}.{parent}" if module else parent), "start_line": node.lineno, "end_line": node.end_lineno}, f"{imports}\n\n{body}" if imports else body)
+        for node, kind, name, parent, body in named
+    ]
+    for extra, body in found or [({"symbol": None, "symbol_type": "module", "parent": None, "start_line": None, "end_line": None, "parsed": tree is not None}, text)]:
         for part, first, last in parts(body):
             yield {"text": part, "module": module, "first_line": first, "last_line": last} | extra
 
