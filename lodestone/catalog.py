@@ -516,8 +516,7 @@ def v1_truncate(spark, sf_dir):  # noqa: ANN001, ANN201
     return table(spark, sf_dir, "embeddings").select("vec_id", F.round(F.aggregate(cut, F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
 
 
-@query(f"""WITH i AS (SELECT item_id, text FROM benchmark UNION ALL SELECT 1000000 + doc_id, left(text, 8 + doc_id % 40) FROM documents WHERE doc_id % 100 = 0),
-          b AS (SELECT item_id, regexp_replace(lower(text), '^\\s+|\\s+$', '', 'g') AS own, {_words("text")} AS w FROM i), d AS (SELECT doc_id, lower(coalesce(text, '')) AS body, {_words("coalesce(text, '')")} AS w FROM documents),
+@query(f"""WITH b AS (SELECT item_id, regexp_replace(lower(text), '^\\s+|\\s+$', '', 'g') AS own, {_words("text")} AS w FROM benchmark), d AS (SELECT doc_id, lower(coalesce(text, '')) AS body, {_words("coalesce(text, '')")} AS w FROM documents),
           bs AS (SELECT item_id, count(*) OVER (PARTITION BY item_id) AS n, s FROM (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) AS s FROM b)),
           ds AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) AS s FROM d),
           o AS (SELECT item_id, doc_id, count(*) AS shared, count(*) / n AS overlap FROM bs JOIN ds USING (s) GROUP BY item_id, doc_id, n),
@@ -530,10 +529,7 @@ def v1_truncate(spark, sf_dir):  # noqa: ANN001, ANN201
                  CASE WHEN exact OR run >= 12 OR overlap >= 0.5 THEN 'high' WHEN run >= 8 OR overlap >= 0.2 THEN 'match' ELSE 'low' END AS risk
           FROM p LEFT JOIN r USING (item_id, doc_id)""")
 def j13_v3_v6_contamination(spark, sf_dir):  # noqa: ANN001, ANN201
-    docs = table(spark, sf_dir, "documents")
-    # the benchmark's items, and short ones: how every hundredth document begins
-    short = docs.where("doc_id % 100 = 0").select((F.lit(1000000) + F.col("doc_id")).alias("item_id"), F.expr("left(text, 8 + doc_id % 40)").alias("text"))
-    found = provenance.similarity(table(spark, sf_dir, "benchmark").select("item_id", "text").unionByName(short), docs, _tokens)
+    found = provenance.similarity(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), _tokens)
     return found.select("item_id", "doc_id", "shared", F.round("overlap", 6).alias("overlap"), "exact", F.least("run", F.lit(12)).cast("bigint").alias("run"), "risk")
 
 

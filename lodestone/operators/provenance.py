@@ -58,14 +58,23 @@ def holders(items: DataFrame, docs: DataFrame, inner: int = 3) -> DataFrame:
     and body are lower-cased, t their words.
 
     An item's words but the first and the last stand whole in a text that holds it, so items of ``inner`` words or more meet documents by their longest such
-    word. Shorter ones meet them by their first three characters, or all of them if they are fewer."""
-    wordy = items.where(F.size("t") >= inner).withColumn("mid", F.slice("t", F.lit(2), F.size("t") - 2))
-    longest = F.array_max(F.transform("mid", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    found = wordy.select("item_id", longest.alias("w")).join(docs.select("doc_id", F.explode(F.array_distinct("t")).alias("w")), "w").select("item_id", "doc_id")
-    tiny = items.where((F.size("t") < inner) & (F.col("own") != "")).select("item_id", F.substring("own", 1, 3).alias("w"))
-    for q in sorted(r.q for r in tiny.select(F.length("w").alias("q")).distinct().collect()):  # at most three lengths
-        seen = docs.select("doc_id", F.explode(_grams(F.col("body"), q)).alias("w"))
-        found = found.unionByName(tiny.where(F.length("w") == q).join(seen, "w").select("item_id", "doc_id"))
+    word. Those of fewer words stand in words of such a text: their longest word finds the words that hold it among all different words, and those find the
+    documents. Items without words meet documents by their first three characters, or all of them if they are fewer."""
+    longest = lambda c: F.array_max(F.transform(c, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    seen = docs.select("doc_id", F.explode(F.array_distinct("t")).alias("w"))
+    asked = items.where(F.size("t") >= inner).select("item_id", longest(F.slice("t", F.lit(2), F.size("t") - 2)).alias("w"))
+    few = items.where((F.size("t") > 0) & (F.size("t") < inner)).select("item_id", longest("t").alias("part"))
+    if few.limit(1).count():
+        words = seen.select("w").distinct()
+        for q in sorted(r.q for r in few.select(F.least(F.length("part"), F.lit(3)).alias("q")).distinct().collect()):  # at most three lengths
+            own = few.where(F.least(F.length("part"), F.lit(3)) == q).withColumn("g", F.substring("part", 1, q))
+            pieces = words.select("w", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("w") - q + 1, F.lit(1))), lambda i: F.substring("w", i, F.lit(q))))).alias("g"))
+            asked = asked.unionByName(own.join(pieces, "g").where(F.contains("w", "part")).select("item_id", "w"))
+    found = asked.join(seen, "w").select("item_id", "doc_id")
+    bare = items.where((F.size("t") == 0) & (F.col("own") != "")).select("item_id", F.substring("own", 1, 3).alias("w"))
+    for q in sorted(r.q for r in bare.select(F.length("w").alias("q")).distinct().collect()):  # at most three lengths
+        grams = docs.select("doc_id", F.explode(_grams(F.col("body"), q)).alias("w"))
+        found = found.unionByName(bare.where(F.length("w") == q).join(grams, "w").select("item_id", "doc_id"))
     return found.distinct()
 
 
