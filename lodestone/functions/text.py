@@ -124,7 +124,7 @@ def token_estimate(text: Column) -> Column:
 
 def sentences(text: Column) -> Column:
     """The non-empty sentences, ended by western or CJK marks."""
-    return F.filter(F.transform(F.split(text, r"(?<=[.!?。！？])\s*"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(text, r"(?<=[.!?。！？])\s*"), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def lexical_tokens(text: Column) -> Column:
