@@ -9,7 +9,7 @@ from lodestone.functions.text import token_count
 
 
 def paragraphs(text: Column, separator: str = r"\n\s*\n") -> Column:
-    return F.filter(F.transform(F.split(text, separator), F.trim), lambda p: p != "")
+    return F.filter(F.transform(F.split(text, separator), lambda p: F.trim(p)), lambda p: p != "")
 
 
 def packed(parts: Column, most: int, glue: str = "\n\n") -> Column:
