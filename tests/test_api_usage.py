@@ -53,3 +53,9 @@ def test_lists_keep_their_first_rows(spark):
     calls = [r.value for r in sorted((r for r in rows if r.kind == "call_sites"), key=lambda r: r.nth)]
     assert calls == [f"m.c{i}_{j}" for i in range(20) for j in range(40)][:500]
     assert sum(r.kind == "inherited_symbols" for r in rows) == 200 and sum(r.kind == "symbols" for r in rows) == 800
+
+
+def test_all_files_of_a_repository_are_read(spark):
+    files = spark.range(5003).selectExpr("'r' AS repository", "format_string('f%05d.py', id) AS path", "IF(id >= 5000, 'import m', 'import os') AS text")
+    rows = api_usage.inventory(files).where("kind = 'files'").groupBy("library").count().collect()
+    assert {r.library: r["count"] for r in rows} == {"os": 5000, "m": 3}
