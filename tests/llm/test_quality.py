@@ -108,3 +108,26 @@ def test_quality_of_repetition_and_long_texts(spark):
 
 def test_quality_of_an_empty_table(spark, empty):
     assert quality.verdicts(empty, labelled(spark, [(1, 1)])).count() == 0
+
+
+def test_all_good_labels_are_trusted(spark):
+    made = quality.trusted_ids(spark.range(30_000).selectExpr("id AS doc_id", "1 AS quality"))
+    assert made.count() == 30_000 and 14_000 < made.where("fits").count() < 16_000
+
+
+@pytest.mark.parametrize("cells", [1 << 26, 256])
+def test_targets_beyond_a_broadcast(spark, monkeypatch, cells):
+    monkeypatch.setattr(quality, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(quality, "FILTER", cells)
+    docs = spark.createDataFrame([(i if i < 2000 else None, f"t{i}") for i in range(2010)] + [(6, "again")], "id bigint, text string")
+    trusted = spark.range(500).selectExpr("id * 3 AS trusted_id", "id % 2 = 0 AS fits")
+    got = Counter((r.id, r.text) for r in quality.targets(docs, trusted).collect())
+    assert got == Counter([(i, f"t{i}") for i in range(0, 1500, 6)] + [(6, "again")])
+
+
+def test_quantile(spark):
+    rng = random.Random(4)
+    for n in (0, 1, 7, 100, 1501):
+        scores = [rng.choice([-5, 3, rng.randint(-20_000, 20_000)]) for _ in range(n)]
+        want = sorted(scores)[max(0, math.ceil(0.01 * n) - 1)] if n else None
+        assert quality.quantile(spark.createDataFrame([(s,) for s in scores], "score bigint"), 0.01) == want
