@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 K1, B, RRF = 1.2, 0.75, 60
 #: Queries of a dense search that are sent together, and points that they are compared with at a time.
 BLOCK, CHUNK = 2048, 1024
+#: Queries of a sparse search that are sent together, about, points that they are compared with at a time, and matches of their terms that are listed at once.
+ASKED, POINTS, MATCHES = 1024, 1024, 1 << 21
 #: Queries of a token overlap that are broadcast together, and rows that any other broadcast has at most.
 OVERLAP, SMALL = 512, 100_000
 
@@ -107,8 +109,8 @@ def sparse(queries: DataFrame, docs: DataFrame, tokens: Column, k: int, k1: floa
     """(query_id, point_id, score, rank) by BM25. queries: (query_id, term), any number of them; repeated rows count once. Null or empty texts
     count as documents without tokens.
 
-    Of the documents' tokens only those that a query asks for leave the scan, with a row for each document for its length; terms and queries go to
-    them by broadcasts whose size is checked, else by shuffles."""
+    Of the documents' tokens only those that a query asks for leave the scan, with a row for each document for its length; terms go to them by broadcasts
+    whose size is checked, else by shuffles. Queries go to the documents in blocks, each a broadcast of its own, and each partition keeps the best only."""
     asked = _cut(queries.select("query_id", "term").where("term IS NOT NULL").distinct())
     wanted = _cut(asked.select("term").distinct().withColumn("hit", F.lit(True)))
     listed = docs.select("point_id", tokens.alias("tokens")).select("point_id", F.greatest(F.size("tokens"), F.lit(0)).alias("length"), F.posexplode_outer("tokens").alias("place", "term"))
@@ -122,8 +124,76 @@ def sparse(queries: DataFrame, docs: DataFrame, tokens: Column, k: int, k1: floa
     idf = F.log(1 + (sizes.docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.lit(sizes["mean"] or 1.0)))
     scored = found.join(_small(frequency), "term").select("point_id", "term", weight.alias("weight"))
-    totals = scored.join(_small(asked), "term").groupBy("query_id", "point_id").agg(F.sum("weight").alias("score"))
-    return ranked(totals, k, ["query_id"], F.round("score", 9).desc(), F.col("point_id"))
+    vectors = _cut(scored.groupBy("point_id").agg(F.collect_list(F.struct("term", "weight")).alias("v")).select("point_id", F.col("v.term").alias("terms"), F.col("v.weight").alias("weights")))
+    asking = asked.agg(F.countDistinct(F.xxhash64("query_id")).alias("queries"), F.count(F.lit(1)).alias("rows")).first()
+    blocks = max(1, -(-asking.queries // ASKED), -(-asking.rows // (ASKED * 512)))
+    numbered = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
+    best = [_scored(numbered.where(F.col("block") == i), vectors, k) for i in range(blocks)]
+    return ranked(reduce(DataFrame.unionAll, best), k, ["query_id"], F.col("place").desc(), F.col("point_id")).drop("place")
+
+
+def _scored(asked: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
+    """(query_id, point_id, score, place): for one block of queries (query_id, term), the k best of every partition of vectors (point_id, terms, weights). Pairs
+    of queries and points are added up where the points lie, so none is shuffled."""
+    kinds = [df.schema[c].dataType.simpleString() for df, c in ((asked, "query_id"), (vectors, "point_id"))]
+    rows = asked.select("query_id", "term").orderBy("term").toArrow().combine_chunks()
+    if not rows.num_rows:
+        return vectors.select(F.lit(None).cast(kinds[0]).alias("query_id"), "point_id", F.lit(0.0).alias("score"), F.lit(0).cast("bigint").alias("place")).limit(0)
+    names = pc.unique(rows.column(0).combine_chunks())
+    queries = pc.index_in(rows.column(0).combine_chunks(), names).to_numpy()
+    terms, counts = (x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in pc.value_counts(rows.column(1).combine_chunks()).flatten())
+    shared = asked.sparkSession.sparkContext.broadcast((names, queries, terms, np.concatenate(([0], np.cumsum(counts.to_numpy())))))
+
+    def sums(part: pa.RecordBatch) -> np.ndarray:
+        """The scores of points (rows) by queries; 0 where they share no term."""
+        names, queries, terms, starts = shared.value
+        lists, out = part.column(1), np.zeros((len(part), len(names)))
+        term = pc.index_in(lists.flatten(), terms)
+        known = np.flatnonzero(term.is_valid().to_numpy(zero_copy_only=False))
+        term = term.take(pa.array(known)).to_numpy().astype(np.int64)
+        point = np.repeat(np.arange(len(part)), pc.list_value_length(lists).to_numpy())[known]
+        weight = part.column(2).flatten().to_numpy()[known]
+        times = starts[term + 1] - starts[term]
+        upto = np.cumsum(times)
+        at = 0
+        while at < len(term):  # matches are listed a bounded number at a time
+            end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + MATCHES, side="right")))
+            n = times[at:end]
+            own = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[term[at:end]], n)
+            first, last = point[at], point[end - 1] + 1
+            cell = np.repeat(point[at:end] - first, n) * len(names) + queries[own]
+            out[first:last] += np.bincount(cell, np.repeat(weight[at:end], n), (last - first) * len(names)).reshape(last - first, -1)
+            at = end
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, kept, fresh = shared.value[0], [], 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, POINTS):
+                part = batch.slice(at, POINTS)
+                scores = sums(part)
+                place = np.rint(scores * 1e9).astype(np.int64)
+                # all that tie with the k-th best stay until the best are told apart
+                least = np.partition(place, max(0, len(part) - k), axis=0)[max(0, len(part) - k)]
+                point, query = np.nonzero((place >= least) & (scores > 0))
+                kept.append(pa.table({"query": query, "point_id": part.column(0).take(pa.array(point)), "score": scores[point, query], "place": place[point, query]}))
+                fresh += len(point)
+            if fresh > MATCHES:
+                kept, fresh = [_best(pa.concat_tables(kept), k)], 0
+        if kept:
+            found = _best(pa.concat_tables(kept), k)
+            found = pa.table([names.take(found.column(0)), *found.columns[1:]], names=["query_id", "point_id", "score", "place"])
+            yield from found.combine_chunks().to_batches()
+
+    return vectors.mapInArrow(run, f"query_id {kinds[0]}, point_id {kinds[1]}, score double, place bigint")
+
+
+def _best(found: pa.Table, k: int) -> pa.Table:
+    """The k best rows of each query."""
+    found = found.take(pc.sort_indices(found, [("query", "ascending"), ("place", "descending"), ("point_id", "ascending")], null_placement="at_start"))
+    query = found.column(0).to_numpy()
+    first = np.flatnonzero(np.diff(query, prepend=-1))
+    return found.filter(pa.array(np.arange(len(query)) - np.repeat(first, np.diff(first, append=len(query))) < k))
 
 
 def fused(rankings: list[DataFrame], k: int = RRF) -> DataFrame:
