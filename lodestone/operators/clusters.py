@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions import hashing, vector
 from lodestone.operators.graph import components
+from lodestone.operators.retrieval import _cut
 
 SHINGLE, THRESHOLD = 3, 0.85
+#: Cells that count items, a power of two.
+CELLS = 1 << 20
 #: Fixed value: what a token is.
 TOKEN = r"[a-z0-9]+|[㐀-䶿一-鿿]"
 
@@ -19,31 +26,52 @@ def record_shingles(text: Column, n: int = SHINGLE) -> Column:
 
 
 def near_pairs(sets: DataFrame, groups: list[str], threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b, similarity), a < b, of the sets (node, groups..., items) of one group at the threshold or above. Empty sets are left out.
+    """(a, b, similarity), a < b, of the sets (node, groups..., items) of one group at the threshold or above. Empty sets, and groups with a null, are left out.
 
     Items are ordered from rare to frequent. Sets that are similar share one of their first n - ceil(threshold * n) + 1 items, so only those
-    are joined, and the pairs they find are compared in full."""
-    listed = sets.select("node", *groups, F.size("items").alias("n"), F.explode("items").alias("item"))
-    frequency = listed.groupBy(*groups, "item").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    ranked = listed.join(frequency, [*groups, "item"], "left").withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("df", F.lit(1)), "item")))
-    first = ranked.where((F.col("place") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1) & F.col("df").isNotNull()).select("node", *groups, "n", "item")
-    other = first.select(F.col("node").alias("b"), *groups, F.col("n").alias("m"), "item")
-    pairs = first.withColumnRenamed("node", "a").join(other, [*groups, "item"])
+    are joined, and the pairs they find are compared in full. Any order serves, if it is the same for all sets: frequencies are those of CELLS cells
+    of hashes, so that each set finds its first items by itself and no other item is shuffled."""
+    whole = sets.where(F.size("items") > 0).dropna(subset=groups) if groups else sets.where(F.size("items") > 0)
+    rows = whole.select("node", F.size("items").alias("n"), F.transform("items", lambda x: F.xxhash64(*groups, x)).alias("hashes"))
+    cells = rows.select(F.explode("hashes").alias("h")).groupBy(F.col("h").bitwiseAND(CELLS - 1).cast("int").alias("cell")).agg(F.count(F.lit(1)).alias("many")).toArrow()
+    counts = np.zeros(CELLS, np.int64)
+    counts[cells.column(0).to_numpy()] = cells.column(1).to_numpy()
+    shared = sets.sparkSession.sparkContext.broadcast(counts)
+
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for batch in batches:
+            sizes = batch.column(1).to_numpy().astype(np.int64)
+            at = np.repeat(np.arange(len(sizes)), sizes)
+            hashes = batch.column(2).flatten().to_numpy()
+            often = counts[hashes & (CELLS - 1)]
+            order = np.lexsort((hashes, often, at))
+            place = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1
+            least = np.ceil(sizes * threshold - 1e-9).astype(np.int64)
+            # an item alone in its cell is in no other set
+            kept = order[(place <= (sizes - least + 1)[at]) & (often[order] > 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at[kept])), pa.array(sizes[at[kept]]), pa.array(hashes[kept])], names=["node", "n", "item"])
+
+    first = rows.mapInArrow(firsts, f"node {sets.schema['node'].dataType.simpleString()}, n bigint, item bigint")
+    other = first.select(F.col("node").alias("b"), F.col("n").alias("m"), "item")
+    pairs = first.withColumnRenamed("node", "a").join(other, "item")
     pairs = pairs.where((F.col("a") < F.col("b")) & (F.least("n", "m") >= F.greatest("n", "m") * (threshold - 1e-9))).select("a", "b").distinct()
-    left, right = (sets.select(F.col("node").alias(x), F.col("items").alias("of_" + x)) for x in "ab")
-    shared = F.size(F.array_intersect("of_a", "of_b"))
-    scored = pairs.join(left, "a").join(right, "b").select("a", "b", (shared / (F.size("of_a") + F.size("of_b") - shared)).alias("similarity"))
-    return scored.where(F.col("similarity") >= threshold)
+    left, right = (whole.select(F.col("node").alias(x), F.col("items").alias("of_" + x), F.struct(F.lit(0), *groups).alias("in_" + x)) for x in "ab")
+    shared_items = F.size(F.array_intersect("of_a", "of_b"))
+    found = pairs.join(left, "a").join(right, "b").where(F.col("in_a") == F.col("in_b"))
+    return found.select("a", "b", (shared_items / (F.size("of_a") + F.size("of_b") - shared_items)).alias("similarity")).where(F.col("similarity") >= threshold)
 
 
 def clusters(records: DataFrame, key: str, text: Column, groups: list[str], threshold: float = THRESHOLD) -> DataFrame:
     """(key, cluster, size): records that are similar within a group, directly or through others. A cluster's name is the hash of its sorted
-    keys. Records with the same shingles are one node, so copies are never compared; records without tokens are one node of their group."""
+    keys. Records with the same shingles are one node, so copies are never compared; records without tokens are one node of their group. Different nodes
+    are compared by 64-bit hashes of their shingles, since the shingles themselves are three times the texts."""
     # the tokens are bound to a variable, since the shingles' expression repeats them
     tokens = F.array(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), 0))
     sets = records.select(F.col(key).cast("string").alias("id"), *groups, F.get(F.transform(tokens, lambda t: record_shingles(t)), F.lit(0)).alias("items"))
     named = sets.withColumn("node", F.sha2(F.to_json(F.struct(*groups, F.array_sort("items").alias("items"))).cast("binary"), 256))
-    nodes = named.dropDuplicates(["node"]).where(F.size("items") > 0)
+    named = named.withColumn("items", F.transform("items", lambda x: F.xxhash64(x)))
+    nodes = _cut(named.dropDuplicates(["node"]).where(F.size("items") > 0))
     names = components(near_pairs(nodes, groups, threshold).select("a", "b"))  # which stores its links
     member = named.join(names, "node", "left").select("id", F.coalesce("name", "node").alias("name"))
     # a cluster's keys are streamed through one hash, however many they are
