@@ -144,34 +144,12 @@ def _scored(asked: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     terms, counts = (x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in pc.value_counts(rows.column(1).combine_chunks()).flatten())
     shared = asked.sparkSession.sparkContext.broadcast((names, queries, terms, np.concatenate(([0], np.cumsum(counts.to_numpy())))))
 
-    def sums(part: pa.RecordBatch) -> np.ndarray:
-        """The scores of points (rows) by queries; 0 where they share no term."""
-        names, queries, terms, starts = shared.value
-        lists, out = part.column(1), np.zeros((len(part), len(names)))
-        term = pc.index_in(lists.flatten(), terms)
-        known = np.flatnonzero(term.is_valid().to_numpy(zero_copy_only=False))
-        term = term.take(pa.array(known)).to_numpy().astype(np.int64)
-        point = np.repeat(np.arange(len(part)), pc.list_value_length(lists).to_numpy())[known]
-        weight = part.column(2).flatten().to_numpy()[known]
-        times = starts[term + 1] - starts[term]
-        upto = np.cumsum(times)
-        at = 0
-        while at < len(term):  # matches are listed a bounded number at a time
-            end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + MATCHES, side="right")))
-            n = times[at:end]
-            own = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[term[at:end]], n)
-            first, last = point[at], point[end - 1] + 1
-            cell = np.repeat(point[at:end] - first, n) * len(names) + queries[own]
-            out[first:last] += np.bincount(cell, np.repeat(weight[at:end], n), (last - first) * len(names)).reshape(last - first, -1)
-            at = end
-        return out
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, kept, fresh = shared.value[0], [], 0
         for batch in batches:
             for at in range(0, batch.num_rows, POINTS):
                 part = batch.slice(at, POINTS)
-                scores = sums(part)
+                scores = _sums(part, *shared.value)
                 place = np.rint(scores * 1e9).astype(np.int64)
                 # all that tie with the k-th best stay until the best are told apart
                 least = np.partition(place, max(0, len(part) - k), axis=0)[max(0, len(part) - k)]
@@ -188,6 +166,29 @@ def _scored(asked: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     return vectors.mapInArrow(run, f"query_id {kinds[0]}, point_id {kinds[1]}, score double, place bigint")
 
 
+def _sums(part: pa.RecordBatch, names: pa.Array, queries: np.ndarray, terms: pa.Array, starts: np.ndarray) -> np.ndarray:
+    """The scores of points (id, terms, weights; without weights each term counts 1) as rows, by queries; 0 where they share no term. terms: all of the queries'; those
+    of one term are queries[starts[term]:starts[term + 1]]."""
+    lists, out = part.column(1), np.zeros((len(part), len(names)))
+    term = pc.index_in(lists.flatten(), terms)
+    known = np.flatnonzero(term.is_valid().to_numpy(zero_copy_only=False))
+    term = term.take(pa.array(known)).to_numpy().astype(np.int64)
+    point = np.repeat(np.arange(len(part)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())[known]
+    weight = part.column(2).flatten().to_numpy()[known] if part.num_columns > 2 else np.ones(len(known))
+    times = starts[term + 1] - starts[term]
+    upto = np.cumsum(times)
+    at = 0
+    while at < len(term):  # matches are listed a bounded number at a time
+        end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + MATCHES, side="right")))
+        n = times[at:end]
+        own = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[term[at:end]], n)
+        first, last = point[at], point[end - 1] + 1
+        cell = np.repeat(point[at:end] - first, n) * len(names) + queries[own]
+        out[first:last] += np.bincount(cell, np.repeat(weight[at:end], n), (last - first) * len(names)).reshape(last - first, -1)
+        at = end
+    return out
+
+
 def _best(found: pa.Table, k: int) -> pa.Table:
     """The k best rows of each query."""
     found = found.take(pc.sort_indices(found, [("query", "ascending"), ("place", "descending"), ("point_id", "ascending")], null_placement="at_start"))
@@ -209,15 +210,50 @@ def hybrid(rankings: list[DataFrame], limit: int) -> DataFrame:
 
 def token_overlap(queries: DataFrame, docs: DataFrame, limit: int) -> DataFrame:
     """(query_id, point_id, score, rank): the share of a query's token set that a document holds; zeros are kept. Both: (id, tokens). Queries go in blocks of
-    about OVERLAP, each a broadcast of its own, and each partition of the documents keeps the best only."""
+    about OVERLAP, each a broadcast of its own; tokens are counted where the documents lie, and each partition keeps the best only."""
     blocks = max(1, -(-queries.count() // OVERLAP))
     numbered = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
-    score = F.size(F.array_intersect("query", "tokens")) / F.greatest(F.lit(1), F.size("query"))
-    found = []
-    for i in range(blocks):
-        pairs = docs.join(F.broadcast(numbered.where(F.col("block") == i).drop("block")), F.lit(True))
-        found.append(ranked(pairs.select("query_id", "point_id", score.alias("score")), limit, ["query_id"], F.desc("score"), F.col("point_id")))
-    return reduce(DataFrame.unionAll, found)
+    sets = docs.select("point_id", F.array_distinct("tokens").alias("tokens"))
+    found = [_overlapping(numbered.where(F.col("block") == i).select("query_id", F.array_distinct("query").alias("query")), sets, limit) for i in range(blocks)]
+    return ranked(reduce(DataFrame.unionAll, found), limit, ["query_id"], F.desc("score"), F.col("point_id"))
+
+
+def _overlapping(queries: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(query_id, point_id, score): for one block of queries, the k best of every partition of docs. Without a set on either side there is no score; such rows come last."""
+    kinds = [df.schema[c].dataType.simpleString() for df, c in ((queries, "query_id"), (docs, "point_id"))]
+    rows = queries.toArrow().combine_chunks()
+    names, lists = (rows.column(i).combine_chunks() for i in (0, 1))
+    sizes, unset = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64), lists.is_null().to_numpy(zero_copy_only=False)
+    coded = lists.flatten().dictionary_encode()
+    codes, terms = coded.indices.to_numpy(), coded.dictionary
+    starts = np.concatenate(([0], np.cumsum(np.bincount(codes, minlength=len(terms)))))
+    asked = np.repeat(np.arange(len(names)), sizes)[np.argsort(codes, kind="stable")]
+    shared = queries.sparkSession.sparkContext.broadcast((names, asked, terms, starts))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, kept, fresh = shared.value[0], [], 0
+        for batch in batches:
+            for at in range(0, batch.num_rows if len(names) else 0, POINTS):
+                part = batch.slice(at, POINTS)
+                part = part.take(pc.array_sort_indices(part.column(0), null_placement="at_start"))
+                place = np.rint(_sums(part, *shared.value)).astype(np.int64)
+                place[part.column(1).is_null().to_numpy(zero_copy_only=False)] = -1
+                place[:, unset] = -1
+                least = np.partition(place, max(0, len(part) - k), axis=0)[max(0, len(part) - k)]
+                keep, ties = place > least, place == least
+                keep |= ties & (ties.cumsum(axis=0) <= k - keep.sum(axis=0))
+                point, query = np.nonzero(keep)
+                kept.append(pa.table({"query": query, "point_id": part.column(0).take(pa.array(point)), "place": place[keep]}))
+                fresh += len(point)
+            if fresh > MATCHES:
+                kept, fresh = [_best(pa.concat_tables(kept), k)], 0
+        if kept:
+            found = _best(pa.concat_tables(kept), k)
+            query, place = found.column("query").to_numpy(), found.column("place").to_numpy()
+            score = pa.array(place / np.maximum(1, sizes)[query], mask=place < 0)
+            yield from pa.table({"query_id": names.take(found.column("query")), "point_id": found.column("point_id"), "score": score}).combine_chunks().to_batches()
+
+    return docs.mapInArrow(run, f"query_id {kinds[0]}, point_id {kinds[1]}, score double")
 
 
 def reordered(hits: DataFrame, *order: Column) -> DataFrame:

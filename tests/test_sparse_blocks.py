@@ -34,3 +34,19 @@ def test_no_pairs_are_shuffled_and_blocks_agree(spark, monkeypatch):
     # what reaches the last exchange are the best of each partition, not all pairs
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" in plan and "sum(weight" not in plan
+
+
+def test_token_overlap_counts_where_documents_lie(spark, monkeypatch):
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(30)]
+    docs = [(i, rng.sample(words, rng.randint(0, 9)) if i % 13 else None) for i in range(60)]
+    queries = [(q, rng.sample([*words, "absent"], rng.randint(1, 6))) for q in range(9)] + [(9, []), (10, None)]
+    for name, value in (("OVERLAP", 4), ("POINTS", 7), ("MATCHES", 5)):
+        monkeypatch.setattr(retrieval, name, value)
+    found = retrieval.token_overlap(spark.createDataFrame(queries, "query_id bigint, query array<string>"), spark.createDataFrame(docs, "point_id bigint, tokens array<string>").repartition(3), 50)
+    want = set()
+    for q, ts in queries:
+        scored = [(i, None if ts is None or d is None else len(set(ts) & set(d)) / max(1, len(ts))) for i, d in docs]
+        want |= {(q, i, x, n) for n, (i, x) in enumerate(sorted(scored, key=lambda s: (s[1] is None, -(s[1] or 0), s[0]))[:50], 1)}
+    assert {(r.query_id, r.point_id, r.score, r["rank"]) for r in found.collect()} == want
+    assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
