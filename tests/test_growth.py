@@ -1,6 +1,9 @@
 """Queries whose tasks grew faster than their input, against brute force on small rows."""
 
 import random
+from collections import Counter
+
+from pyspark.sql import functions as F
 
 from lodestone.operators import state
 
@@ -20,3 +23,16 @@ def test_contained_paragraphs_meet_in_one_shuffle(spark):
     assert any(open_.values()) and not all(open_.values())
     plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_hits_of_one_symbol_are_made_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(state, "REPEATS", 3, raising=False)
+    rng = random.Random(4)
+    symbols = [("a", i % 3, i % 2) for i in range(20)] + [("b", 9, 9), (None, 0, 0), ("c", 1, 1)]
+    markers = [(0, 0), (1, 1), (2, 0), (0, 0)]
+    hits = [(rng.choice(["a", "b", "c", None]), i, float(i)) for i in range(40)]
+    got = state.source_markers(spark.createDataFrame(symbols, "symbol string, path int, version int"), spark.createDataFrame(markers, "path int, version int"), spark.createDataFrame(hits, "symbol string, point_id int, score double"))
+    rows = got.select("symbol", "point_id", "score", F.spark_partition_id().alias("task")).collect()
+    want = Counter(h for s, *place in symbols for m in markers if tuple(place) == m for h in hits if h[0] == s and s is not None)
+    assert Counter((r.symbol, r.point_id, r.score) for r in rows) == want
+    assert len({r.task for r in rows if r.symbol == "a"}) > 4
