@@ -6,11 +6,12 @@ chunk joins the document's metadata; later names win. Tags, categories, hashes a
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions import code, features, hashing, text
@@ -45,8 +46,11 @@ def _merged(metadata: str | None, extra: str, category: str | None, source_type:
     return canonical(own | {"knowledge_base": "code", "source_type": source_type, "source_url": url, "title": title, "task_tags": tags})
 
 
-def _identity(document: str | None, index: int, body: str, metadata: str) -> str:
-    return canonical({"document_id": document, "index": index, "processor": PROCESSOR, "text": body, "metadata": json.loads(metadata)})
+def _named(document: str | None, index: int, body: str, *facts) -> list[str]:  # noqa: ANN002
+    """A chunk's metadata and its fingerprint."""
+    metadata = _merged(*facts)
+    identity = canonical({"document_id": document, "index": index, "processor": PROCESSOR, "text": body, "metadata": json.loads(metadata)})
+    return [metadata, hashlib.sha256(identity.encode()).hexdigest()]
 
 
 def chunks(documents: DataFrame) -> DataFrame:
@@ -59,17 +63,15 @@ def chunks(documents: DataFrame) -> DataFrame:
     found = found.select("n", "text", "extra", *(F.col(f"d.{c}").alias(c) for c in facts))
     category = F.when(F.col("source_type") == "release_note", features.release_category(F.col("text")))
     found = found.withColumns({"category": category, "tags": text.task_tags(F.coalesce("source_type", F.lit("")), F.col("text"))})
-    metadata = rowwise(_merged, "string")(*map(F.col, ("metadata", "extra", "category", "source_type", "source_url", "title", "tags")))
-    found = found.withColumn("metadata", metadata)
-    identity: Column = rowwise(_identity, "string")(*map(F.col, ("document_id", "n", "text", "metadata")))
-    found = found.withColumn("chunk_fingerprint", hashing.sha256(identity))
+    named = rowwise(_named, "array<string>")(*map(F.col, ("document_id", "n", "text", "metadata", "extra", "category", "source_type", "source_url", "title", "tags")))
+    found = found.withColumn("named", named).withColumns({"metadata": F.get("named", F.lit(0)), "chunk_fingerprint": F.get("named", F.lit(1))})
     said = F.regexp_replace("text", r"(?U)^\s+|\s+$", "")
     section = F.get_json_object("extra", "$.section")
-    named = F.array_join(F.array(F.col("document_id"), F.col("n").cast("string"), F.col("chunk_fingerprint")), "\0")
+    ident = F.array_join(F.array(F.col("document_id"), F.col("n").cast("string"), F.col("chunk_fingerprint")), "\0")
     return found.select(
         "document_id",
         F.col("n").alias("chunk_index"),
-        hashing.uuid5(NAMESPACE, named).alias("chunk_id"),
+        hashing.uuid5(NAMESPACE, ident).alias("chunk_id"),
         "chunk_fingerprint",
         said.alias("text"),
         hashing.sha256(said).alias("text_sha256"),

@@ -3,9 +3,12 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from lodestone.functions import rows
 from lodestone.operators import state
+from lodestone.plans import code_documents
 
 
 def test_contained_paragraphs_meet_in_one_shuffle(spark):
@@ -36,3 +39,31 @@ def test_hits_of_one_symbol_are_made_by_several_tasks(spark, monkeypatch):
     want = Counter(h for s, *place in symbols for m in markers if tuple(place) == m for h in hits if h[0] == s and s is not None)
     assert Counter((r.symbol, r.point_id, r.score) for r in rows) == want
     assert len({r.task for r in rows if r.symbol == "a"}) > 4
+
+
+def test_rowwise_python_holds_few_rows_of_a_batch(monkeypatch):
+    class Spy:
+        def __init__(self, values):
+            self.values = values
+
+        def __len__(self):
+            return len(self.values)
+
+        def slice(self, at, n):
+            return Spy(self.values.slice(at, n))
+
+        def to_pylist(self):
+            assert len(self.values) <= 64
+            return self.values.to_pylist()
+
+    monkeypatch.setattr(F, "arrow_udf", lambda run, kind: run)
+    twice = rows.rowwise(lambda a, b: [a, b, a], "array<string>")
+    texts = [None if i % 7 == 0 else f"t{i}" for i in range(300)]
+    assert twice(Spy(pa.array(texts)), Spy(pa.array(texts[::-1]))).to_pylist() == [[a, b, a] for a, b in zip(texts, texts[::-1], strict=True)]
+    assert twice(Spy(pa.array([], pa.string())), Spy(pa.array([], pa.string()))).to_pylist() == []
+
+
+def test_code_documents_use_one_python_helper_behind_the_cut(spark):
+    docs = spark.createDataFrame([("d", "tutorial", "a.md", "u", "t", "# A\nb", None)], "document_id string, source_type string, path string, source_url string, title string, content string, metadata string")
+    plan = code_documents.chunks(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == plan.count("MapInArrow") == 1
