@@ -148,7 +148,7 @@ def outline(listed: DataFrame) -> DataFrame:
     lines = F.filter(F.split("markdown", r"\r\n|[\r\n\x0b\f\x1c-\x1e\x85  ]"), lambda x: x.rlike(HEADING))
     rows = listed.select("document_id", titles.alias("titles"), F.transform(lines, lambda x: F.regexp_extract(x, HEADING, 2)).alias("headings"), F.transform(lines, lambda x: F.length(F.regexp_extract(x, HEADING, 1))).alias("levels"))
     rows = rows.select("document_id", "titles", "levels", alignment(heading_keys(F.col("titles")), heading_keys(F.col("headings"))).alias("matched"))
-    rows = rows.select("document_id", "levels", F.posexplode(F.arrays_zip("titles", "matched")).alias("nth", "h"))
+    rows = rows.select("document_id", "levels", F.posexplode_outer(F.arrays_zip("titles", "matched")).alias("nth", "h")).where("nth IS NOT NULL")
     level = F.coalesce(F.get("levels", F.col("h.matched")), F.lit(1))
     rows = rows.select("document_id", (F.col("nth") + 1).alias("nth"), F.col("h.titles").alias("title"), F.col("h.matched").alias("matched"), level.cast("int").alias("level"))
     # a path holds, for each depth, the last heading so shallow with none shallower behind it
@@ -161,37 +161,44 @@ def outline(listed: DataFrame) -> DataFrame:
     return rows.withColumn("path", path).drop("top")
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """(document_id, section_id, section_title, section_path, family, paragraph_no, paragraph_id, text, text_hash, segments, exact) of the texts below a
-    heading that isn't one of references; paragraph_no and the ids are null where there is no place. docs: ``documents``."""
-    listed = items(docs)
-    rows = listed.select("document_id", "parse_fingerprint", F.posexplode("items").alias("place", "item"))
+def texts(docs: DataFrame) -> DataFrame:
+    """(document_id, parse_fingerprint, place, nth, section_title, family, paragraph_no, text, segments, exact) of the texts below the nth heading, unless that is one of
+    references; paragraph_no is null where there is no place. docs: ``documents``. A text's heading is the last one before it, so each document is read once."""
+    # outer explodes, since a filter inferred from inner ones would repeat the walk
+    rows = items(docs).select("document_id", "parse_fingerprint", F.posexplode_outer("items").alias("place", "item")).where("place IS NOT NULL")
     by = Window.partitionBy("document_id").orderBy("place")
-    rows = rows.withColumn("nth", F.count_if(F.col("item.label") == "section_header").over(by))
-    said = F.coalesce("item.orig", "item.text")
-    rows = rows.where(F.col("item.label").isin("text", "list_item")).select("document_id", "parse_fingerprint", "place", "nth", said.alias("text"), F.col("item.orig").isNotNull().alias("exact"), "item")
+    said, heading = F.coalesce("item.orig", "item.text"), F.col("item.label") == "section_header"
+    rows = rows.withColumns({"nth": F.count_if(heading).over(by), "title": F.last(F.when(heading, F.regexp_replace(said, _EDGES, "")), ignorenulls=True).over(by)})
+    rows = rows.where(F.col("item.label").isin("text", "list_item")).where(~text.section_heading(F.col("title")).rlike(REFERENCES)).select("document_id", "parse_fingerprint", "place", "nth", "title", said.alias("text"), F.col("item.orig").isNotNull().alias("exact"), "item")
     rows = rows.withColumn("segments", places(F.col("item"), F.col("text"))).drop("item")
-    rows = rows.join(outline(listed), ["document_id", "nth"]).where(~text.section_heading(F.col("title")).rlike(REFERENCES))
     placed = F.size("segments") > 0
     number = F.when(placed, F.count_if(placed).over(Window.partitionBy("document_id", "nth").orderBy("place")))
-    rows = rows.withColumn("paragraph_no", number).withColumn("text_hash", hashing.sha256(F.col("text")))
+    return rows.select("document_id", "parse_fingerprint", "place", "nth", F.col("title").alias("section_title"), text.section_family(F.col("title")).alias("family"), number.alias("paragraph_no"), "text", "segments", "exact")
+
+
+def paragraphs(docs: DataFrame) -> DataFrame:
+    """(document_id, section_id, section_title, section_path, family, paragraph_no, paragraph_id, text, text_hash, segments, exact): ``texts`` with the ids and paths
+    of their sections, and their own; ids are null where there is no place. docs: ``documents``."""
+    paths = outline(items(docs)).select("document_id", "nth", "path")
+    placed = F.size("segments") > 0
+    rows = texts(docs).join(paths, ["document_id", "nth"]).withColumn("text_hash", hashing.sha256(F.col("text")))
     parse = F.coalesce("parse_fingerprint", F.lit(""))
     section = F.concat(F.lit("section:"), hashing.sha256(hashing.canonical_json(document=F.col("document_id"), path=F.col("path"), parse=parse)))
     rows = rows.withColumn("section_id", section).withColumn("parse", parse)
     identity = hashing.canonical_json(document=F.col("document_id"), parse=F.col("parse"), section=F.col("section_id"), index=F.col("paragraph_no"), text=F.col("text_hash"), reconstruction=F.lit(RECONSTRUCTION))
     ident = F.when(placed, F.concat(F.lit("paragraph:"), hashing.sha256(identity)))
-    return rows.select("document_id", "place", "section_id", F.col("title").alias("section_title"), F.col("path").alias("section_path"), text.section_family(F.col("title")).alias("family"), "paragraph_no", ident.alias("paragraph_id"), "text", "text_hash", "segments", "exact")
+    return rows.select("document_id", "place", "section_id", "section_title", F.col("path").alias("section_path"), "family", "paragraph_no", ident.alias("paragraph_id"), "text", "text_hash", "segments", "exact")
 
 
 def coverage(found: DataFrame) -> DataFrame:
-    """(document_id, family, eligible, covered): characters of ``paragraphs``' texts, and those with a place."""
+    """(document_id, family, eligible, covered): characters of ``texts``, and those with a place."""
     own = F.aggregate("segments", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["begin"])
     return found.groupBy("document_id", "family").agg(F.sum(F.length("text")).cast("bigint").alias("eligible"), F.sum(own).alias("covered"))
 
 
 def loaded(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(document_id, error, paragraphs, eligible, covered, coverage) of every wanted document, by the gates that need the whole document too.
-    docs: ``documents``; found: its ``paragraphs``."""
+    docs: ``documents``; found: its ``texts`` or ``paragraphs``."""
     own = F.aggregate("segments", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["begin"])
     facts = found.groupBy("document_id").agg(F.count("paragraph_no").alias("n"), F.every("exact").alias("exact"), F.sum(F.length("text")).cast("bigint").alias("eligible"), F.sum(own).alias("covered"))
     straight = outline(items(docs)).groupBy("document_id").agg(F.every(F.col("matched").isNotNull()).alias("aligned"))

@@ -1,5 +1,6 @@
 """Queries whose tasks grew faster than their input, against brute force on small rows."""
 
+import json
 import random
 from collections import Counter
 
@@ -7,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lodestone.functions import rows
-from lodestone.operators import state
+from lodestone.operators import reconstruct, state
 from lodestone.plans import code_documents
 
 
@@ -67,3 +68,18 @@ def test_code_documents_use_one_python_helper_behind_the_cut(spark):
     docs = spark.createDataFrame([("d", "tutorial", "a.md", "u", "t", "# A\nb", None)], "document_id string, source_type string, path string, source_url string, title string, content string, metadata string")
     plan = code_documents.chunks(docs)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == plan.count("MapInArrow") == 1
+
+
+def test_texts_read_each_document_once(spark):
+    lines = [("section_header", "Intro"), ("text", "a"), ("section_header", " References "), ("text", "b"), ("section_header", "Results"), ("list_item", "c"), ("text", "d")]
+    prov = '[{"page_no":1,"bbox":{"l":0.0,"t":1.0,"r":2.0,"b":3.0},"charspan":[0,1]}]'
+    texts = [{"label": label, "orig": said, "text": said, "self_ref": f"#/texts/{i}"} for i, (label, said) in enumerate([("text", "before"), *lines])]
+    told = json.dumps({"document_id": "x", "parser_name": "docling", "parser_version": "2.112.1", "parse_fingerprint": "f", "structured": {"schema_name": "DoclingDocument", "version": "1.10.0", "body": {"children": [{"cref": f"#/texts/{i}"} for i in range(len(texts))]}, "groups": [], "texts": texts}})
+    told = told.replace('"self_ref"', f'"prov": {prov}, "self_ref"')
+    state_ = spark.createDataFrame([("x", "ready", "ready", "docling", "2.112.1", "f", "K", "A")], "document_id string, source_status string, parse_status string, parser_name string, parser_version string, parse_fingerprint string, item_key string, attachment_key string")
+    docs = reconstruct.documents(state_.select("document_id"), state_, spark.createDataFrame([("x", told, "# Intro\n# References\n# Results")], "document_id string, payload string, markdown string"))
+    found = reconstruct.texts(docs)
+    assert [(r.place, r.nth, r.section_title, r.paragraph_no, r.text) for r in found.orderBy("place").collect()] == [(2, 1, "Intro", 1, "a"), (6, 3, "Results", 1, "c"), (7, 3, "Results", 2, "d")]
+    whole = reconstruct.paragraphs(docs).orderBy("place").collect()
+    assert [(r.text, r.section_path, r.paragraph_id is None) for r in whole] == [("a", ["Intro"], False), ("c", ["Results"], False), ("d", ["Results"], False)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
