@@ -16,7 +16,8 @@ SKIPPED = r"^\s*(?:\||```|<!--)"
 def paragraphs(docs: DataFrame, key: str, body: str) -> DataFrame:
     """(key, section, paragraph, text): paragraphs, numbered anew in each section. Blank lines and headings end one; tables, fences and comments are
     left out; so are sections of references and what comes before the first heading."""
-    lines = docs.select(key, F.posexplode(F.split(F.col(body), r"\r\n|\r|\n")).alias("line", "text"))
+    # an outer explode, since a filter inferred from an inner one would repeat body and split
+    lines = docs.select(key, F.posexplode_outer(F.split(F.col(body), r"\r\n|\r|\n")).alias("line", "text")).where("line IS NOT NULL")
     heading = F.col("text").rlike(HEADING)
     blank = F.trim(F.regexp_replace("text", r"(?U)^\s+|\s+$", "")) == ""
     ordered = Window.partitionBy(key).orderBy("line")
@@ -34,8 +35,10 @@ def paragraphs(docs: DataFrame, key: str, body: str) -> DataFrame:
 def writing_entries(docs: DataFrame, key: str, body: str) -> DataFrame:
     """(key, section_no, paragraph, family, function, quality, roles, transitions, fingerprint) of paragraphs that are written for a known purpose:
     captions and short ones go, functions, roles and features follow from rules, and of equal texts of a document the last stays."""
-    own = paragraphs(docs, key, body).select(key, "section_no", "paragraph", text.section_family(F.col("section")).alias("family"), text.collapsed(F.col("text")).alias("v"))
-    kept = own.where(~text.excluded_material(F.col("v"))).withColumn("function", text.rhetorical_function(F.col("v"), F.col("family"))).where("function IS NOT NULL")
+    # explodes of one element, so that each rule's many uses of a value don't compute it anew, and the generated code stays within what compiles
+    once = lambda c: F.explode_outer(F.array(c))
+    own = paragraphs(docs, key, body).select(key, "section_no", "paragraph", once(F.struct(text.section_family(F.col("section")).alias("family"), text.collapsed(F.col("text")).alias("v"))).alias("o")).select(key, "section_no", "paragraph", "o.*")
+    kept = own.where(~text.excluded_material(F.col("v"))).select("*", once(text.rhetorical_function(F.col("v"), F.col("family"))).alias("function")).where("function IS NOT NULL")
     kept = kept.withColumns({"fingerprint": F.sha2(F.col("v").cast("binary"), 256), "roles": text.sentence_roles(F.col("v"))})
     last = Window.partitionBy(key, "fingerprint").orderBy(F.desc("section_no"), F.desc("paragraph"))
     kept = kept.withColumn("nth", F.row_number().over(last)).where("nth = 1")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import rows
 from lodestone.operators import reconstruct, state
-from lodestone.plans import code_documents
+from lodestone.plans import code_documents, markdown
 
 
 def test_contained_paragraphs_meet_in_one_shuffle(spark):
@@ -83,3 +83,10 @@ def test_texts_read_each_document_once(spark):
     whole = reconstruct.paragraphs(docs).orderBy("place").collect()
     assert [(r.text, r.section_path, r.paragraph_id is None) for r in whole] == [("a", ["Intro"], False), ("c", ["Results"], False), ("d", ["Results"], False)]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_writing_entries_judge_each_paragraph_once(spark):
+    docs = spark.createDataFrame([("x", "# Introduction\nHowever, in this paper we propose a new method that is described below in some more detail.\n")], "d string, body string")
+    found = markdown.writing_entries(docs, "d", "body")
+    assert "Filter isnotnull(function#" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.family, r.section_no, r.paragraph) for r in found.collect()] == [("introduction", 1, 1)]
