@@ -147,8 +147,13 @@ def _evidence_whole(v: Column) -> dict[str, Column]:
 
 def faults(record: Column, kind: str) -> Column:
     """The faults of a record (JSON text) of a kind; an empty list if it is valid."""
-    v, rules = F.try_parse_json(record), RULES[kind]
-    keys, names = F.json_object_keys(record), F.array(*map(F.lit, rules))
+    return _faults(F.try_parse_json(record), F.json_object_keys(record), kind)
+
+
+def _faults(v: Column, keys: Column, kind: str) -> Column:
+    """``faults`` of a record that is read already, and its keys."""
+    rules = RULES[kind]
+    names = F.array(*map(F.lit, rules))
     missing = F.transform(F.array_sort(F.array_except(names, keys)), lambda f: F.concat(F.lit("missing "), f))
     unknown = F.transform(F.array_sort(F.array_except(keys, names)), lambda f: F.concat(F.lit("unknown "), f))
     held = lambda f: F.array_contains(keys, f)
@@ -162,5 +167,8 @@ def faults(record: Column, kind: str) -> Column:
 
 def checked(records: DataFrame, key: str, kind: str, record: str) -> DataFrame:
     """(key, kind, faults) of records of known kinds; an unknown kind is a fault itself."""
-    found = F.coalesce(*(F.when(F.col(kind) == k, faults(F.col(record), k)) for k in RULES), F.array(F.lit("kind")))
-    return records.select(key, kind, found.alias("faults"))
+    # an explode of one element, so that the rules don't read the record anew
+    read = F.explode_outer(F.array(F.struct(F.try_parse_json(record).alias("v"), F.json_object_keys(record).alias("keys"))))
+    rows = records.select(key, kind, read.alias("_r"))
+    found = F.coalesce(*(F.when(F.col(kind) == k, _faults(F.col("_r.v"), F.col("_r.keys"), k)) for k in RULES), F.array(F.lit("kind")))
+    return rows.select(key, kind, found.alias("faults"))

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lodestone.functions import rows
-from lodestone.operators import reconstruct, state
+from lodestone.operators import reconstruct, state, stored_records
 from lodestone.plans import code_documents, markdown
 
 
@@ -90,3 +90,12 @@ def test_writing_entries_judge_each_paragraph_once(spark):
     found = markdown.writing_entries(docs, "d", "body")
     assert "Filter isnotnull(function#" in found._jdf.queryExecution().optimizedPlan().toString()
     assert [(r.family, r.section_no, r.paragraph) for r in found.collect()] == [("introduction", 1, 1)]
+
+
+def test_stored_records_are_read_once(spark):
+    records = spark.createDataFrame([(1, "phrase", "{}"), (2, "phrase", None), (3, "other", "{}"), (4, "phrase", "[1]"), (5, "phrase", '{"a": 1')], "k int, kind string, record string")
+    found = stored_records.checked(records, "k", "kind", "record")
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("jsonObjectKeys(record#") == 1
+    got = {r.k: r.faults for r in found.collect()}
+    assert len(got[1]) == len(stored_records.RULES["phrase"]) and (got[2], got[3], got[4]) == (["record"], ["kind"], ["record"])
+    assert len(got) == 5
