@@ -17,9 +17,12 @@ Before sets travel, sketches (counts of shingles by class of their hash) bound w
 it into groups that the bounds connect. Groups that have sets in common are one; if it is small, it becomes
 a region by itself, so that each set travels once.
 
+A large group is a region by itself too if one of its large cells holds half of its sets, as large groups of near copies have it: they share nearly all
+cells of their windows, and each of those would be dealt again. Else its cells are the regions.
+
 Regions above SMALL sets or ITEMS shingles are dealt again, over the cluster, to Voronoi regions. Their pivots, PIVOTS at
 most, are points of the metric space that need not be documents: the majority sets of the clusters of a bounded sample
-of the region. (Any pivots give whole results; the sample only makes them good.) A set's home is the region of its nearest
+of the region, as many as bring it to the fewest cells. (Any pivots give whole results; the sample only makes them good.) A set's home is the region of its nearest
 pivot, at distance d; by the triangle inequality a neighbour's home lies among the pivots within d + 2r, and the set is
 replicated there. Let |x ^ p| be the number of x's differences from its region's pivot p and f(x) = (100 + percent) |x ^ p| -
 (100 - percent) |x|. Sets x and y link if f(x) + f(y) <= 0, since |x ^ y| <= |x ^ p| + |y ^ p|; then each of them also links
@@ -165,15 +168,15 @@ def _nodes(rows: DataFrame, rank: np.ndarray, weights: np.ndarray, shingle: int,
 
 
 def _regions(cells: DataFrame) -> DataFrame:
-    """(s, size) of the cells (s, g, n, ball) that may hold a link still unknown: two sets or more, one of them outside
-    the pivot's ball. Of cells with the same sets (by 128 bits), one stays. Map-side aggregation takes hot cells in its stride."""
-    found = cells.groupBy("s").agg(F.count(F.lit(1)).alias("size"), *(F.bit_xor(F.xxhash64("g", F.lit(i))).alias(f"bits{i}") for i in range(2)), F.bool_and("ball").alias("settled"))
+    """(s, size, items) of the cells (s, g, n, ball) that may hold a link still unknown: two sets or more, one of them outside
+    the pivot's ball; items counts their shingles. Of cells with the same sets (by 128 bits), one stays. Map-side aggregation takes hot cells in its stride."""
+    found = cells.groupBy("s").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("items"), *(F.bit_xor(F.xxhash64("g", F.lit(i))).alias(f"bits{i}") for i in range(2)), F.bool_and("ball").alias("settled"))
     found = found.where((F.col("size") > 1) & ~F.col("settled"))
-    return checkpoint(found.groupBy("size", "bits0", "bits1").agg(F.min("s").alias("s")).select("s", "size"))
+    return checkpoint(found.groupBy("size", "bits0", "bits1").agg(F.min("s").alias("s"), F.min("items").alias("items")).select("s", "size", "items"))
 
 
 def _members(cells: DataFrame, regions: DataFrame) -> DataFrame:
-    """(s, g, n, size): the cells' rows of the regions. A filter keeps rows of other cells from being shuffled."""
+    """(s, g, n, size, items): the cells' rows of the regions. A filter keeps rows of other cells from being shuffled."""
     seen = CellFilter.members(regions.select("s"), regions.count())
     if seen is not None:
         cells = cells.where(asked(cells.sparkSession, seen)("s"))
@@ -365,8 +368,24 @@ def _join_regions(percent: int, shingle: int | None = None):  # noqa: ANN202
     return run
 
 
-def _majorities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(s, pivot, set): the majority sets of the clusters of each region's sample (s, set), which come in order of s."""
+def _most(n: int, percent: int) -> int:
+    """How many differences a set of n shingles has from a neighbour, at most."""
+    return (100 - percent) * (n + 100 * n // percent + 1) // (100 + percent)
+
+
+def _reached(own: np.ndarray, pivots: list[np.ndarray], percent: int) -> list[tuple[int, int, int]]:
+    """(pivot, differences, cells) of the pivots whose regions a set comes to. A neighbour shares at least differences - most of them, and one."""
+    n, most = len(own), _most(len(own), percent)
+    common = [len(np.intersect1d(own, p, assume_unique=True)) for p in pivots]
+    far = [1 - c / (n + len(p) - c) for c, p in zip(common, pivots, strict=True)]
+    reach = min(far) + 2 * (1 - percent / 100) + 1e-9
+    differ = [n + len(p) - 2 * c for c, p in zip(common, pivots, strict=True)]
+    return [(j, d, d - max(1, d - most) + 1) for j, d in enumerate(differ) if far[j] <= reach]
+
+
+def _majorities(percent: int):  # noqa: ANN202
+    """(s, pivot, set): the majority sets of the clusters of each region's sample (s, set), which come in order of s. There are as many clusters as bring the
+    sample to the fewest cells: pivots that don't lie apart would place each set in all their regions."""
 
     def pivots(s: int, sets: list[np.ndarray]) -> pa.RecordBatch:
         seeds, far = [0], None
@@ -377,48 +396,48 @@ def _majorities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 break
             seeds.append(int(np.argmax(far)))
         shared = np.array([[len(np.intersect1d(x, sets[i], assume_unique=True)) / max(1, len(x), len(sets[i])) for i in seeds] for x in sets])
-        home, out = shared.argmax(axis=1), []
-        for j in range(len(seeds)):
-            own = [x for x, h in zip(sets, home.tolist(), strict=True) if h == j]
-            if own:
-                ids, n = np.unique(np.concatenate(own), return_counts=True)
-                out.append(ids[2 * n > len(own)].tobytes())
-        return pa.RecordBatch.from_arrays([pa.array([s] * len(out), pa.int64()), pa.array(range(len(out)), pa.int32()), pa.array(out, pa.binary())], names=["s", "pivot", "set"])
-
-    current, sets = None, []
-    for batch in batches:
-        for s, items in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            if s != current:
-                if sets:
-                    yield pivots(current, sets)
-                current, sets = s, []
-            sets.append(np.frombuffer(items.as_py(), np.uint64))
-    if sets:
-        yield pivots(current, sets)
+        best, fewest = [], None
+        for k in range(1, len(seeds) + 1):
+            home, found = shared[:, :k].argmax(axis=1), []
+            for j in range(k):
+                own = [x for x, h in zip(sets, home.tolist(), strict=True) if h == j]
+                if own:
+                    ids, n = np.unique(np.concatenate(own), return_counts=True)
+                    found.append(ids[2 * n > len(own)])
+            cells = sum(c for x in sets for _, _, c in _reached(x, found, percent))
+            if fewest is None or cells < fewest:
+                best, fewest = found, cells
+        return pa.RecordBatch.from_arrays([pa.array([s] * len(best), pa.int64()), pa.array(range(len(best)), pa.int32()), pa.array([x.tobytes() for x in best], pa.binary())], names=["s", "pivot", "set"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, sets = None, []
+        for batch in batches:
+            for s, items in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if s != current:
+                    if sets:
+                        yield pivots(current, sets)
+                    current, sets = s, []
+                sets.append(np.frombuffer(items.as_py(), np.uint64))
+        if sets:
+            yield pivots(current, sets)
+
+    return run
 
 
 def _deal(percent: int):  # noqa: ANN202
     """The regions and cells of the rows (s, chunk, pivot, g, set), in order of s, chunk and pivot; sets that are dealt come
     last. A row (region, cell, g, n, f) without a cell places a set in a region, others place it in the cell of a difference."""
     schema = pa.schema([("region", pa.int64()), ("cell", pa.int64()), ("g", pa.binary()), ("n", pa.int64()), ("f", pa.int64())])
-    reach = 2 * (1 - percent / 100) + 1e-9
 
     def named(*parts: int) -> int:
         return xxhash.xxh3_64_intdigest(b"".join(x.to_bytes(8, "little", signed=True) for x in parts)) - (1 << 63)
 
     def dealt(s: int, pivots: list[np.ndarray], own: np.ndarray, g: bytes) -> Iterator[tuple]:
         n = len(own)
-        common = [len(np.intersect1d(own, p, assume_unique=True)) for p in pivots]
-        far = [1 - c / (n + len(p) - c) for c, p in zip(common, pivots, strict=True)]
-        most = (100 - percent) * (n + 100 * n // percent + 1) // (100 + percent)  # differences from a neighbour
-        for j, p in enumerate(pivots):
-            if far[j] > min(far) + reach:
-                continue
-            region, differ = named(s, j), n + len(p) - 2 * common[j]
+        for j, differ, keep in _reached(own, pivots, percent):
+            p, region = pivots[j], named(s, j)
             f = (100 + percent) * differ - (100 - percent) * n
             yield (region, None, g, n, f)
-            # a neighbour shares at least differ - most of the differences, and one
-            keep = differ - max(1, differ - most) + 1
             each = np.concatenate([np.setdiff1d(own, p, assume_unique=True), np.setdiff1d(p, own, assume_unique=True)])
             for e in each[:keep].view(np.int64).tolist():
                 yield (region, named(region, e), g, n, f)
@@ -455,7 +474,7 @@ def _dealt(large: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame,
     one = large.groupBy("s").agg(F.min_by("g", F.xxhash64("g", F.lit(1))).alias("g"))
     some = large.where(F.pmod(F.xxhash64("g", F.lit(2)), F.col("size")) < share).select("s", "g").union(one).distinct()
     sample = some.join(sets, "g").select("s", "set").repartition("s").sortWithinPartitions("s", F.xxhash64("set"))
-    pivots = checkpoint(sample.mapInArrow(_majorities, "s bigint, pivot int, set binary"))
+    pivots = checkpoint(sample.mapInArrow(_majorities(percent), "s bigint, pivot int, set binary"))
     spread = large.groupBy("s").agg(F.max(chunks).alias("chunks"))
     copies = pivots.join(spread, "s").select("s", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "pivot", F.lit(b"").alias("g"), "set")
     others = large.join(sets, "g").select("s", F.pmod(F.xxhash64("g"), chunks).cast("int").alias("chunk"), F.lit(PIVOTS).alias("pivot"), "g", "set")
@@ -506,6 +525,15 @@ def components(links: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
     return names
 
 
+def _whole(cells: DataFrame, rest: DataFrame, small: Column) -> tuple[DataFrame, DataFrame]:
+    """The groups (s, g, n, size, items) that are dealt whole, and the cells (s, g, n) of the others. cells: (s, g, n, group, sets), rest: (g, n, s, size, items), s
+    being the group. A group is dealt whole if a cell that must be dealt anyway holds half of its sets: all its cells go for at most twice the rows of one."""
+    held = cells.groupBy("s").agg(F.first("group").alias("group"), F.first("sets").alias("sets"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("items"))
+    hot = broadcast_if_small(checkpoint(held.where(~small & (2 * F.col("size") >= F.col("sets"))).select("group").distinct()))
+    whole = checkpoint(rest.join(hot.withColumnRenamed("group", "s"), "s", "left_semi").select("s", "g", "n", "size", "items"))
+    return whole, stored(cells.join(hot, "group", "left_anti").select("s", "g", "n"), "none")
+
+
 def _links(cells: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links (a, b) that join all nodes of each component, from the first level's cells (s, g, n, ball), the nodes (g, key, sketch) and
     the texts (key, text)."""
@@ -522,28 +550,29 @@ def _links(cells: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int, p
     one = checkpoint(cells.select("g", "n").distinct().join(named, "g").select("s", "g", "n"))
     sized = checkpoint(_sized(one))
     small = (F.col("size") <= SMALL) & ((F.col("items") <= ITEMS) | (F.col("size") <= 4 * PIVOTS))
-    keyed = nodes.join(sized, "g").select("key", "g", F.xxhash64("s").alias("s"), small.alias("small"))
+    keyed = nodes.join(sized, "g").select("key", "g", "n", F.xxhash64("s").alias("s"), "size", "items", small.alias("small"))
     # texts are smaller than their sets, so they are what travels
     placed = _wanted(texts, checkpoint(keyed.where("small").select("key", "g", "s"))).select("s", "g", "text").repartition("s").sortWithinPartitions("s")
     links = checkpoint(placed.mapInArrow(_join_regions(percent, shingle), "a binary, b binary"))
-    rest = checkpoint(keyed.where("NOT small").select("key", "g"))
+    rest = checkpoint(keyed.where("NOT small").select("key", "g", "n", "s", "size", "items"))
     if not rest.limit(1).count():
         released(cells)
         return links
-    sets = _sets(texts, rest, shingle)
-    first, cells = cells, cells.join(rest.select("g"), "g", "left_semi").withColumn("ball", F.lit(False))
+    sets = _sets(texts, rest.select("key", "g"), shingle)
+    whole, others = _whole(cells.join(rest.select("g", F.col("s").alias("group"), F.col("size").alias("sets")), "g"), rest, small)
+    first, cells = cells, others.withColumn("ball", F.lit(False))
     while True:
         members = _members(cells, _regions(cells))
-        sized = checkpoint(_sized(members))
-        released(members)
-        placed = sized.where(small).select("s", "g").join(sets, "g").select("s", "g", "set").repartition("s").sortWithinPartitions("s")
+        placed = members.where(small).select("s", "g").join(sets, "g").select("s", "g", "set").repartition("s").sortWithinPartitions("s")
         links = links.unionByName(checkpoint(placed.mapInArrow(_join_regions(percent), "a binary, b binary")))
-        large = sized.where(~small)
+        large = members.where(~small)
+        large, whole = large if whole is None else large.unionByName(whole), None
         if not large.limit(1).count():
-            released(first, sets)
+            released(first, members, sets)
             return links
         more, cells = _dealt(large, sets, percent)
         links = links.unionByName(checkpoint(more))
+        released(members)
 
 
 def _named(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, row: Column | None = None) -> tuple[DataFrame, DataFrame]:

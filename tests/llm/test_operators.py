@@ -450,3 +450,28 @@ def test_jaccard_join_of_many_near_copies(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "SMALL", 300)
     df = spark.createDataFrame([r[:2] for r in made], "doc_id bigint, text string")
     assert Counter((low(r.doc_id), r.n_shingles, low(r.component_id)) for r in jaccard_join.assignments(df).collect()) == want
+
+
+def test_jaccard_join_deals_a_large_group_once(spark, monkeypatch):
+    """Near copies of one text share most cells of their windows; they are dealt as one region, and to few cells each."""
+    rng = np.random.default_rng(12)
+    made = []
+    for i in range(600):
+        own = [f"b{j}" for j in range(80)]
+        for at in rng.integers(0, 80, int(rng.integers(1, 9))):
+            own[at] = f"e{i}x{at}"
+        made.append((i, " ".join(own), None, None))
+    want = brute_components(made, 3, 80)
+    monkeypatch.setattr(jaccard_join, "SMALL", 150)
+    plain, rows = jaccard_join._dealt, []
+
+    def counted(large, sets, percent):
+        links, cells = plain(large, sets, percent)
+        rows.append((large.count(), cells.count()))
+        return links, cells
+
+    monkeypatch.setattr(jaccard_join, "_dealt", counted)
+    df = spark.createDataFrame([r[:2] for r in made], "doc_id bigint, text string")
+    assert Counter((low(r.doc_id), r.n_shingles, low(r.component_id)) for r in jaccard_join.assignments(df, percent=80).collect()) == want
+    assert rows and sum(n for n, _ in rows) <= 2 * 600
+    assert sum(n for _, n in rows) <= 25 * 600
