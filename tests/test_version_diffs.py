@@ -79,3 +79,11 @@ def test_wanted_and_limit(spark, limit):
     wanted = spark.createDataFrame([("lib", "c"), ("lib", "c")], "library string, name string")
     assert [r.symbol for r in build(spark, rows, [], [], wanted).collect()] == ["c"]
     assert build(spark, [], [], []).count() == 0
+
+
+def test_query_makes_lines_once(spark):
+    """Each scan of the documents makes their lines once, however many expressions use them."""
+    from lodestone import catalog
+
+    plan = catalog.QUERIES["c4_v9_version_diffs"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("split(coalesce(text") <= 4
