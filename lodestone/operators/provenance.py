@@ -83,27 +83,33 @@ def similarity(items: DataFrame, docs: DataFrame, tokens: Callable[[str], Column
     text). run is the longest common run of words. Items without text are in no pair.
 
     A common run lies on one diagonal of the common n-grams' positions. A document that holds an item of n + 2 words or more has all its words but the first and
-    the last in a row, so only pairs with such a run are compared as texts; shorter items find their documents by ``holders``."""
+    the last in a row, so only pairs with such a run are compared as texts; shorter items find their documents by ``holders``. Documents are cut into words once,
+    and meet the pairs a second time by id as they are."""
     words = items.select("item_id", F.lower(F.regexp_replace("text", r"(?U)^\s+|\s+$", "")).alias("own"), tokens("text").alias("t"))
     own = words.select("item_id", vector.runs(F.col("t"), n).alias("r"))
     # outer explodes, since a filter inferred from inner ones would repeat the whole expressions below
     own = own.select("item_id", F.size(F.array_distinct("r")).alias("n"), "r", F.posexplode_outer("r").alias("i", "s")).where("s IS NOT NULL")
     own = own.select("item_id", "n", "i", "s", F.array_position("r", F.col("s")).alias("gram"))
-    seen = docs.select("doc_id", tokens("text").alias("t")).select("doc_id", F.posexplode_outer(vector.runs(F.col("t"), n)).alias("j", "s")).where("s IS NOT NULL")
+    # the runs one by one, not as an array made by a lambda, which Spark interprets for each word
+    seen = docs.select("doc_id", tokens("text").alias("t")).select("doc_id", "t", F.posexplode_outer("t").alias("j", "w")).where(F.col("j") <= F.size("t") - n)
+    seen = seen.select("doc_id", "j", F.concat_ws(" ", "w", *(F.get("t", F.col("j") + x) for x in range(1, n))).alias("s"))
     common = seen.join(own, "s").select("item_id", "doc_id", "n", "gram", "i", (F.col("j") - F.col("i")).alias("d"))
     place = F.row_number().over(Window.partitionBy("item_id", "doc_id").orderBy("d", "i"))
     islands = common.withColumn("island", F.col("i") - place).groupBy("item_id", "doc_id", "d", "island")
     islands = islands.agg(F.count("i").alias("length"), F.collect_set("gram").alias("grams"), F.max("n").alias("n"))
     grams = F.size(F.array_distinct(F.flatten(F.collect_list("grams")))).cast("bigint")
     pairs = islands.groupBy("item_id", "doc_id").agg((F.max("length") + n - 1).alias("common_run"), grams.alias("common"), F.max("n").alias("n"))
-    sized = words.select("item_id", F.size("t").alias("k"))
-    near = pairs.join(sized, "item_id").where((F.col("k") >= n + 2) & (F.col("common_run") >= F.col("k") - 2)).select("item_id", "doc_id")
-    texts = docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("body"), tokens("text").alias("t"))
-    asked = near.unionByName(holders(words.where((F.size("t") < n + 2) & (F.col("own") != "")), texts))
-    held = asked.join(words.select("item_id", "own", F.col("t").alias("it")), "item_id").join(texts, "doc_id").where(F.contains("body", "own"))
+    few = words.where((F.size("t") < n + 2) & (F.col("own") != ""))
+    found = holders(few, docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("body"), tokens("text").alias("t")))
+    both = pairs.join(found.withColumn("found", F.lit(True)), ["item_id", "doc_id"], "full_outer").join(words.withColumnRenamed("t", "it"), "item_id", "left")
+    both = both.join(docs.select("doc_id", "text"), "doc_id", "left")
+    # when() keeps the others' texts from being read
+    asked = F.col("found") | ((F.size("it") >= n + 2) & (F.col("common_run") >= F.size("it") - 2))
+    both = both.withColumn("exact", F.coalesce(F.when(asked, F.contains(F.lower(F.coalesce("text", F.lit(""))), "own")), F.lit(False)))
+    both = both.where(F.col("common").isNotNull() | F.col("exact"))
     # runs below n words, of the short items only
+    both = both.withColumn("t", F.when(F.col("exact") & (F.size("it") < n + 2), tokens("text")))
     short = F.coalesce(*(F.when(F.arrays_overlap(vector.runs(F.col("it"), m), vector.runs(F.col("t"), m)), m) for m in range(n - 1, 0, -1)), F.lit(0))
-    held = held.select("item_id", "doc_id", F.when(F.size("it") < n + 2, short).otherwise(0).cast("bigint").alias("short_run"), F.lit(True).alias("exact"))
-    both = pairs.join(held, ["item_id", "doc_id"], "full_outer")
-    run, ratio, exact = F.coalesce("common_run", "short_run"), F.coalesce(F.col("common") / F.col("n"), F.lit(0.0)), F.coalesce("exact", F.lit(False))
-    return both.select("item_id", "doc_id", F.coalesce("common", F.lit(0)).cast("bigint").alias("shared"), ratio.alias("overlap"), run.alias("run"), exact.alias("exact"), vector.risk_level(exact, run, ratio, F.lit(0.0)).alias("risk"))
+    run, ratio, exact = F.coalesce("common_run", short.cast("bigint")), F.coalesce(F.col("common") / F.col("n"), F.lit(0.0)), F.col("exact")
+    both = both.select("item_id", "doc_id", F.coalesce("common", F.lit(0)).cast("bigint").alias("shared"), ratio.alias("overlap"), run.alias("run"), "exact")
+    return both.select("*", vector.risk_level(exact, F.col("run"), F.col("overlap"), F.lit(0.0)).alias("risk"))

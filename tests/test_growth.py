@@ -2,13 +2,15 @@
 
 import json
 import random
+import re
 from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from lodestone import catalog
 from lodestone.functions import rows
-from lodestone.operators import reconstruct, state, stored_records
+from lodestone.operators import provenance, reconstruct, state, stored_records
 from lodestone.plans import code_documents, markdown
 
 
@@ -99,3 +101,18 @@ def test_stored_records_are_read_once(spark):
     got = {r.k: r.faults for r in found.collect()}
     assert len(got[1]) == len(stored_records.RULES["phrase"]) and (got[2], got[3], got[4]) == (["record"], ["kind"], ["record"])
     assert len(got) == 5
+
+
+def test_contamination_cuts_documents_into_words_once(spark):
+    words = [f"w{i}" for i in range(40)]
+    items = spark.createDataFrame([(i, " ".join(words[i : i + 12])) for i in range(3)], "item_id int, text string")
+    docs = spark.createDataFrame([(0, " ".join(words)), (1, "x " + " ".join(words[2:8]) + " y"), (2, None), (3, "w1 w2"), (4, "W1 W2\nW3 w4 w5")], "doc_id int, text string")
+    got = provenance.similarity(items, docs, catalog._tokens)
+    # item 2 and the others share w2 to w7 with document 1, and items 0 and 1 w1 to w5 with document 4
+    want = {(0, 0, 8, True, 12), (1, 0, 8, True, 12), (2, 0, 8, True, 12), (0, 1, 2, False, 6), (1, 1, 2, False, 6), (2, 1, 2, False, 6), (0, 4, 1, False, 5), (1, 4, 1, False, 5)}
+    assert {(r.item_id, r.doc_id, r.shared, r.exact, r.run) for r in got.collect()} == want
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    texts = set(re.findall(r"ExistingRDD\[doc_id#\d+,(text#\d+)", plan))
+    cut = [line for line in plan.splitlines() for text in texts if f"regexp_extract_all(lower({text})" in line]
+    # once in the scan, and once behind the join by id for those that short items found
+    assert len(cut) == 2 and not any("lambda" in line for line in plan.splitlines() if "doc_id" in line and "Generate" in line)
