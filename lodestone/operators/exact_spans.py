@@ -15,13 +15,14 @@ from lodestone.functions import code, hashing, text
 TAXONOMY_VERSION, LEAST_QUALITY = "writing-taxonomy-v1", 0.65
 
 
+def _sentence_id(paragraph: Column, n: Column, begin: Column, end: Column, said: Column) -> Column:
+    return F.concat(F.lit("sentence:"), hashing.sha256(hashing.canonical_json(paragraph=paragraph, index=n, start=begin, end=end, text=hashing.sha256(said))))
+
+
 def sentences(paragraphs: DataFrame) -> DataFrame:
     """(paragraph_id, sentence_id, n, begin, end) of paragraphs (paragraph_id, text)."""
-    spans = code.sentence_spans(paragraphs, "paragraph_id", "text")
-    rows = spans.join(paragraphs.select("paragraph_id", "text"), "paragraph_id")
-    said = hashing.sha256(F.substring("text", F.col("begin") + 1, F.col("end") - F.col("begin")))
-    identity = hashing.canonical_json(paragraph=F.col("paragraph_id"), index=F.col("n"), start=F.col("begin"), end=F.col("end"), text=said)
-    return rows.select("paragraph_id", F.concat(F.lit("sentence:"), hashing.sha256(identity)).alias("sentence_id"), "n", "begin", "end")
+    rows = code.sentence_spans(paragraphs, "paragraph_id", "text", said=True)
+    return rows.select("paragraph_id", _sentence_id(*map(F.col, ("paragraph_id", "n", "begin", "end", "said"))).alias("sentence_id"), "n", "begin", "end")
 
 
 def selected(proposals: DataFrame, known: DataFrame) -> DataFrame:
@@ -53,7 +54,7 @@ def quoted(proposals: DataFrame, paragraphs: DataFrame) -> DataFrame:
 def evidence(proposals: DataFrame, spans: DataFrame, paragraphs: DataFrame, known: DataFrame) -> DataFrame:
     """Every proposal (proposal_id, paragraph_id, category, claim_strength, risk_flags, confidence) with ``error`` or with its evidence: evidence_id, char_start,
     char_end, original_text, page_start, page_end, source_spans, sentence_ids, language, risk_flags, risk_flag_sources, quality_score, validation_status.
-    spans: ``selected`` or ``quoted``; known: ``sentences``."""
+    spans: ``selected`` or ``quoted``; known: ``sentences``, or ``code.sentence_spans`` of the paragraphs, so that only sentences of evidence get their ids."""
     rows = proposals.withColumnRenamed("risk_flags", "told_flags").join(spans, "proposal_id", "left").join(paragraphs, "paragraph_id", "left")
     begin, end = F.col("begin"), F.col("end")
     inside = F.filter("segments", lambda s: (s["begin"] < end) & (s["end"] > begin))
@@ -73,16 +74,21 @@ def evidence(proposals: DataFrame, spans: DataFrame, paragraphs: DataFrame, know
         .when(covered != end - begin, "not covered by places")
     )
     rows = rows.withColumn("error", error).withColumn("original_text", F.when(F.col("error").isNull(), F.expr("substring(text, begin + 1, end - begin)")))
-    named = rows.where("error IS NULL").select("proposal_id", "paragraph_id", "begin", "end")
-    met = named.join(known.select("paragraph_id", "sentence_id", F.col("n"), F.col("begin").alias("b"), F.col("end").alias("e")), "paragraph_id").where((F.col("b") < F.col("end")) & (F.col("e") > F.col("begin")))
-    listed = met.groupBy("proposal_id").agg(F.array_sort(F.collect_list(F.struct("n", "sentence_id"))).alias("ss"))
-    rows = rows.join(listed, "proposal_id", "left").withColumn("error", F.when(F.col("error").isNull() & F.col("ss").isNull(), "no sentence").otherwise(F.col("error")))
+    # a paragraph's sentences meet its proposals as one array, where its text lies
+    listed = known.groupBy("paragraph_id").agg(F.array_sort(F.collect_list(F.struct("n", *(c for c in known.columns if c not in ("paragraph_id", "n"))))).alias("ss"))
+    met = F.filter("ss", lambda s: (s["begin"] < end) & (s["end"] > begin))
+    rows = rows.join(listed, "paragraph_id", "left").withColumn("ss", F.when(F.col("error").isNull(), met))
+    rows = rows.withColumn("error", F.when(F.col("error").isNull() & F.coalesce(F.size("ss") <= 0, F.lit(True)), "no sentence").otherwise(F.col("error")))
     told = F.coalesce("told_flags", F.array().cast("array<string>"))
     rows = rows.withColumn("risk_flags", F.array_sort(F.array_distinct(F.concat(told, text.risk_flags(F.col("original_text"), F.col("category"))))))
     sources = F.map_from_arrays("risk_flags", F.transform("risk_flags", lambda f: F.when(F.array_contains(told, f), "model_assessment").otherwise("deterministic_heuristic")))
     quality = text.material_quality(F.col("original_text"), F.col("category"), F.col("family"), F.col("confidence"), F.col("risk_flags"))
     rows = rows.withColumn("quality_score", quality)
     identity = hashing.canonical_json(document_id=F.col("document_id"), parse_fingerprint=F.col("parse_fingerprint"), paragraph_id=F.col("paragraph_id"), start=begin, end=end, text_hash=hashing.sha256(F.col("original_text")), category=F.col("category"), taxonomy=F.lit(TAXONOMY_VERSION))
+
+    def sentence_id(s: Column) -> Column:
+        return s["sentence_id"] if "sentence_id" in known.columns else _sentence_id(F.col("paragraph_id"), s["n"], s["begin"], s["end"], F.substring(F.col("text"), s["begin"] + 1, s["end"] - s["begin"]))
+
     pages = F.transform("source_spans", lambda s: s["page_no"])
     good = lambda c, name: F.when(F.col("error").isNull(), c).alias(name)
     return rows.select(
@@ -96,7 +102,7 @@ def evidence(proposals: DataFrame, spans: DataFrame, paragraphs: DataFrame, know
         good(F.array_min(pages), "page_start"),
         good(F.array_max(pages), "page_end"),
         good(F.col("source_spans"), "source_spans"),
-        good(F.transform("ss", lambda s: s["sentence_id"]), "sentence_ids"),
+        good(F.transform("ss", sentence_id), "sentence_ids"),
         good(text.language(F.col("original_text")), "language"),
         good(F.col("risk_flags"), "risk_flags"),
         good(sources, "risk_flag_sources"),

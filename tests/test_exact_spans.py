@@ -60,3 +60,24 @@ def test_quotations(spark):
     late = (None, None, "overlaps an earlier span")
     assert got == {"a": (2, 11, None), "b": late, "c": (None, None, "text not in paragraph"), "d": (None, None, "text stands twice"), "e": (None, None, "text stands twice"), "f": (2, 6, None), "g": (None, None, "no text"), "h": (None, None, "no text"), "i": (None, None, "unknown paragraph"), "j": late, "k": (18, 24, None)}
     assert code.sentence_spans(ps.where(F.lit(False)), "paragraph_id", "text").count() == 0
+
+
+def test_spans_take_few_texts_along(spark):
+    """Sentences do not meet their texts again one by one, and proposals are judged once."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab.. !?\n　。\x1c") for _ in range(rng.randrange(80))) for _ in range(60)]
+    ps = paragraphs(spark, [(f"p{i}", t, None, [(0, len(t), "#/1", 1, BOX)]) for i, t in enumerate(texts)])
+    asked = spark.createDataFrame([(f"{i}{j}", f"p{i}", t[j * 9 : j * 9 + 12], "future_work", "strong", None, 0.9) for i, t in enumerate(texts) for j in range(2)], "proposal_id string, paragraph_id string, original_text string, category string, claim_strength string, risk_flags array<string>, confidence double")
+    made = lambda known: exact_spans.evidence(asked.drop("original_text"), exact_spans.quoted(asked, ps), ps, known)
+    late, early = made(code.sentence_spans(ps, "paragraph_id", "text")), made(exact_spans.sentences(ps))
+    told = ("error", "char_start", "char_end", "evidence_id", "sentence_ids")
+    got = {r.proposal_id: tuple(r[c] for c in told) for r in late.collect()}
+    assert got == {r.proposal_id: tuple(r[c] for c in told) for r in early.collect()} and len(got) == 120
+    assert max(len(row[4] or ()) for row in got.values()) > 1
+    pattern = re.compile(r"\S(?:.*?)(?:[.!?]+(?=\s|$)|[。！？]+|$)", re.S)
+    for name, (error, begin, end, _, ids) in got.items():
+        if error is None:
+            spans = [(m.start(), m.start() + len(m[0].rstrip())) for m in pattern.finditer(texts[int(name[:-1])])]
+            assert len(ids) == sum(b < end and e > begin for b, e in spans)
+    plan = late._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 2 and plan.count("Join ") == 4
