@@ -31,13 +31,16 @@ _ORDER2 = 1 << 20
 _GAIN, _SUM, _REFRESH = 16, 1 << 20, 8
 #: Of the mix, at least this share is order 0's.
 _LEAST = 1 << (_MIX - 4)
+#: A candidate's confidence after a wrong and a right prediction, for each confidence before.
+_NEXT = np.array([(max(held >> 1, 1), min(held + 1, 7)) for held in range(8)], np.int8).ravel()
 
 
 class _Model:
     def __init__(self, alphabet: int, lanes: int) -> None:
         self.alphabet = alphabet
-        self.guess2, self.sure2 = np.full(_ORDER2, -1, np.int64), np.zeros(_ORDER2, np.int64)
-        self.guess1, self.sure1 = np.full(alphabet, -1, np.int64), np.zeros(alphabet, np.int64)
+        # narrow, so that more of the tables stays in a core's cache
+        self.guess2, self.sure2 = np.full(_ORDER2, -1, np.int32), np.zeros(_ORDER2, np.int8)
+        self.guess1, self.sure1 = np.full(alphabet, -1, np.int32), np.zeros(alphabet, np.int8)
         self.counts = np.ones(alphabet, np.int64)
         self.weights = np.tile(np.array([4, 2, 10], np.int64), (64, 1))
         self.before, self.last = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
@@ -54,25 +57,26 @@ class _Model:
     def predict(self) -> None:
         """The candidates and the parts of the mix for the next id of each lane."""
         self.at2 = ((self.before * 0x9E3779B1 + self.last * 0x85EBCA77) >> 7) & (_ORDER2 - 1)
-        self.c2, self.c1 = self.guess2[self.at2], self.guess1[self.last]
-        self.row = self.sure2[self.at2] * 8 + self.sure1[self.last]
+        self.c2, self.c1 = self.guess2.take(self.at2), self.guess1.take(self.last)
+        self.held2, self.held1 = self.sure2.take(self.at2), self.sure1.take(self.last)
+        self.row = (self.held2 * 8 + self.held1).astype(np.int64)
         shares = (((1 << _MIX) - _LEAST) * self.weights[:, :2]) // self.weights.sum(axis=1)[:, None]
-        self.f2 = np.where(self.c2 >= 0, shares[:, 0][self.row], 0)
-        self.f1 = np.where((self.c1 >= 0) & (self.c1 != self.c2), shares[:, 1][self.row], 0)
+        self.f2 = shares[:, 0].take(self.row) * (self.c2 >= 0)
+        self.f1 = shares[:, 1].take(self.row) * ((self.c1 >= 0) & (self.c1 != self.c2))
         self.f21 = self.f2 + self.f1
         self.f0 = (1 << _MIX) - self.f21
 
     def update(self, ids: np.ndarray) -> None:
         right2, right1 = ids == self.c2, ids == self.c1
-        outcome = np.where(right2, 0, np.where(right1, 1, 2))
+        outcome = (2 - right1) * ~right2
         self.weights += np.bincount(self.row * 3 + outcome, minlength=192).reshape(64, 3)
         if int(self.weights.sum(axis=1).max()) > 1 << 16:
             self.weights = np.where(self.weights.sum(axis=1)[:, None] > 1 << 15, (self.weights + 1) >> 1, self.weights)
-        for guess, sure, at, right in ((self.guess2, self.sure2, self.at2, right2), (self.guess1, self.sure1, self.last, right1)):
-            held = sure[at]
+        for guess, sure, at, right, held in ((self.guess2, self.sure2, self.at2, right2, self.held2), (self.guess1, self.sure1, self.last, right1, self.held1)):
             change = ~right & (held <= 1)
-            sure[at] = np.where(right, np.minimum(held + 1, 7), np.where(change, 1, held >> 1))
-            guess[at[change]] = ids[change]
+            sure[at] = _NEXT.take(held * 2 + right)
+            change = change.nonzero()[0]
+            guess[at.take(change)] = ids.take(change)
         self.waiting.append(ids)
         if len(self.waiting) == _REFRESH:
             self.counts += _GAIN * np.bincount(np.concatenate(self.waiting), minlength=self.alphabet)
@@ -102,25 +106,27 @@ def encode(ids: np.ndarray) -> bytes:
     for t in range(steps):
         now = columns[t]
         model.predict()
-        begin = model.starts[now] * model.f0 // model.total
-        size = model.starts[now + 1] * model.f0 // model.total - begin
+        begin = model.starts.take(now) * model.f0 // model.total
+        size = model.starts.take(now + 1) * model.f0 // model.total - begin
         begin += model.f21
         hit1, hit2 = (now == model.c1) & (model.f1 > 0), (now == model.c2) & (model.f2 > 0)
-        begin[hit1], size[hit1] = model.f2[hit1], model.f1[hit1]
-        begin[hit2], size[hit2] = 0, model.f2[hit2]
+        np.copyto(begin, model.f2, where=hit1)
+        np.copyto(size, model.f1, where=hit1)
+        np.copyto(begin, 0, where=hit2)
+        np.copyto(size, model.f2, where=hit2)
         unit = span >> _MIX
         low += unit * begin
         span = unit * size
         at = every
         while True:
-            lo, sp = low[at], span[at]
+            lo, sp = low.take(at), span.take(at)
             same = ((lo ^ (lo + sp)) >> _TOP) == 0
-            out = same | (sp < _BOTTOM)
-            if not out.any():
+            out = (same | (sp < _BOTTOM)).nonzero()[0]
+            if not len(out):
                 break
-            at, lo = at[out], lo[out]
-            sp = np.where(same[out], sp[out], -lo & (_BOTTOM - 1))
-            words[at, used[at]] = lo >> _TOP
+            at, lo = at.take(out), lo.take(out)
+            sp = np.where(same.take(out), sp.take(out), -lo & (_BOTTOM - 1))
+            words[at, used.take(at)] = lo >> _TOP
             used[at] += 1
             low[at], span[at] = (lo << 16) & _MASK, sp << 16
         model.update(now)
@@ -153,25 +159,28 @@ def decode(block: bytes) -> np.ndarray:
         value = np.minimum((code - low) // unit, (1 << _MIX) - 1)
         inner = np.maximum(value - model.f21, 0)
         now = np.searchsorted(model.starts, ((inner + 1) * model.total - 1) // model.f0, side="right") - 1
-        begin = model.starts[now] * model.f0 // model.total
-        size = model.starts[now + 1] * model.f0 // model.total - begin
+        begin = model.starts.take(now) * model.f0 // model.total
+        size = model.starts.take(now + 1) * model.f0 // model.total - begin
         begin += model.f21
         hit2, hit1 = value < model.f2, (value >= model.f2) & (value < model.f21)
-        now[hit1], begin[hit1], size[hit1] = model.c1[hit1], model.f2[hit1], model.f1[hit1]
-        now[hit2], begin[hit2], size[hit2] = model.c2[hit2], 0, model.f2[hit2]
+        for hit, ids, low_end, width in ((hit1, model.c1, model.f2, model.f1), (hit2, model.c2, 0, model.f2)):
+            np.copyto(now, ids, where=hit)
+            np.copyto(begin, low_end, where=hit)
+            np.copyto(size, width, where=hit)
         low += unit * begin
         span = unit * size
         at = every
         while True:
-            lo, sp = low[at], span[at]
+            lo, sp = low.take(at), span.take(at)
             same = ((lo ^ (lo + sp)) >> _TOP) == 0
-            out = same | (sp < _BOTTOM)
-            if not out.any():
+            out = (same | (sp < _BOTTOM)).nonzero()[0]
+            if not len(out):
                 break
-            at, lo = at[out], lo[out]
-            sp = np.where(same[out], sp[out], -lo & (_BOTTOM - 1))
-            code[at] = (code[at] << 16) & _MASK | stream[np.minimum(place[at], end)]
-            place[at] += 1
+            at, lo = at.take(out), lo.take(out)
+            sp = np.where(same.take(out), sp.take(out), -lo & (_BOTTOM - 1))
+            next_ = place.take(at)
+            code[at] = (code.take(at) << 16) & _MASK | stream.take(np.minimum(next_, end))
+            place[at] = next_ + 1
             low[at], span[at] = (lo << 16) & _MASK, sp << 16
         columns[t] = now
         model.update(now)

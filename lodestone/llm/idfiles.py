@@ -33,7 +33,7 @@ from lodestone.llm import idcoder
 from lodestone.llm.shared import stored
 
 BLOCK = 1 << 19
-CACHE = 100_000
+CACHE = 400_000
 JOINED = 1 << 16
 #: Characters of text that are encoded together.
 BATCH = 1 << 20
