@@ -44,6 +44,20 @@ def test_hits_of_one_symbol_are_made_by_several_tasks(spark, monkeypatch):
     assert len({r.task for r in rows if r.symbol == "a"}) > 4
 
 
+def test_hits_are_shuffled_once_however_many_rows_they_become(spark, monkeypatch):
+    monkeypatch.setattr(state, "REPEATS", 3)
+    symbols = spark.range(90).select(F.lit("a").alias("symbol"), (F.col("id") % 3).alias("path"), F.lit(0).alias("version"))
+    markers = spark.createDataFrame([(0, 0), (1, 0)], "path int, version int")
+    dealt, deal = [], type(symbols).repartition
+    monkeypatch.setattr(type(symbols), "repartition", lambda df, *by: (dealt.append(df.count()), deal(df, *by))[1])
+    got = state.source_markers(symbols, markers, spark.range(40).select(F.lit("a").alias("symbol"), F.col("id").alias("point_id"), F.lit(1.0).alias("score")))
+    assert Counter(r.point_id for r in got.collect()) == Counter({i: 60 for i in range(40)})
+    assert dealt == [40]
+    monkeypatch.setattr(state, "BLOCKS", 5)  # 60 rows are four shares of 15
+    got = state.source_markers(symbols, markers, spark.range(7).select(F.lit("a").alias("symbol"), F.col("id").alias("point_id"), F.lit(1.0).alias("score")))
+    assert Counter(r.point_id for r in got.collect()) == Counter({i: 60 for i in range(7)}) and dealt == [40, 28]
+
+
 def test_rowwise_python_holds_few_rows_of_a_batch(monkeypatch):
     class Spy:
         def __init__(self, values):
